@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 # The characters of the Unicode White_Space property.
 WHITE_SPACE = (
-    "\t\n\x0b\x0c\r \x85\xa0        "
-    "        　"
+    "\t\n\x0b\x0c\r \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 
 # Long spellings of a base type and the short name used for it.
@@ -31,13 +32,13 @@ def strip_space(text: Column) -> Column:
     return F.trim(text, F.lit(WHITE_SPACE))
 
 
-def fold_case(text: Column) -> Column:
-    return F.lower(F.upper(text))
+def case_key(text: Column) -> Column:
+    """Equal for texts that differ by case only.
 
-
-def same_ignoring_case(left: Column, right: Column) -> Column:
-    """Equal under simple case folding (one character folds to one character)."""
-    return (F.char_length(left) == F.char_length(right)) & (fold_case(left) == fold_case(right))
+    The length is part of the key because simple case folding maps one
+    character to one character, while upper() may expand one (``ß`` -> ``SS``).
+    """
+    return F.concat(F.char_length(text).cast("string"), F.lit(":"), F.lower(F.upper(text)))
 
 
 def base_type(raw: Column) -> Column:

@@ -6,8 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowsluice.functions.cells import integer_in_text, number_in_text, variant_kind
-from rowsluice.functions.text import base_type_of
+from rowsluice.functions.cells import Cell, number_in_text, variant_kind
+from rowsluice.functions.text import base_type_of, strip_space
 
 
 def inferred_type(value: Column, exact: bool = False) -> Column:
@@ -83,8 +83,10 @@ def writable_as(value: Column, target: T.DataType) -> Column:
     """A JSON value converted to the Spark type of its target column."""
     text = writable_text(value)
     if isinstance(target, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        number = F.coalesce(integer_in_text(text), F.try_variant_get(value, "$", "decimal(38,0)"))
-        return number.try_cast(target)
-    if isinstance(target, (T.FloatType, T.DoubleType)):
-        return F.coalesce(F.try_variant_get(value, "$", "double"), number_in_text(text)).cast(target)
+        integer = Cell("", "raw", value).integer()
+        flag = F.when(variant_kind(value) == "BOOLEAN", F.try_variant_get(value, "$", "int"))
+        return F.coalesce(integer, flag).try_cast(target)
+    if isinstance(target, (T.FloatType, T.DoubleType, T.DecimalType)):
+        spelled = F.when(number_in_text(text).isNotNull(), strip_space(text))
+        return spelled.try_cast(target)
     return text.try_cast(target)
