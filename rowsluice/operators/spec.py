@@ -17,11 +17,11 @@ from rowsluice.functions.text import base_type_of
 from rowsluice.functions.variants import spark_type
 
 COLUMN_SCHEMA = (
-    "table_name string, ordinal int, name string, type string, nullable boolean, is_pk boolean, "
+    "database string, table_name string, ordinal int, name string, type string, nullable boolean, is_pk boolean, "
     "is_unique boolean, fk_ref string, unsigned boolean, length int, precision int, scale int, "
     "values array<string>"
 )
-CHECK_SCHEMA = "table_name string, name string, expr string, cols array<string>"
+CHECK_SCHEMA = "database string, table_name string, name string, expr string, cols array<string>"
 
 
 @dataclass(frozen=True)
@@ -119,11 +119,11 @@ class TableSpec:
         )
 
 
-def columns_frame(spark: SparkSession, specs: list[TableSpec]) -> DataFrame:
+def columns_frame(spark: SparkSession, specs: list[TableSpec], database: str = "") -> DataFrame:
     """Declared specs as a columns catalog."""
     rows = [
         (
-            s.name, i, c.name, c.base, c.nullable, c.is_pk, c.unique, c.fk_ref, c.unsigned,
+            database, s.name, i, c.name, c.base, c.nullable, c.is_pk, c.unique, c.fk_ref, c.unsigned,
             c.length, c.precision, c.scale, list(c.values),
         )
         for s in specs
@@ -132,12 +132,15 @@ def columns_frame(spark: SparkSession, specs: list[TableSpec]) -> DataFrame:
     return spark.createDataFrame(rows, COLUMN_SCHEMA)
 
 
-def checks_frame(spark: SparkSession, specs: list[TableSpec]) -> DataFrame:
+def checks_frame(spark: SparkSession, specs: list[TableSpec], database: str = "") -> DataFrame:
     """Declared CHECKs as a checks catalog."""
     from rowsluice.operators.checks import referenced_columns
 
     rows = [
-        (s.name, k.name, k.expr, referenced_columns(k.expr, [c.name for c in s.columns], s.dialect))
+        (
+            database, s.name, k.name, k.expr,
+            referenced_columns(k.expr, [c.name for c in s.columns], s.dialect),
+        )
         for s in specs
         for k in s.checks
     ]

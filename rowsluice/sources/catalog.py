@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from rowsluice.functions.text import base_type, enum_domain, known_int
+from rowsluice.functions.text import base_type, enum_domain, known_int, strip_space
 from rowsluice.operators.checks import check_names, normalized_check
 
 TABLE = ["database", "table_name"]
@@ -160,8 +160,9 @@ def select_tables(requests: DataFrame, tables: DataFrame) -> DataFrame:
 
     ``requests`` has ``database, request_id, wanted``; an empty ``wanted``
     selects every table of the database. Names are trimmed and keep their
-    first position. Result: ``request_id, database, table_name, position,
-    found``; a request with a row that was not ``found`` is to be refused.
+    first position; order a selection by ``position, table_name``. Result:
+    ``request_id, database, table_name, position, found``; a request with a
+    row that was not ``found`` is to be refused.
     """
     known = list_tables(tables)
     listed = requests.filter(F.coalesce("wanted", F.lit("")) != "").select(
@@ -170,18 +171,17 @@ def select_tables(requests: DataFrame, tables: DataFrame) -> DataFrame:
         F.posexplode(F.split("wanted", ",")).alias("position", "table_name"),
     )
     named = (
-        listed.withColumn("table_name", F.trim("table_name"))
+        listed.withColumn("table_name", strip_space(F.col("table_name")))
         .filter(F.col("table_name") != "")
         .groupBy("database", "request_id", "table_name")
         .agg(F.min("position").alias("position"))
         .join(known.withColumn("found", F.lit(True)), TABLE, "left")
         .withColumn("found", F.coalesce("found", F.lit(False)))
     )
-    ranked = W.partitionBy("database").orderBy("table_name")
     everything = (
         requests.filter(F.coalesce("wanted", F.lit("")) == "")
         .select("database", "request_id")
-        .join(known.withColumn("position", F.row_number().over(ranked) - 1), "database")
+        .join(known.withColumn("position", F.lit(0)), "database")
         .withColumn("found", F.lit(True))
     )
     shape = ["request_id", "database", "table_name", "position", "found"]

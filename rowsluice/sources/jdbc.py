@@ -132,14 +132,23 @@ FROM information_schema.key_column_usage
 WHERE table_schema = {schema} AND referenced_table_name IS NOT NULL
 """,
 }
-CHECKS_QUERY = """
+CHECKS_QUERIES = {
+    # Only real CHECKs: the standard view lists NOT NULL columns among them.
+    "postgres": """
+SELECT {database} AS "database",
+       (SELECT relname FROM pg_class WHERE pg_class.oid = k.conrelid) AS "table_name",
+       k.conname AS "name", pg_get_constraintdef(k.oid) AS "definition"
+FROM pg_constraint k
+WHERE k.contype = 'c' AND k.connamespace = {schema}::regnamespace
+""",
+    "mysql": """
 SELECT {database} AS "database", t.table_name AS "table_name",
        t.constraint_name AS "name", c.check_clause AS "definition"
-FROM information_schema.table_constraints t
-JOIN information_schema.check_constraints c
-  ON c.constraint_schema = t.constraint_schema AND c.constraint_name = t.constraint_name
-WHERE t.table_schema = {schema} AND t.constraint_type = 'CHECK'
-"""
+FROM information_schema.check_constraints c
+JOIN information_schema.table_constraints t USING (constraint_schema, constraint_name)
+WHERE t.constraint_type = 'CHECK' AND t.table_schema = {schema}
+""",
+}
 
 
 def catalog_queries(connection: Connection) -> dict[str, str]:
@@ -156,7 +165,7 @@ def catalog_queries(connection: Connection) -> dict[str, str]:
         "constraints": CONSTRAINTS_QUERY,
         "usage": USAGE_QUERY,
         "references": REFERENCES_QUERIES["mysql" if mysql else "postgres"],
-        "checks": CHECKS_QUERY,
+        "checks": CHECKS_QUERIES["mysql" if mysql else "postgres"],
     }
     mark = "`" if mysql else '"'
     return {name: q.format(**fill).replace('"', mark).strip() for name, q in texts.items()}
