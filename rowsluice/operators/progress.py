@@ -24,7 +24,9 @@ def progress_percent(
     nothing was requested.
     """
     from_totals = F.when(requested <= 0, F.lit(0)).otherwise(
-        F.least(F.lit(100), F.floor(generated * 100 / F.nullif(requested, F.lit(0))))
+        F.least(
+            F.lit(100), F.call_function("div", generated * 100, F.nullif(requested, F.lit(0)))
+        )
     )
     trusted = (F.coalesce(reported, F.lit(0)) > 0) | (overall == "ready")
     clamped = F.greatest(F.lit(0), F.least(F.lit(100), F.coalesce(reported, F.lit(0))))
