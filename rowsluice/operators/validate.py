@@ -206,7 +206,7 @@ class Validator:
         return F.coalesce(reduce(operator.or_, bad), F.lit(False)) if bad else F.lit(False)
 
     # -- uniqueness ---------------------------------------------------------
-    def _keyed(self, df: DataFrame) -> tuple[DataFrame, list[tuple[list[str], tuple[str, ...]]]]:
+    def keyed(self, df: DataFrame) -> tuple[DataFrame, list[tuple[list[str], tuple[str, ...]]]]:
         """The frame with key columns ready to group by, and the unique keys.
 
         VARIANT values cannot be grouped: a raw value is keyed by its kind and
@@ -241,7 +241,7 @@ class Validator:
 
     def repeats(self, df: DataFrame) -> DataFrame | None:
         """Violations of every unique key, as rows like ``violations``."""
-        keyed, keys = self._keyed(df)
+        keyed, keys = self.keyed(df)
         found = None
         for names, key in keys:
             label = ",".join(key)
@@ -331,7 +331,7 @@ class Validator:
                 ]
             )
             parts.append(counts.select(F.inline(rows)))
-        keyed, keys = self._keyed(df)
+        keyed, keys = self.keyed(df)
         for names, key in keys:
             extra = duplicate_keys(keyed, names).agg(
                 F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("violations")
@@ -352,7 +352,7 @@ class Validator:
         """Every row with a boolean telling whether it breaks any rule."""
         bad = self.any_bad(df)
         out = df.withColumn(name, bad)
-        keyed, keys = self._keyed(out)
+        keyed, keys = self.keyed(out)
         order = F.struct(*self.order) if len(self.order) > 1 else F.col(self.order[0])
         for names, key in keys:
             keyed = with_first_seen(

@@ -182,13 +182,24 @@ def dry_run(
     counted = rows.agg(
         F.count(F.lit(1)).alias("rows"),
         F.min(F.struct(*order, row_keys(F.col(row)).alias("keys")))["keys"].alias("first_keys"),
-    ).select("rows", F.array_join(keys_outside(F.col("first_keys"), names), ", ").alias("unknown_keys"))
+    ).select(
+        "rows",
+        F.array_join(keys_outside(F.col("first_keys"), names), ", ").alias("unknown_keys"),
+        F.lit(None).cast("string").alias("sample"),
+    )
     # A handful of rows: the sample is a top-k of fixed size.
-    lines = sample_rows(rows.select(*order, row), order, limit=sample).agg(
+    first = sample_rows(rows.select(*order, row), order, limit=sample).agg(
         F.sort_array(F.collect_list(F.struct(*order, "sample"))).alias("s")
     )
-    return counted.join(F.broadcast(lines)).select(
-        "rows", "unknown_keys", F.array_join(F.col("s")["sample"], "\n").alias("sample")
+    lines = first.select(
+        F.lit(None).cast("bigint").alias("rows"),
+        F.lit(None).cast("string").alias("unknown_keys"),
+        F.array_join(F.col("s")["sample"], "\n").alias("sample"),
+    )
+    return counted.unionByName(lines).agg(
+        F.max("rows").alias("rows"),
+        F.max("unknown_keys").alias("unknown_keys"),
+        F.max("sample").alias("sample"),
     )
 
 
