@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,6 +53,7 @@ class Cell:
     name: str
     family: str  # integer | number | text | boolean | time | nested | raw
     col: Column
+    readings: Column | None = None  # struct(value, kind, text) of a raw cell, see with_readings
 
     # -- presence -----------------------------------------------------------
     def null_given(self) -> Column:
@@ -72,13 +73,13 @@ class Cell:
 
     def kind(self) -> Column:
         """Leading word of the JSON kind: STRING, BIGINT, OBJECT, VOID, ..."""
-        return variant_kind(self.col)
+        return self.readings["kind"] if self.readings is not None else variant_kind(self.col)
 
     def text(self) -> Column | None:
         if self.family == "text":
             return self.col
         if self.raw:
-            return F.when(self.kind() == "STRING", F.try_variant_get(self.col, "$", "string"))
+            return self.readings["text"] if self.readings is not None else variant_text(self.col)
         return None
 
     def number(self) -> Column | None:
@@ -120,14 +121,38 @@ class Cell:
     def shown(self) -> Column:
         """The value as text, for reports."""
         if self.raw:
-            return F.coalesce(self.text(), F.to_json(self.col))
+            return F.try_variant_get(self.col, "$", "string")
         if self.family == "nested":
             return F.to_json(self.col)
         return self.col.cast("string")
 
 
 def variant_kind(value: Column) -> Column:
-    return F.regexp_extract(F.schema_of_variant(value), "^([A-Z]+)", 1)
+    described = F.schema_of_variant(value)
+    return F.substring_index(F.substring_index(described, "<", 1), "(", 1)
+
+
+def variant_text(value: Column) -> Column:
+    return F.when(variant_kind(value) == "STRING", F.try_variant_get(value, "$", "string"))
+
+
+READINGS = "_readings"
+
+
+def with_readings(df: DataFrame, row: str, names: list[str]) -> DataFrame:
+    """Raw rows with kind and text of every named cell worked out once.
+
+    They come out of a generator so that the optimizer does not copy their
+    computation into each rule that looks at them.
+    """
+    cells = [
+        F.struct(
+            value.alias("value"), variant_kind(value).alias("kind"), variant_text(value).alias("text")
+        ).alias(name.lower())
+        for name in names
+        for value in [F.col(row)[name.lower()]]
+    ]
+    return df.select("*", F.explode_outer(F.array(F.struct(*cells))).alias(READINGS))
 
 
 def typed_cell(name: str, data_type: T.DataType, col: Column | None = None) -> Cell:
@@ -154,8 +179,16 @@ def raw_cell(name: str, row: Column) -> Cell:
     return Cell(name, "raw", row[name.lower()])
 
 
-def frame_cells(df, row: str | None = None, names: list[str] | None = None) -> dict[str, Cell]:
+def read_cell(name: str) -> Cell:
+    """The same over a frame that went through ``with_readings``."""
+    readings = F.col(READINGS)[name.lower()]
+    return Cell(name, "raw", readings["value"], readings)
+
+
+def frame_cells(df: DataFrame, row: str | None = None, names: list[str] | None = None) -> dict[str, Cell]:
     """Cells by lower-case name: of a typed frame, or of its raw ``row`` column."""
-    if row is not None:
-        return {n.lower(): raw_cell(n, F.col(row)) for n in names or []}
-    return {f.name.lower(): typed_cell(f.name, f.dataType) for f in df.schema.fields}
+    if row is None:
+        return {f.name.lower(): typed_cell(f.name, f.dataType) for f in df.schema.fields}
+    if READINGS in df.columns:
+        return {n.lower(): read_cell(n) for n in names or []}
+    return {n.lower(): raw_cell(n, F.col(row)) for n in names or []}

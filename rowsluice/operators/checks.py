@@ -16,6 +16,7 @@ import re
 from dataclasses import dataclass
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -469,8 +470,6 @@ def skipped_checks(checks: DataFrame, dialect: str = "postgres") -> DataFrame:
     read once, whatever number of tables repeats it: the texts are
     de-duplicated before the Arrow batch function and the verdicts joined back.
     """
-    import pandas as pd
-
     @F.pandas_udf("string")
     def reason(exprs: pd.Series) -> pd.Series:
         def read(expr):

@@ -89,7 +89,7 @@ def parsed_tables(
 
 
 def _names(cols: Column) -> Column:
-    return F.array_join(F.transform(cols, quote_identifier), ", ")
+    return F.array_join(F.transform(cols, lambda c: quote_identifier(c)), ", ")
 
 
 def create_table(table: Column, fields: Column, indexes: Column) -> Column:

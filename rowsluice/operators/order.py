@@ -24,70 +24,60 @@ def load_passes(tables: DataFrame, edges: DataFrame) -> DataFrame:
     a few rounds form one job, whose result is checkpointed to the shared
     folder so that plans do not grow with the depth of the graph.
     """
-    spark = tables.sparkSession
-    shared_dir(spark)
-    place = tables.select("database", F.col("table_name").alias("parent"), F.col("position").alias("parent_at"))
-    links = (
-        edges.filter(F.col("child") != F.col("parent"))
-        .select("database", "child", "parent")
-        .distinct()
-        .join(place, ["database", "parent"])
-        .checkpoint()
+    shared_dir(tables.sparkSession)
+    links = _links(tables, edges).checkpoint()
+    roots = tables.select("database", "table_name").join(
+        links.select("database", F.col("child").alias("table_name")),
+        ["database", "table_name"],
+        "left_anti",
     )
-    needed = links.groupBy("database", F.col("child").alias("table_name")).agg(
-        F.count(F.lit(1)).alias("parents")
+    settled = roots.withColumn("pass", F.lit(0)).checkpoint()
+    first, known = settled, settled.count()
+    while True:
+        for _ in range(ROUNDS_PER_JOB):
+            settled = first.unionByName(_ready(links, settled))
+        settled = settled.checkpoint()
+        now = settled.count()
+        if now == known:
+            break
+        known = now
+    return tables.select("database", "table_name", "position").join(
+        settled, ["database", "table_name"], "left"
     )
-    state = (
-        tables.join(needed, ["database", "table_name"], "left")
+
+
+def _links(tables: DataFrame, edges: DataFrame) -> DataFrame:
+    """Edges with what every round needs: the child's number of parents and
+    whether the parent is listed after the child."""
+    at = tables.select("database", "table_name", "position")
+    plain = edges.filter(F.col("child") != F.col("parent")).select("database", "child", "parent")
+    needed = plain.groupBy("database", "child").agg(F.countDistinct("parent").alias("needed"))
+    return (
+        plain.distinct()
+        .join(at.toDF("database", "parent", "parent_at"), ["database", "parent"])
+        .join(at.toDF("database", "child", "child_at"), ["database", "child"])
+        .join(needed, ["database", "child"])
         .select(
             "database",
-            "table_name",
-            "position",
-            F.coalesce("parents", F.lit(0)).alias("parents"),
-            F.when(F.col("parents").isNull(), 0).alias("pass"),
+            "child",
+            "parent",
+            "needed",
+            (F.col("parent_at") > F.col("child_at")).cast("int").alias("later"),
         )
-        .checkpoint()
     )
-    settled = state.agg(F.count("pass").alias("n"), F.count(F.lit(1)).alias("all")).first()
-    while settled["n"] < settled["all"]:
-        for _ in range(ROUNDS_PER_JOB):
-            state = _settle(state, links)
-        state = state.checkpoint()
-        now = state.agg(F.count("pass").alias("n"), F.count(F.lit(1)).alias("all")).first()
-        if now["n"] == settled["n"]:
-            break
-        settled = now
-    return state.drop("parents")
 
 
-def _settle(state: DataFrame, links: DataFrame) -> DataFrame:
-    """One round: settle tables all of whose parents are settled."""
-    done = state.filter(F.col("pass").isNotNull()).select(
-        "database", F.col("table_name").alias("parent"), F.col("pass").alias("parent_pass")
-    )
-    waiting = state.filter(F.col("pass").isNull()).select(
-        "database", F.col("table_name").alias("child"), F.col("position").alias("child_at"), "parents"
-    )
-    ready = (
-        links.join(done, ["database", "parent"])
-        .join(waiting, ["database", "child"])
-        .groupBy("database", F.col("child").alias("table_name"))
+def _ready(links: DataFrame, settled: DataFrame) -> DataFrame:
+    """Tables with parents, all of which are settled."""
+    return (
+        links.join(settled.withColumnRenamed("table_name", "parent"), ["database", "parent"])
+        .groupBy("database", F.col("child").alias("table_name"), "needed")
         .agg(
-            F.count(F.lit(1)).alias("ready_parents"),
-            F.max("parents").alias("needed"),
-            F.max(
-                F.col("parent_pass") + (F.col("parent_at") > F.col("child_at")).cast("int")
-            ).alias("next_pass"),
+            F.count(F.lit(1)).alias("ready"),
+            F.max(F.col("pass") + F.col("later")).alias("pass"),
         )
-        .filter(F.col("ready_parents") == F.col("needed"))
-        .select("database", "table_name", "next_pass")
-    )
-    return state.join(ready, ["database", "table_name"], "left").select(
-        "database",
-        "table_name",
-        "position",
-        "parents",
-        F.coalesce("pass", "next_pass").alias("pass"),
+        .filter(F.col("ready") == F.col("needed"))
+        .select("database", "table_name", "pass")
     )
 
 

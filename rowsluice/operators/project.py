@@ -37,6 +37,12 @@ def row_keys(row: Column) -> Column:
     return F.sort_array(F.map_keys(row))
 
 
+def sorted_row(row: Column) -> Column:
+    """The row with its keys in sorted order, for showing it."""
+    keys = row_keys(row)
+    return F.map_from_arrays(keys, F.transform(keys, lambda k: row[k]))
+
+
 def first_row_columns(df: DataFrame, row: str, order: list[str], by: list[str] | None = None) -> DataFrame:
     """Sorted keys of the first row in row order (per group ``by``)."""
     first = F.min(F.struct(*order, row_keys(F.col(row)).alias("keys")))

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowsluice.functions.cells import Cell, frame_cells
+from rowsluice.functions.cells import Cell, frame_cells, with_readings
 from rowsluice.functions.families import integer_bounds
 from rowsluice.functions.text import strip_space
 from rowsluice.functions.variants import writable_as
@@ -151,6 +151,12 @@ class Validator:
     def cells(self, df: DataFrame) -> dict[str, Cell]:
         return frame_cells(df, self.row, [c.name for c in self.spec.columns])
 
+    def prepared(self, df: DataFrame) -> DataFrame:
+        """The frame the rules are to be evaluated over."""
+        if self.row is None:
+            return df
+        return with_readings(df, self.row, [c.name for c in self.spec.columns])
+
     def checks(self, df: DataFrame):
         """(compiled CHECKs, skipped ones as (name, expr, reason))."""
         return compile_checks(self.spec.checks, self.cells(df), self.spec.dialect)
@@ -268,7 +274,8 @@ class Validator:
     # -- results ------------------------------------------------------------
     def violations(self, df: DataFrame, unique: bool = True) -> DataFrame:
         """One row per violation: row order, table, column, rule, value, message."""
-        rules = self.rules(df)
+        prepared = self.prepared(df)
+        rules = self.rules(prepared)
         parts = []
         if rules:
             hits = F.array_compact(
@@ -292,7 +299,7 @@ class Validator:
             # only, and an outer explode keeps the optimizer from adding a
             # second, non-codegen copy of all rules as a filter of its own.
             parts.append(
-                df.filter(self.any_bad(df))
+                prepared.filter(self.any_bad(prepared))
                 .select(*self.order, F.explode_outer(hits).alias("hit"))
                 .select(*self.order, "hit.*")
             )
@@ -314,11 +321,12 @@ class Validator:
     def summary(self, df: DataFrame) -> DataFrame:
         """Violations per column and rule, zeros included; one pass plus one
         aggregation per unique key."""
-        rules = self.rules(df)
+        prepared = self.prepared(df)
+        rules = self.rules(prepared)
         schema = "table_name string, column_name string, rule string, violations bigint"
         parts = []
         if rules:
-            counts = df.agg(*[F.count_if(r.bad).alias(f"r{i}") for i, r in enumerate(rules)])
+            counts = prepared.agg(*[F.count_if(r.bad).alias(f"r{i}") for i, r in enumerate(rules)])
             rows = F.array(
                 *[
                     F.struct(
@@ -350,8 +358,8 @@ class Validator:
 
     def flagged(self, df: DataFrame, name: str = "rejected") -> DataFrame:
         """Every row with a boolean telling whether it breaks any rule."""
-        bad = self.any_bad(df)
-        out = df.withColumn(name, bad)
+        prepared = self.prepared(df)
+        out = prepared.select(*df.columns, self.any_bad(prepared).alias(name))
         keyed, keys = self.keyed(out)
         order = F.struct(*self.order) if len(self.order) > 1 else F.col(self.order[0])
         for names, key in keys:

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from rowsluice.operators.checks import compile_checks
 from rowsluice.operators.match import fk_edges, keys_outside, spec_problems
 from rowsluice.operators.order import load_passes, ordered_names
-from rowsluice.operators.project import row_keys, write_projection
+from rowsluice.operators.project import row_keys, sorted_row, write_projection
 from rowsluice.operators.spec import TableSpec, columns_frame
 from rowsluice.operators.validate import Validator
-from rowsluice.sources.manifest import SAMPLE_ROWS, is_ready, sample_rows
+from rowsluice.sources.manifest import SAMPLE_ROWS, is_ready
 from rowsluice.sources.sinks import Sink
 
 
@@ -188,8 +188,13 @@ def dry_run(
         F.lit(None).cast("string").alias("sample"),
     )
     # A handful of rows: the sample is a top-k of fixed size.
-    first = sample_rows(rows.select(*order, row), order, limit=sample).agg(
-        F.sort_array(F.collect_list(F.struct(*order, "sample"))).alias("s")
+    shown = sorted_row(F.col(row))
+    first = (
+        rows.select(*order, row)
+        .orderBy(*order)
+        .limit(sample)
+        .select(*order, F.to_json(shown).alias("sample"))
+        .agg(F.sort_array(F.collect_list(F.struct(*order, "sample"))).alias("s"))
     )
     lines = first.select(
         F.lit(None).cast("bigint").alias("rows"),

@@ -15,36 +15,59 @@ STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 RAW_ROW = "map<string,variant>"
 
 
+def once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed a single time per row.
+
+    Expressions are otherwise repeated wherever they are mentioned, which for
+    JSON parsing costs more than everything done with the result.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def parse_row(line: Column) -> Column:
     """A line as a raw row, or NULL unless it is exactly one JSON object.
 
     Spark's parser stops after the first value and ignores what follows it. A
-    line is therefore read inside two different wrappers: as the only element
-    of an array, which rejects a second value on the line, and as a field with
-    another one after it, which rejects trailing text.
+    line is therefore read inside two different wrappers: as a field with
+    another one after it, which rejects trailing text, and as the only element
+    of an array (kept as text, which is cheap), which rejects further values.
     """
-    alone = F.from_json(F.concat(F.lit("["), line, F.lit("]")), f"array<{RAW_ROW}>", STRICT)
     framed = F.from_json(
         F.concat(F.lit('{"r":'), line, F.lit(',"z":1}')), f"struct<r:{RAW_ROW},z:int>", STRICT
     )
-    whole = (F.size(alone) == 1) & (framed["z"] == 1) & framed["r"].isNotNull()
-    return F.when(whole, F.get(alone, F.lit(0)))
+    alone = F.from_json(F.concat(F.lit("["), line, F.lit("]")), "array<string>", STRICT)
+    return once(framed, lambda f: F.when((f["z"] == 1) & (F.size(alone) == 1), f["r"]))
 
 
 def lower_keys(row: Column) -> Column:
-    """Keys in lower case; of keys that differ by case only the first is kept."""
-    lowered = F.transform(F.map_keys(row), F.lower)
-    names = F.array_distinct(lowered)
-    values = F.transform(
-        names, lambda n: F.element_at(F.map_values(row), F.array_position(lowered, n).cast("int"))
-    )
-    return F.map_from_arrays(names, values)
+    """Keys in lower case; of repeated keys, and of keys that then differ no
+    more, the last is kept."""
+
+    def lowered(entries: Column) -> Column:
+        keys = F.transform(entries, lambda e: F.lower(e["key"]))
+        return F.map_from_entries(
+            F.filter(
+                F.transform(entries, lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"])),
+                lambda e, i: F.array_position(keys, e["key"]) == i + 1,
+            )
+        )
+
+    return once(F.reverse(F.map_entries(row)), lowered)
+
+
+def with_row(df: DataFrame, line: Column, row: str = "row") -> DataFrame:
+    """The frame with its parsed line as a raw row (NULL where it is none).
+
+    The row comes out of a generator rather than a projection: the optimizer
+    would copy a projected parse into every filter and rule that mentions it.
+    """
+    return df.select("*", F.explode_outer(F.array(lower_keys(parse_row(line)))).alias(row))
 
 
 def classify_lines(lines: DataFrame, column: str = "value", row: str = "row") -> DataFrame:
     """Every line with its raw row and state: ``row``, ``blank`` or ``malformed``."""
     text = strip_space(F.col(column))
-    parsed = lines.withColumn(row, parse_row(text))
+    parsed = with_row(lines, text, row)
     state = (
         F.when(F.coalesce(text, F.lit("")) == "", "blank")
         .when(F.col(row).isNull(), "malformed")
@@ -55,8 +78,8 @@ def classify_lines(lines: DataFrame, column: str = "value", row: str = "row") ->
 
 def rows_from_lines(lines: DataFrame, column: str = "value", row: str = "row") -> DataFrame:
     """Good lines as raw rows; blank and malformed lines are left out."""
-    good = classify_lines(lines, column, row).filter(F.col("line_state") == "row")
-    return good.withColumn(row, lower_keys(F.col(row))).drop(column, "line_state")
+    parsed = with_row(lines, strip_space(F.col(column)), row)
+    return parsed.filter(F.col(row).isNotNull()).drop(column)
 
 
 def line_counts(lines: DataFrame, column: str = "value") -> DataFrame:
