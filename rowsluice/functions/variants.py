@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowsluice.functions.cells import Cell, number_in_text, variant_kind
+from rowsluice.functions.cells import Cell, integer_in_text, number_in_text, variant_kind
 from rowsluice.functions.text import base_type_of, strip_space
 
 
@@ -85,7 +85,7 @@ def writable_as(value: Column, target: T.DataType) -> Column:
     if isinstance(target, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
         integer = Cell("", "raw", value).integer()
         flag = F.when(variant_kind(value) == "BOOLEAN", F.try_variant_get(value, "$", "int"))
-        return F.coalesce(integer, flag).try_cast(target)
+        return F.coalesce(integer, flag, integer_in_text(text)).try_cast(target)
     if isinstance(target, (T.FloatType, T.DoubleType, T.DecimalType)):
         spelled = F.when(number_in_text(text).isNotNull(), strip_space(text))
         return spelled.try_cast(target)

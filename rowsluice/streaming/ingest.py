@@ -50,32 +50,36 @@ class Ingest:
 
     # -- one micro-batch ----------------------------------------------------
     def load_batch(self, batch: DataFrame, batch_id: int) -> None:
+        validator = Validator(self.spec, self.order, self.row, self.strict)
+        # The batch feeds several actions; recomputing it would parse it again.
         batch = batch.persist()
+        cached = [batch]
         try:
-            validator = Validator(self.spec, self.order, self.row, self.strict)
             violations = validator.violations(batch, unique=False)
-            repeats = self._repeats(batch, batch_id)
-            if repeats is not None:
-                violations = violations.unionByName(repeats)
+            keyed = self._keyed(batch)
+            if keyed is not None:
+                seen = self._seen(keyed, batch_id).persist()
+                cached.append(seen)
+                violations = violations.unionByName(self._repeats(keyed, seen))
             violations = violations.persist()
-            try:
-                if self.policy == "abort":
-                    first = violations.orderBy(*self.order, "ordinal", "rule").limit(1).collect()
-                    if first:
-                        raise ValidationFailed(first[0])
-                good = batch.join(
-                    violations.select(*self.order).distinct(), list(self.order), "left_anti"
-                )
-                # Keys first: a replay of this batch only looks at earlier ones.
-                self._write_keys(good, batch_id)
-                write_projection(good, self.spec, self.row).write.mode("overwrite").parquet(
-                    self.path(LOADED, batch_id)
+            cached.append(violations)
+            if self.policy == "abort":
+                first = violations.orderBy(*self.order, "ordinal", "rule").limit(1).collect()
+                if first:
+                    raise ValidationFailed(first[0])
+            bad = violations.select(*self.order).distinct()
+            good = batch.join(bad, list(self.order), "left_anti")
+            if keyed is not None:
+                seen.filter(~F.col("known")).select("digest").write.mode("overwrite").parquet(
+                    self.path(KEYS, batch_id)
                 )
-                violations.write.mode("overwrite").parquet(self.path(REJECTED, batch_id))
-            finally:
-                violations.unpersist()
+            write_projection(good, self.spec, self.row).write.mode("overwrite").parquet(
+                self.path(LOADED, batch_id)
+            )
+            violations.write.mode("overwrite").parquet(self.path(REJECTED, batch_id))
         finally:
-            batch.unpersist()
+            for frame in cached:
+                frame.unpersist()
 
     def _keyed(self, batch: DataFrame) -> DataFrame | None:
         """One row per row and unique key: row order, key name, key digest."""
@@ -107,41 +111,41 @@ class Ingest:
             raise
         return stored.filter(F.col("batch_id") < batch_id).select("digest")
 
-    def _repeats(self, batch: DataFrame, batch_id: int) -> DataFrame | None:
-        """Rows whose unique key came in an earlier batch or earlier in this one."""
-        keyed = self._keyed(batch)
-        if keyed is None:
-            return None
-        order = F.struct(*self.order)
-        firsts = keyed.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"))
-        earlier = self._earlier_keys(batch, batch_id)
+    def _seen(self, keyed: DataFrame, batch_id: int) -> DataFrame:
+        """Keys of the batch: how often and where first, and whether known from
+        earlier batches. The key files hold every key once, and are filtered
+        by the (small) batch rather than shuffled to meet it."""
+        firsts = keyed.groupBy("digest").agg(
+            F.count(F.lit(1)).alias("n"), F.min(F.struct(*self.order)).alias("first")
+        )
+        earlier = self._earlier_keys(keyed, batch_id)
         if earlier is None:
-            marked = firsts.filter(F.col("n") > 1).withColumn("known", F.lit(False))
-        else:
-            marked = firsts.join(earlier.withColumn("known", F.lit(True)), "digest", "left")
-            marked = marked.withColumn("known", F.coalesce("known", F.lit(False))).filter(
-                F.col("known") | (F.col("n") > 1)
-            )
+            return firsts.withColumn("known", F.lit(False))
+        known = earlier.join(firsts.select("digest"), "digest", "left_semi")
+        return firsts.join(known.withColumn("known", F.lit(True)), "digest", "left").withColumn(
+            "known", F.coalesce("known", F.lit(False))
+        )
+
+    def _repeats(self, keyed: DataFrame, seen: DataFrame) -> DataFrame:
+        """Rows whose unique key came in an earlier batch or earlier in this one."""
+        marked = seen.filter(F.col("known") | (F.col("n") > 1))
         hits = join_by_key(keyed, marked, ["digest"], "n", list(self.order)).filter(
-            F.col("known") | (order != F.col("first"))
+            F.col("known") | (F.struct(*self.order) != F.col("first"))
         )
-        first_column = F.split("column_name", ",")[0]
         ordinals = F.create_map(
             *[x for i, c in enumerate(self.spec.columns, 1) for x in (F.lit(c.name), F.lit(i))]
         )
         return hits.select(
             *self.order,
-            ordinals[first_column].alias("ordinal"),
+            ordinals[F.split("column_name", ",")[0]].alias("ordinal"),
             "column_name",
             F.lit("unique").alias("rule"),
             F.col("digest").alias("value"),
-            F.concat(F.lit('duplicate value for unique column "'), "column_name", F.lit('"')).alias("message"),
-        ).withColumn("table_name", F.lit(self.spec.name))
-
-    def _write_keys(self, good: DataFrame, batch_id: int) -> None:
-        keyed = self._keyed(good)
-        if keyed is not None:
-            keyed.select("digest").write.mode("overwrite").parquet(self.path(KEYS, batch_id))
+            F.concat(
+                F.lit('duplicate value for unique column "'), "column_name", F.lit('"')
+            ).alias("message"),
+            F.lit(self.spec.name).alias("table_name"),
+        )
 
     # -- the stream ---------------------------------------------------------
     def start(self, rows: DataFrame, available_now: bool = True, **trigger) -> StreamingQuery:
