@@ -53,7 +53,7 @@ class Cell:
     name: str
     family: str  # integer | number | text | boolean | time | nested | raw
     col: Column
-    readings: Column | None = None  # struct(value, kind, text) of a raw cell, see with_readings
+    readings: Column | None = None  # struct(value, kind, text) of a raw cell, see with_cells
 
     # -- presence -----------------------------------------------------------
     def null_given(self) -> Column:
@@ -139,20 +139,22 @@ def variant_text(value: Column) -> Column:
 READINGS = "_readings"
 
 
-def with_readings(df: DataFrame, row: str, names: list[str]) -> DataFrame:
-    """Raw rows with kind and text of every named cell worked out once.
+def with_cells(df: DataFrame, row: str, names: list[str], text, name: str) -> DataFrame:
+    """Raw rows with value, kind and text of the named cells worked out once.
 
-    They come out of a generator so that the optimizer does not copy their
-    computation into each rule that looks at them.
+    One lambda serves all cells, so generated code stays small however many
+    columns a table has, and the cells come out of a generator so that the
+    optimizer does not copy their computation into every rule and column.
     """
-    cells = [
-        F.struct(
-            value.alias("value"), variant_kind(value).alias("kind"), variant_text(value).alias("text")
-        ).alias(name.lower())
-        for name in names
-        for value in [F.col(row)[name.lower()]]
-    ]
-    return df.select("*", F.explode_outer(F.array(F.struct(*cells))).alias(READINGS))
+    cells = F.transform(
+        F.array(*[F.lit(n.lower()) for n in names]),
+        lambda n: F.struct(
+            F.col(row)[n].alias("value"),
+            variant_kind(F.col(row)[n]).alias("kind"),
+            text(F.col(row)[n]).alias("text"),
+        ),
+    )
+    return df.select("*", F.explode_outer(F.array(cells)).alias(name))
 
 
 def typed_cell(name: str, data_type: T.DataType, col: Column | None = None) -> Cell:
@@ -179,16 +181,15 @@ def raw_cell(name: str, row: Column) -> Cell:
     return Cell(name, "raw", row[name.lower()])
 
 
-def read_cell(name: str) -> Cell:
-    """The same over a frame that went through ``with_readings``."""
-    readings = F.col(READINGS)[name.lower()]
-    return Cell(name, "raw", readings["value"], readings)
-
-
-def frame_cells(df: DataFrame, row: str | None = None, names: list[str] | None = None) -> dict[str, Cell]:
+def frame_cells(
+    df: DataFrame, row: str | None = None, names: list[str] | None = None
+) -> dict[str, Cell]:
     """Cells by lower-case name: of a typed frame, or of its raw ``row`` column."""
     if row is None:
         return {f.name.lower(): typed_cell(f.name, f.dataType) for f in df.schema.fields}
-    if READINGS in df.columns:
-        return {n.lower(): read_cell(n) for n in names or []}
-    return {n.lower(): raw_cell(n, F.col(row)) for n in names or []}
+    if READINGS not in df.columns:
+        return {n.lower(): raw_cell(n, F.col(row)) for n in names or []}
+    readings = [F.col(READINGS)[i] for i in range(len(names or []))]
+    return {
+        n.lower(): Cell(n, "raw", r["value"], r) for n, r in zip(names or [], readings, strict=True)
+    }

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowsluice.functions.cells import Cell, integer_in_text, number_in_text, variant_kind
+from rowsluice.functions.cells import integer_in_text, number_in_text, variant_kind
 from rowsluice.functions.text import base_type_of, strip_space
 
 
@@ -79,14 +79,25 @@ def spark_type(
     return T.StringType()
 
 
-def writable_as(value: Column, target: T.DataType) -> Column:
-    """A JSON value converted to the Spark type of its target column."""
-    text = writable_text(value)
+def converted(value: Column, kind: Column, text: Column, target: T.DataType) -> Column:
+    """A JSON value, given its kind and written text, in its target's type."""
+    number_kind = kind.isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
     if isinstance(target, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
-        integer = Cell("", "raw", value).integer()
-        flag = F.when(variant_kind(value) == "BOOLEAN", F.try_variant_get(value, "$", "int"))
-        return F.coalesce(integer, flag, integer_in_text(text)).try_cast(target)
+        real = F.try_variant_get(value, "$", "double")
+        return (
+            F.when(kind == "BIGINT", F.try_variant_get(value, "$", target.simpleString()))
+            .when(number_kind, F.when(real == F.floor(real), F.try_variant_get(value, "$", target.simpleString())))
+            .when(kind == "BOOLEAN", F.try_variant_get(value, "$", "int").cast(target))
+            .otherwise(integer_in_text(text).try_cast(target))
+        )
     if isinstance(target, (T.FloatType, T.DoubleType, T.DecimalType)):
         spelled = F.when(number_in_text(text).isNotNull(), strip_space(text))
-        return spelled.try_cast(target)
+        return F.when(number_kind, F.try_variant_get(value, "$", target.simpleString())).otherwise(
+            spelled.try_cast(target)
+        )
     return text.try_cast(target)
+
+
+def writable_as(value: Column, target: T.DataType) -> Column:
+    """A JSON value converted to the Spark type of its target column."""
+    return converted(value, variant_kind(value), writable_text(value), target)

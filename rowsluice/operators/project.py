@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowsluice.functions.variants import inferred_type, writable_as
+from rowsluice.functions.cells import with_cells
+from rowsluice.functions.variants import converted, inferred_type, writable_text
 from rowsluice.operators.spec import TableSpec
 
 
@@ -18,10 +19,13 @@ def write_projection(
     further columns to carry along (e.g. the row order).
     """
     present = {c.lower(): c for c in df.columns}
+    if row is not None:
+        df = with_cells(df, row, [c.name for c in spec.columns], writable_text, WRITTEN)
 
-    def target(col) -> Column:
+    def target(position, col) -> Column:
         if row is not None:
-            value = writable_as(F.col(row)[col.name.lower()], col.spark_type)
+            cell = F.col(WRITTEN)[position]
+            value = converted(cell["value"], cell["kind"], cell["text"], col.spark_type)
         elif col.name.lower() in present:
             value = F.col(f"`{present[col.name.lower()]}`").cast(col.spark_type)
         else:
@@ -30,7 +34,10 @@ def write_projection(
 
     names = {c.name.lower() for c in spec.columns}
     carried = [k for k in keep if k.lower() not in names]
-    return df.select(*carried, *[target(c) for c in spec.columns])
+    return df.select(*carried, *[target(i, c) for i, c in enumerate(spec.columns)])
+
+
+WRITTEN = "_written"
 
 
 def row_keys(row: Column) -> Column:

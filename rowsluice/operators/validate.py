@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowsluice.functions.cells import Cell, frame_cells, with_readings
+from rowsluice.functions.cells import READINGS, Cell, frame_cells, variant_text, with_cells
 from rowsluice.functions.families import integer_bounds
 from rowsluice.functions.text import strip_space
 from rowsluice.functions.variants import writable_as
@@ -155,7 +155,9 @@ class Validator:
         """The frame the rules are to be evaluated over."""
         if self.row is None:
             return df
-        return with_readings(df, self.row, [c.name for c in self.spec.columns])
+        return with_cells(
+            df, self.row, [c.name for c in self.spec.columns], variant_text, READINGS
+        )
 
     def checks(self, df: DataFrame):
         """(compiled CHECKs, skipped ones as (name, expr, reason))."""

@@ -40,10 +40,9 @@ def parse_row(line: Column) -> Column:
 
 
 def lower_keys(row: Column) -> Column:
-    """Keys in lower case; of repeated keys, and of keys that then differ no
-    more, the last is kept."""
+    """Keys in lower case; of keys that are the same then, the last is kept."""
 
-    def lowered(entries: Column) -> Column:
+    def rewritten(entries: Column) -> Column:
         keys = F.transform(entries, lambda e: F.lower(e["key"]))
         return F.map_from_entries(
             F.filter(
@@ -52,7 +51,15 @@ def lower_keys(row: Column) -> Column:
             )
         )
 
-    return once(F.reverse(F.map_entries(row)), lowered)
+    def checked(entries_row: Column) -> Column:
+        keys = F.map_keys(entries_row)
+        joined = F.array_join(keys, "\n")
+        plain = (joined == F.lower(joined)) & (F.size(F.array_distinct(keys)) == F.size(keys))
+        return F.when(plain, entries_row).otherwise(
+            once(F.reverse(F.map_entries(entries_row)), rewritten)
+        )
+
+    return once(row, checked)
 
 
 def with_row(df: DataFrame, line: Column, row: str = "row") -> DataFrame:
