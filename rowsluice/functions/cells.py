@@ -100,7 +100,7 @@ class Cell:
         if self.family == "integer":
             return self.col
         if self.family == "number":
-            return F.when(self.col == F.floor(self.col), self.col)
+            return F.when(self.col % 1 == 0, self.col)
         if self.family == "text":
             return integer_in_text(self.col)
         if self.raw:
@@ -111,7 +111,7 @@ class Cell:
             return (
                 F.when(kind == "BIGINT", exact)
                 .when(
-                    kind.isin("DECIMAL", "DOUBLE", "FLOAT") & (real == F.floor(real)),
+                    kind.isin("DECIMAL", "DOUBLE", "FLOAT") & (real % 1 == 0),
                     F.coalesce(exact, edge),
                 )
                 .when(kind == "STRING", integer_in_text(self.text()))

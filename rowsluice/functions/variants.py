@@ -86,7 +86,7 @@ def converted(value: Column, kind: Column, text: Column, target: T.DataType) ->
         real = F.try_variant_get(value, "$", "double")
         return (
             F.when(kind == "BIGINT", F.try_variant_get(value, "$", target.simpleString()))
-            .when(number_kind, F.when(real == F.floor(real), F.try_variant_get(value, "$", target.simpleString())))
+            .when(number_kind, F.when(real % 1 == 0, F.try_variant_get(value, "$", target.simpleString())))
             .when(kind == "BOOLEAN", F.try_variant_get(value, "$", "int").cast(target))
             .otherwise(integer_in_text(text).try_cast(target))
         )

@@ -78,16 +78,22 @@ def _digest_long_text(df: DataFrame, keys: list[str], lengths: dict[str, int]) -
     return out
 
 
-def duplicate_keys(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
+def duplicate_keys(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str] | None = None,
+    count: str = "n",
+    first: str = "first_row",
+) -> DataFrame:
     """Keys that occur more than once, with their count and first row.
 
-    Keys with a null part are exempt. Result: keys, ``n``, and ``first_row``
-    where ``order`` names the columns that define row order.
+    Keys with a null part are exempt. Result: keys, the count, and the first
+    row where ``order`` names the columns that define row order.
     """
-    aggregates = [F.count(F.lit(1)).alias("n")]
+    aggregates = [F.count(F.lit(1)).alias(count)]
     if order:
-        aggregates.append(F.min(_row_order(order)).alias("first_row"))
-    return df.dropna(subset=keys).groupBy(*keys).agg(*aggregates).filter(F.col("n") > 1)
+        aggregates.append(F.min(_row_order(order)).alias(first))
+    return df.dropna(subset=keys).groupBy(*keys).agg(*aggregates).filter(F.col(count) > 1)
 
 
 def with_first_seen(
@@ -103,12 +109,8 @@ def with_first_seen(
     exprs = _digest_long_text(df, keys, lengths or {})
     keyed_rows = df.select("*", *[e.alias(k) for e, k in zip(exprs, internal, strict=True)])
     slim = df.select(*order, *[e.alias(k) for e, k in zip(exprs, internal, strict=True)])
-    firsts = duplicate_keys(slim, internal, order)
-    return (
-        join_by_key(keyed_rows, firsts, internal, "n", order, how)
-        .drop(*internal, "n")
-        .withColumnRenamed("first_row", name)
-    )
+    firsts = duplicate_keys(slim, internal, order, "_count", name)
+    return join_by_key(keyed_rows, firsts, internal, "_count", order, how).drop(*internal, "_count")
 
 
 def repeated_rows(
@@ -119,13 +121,15 @@ def repeated_rows(
     return seen.filter(_row_order(order) != F.col("first_row"))
 
 
-def orphan_keys(child: DataFrame, fk: list[str], parent: DataFrame, pk: list[str]) -> DataFrame:
+def orphan_keys(
+    child: DataFrame, fk: list[str], parent: DataFrame, pk: list[str], count: str = "n"
+) -> DataFrame:
     """Foreign-key values without a parent row, with their number of child rows.
 
     Children shrink to distinct keys before they meet the parent, so a parent
     key that a third of all rows point to costs one row per input task.
     """
-    used = child.dropna(subset=fk).groupBy(*fk).agg(F.count(F.lit(1)).alias("n"))
+    used = child.dropna(subset=fk).groupBy(*fk).agg(F.count(F.lit(1)).alias(count))
     parents = parent.select(*[F.col(p).alias(f) for p, f in zip(pk, fk, strict=True)])
     return used.join(parents, fk, "left_anti")
 
@@ -134,4 +138,5 @@ def orphan_rows(
     child: DataFrame, fk: list[str], parent: DataFrame, pk: list[str], order: list[str]
 ) -> DataFrame:
     """Child rows whose (non-null) foreign key has no parent row."""
-    return join_by_key(child, orphan_keys(child, fk, parent, pk), fk, "n", order).drop("n")
+    orphans = orphan_keys(child, fk, parent, pk, "_count")
+    return join_by_key(child, orphans, fk, "_count", order).drop("_count")

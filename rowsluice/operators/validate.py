@@ -343,8 +343,8 @@ class Validator:
             parts.append(counts.select(F.inline(rows)))
         keyed, keys = self.keyed(df)
         for names, key in keys:
-            extra = duplicate_keys(keyed, names).agg(
-                F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("violations")
+            extra = duplicate_keys(keyed, names, count="_count").agg(
+                F.coalesce(F.sum(F.col("_count") - 1), F.lit(0)).cast("bigint").alias("violations")
             )
             parts.append(
                 extra.select(
