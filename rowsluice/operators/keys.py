@@ -7,6 +7,9 @@ for, join the per-key result back with hot keys split over many tasks.
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,30 +41,38 @@ def join_by_key(
     and their single ``keyed`` row is repeated once per split. Rows without a
     key are spread too instead of meeting in one partition.
     """
+    # Hot keys read every column of ``keyed``: both uses then have the same
+    # plan below, and Spark runs the aggregation behind it only once.
+    payload = [c for c in keyed.columns if c not in (*on, weight)]
+    heavy = keyed.filter(has_all(payload)) if payload else keyed
     hot = F.broadcast(
-        keyed.filter(F.col(weight) > rows_per_split)
+        heavy.filter(F.col(weight) > rows_per_split)
         .orderBy(F.col(weight).desc())
         .limit(MAX_HOT_KEYS)
-        .select(*on, F.ceil(F.col(weight) / rows_per_split).cast("int").alias("_splits"))
+        .select(*on, _splits(weight, rows_per_split).alias("_splits"))
     )
-    no_key = F.greatest(*[F.col(c).isNull() for c in on]) if len(on) > 1 else F.col(on[0]).isNull()
     position = F.abs(F.xxhash64(*spread))
     left = rows.join(hot, on, "left").withColumn(
         "_split",
-        F.when(no_key, (position % 4096).cast("int")).otherwise(
+        F.when(~has_all(on), (position % 4096).cast("int")).otherwise(
             (position % F.coalesce("_splits", F.lit(1))).cast("int")
         ),
     )
-    right = (
-        keyed.join(hot, on, "left")
-        .withColumn(
-            "_split", F.explode(F.sequence(F.lit(0), F.coalesce("_splits", F.lit(1)) - 1))
-        )
-        .drop("_splits")
+    # Keys past the broadcast list are repeated as well; the repeats match nothing.
+    right = keyed.withColumn(
+        "_split", F.explode(F.sequence(F.lit(0), _splits(weight, rows_per_split) - 1))
     )
     return left.drop("_splits").join(right, [*on, "_split"], how).drop("_split")
 
 
+def _splits(weight: str, rows_per_split: int) -> Column:
+    return F.ceil(F.col(weight) / rows_per_split).cast("int")
+
+
+def has_all(columns: list[str]) -> Column:
+    return reduce(operator.and_, [F.col(c).isNotNull() for c in columns])
+
+
 def _row_order(order: list[str]) -> Column:
     return F.struct(*order) if len(order) > 1 else F.col(order[0])
 
@@ -93,7 +104,7 @@ def duplicate_keys(
     aggregates = [F.count(F.lit(1)).alias(count)]
     if order:
         aggregates.append(F.min(_row_order(order)).alias(first))
-    return df.dropna(subset=keys).groupBy(*keys).agg(*aggregates).filter(F.col(count) > 1)
+    return df.filter(has_all(keys)).groupBy(*keys).agg(*aggregates).filter(F.col(count) > 1)
 
 
 def with_first_seen(
@@ -129,7 +140,7 @@ def orphan_keys(
     Children shrink to distinct keys before they meet the parent, so a parent
     key that a third of all rows point to costs one row per input task.
     """
-    used = child.dropna(subset=fk).groupBy(*fk).agg(F.count(F.lit(1)).alias(count))
+    used = child.filter(has_all(fk)).groupBy(*fk).agg(F.count(F.lit(1)).alias(count))
     parents = parent.select(*[F.col(p).alias(f) for p, f in zip(pk, fk, strict=True)])
     return used.join(parents, fk, "left_anti")
 

@@ -22,8 +22,14 @@ def match_columns(source: DataFrame, target: DataFrame) -> DataFrame:
     wanted = target.select(
         *TABLE, F.lower("name").alias("_key"), F.col("type").alias("target_type")
     )
-    joined = source.withColumn("_key", F.lower("name")).join(wanted, [*TABLE, "_key"], "left")
-    fits = types_fit(base_type(F.col("type")), base_type(F.col("target_type")))
+    # Base types get columns of their own: the family test mentions each often.
+    joined = (
+        source.withColumn("_key", F.lower("name"))
+        .join(wanted, [*TABLE, "_key"], "left")
+        .withColumn("_source", base_type(F.col("type")))
+        .withColumn("_target", base_type(F.col("target_type")))
+    )
+    fits = types_fit(F.col("_source"), F.col("_target"))
     state = (
         F.when(F.col("target_type").isNull(), "missing")
         .when(~fits, "mismatch")
@@ -38,7 +44,7 @@ def match_columns(source: DataFrame, target: DataFrame) -> DataFrame:
             F.lit('type mismatch "'), "name", F.lit('": schema '), "type", F.lit(" vs table "), "target_type"
         ),
     )
-    return joined.withColumn("state", state).withColumn("problem", problem).drop("_key")
+    return joined.withColumn("state", state).withColumn("problem", problem).drop("_key", "_source", "_target")
 
 
 def schema_subset(source: DataFrame, target: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from rowsluice.session import shared_dir
@@ -14,11 +15,11 @@ def load_passes(tables: DataFrame, edges: DataFrame) -> DataFrame:
     """The pass over the listed tables in which each table can be loaded.
 
     ``tables`` has ``database, table_name, position`` (the listed order) and
-    ``edges`` has ``database, child, parent`` inside that set. A table is
-    loadable once all its parents are; a parent listed before its child is
-    ready within the same pass, one listed after it only in the next. Self
-    references do not count. Tables on a cycle, and those below one, never get
-    loadable: their ``pass`` stays NULL.
+    ``edges`` has ``database, child, parent``, each pair once; edges that leave
+    the set of tables do not count. A table is loadable once all its parents
+    are; a parent listed before its child is ready within the same pass, one
+    listed after it only in the next. Self references do not count. Tables on
+    a cycle, and those below one, never get loadable: their ``pass`` stays NULL.
 
     Every round settles one more level of the graph for all databases at once;
     a few rounds form one job, whose result is checkpointed to the shared
@@ -32,8 +33,8 @@ def load_passes(tables: DataFrame, edges: DataFrame) -> DataFrame:
         "left_anti",
     )
     settled = roots.withColumn("pass", F.lit(0)).checkpoint()
-    first, known = settled, settled.count()
-    while True:
+    first, known, wanted = settled, settled.count(), tables.count()
+    while known < wanted:
         for _ in range(ROUNDS_PER_JOB):
             settled = first.unionByName(_ready(links, settled))
         settled = settled.checkpoint()
@@ -48,20 +49,20 @@ def load_passes(tables: DataFrame, edges: DataFrame) -> DataFrame:
 
 def _links(tables: DataFrame, edges: DataFrame) -> DataFrame:
     """Edges with what every round needs: the child's number of parents and
-    whether the parent is listed after the child."""
+    whether the parent is listed after the child. Joining both ends with the
+    listed tables also drops edges that leave the set."""
     at = tables.select("database", "table_name", "position")
-    plain = edges.filter(F.col("child") != F.col("parent")).select("database", "child", "parent")
-    needed = plain.groupBy("database", "child").agg(F.countDistinct("parent").alias("needed"))
+    parents = W.partitionBy("database", "child")
     return (
-        plain.distinct()
+        edges.filter(F.col("child") != F.col("parent"))
+        .select("database", "child", "parent")
         .join(at.toDF("database", "parent", "parent_at"), ["database", "parent"])
         .join(at.toDF("database", "child", "child_at"), ["database", "child"])
-        .join(needed, ["database", "child"])
         .select(
             "database",
             "child",
             "parent",
-            "needed",
+            F.count(F.lit(1)).over(parents).alias("needed"),
             (F.col("parent_at") > F.col("child_at")).cast("int").alias("later"),
         )
     )

@@ -8,6 +8,7 @@ key. A rule's ``bad`` is TRUE where the row violates it; NULL and FALSE pass.
 from __future__ import annotations
 
 import operator
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from rowsluice.functions.cells import READINGS, Cell, frame_cells, variant_text, with_cells
 from rowsluice.functions.families import integer_bounds
-from rowsluice.functions.text import strip_space
+from rowsluice.functions.text import WHITE_SPACE
 from rowsluice.functions.variants import writable_as
 from rowsluice.operators.checks import compile_checks
 from rowsluice.operators.keys import duplicate_keys, repeated_rows, with_first_seen
@@ -65,18 +66,27 @@ def listed_rule(col: ColumnSpec, cell: Cell) -> Column | None:
     text = cell.text()
     if text is None:
         return ~cell.empty()
-    members = list(col.values)
     if col.base == "enum":
-        outside = ~text.isin(*members)
+        outside = ~text.isin(*col.values)
     else:
-        parts = F.transform(F.split(text, ","), strip_space)
-        domain = F.array(*[F.lit(m) for m in members])
-        outside = F.size(F.array_except(parts, domain)) > 0
+        outside = ~text.rlike(set_pattern(col.values))
     if cell.raw:
         return F.when(text.isNull(), ~cell.empty()).otherwise(outside)
     return outside
 
 
+def set_pattern(members: tuple[str, ...]) -> str:
+    """Comma-separated members, each with white space around it allowed.
+
+    One pattern keeps the rule inside generated code, which splitting and
+    comparing arrays would leave. Parts have no comma and are trimmed, so
+    members that are not like that can never occur.
+    """
+    possible = [m for m in members if "," not in m and m == m.strip(WHITE_SPACE)]
+    part = r"\s*(?:" + "|".join(map(re.escape, possible)) + r")\s*" if possible else "(?!)"
+    return rf"(?U)\A{part}(?:,{part})*\z"
+
+
 def range_rule(col: ColumnSpec, cell: Cell, strict: bool) -> Column | None:
     bounds = integer_bounds(col.base, col.unsigned, strict)
     value = cell.integer()

@@ -353,7 +353,7 @@ passes AS (SELECT table_name, max(pass) AS pass, max(steps) >= 8 AS stuck FROM w
 
 def _passes(t: Tables) -> DataFrame:
     tables = derived.tables(t).select("database", "table_name", "position")
-    return order.load_passes(tables, match.fk_edges(derived.columns(t), tables))
+    return order.load_passes(tables, match.fk_edges(derived.columns(t)))
 
 
 @query(

@@ -155,7 +155,7 @@ def plan_order(specs: list[TableSpec], spark) -> list[str]:
     tables = spark.createDataFrame(
         [("", s.name, i) for i, s in enumerate(specs)], "database string, table_name string, position int"
     )
-    return ordered_names(tables, fk_edges(columns, tables))
+    return ordered_names(tables, fk_edges(columns))
 
 
 def push_plan(manifest: DataFrame, columns: DataFrame, append: bool = False) -> DataFrame:
@@ -165,7 +165,7 @@ def push_plan(manifest: DataFrame, columns: DataFrame, append: bool = False) ->
     that are not ready are left out of the plan and of the ordering.
     """
     ready = manifest.filter(is_ready(F.col("status")))
-    passes = load_passes(ready.select("database", "table_name", "position"), fk_edges(columns, ready))
+    passes = load_passes(ready.select("database", "table_name", "position"), fk_edges(columns))
     return (
         passes.join(ready.select("database", "table_name", "rows"), ["database", "table_name"])
         .withColumn("action", F.lit("INSERT" if append else "TRUNCATE + INSERT"))

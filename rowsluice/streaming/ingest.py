@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
-from rowsluice.operators.keys import join_by_key
+from rowsluice.operators.keys import has_all, join_by_key
 from rowsluice.operators.project import write_projection
 from rowsluice.operators.spec import TableSpec
 from rowsluice.operators.validate import ValidationFailed, Validator
@@ -90,7 +90,7 @@ class Ingest:
             label = ",".join(key)
             digest = F.sha2(F.concat_ws("\x1f", F.lit(label), *[F.col(n).cast("string") for n in names]), 256)
             parts.append(
-                keyed.dropna(subset=names).select(
+                keyed.filter(has_all(names)).select(
                     *self.order, F.lit(label).alias("column_name"), digest.alias("digest")
                 )
             )
