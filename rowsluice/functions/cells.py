@@ -136,25 +136,38 @@ def variant_text(value: Column) -> Column:
     return F.when(variant_kind(value) == "STRING", F.try_variant_get(value, "$", "string"))
 
 
-READINGS = "_readings"
+READINGS = "_reading"
+PIN = "_pin"
 
 
-def with_cells(df: DataFrame, row: str, names: list[str], text, name: str) -> DataFrame:
-    """Raw rows with value, kind and text of the named cells worked out once.
+def pinned(df: DataFrame, columns: list[Column]) -> DataFrame:
+    """The frame with further columns that are worked out once per row.
 
-    One lambda serves all cells, so generated code stays small however many
-    columns a table has, and the cells come out of a generator so that the
-    optimizer does not copy their computation into every rule and column.
+    The optimizer copies projected expressions into every filter above that
+    mentions them, which for JSON readings multiplies the work. It leaves a
+    projection alone that also holds a non-deterministic column, as long as
+    that is used: filters over the new columns go through ``unpinned``.
     """
-    cells = F.transform(
-        F.array(*[F.lit(n.lower()) for n in names]),
-        lambda n: F.struct(
-            F.col(row)[n].alias("value"),
-            variant_kind(F.col(row)[n]).alias("kind"),
-            text(F.col(row)[n]).alias("text"),
-        ),
-    )
-    return df.select("*", F.explode_outer(F.array(cells)).alias(name))
+    return df.select("*", *columns, F.spark_partition_id().alias(PIN))
+
+
+def unpinned(df: DataFrame, condition: Column) -> Column:
+    """A condition that stays above the projection ``pinned`` made."""
+    return condition & (F.col(PIN) >= 0) if PIN in df.columns else condition
+
+
+def with_cells(df: DataFrame, row: str, names: list[str], text, prefix: str) -> DataFrame:
+    """Raw rows with value, kind and text of the named cells worked out once,
+    as struct columns ``prefix0``, ``prefix1``, ..."""
+    cells = []
+    for i, name in enumerate(names):
+        value = F.col(row)[name.lower()]
+        cells.append(
+            F.struct(
+                value.alias("value"), variant_kind(value).alias("kind"), text(value).alias("text")
+            ).alias(f"{prefix}{i}")
+        )
+    return pinned(df.drop(PIN), cells)
 
 
 def typed_cell(name: str, data_type: T.DataType, col: Column | None = None) -> Cell:
@@ -187,9 +200,9 @@ def frame_cells(
     """Cells by lower-case name: of a typed frame, or of its raw ``row`` column."""
     if row is None:
         return {f.name.lower(): typed_cell(f.name, f.dataType) for f in df.schema.fields}
-    if READINGS not in df.columns:
+    if f"{READINGS}0" not in df.columns:
         return {n.lower(): raw_cell(n, F.col(row)) for n in names or []}
-    readings = [F.col(READINGS)[i] for i in range(len(names or []))]
     return {
-        n.lower(): Cell(n, "raw", r["value"], r) for n, r in zip(names or [], readings, strict=True)
+        n.lower(): Cell(n, "raw", F.col(f"{READINGS}{i}")["value"], F.col(f"{READINGS}{i}"))
+        for i, n in enumerate(names or [])
     }

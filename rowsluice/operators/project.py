@@ -24,7 +24,7 @@ def write_projection(
 
     def target(position, col) -> Column:
         if row is not None:
-            cell = F.col(WRITTEN)[position]
+            cell = F.col(f"{WRITTEN}{position}")
             value = converted(cell["value"], cell["kind"], cell["text"], col.spark_type)
         elif col.name.lower() in present:
             value = F.col(f"`{present[col.name.lower()]}`").cast(col.spark_type)

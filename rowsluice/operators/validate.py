@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowsluice.functions.cells import READINGS, Cell, frame_cells, variant_text, with_cells
+from rowsluice.functions.cells import READINGS, Cell, frame_cells, unpinned, variant_text, with_cells
 from rowsluice.functions.families import integer_bounds
 from rowsluice.functions.text import WHITE_SPACE
 from rowsluice.functions.variants import writable_as
@@ -111,7 +111,9 @@ def type_rule(col: ColumnSpec, cell: Cell) -> Column | None:
     return ~cell.empty() & writable_as(cell.col, col.spark_type).isNull()
 
 
-def column_rules(col: ColumnSpec, ordinal: int, cell: Cell, strict: bool) -> list[Rule]:
+def column_rules(
+    col: ColumnSpec, ordinal: int, cell: Cell, strict: bool, convertible: bool = False
+) -> list[Rule]:
     name, shown = col.name, cell.shown()
     bounds = integer_bounds(col.base, col.unsigned, strict) or ("", "")
     found = [
@@ -136,8 +138,14 @@ def column_rules(col: ColumnSpec, ordinal: int, cell: Cell, strict: bool) -> lis
             ),
         ),
     ]
-    if strict:
-        found.append(("type", type_rule(col, cell), _message(f'column "{name}" value "', shown, f'" does not fit type {col.type}')))
+    if strict or convertible:
+        found.append(
+            (
+                "type",
+                type_rule(col, cell),
+                _message(f'column "{name}" value "', shown, f'" does not fit type {col.type}'),
+            )
+        )
     return [Rule(name, ordinal, rule, bad, shown, text) for rule, bad, text in found if bad is not None]
 
 
@@ -148,6 +156,9 @@ class Validator:
     ``row`` names the raw ``map<string,variant>`` column of a JSON source; a
     typed frame has none. ``order`` names the columns that define row order:
     files carry no order of their own, so "first" always means first by these.
+    ``convertible`` adds the rule that raw values fit their target type, which
+    loads need as lake tables would hold NULL instead; ``strict`` adds it too
+    and also checks 64-bit ranges.
     ``extra_rules`` maps a rule name to a Column that is TRUE for good rows.
     """
 
@@ -155,6 +166,7 @@ class Validator:
     order: tuple[str, ...]
     row: str | None = None
     strict: bool = False
+    convertible: bool = False
     extra_rules: dict[str, Callable[[], Column]] = field(default_factory=dict)
 
     # -- rules --------------------------------------------------------------
@@ -200,7 +212,7 @@ class Validator:
         for ordinal, col in enumerate(self.spec.columns, start=1):
             cell = cells.get(col.name.lower())
             if cell is not None:
-                rules += column_rules(col, ordinal, cell, self.strict)
+                rules += column_rules(col, ordinal, cell, self.strict, self.convertible)
         for check in self.checks(df)[0]:
             shown = []
             for i, name in enumerate(check.columns):
@@ -221,7 +233,9 @@ class Validator:
     def any_bad(self, df: DataFrame) -> Column:
         """TRUE, never NULL, where a row breaks at least one row-local rule."""
         bad = [r.bad for r in self.rules(df)]
-        return F.coalesce(reduce(operator.or_, bad), F.lit(False)) if bad else F.lit(False)
+        if not bad:
+            return F.lit(False)
+        return unpinned(df, F.coalesce(reduce(operator.or_, bad), F.lit(False)))
 
     # -- uniqueness ---------------------------------------------------------
     def keyed(self, df: DataFrame) -> tuple[DataFrame, list[tuple[list[str], tuple[str, ...]]]]:

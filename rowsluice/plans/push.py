@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from rowsluice.operators.checks import compile_checks
+from rowsluice.operators.keys import orphan_keys
 from rowsluice.operators.match import fk_edges, keys_outside, spec_problems
 from rowsluice.operators.order import load_passes, ordered_names
 from rowsluice.operators.project import row_keys, sorted_row, write_projection
@@ -66,14 +66,38 @@ def skipped_check_notes(source: Source, validator: Validator) -> list[str]:
     ]
 
 
+def _refuse_orphans(source: Source, sink: Sink) -> None:
+    """Foreign keys need their parents in the target; lake tables do not check."""
+    spec = source.spec
+    typed = write_projection(source.rows, spec, source.row)
+    for column in spec.columns:
+        parent, _, parent_column = column.fk_ref.partition(".")
+        if not parent or not parent_column or parent == spec.name or not sink.exists(parent):
+            continue
+        orphans = orphan_keys(typed, [column.name], sink.read(parent), [parent_column], "_count")
+        found = orphans.orderBy(column.name).limit(1).collect()
+        if found:
+            raise LoadRefused(
+                f"{spec.name}.{column.name}: value {found[0][column.name]!r} has no row in {parent}"
+            )
+
+
 def _load(
-    source: Source, sink: Sink, policy: str, strict: bool, quarantine: Sink | None, result: LoadResult
+    source: Source,
+    sink: Sink,
+    policy: str,
+    strict: bool,
+    quarantine: Sink | None,
+    result: LoadResult,
+    references: bool = False,
 ) -> None:
     """Validate, then write. Nothing is written in abort mode if a row is bad."""
     spec = source.spec
-    validator = Validator(spec, source.order, source.row, strict)
+    validator = Validator(spec, source.order, source.row, strict, convertible=True)
     result.notes += skipped_check_notes(source, validator)
     rows = source.rows
+    if references:
+        _refuse_orphans(source, sink)
     if policy == "abort":
         validator.check(rows)
         good = rows
@@ -101,15 +125,20 @@ def push_table(
     policy: str = "abort",
     strict: bool = False,
     quarantine: Sink | None = None,
+    references: bool = False,
 ) -> LoadResult:
-    """Append one table. It has to exist, be ready and fit."""
+    """Append one table. It has to exist, be ready and fit.
+
+    ``references`` also refuses rows whose foreign keys have no parent in the
+    target; databases check that themselves.
+    """
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}")
     if source.status not in ("", "ready"):
         raise LoadRefused(f"table {source.spec.name!r} is not ready (status={source.status!r})")
     _refuse_unless_loadable(source, sink)
     result = LoadResult()
-    _load(source, sink, policy, strict, quarantine, result)
+    _load(source, sink, policy, strict, quarantine, result, references)
     return result
 
 
@@ -120,6 +149,7 @@ def push_tables(
     policy: str = "abort",
     strict: bool = False,
     quarantine: Sink | None = None,
+    references: bool = False,
     dry_run: bool = False,
 ) -> LoadResult:
     """Load every ready table, parents first; empties the tables unless ``append``.
@@ -145,7 +175,7 @@ def push_tables(
     if not append:
         sink.truncate([by_name[n].spec for n in names])
     for name in names:
-        _load(by_name[name], sink, policy, strict, quarantine, result)
+        _load(by_name[name], sink, policy, strict, quarantine, result, references)
     return result
 
 
@@ -207,8 +237,3 @@ def dry_run(
         F.max("sample").alias("sample"),
     )
 
-
-def checks_left_to_target(spec: TableSpec, df: DataFrame, row: str | None = None) -> list[tuple[str, str, str]]:
-    """CHECKs of a table this package cannot evaluate."""
-    cells = Validator(spec, (), row).cells(df)
-    return compile_checks(spec.checks, cells, spec.dialect)[1]

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowsluice.functions.cells import PIN, pinned, unpinned
 from rowsluice.functions.text import strip_space
 
 STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
@@ -62,19 +63,10 @@ def lower_keys(row: Column) -> Column:
     return once(row, checked)
 
 
-def with_row(df: DataFrame, line: Column, row: str = "row") -> DataFrame:
-    """The frame with its parsed line as a raw row (NULL where it is none).
-
-    The row comes out of a generator rather than a projection: the optimizer
-    would copy a projected parse into every filter and rule that mentions it.
-    """
-    return df.select("*", F.explode_outer(F.array(lower_keys(parse_row(line)))).alias(row))
-
-
 def classify_lines(lines: DataFrame, column: str = "value", row: str = "row") -> DataFrame:
     """Every line with its raw row and state: ``row``, ``blank`` or ``malformed``."""
     text = strip_space(F.col(column))
-    parsed = with_row(lines, text, row)
+    parsed = lines.withColumn(row, lower_keys(parse_row(text)))
     state = (
         F.when(F.coalesce(text, F.lit("")) == "", "blank")
         .when(F.col(row).isNull(), "malformed")
@@ -85,8 +77,9 @@ def classify_lines(lines: DataFrame, column: str = "value", row: str = "row") ->
 
 def rows_from_lines(lines: DataFrame, column: str = "value", row: str = "row") -> DataFrame:
     """Good lines as raw rows; blank and malformed lines are left out."""
-    parsed = with_row(lines, strip_space(F.col(column)), row)
-    return parsed.filter(F.col(row).isNotNull()).drop(column)
+    parsed = lower_keys(parse_row(strip_space(F.col(column))))
+    rows = pinned(lines, [parsed.alias(row)])
+    return rows.filter(unpinned(rows, F.col(row).isNotNull())).drop(column, PIN)
 
 
 def line_counts(lines: DataFrame, column: str = "value") -> DataFrame:

@@ -50,7 +50,7 @@ class Ingest:
 
     # -- one micro-batch ----------------------------------------------------
     def load_batch(self, batch: DataFrame, batch_id: int) -> None:
-        validator = Validator(self.spec, self.order, self.row, self.strict)
+        validator = Validator(self.spec, self.order, self.row, self.strict, convertible=True)
         # The batch feeds several actions; recomputing it would parse it again.
         batch = batch.persist()
         cached = [batch]
@@ -83,7 +83,7 @@ class Ingest:
 
     def _keyed(self, batch: DataFrame) -> DataFrame | None:
         """One row per row and unique key: row order, key name, key digest."""
-        validator = Validator(self.spec, self.order, self.row, self.strict)
+        validator = Validator(self.spec, self.order, self.row, self.strict, convertible=True)
         keyed, keys = validator.keyed(batch)
         parts = []
         for names, key in keys:

@@ -186,6 +186,17 @@ def test_refusals(spark, folder):
     assert result.written == {} and any("skipping 'orgs'" in n for n in result.notes)
 
 
+def test_orphans_and_unfit_values_are_refused(spark, folder):
+    sink = ready_sink(spark, folder)
+    users, orgs = sources(spark, [{"id": 1, "email": "a@x", "org_id": 9}])
+    push_table(orgs, sink)
+    with pytest.raises(LoadRefused, match="org_id: value 9 has no row in orgs"):
+        push_table(users, sink, references=True)
+    with pytest.raises(ValidationFailed, match="does not fit type"):
+        push_table(sources(spark, [{"id": 1, "joined": "soon"}])[0], sink)
+    assert push_table(sources(spark, GOOD)[0], sink, references=True).total == 2
+
+
 def test_session_tables(spark):
     spec = TableSpec(f"orgs_{uuid.uuid4().hex}", ORGS.columns)
     sink = TableSink(spark)
