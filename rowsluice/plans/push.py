@@ -35,10 +35,12 @@ class Source:
 
 @dataclass
 class LoadResult:
-    """What a load did: rows written and rejected per table, notes for people."""
+    """What a load did: rows written and rejected per table, violations by
+    column and rule where they are only reported, notes for people."""
 
     written: dict[str, int] = field(default_factory=dict)
     rejected: dict[str, int] = field(default_factory=dict)
+    reported: dict[str, dict[tuple[str, str], int]] = field(default_factory=dict)
     notes: list[str] = field(default_factory=list)
 
     @property
@@ -98,25 +100,40 @@ def _load(
     rows = source.rows
     if references:
         _refuse_orphans(source, sink)
-    if policy == "abort":
-        validator.check(rows)
-        good = rows
-    elif policy == "quarantine":
-        good, bad = validator.split(rows)
-        if quarantine is not None:
-            kept = bad if source.row is None else bad.withColumn(source.row, F.to_json(source.row))
-            seen = Observation(f"rejected {spec.name}")
-            quarantine.append(kept.observe(seen, F.count(F.lit(1)).alias("n")), spec.name)
-            result.rejected[spec.name] = seen.get["n"]
-        else:
-            result.rejected[spec.name] = bad.count()
+    if policy == "quarantine":
+        # Both halves are written: validate once, keep the verdicts meanwhile.
+        flagged = validator.flagged(rows).persist()
+        try:
+            _set_aside(flagged.filter("rejected").drop("rejected"), source, quarantine, result)
+            _write(flagged.filter("NOT rejected").drop("rejected"), source, sink, result)
+        finally:
+            flagged.unpersist()
+        return
+    if policy == "report":
+        counts = validator.summary(rows).filter("violations > 0").collect()
+        result.reported[spec.name] = {(r["column_name"], r["rule"]): r["violations"] for r in counts}
     else:
-        good = rows
-        result.rejected[spec.name] = 0
-    counted = Observation(f"written {spec.name}")
-    typed = write_projection(good, spec, source.row).observe(counted, F.count(F.lit(1)).alias("n"))
-    sink.append(typed, spec.name)
-    result.written[spec.name] = counted.get["n"]
+        validator.check(rows)
+    _write(rows, source, sink, result)
+
+
+def _write(rows: DataFrame, source: Source, sink: Sink, result: LoadResult) -> None:
+    """Append rows in target shape, counting them in the same job."""
+    counted = Observation(f"written {source.spec.name}")
+    typed = write_projection(rows, source.spec, source.row)
+    sink.append(typed.observe(counted, F.count(F.lit(1)).alias("n")), source.spec.name)
+    result.written[source.spec.name] = counted.get["n"]
+
+
+def _set_aside(bad: DataFrame, source: Source, quarantine: Sink | None, result: LoadResult) -> None:
+    name = source.spec.name
+    if quarantine is None:
+        result.rejected[name] = bad.count()
+        return
+    kept = bad if source.row is None else bad.withColumn(source.row, F.to_json(source.row))
+    counted = Observation(f"rejected {name}")
+    quarantine.append(kept.observe(counted, F.count(F.lit(1)).alias("n")), name)
+    result.rejected[name] = counted.get["n"]
 
 
 def push_table(
@@ -129,6 +146,9 @@ def push_table(
 ) -> LoadResult:
     """Append one table. It has to exist, be ready and fit.
 
+    ``policy`` says what happens to bad rows: ``abort`` writes nothing if there
+    is one, ``quarantine`` leaves them out (and writes them to the sink of that
+    name), ``report`` counts them and writes every row.
     ``references`` also refuses rows whose foreign keys have no parent in the
     target; databases check that themselves.
     """

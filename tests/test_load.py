@@ -163,6 +163,14 @@ def test_abort_writes_nothing(spark, folder):
     assert sink.read("users").count() == 0
 
 
+def test_report(spark, folder):
+    sink = ready_sink(spark, folder)
+    source = sources(spark, [*GOOD, {"id": 2, "email": "none"}])[0]
+    result = push_table(source, sink, "report")
+    assert result.written == {"users": 3}
+    assert result.reported == {"users": {("id", "unique"): 1, ("mail", "check"): 1}}
+
+
 def test_quarantine(spark, folder):
     sink, aside = ready_sink(spark, folder), ParquetSink(spark, f"{folder}/aside")
     source = sources(spark, [*GOOD, {"id": 2, "email": "none"}, {"id": 3, "email": "c@x"}])[0]
@@ -186,6 +194,17 @@ def test_refusals(spark, folder):
     assert result.written == {} and any("skipping 'orgs'" in n for n in result.notes)
 
 
+def test_table_without_rules(spark, folder):
+    spec = TableSpec("notes", (ColumnSpec("note", "text"),))
+    sink = ParquetSink(spark, folder)
+    sink.create(spec)
+    rows = spark.createDataFrame([(0, "a"), (1, None)], "i int, note string")
+    assert push_table(Source(spec, rows, ("i",)), sink).total == 2
+    assert push_table(Source(spec, rows, ("i",)), sink, "quarantine").rejected == {"notes": 0}
+    assert push_table(Source(spec, rows, ("i",)), sink, "report").reported == {"notes": {}}
+    assert Validator(spec, ("i",)).summary(rows).count() == 0
+
+
 def test_orphans_and_unfit_values_are_refused(spark, folder):
     sink = ready_sink(spark, folder)
     users, orgs = sources(spark, [{"id": 1, "email": "a@x", "org_id": 9}])
