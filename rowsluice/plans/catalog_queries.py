@@ -246,7 +246,7 @@ named AS (
                unnest(range(1, len(string_split(wanted, ',')) + 1)) AS position
         FROM ({REQUESTS_SQL}) WHERE wanted <> '')
   WHERE trim(part) <> '' GROUP BY ALL)
-SELECT n.request_id, n."database", n.table_name, n.position, b.table_name IS NOT NULL AS found
+SELECT n.request_id, n."database", n.table_name, CAST(n.position AS INT) AS position, b.table_name IS NOT NULL AS found
 FROM named n LEFT JOIN base_tables b ON b."database" = n."database" AND b.table_name = n.table_name
 UNION ALL
 SELECT request_id, r."database", table_name, 0, true

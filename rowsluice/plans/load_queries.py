@@ -88,7 +88,7 @@ def table_sample_whole(t: Tables) -> DataFrame:
 # ---- progress and tallies -------------------------------------------------
 
 PROGRESS_SQL = """
-SELECT c_custkey, count(*) AS generated, sum(CAST(floor(o_totalprice / 50000) AS BIGINT) - 3) AS requested,
+SELECT c_custkey, count(*) AS generated, CAST(sum(CAST(floor(o_totalprice / 50000) AS BIGINT) - 3) AS BIGINT) AS requested,
        CASE max(o_orderstatus) WHEN 'F' THEN 'ready' ELSE 'generating' END AS overall,
        CASE WHEN min(c_mktsegment) = 'BUILDING' THEN CAST(floor(min(c_acctbal) / 50) AS INT) ELSE 0 END AS reported
 FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY c_custkey
@@ -122,7 +122,7 @@ def _progress(t: Tables) -> DataFrame:
     "progress_totals",
     """
 SELECT o_orderpriority AS table_name, count(*) AS generated,
-       sum(CAST(floor(o_totalprice / 50000) AS BIGINT) - 3) AS requested
+       CAST(sum(CAST(floor(o_totalprice / 50000) AS BIGINT) - 3) AS BIGINT) AS requested
 FROM orders GROUP BY o_orderpriority
 """,
 )
