@@ -53,7 +53,7 @@ class Cell:
     name: str
     family: str  # integer | number | text | boolean | time | nested | raw
     col: Column
-    readings: Column | None = None  # struct(value, kind, text) of a raw cell, see with_cells
+    readings: dict[str, Column] | None = None  # of a raw cell, see with_cells
 
     # -- presence -----------------------------------------------------------
     def null_given(self) -> Column:
@@ -157,19 +157,24 @@ def unpinned(df: DataFrame, condition: Column) -> Column:
 
 
 def with_cells(df: DataFrame, row: str, names: list[str], text, prefix: str) -> DataFrame:
-    """Raw rows with value, kind and text of the named cells worked out once,
-    as struct columns ``prefix0``, ``prefix1``, ..."""
+    """Raw rows with value, kind and text of the named cells worked out once.
+
+    They are flat columns: structs that are only taken apart again would be
+    dissolved, and their parts worked out at every mention.
+    """
     cells = []
     for i, name in enumerate(names):
         value = F.col(row)[name.lower()]
-        cells.append(
-            F.struct(
-                value.alias("value"), variant_kind(value).alias("kind"), text(value).alias("text")
-            ).alias(f"{prefix}{i}")
-        )
+        readings = {"value": value, "kind": variant_kind(value), "text": text(value)}
+        cells += [reading.alias(f"{prefix}_{part}{i}") for part, reading in readings.items()]
     return pinned(df.drop(PIN), cells)
 
 
+def cell_readings(prefix: str, position: int) -> dict[str, Column]:
+    """The columns ``with_cells`` made for the cell at a position."""
+    return {part: F.col(f"{prefix}_{part}{position}") for part in ("value", "kind", "text")}
+
+
 def typed_cell(name: str, data_type: T.DataType, col: Column | None = None) -> Cell:
     col = F.col(f"`{name}`") if col is None else col
     if isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
@@ -200,9 +205,10 @@ def frame_cells(
     """Cells by lower-case name: of a typed frame, or of its raw ``row`` column."""
     if row is None:
         return {f.name.lower(): typed_cell(f.name, f.dataType) for f in df.schema.fields}
-    if f"{READINGS}0" not in df.columns:
+    if f"{READINGS}_kind0" not in df.columns:
         return {n.lower(): raw_cell(n, F.col(row)) for n in names or []}
-    return {
-        n.lower(): Cell(n, "raw", F.col(f"{READINGS}{i}")["value"], F.col(f"{READINGS}{i}"))
-        for i, n in enumerate(names or [])
-    }
+    cells = {}
+    for i, name in enumerate(names or []):
+        readings = cell_readings(READINGS, i)
+        cells[name.lower()] = Cell(name, "raw", readings["value"], readings)
+    return cells

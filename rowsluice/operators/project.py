@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowsluice.functions.cells import with_cells
+from rowsluice.functions.cells import cell_readings, with_cells
 from rowsluice.functions.variants import converted, inferred_type, writable_text
 from rowsluice.operators.spec import TableSpec
 
@@ -24,8 +24,7 @@ def write_projection(
 
     def target(position, col) -> Column:
         if row is not None:
-            cell = F.col(f"{WRITTEN}{position}")
-            value = converted(cell["value"], cell["kind"], cell["text"], col.spark_type)
+            value = converted(**cell_readings(WRITTEN, position), target=col.spark_type)
         elif col.name.lower() in present:
             value = F.col(f"`{present[col.name.lower()]}`").cast(col.spark_type)
         else:
