@@ -7,7 +7,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from rowsluice.llm import oracles
 from rowsluice.llm.common import documents
 from rowsluice.llm.decontaminate import Decontaminator
+from rowsluice.llm.packing import Packer
 from rowsluice.llm.quality import COUNTS, LineFrequency
+from rowsluice.llm.simple8b import TokenFiles
+
+
+def tokenizer_path() -> str:
+    """The byte-level BPE's file, from the installed vocabulary package."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,10 +27,21 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Packer(tokenizer_path()).packed(documents(spark, sf_dir))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = LineFrequency().judged(documents(spark, sf_dir))
     return judged.select("doc_id", *COUNTS, "base_failed", "kept", F.col("n_removed").alias("n_line_words"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op9_quality_rules)}
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TokenFiles(tokenizer_path()).round_trip(documents(spark, sf_dir))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op2_decontaminate, op6_best_fit_packing, op9_quality_rules, op10_token_files)
+}
 ORACLES = {"op2_decontaminate": oracles.DECONTAMINATE, "op9_quality_rules": oracles.QUALITY}
