@@ -10,6 +10,7 @@ from rowsluice.llm.decontaminate import Decontaminator
 from rowsluice.llm.packing import Packer
 from rowsluice.llm.quality import COUNTS, LineFrequency
 from rowsluice.llm.simple8b import TokenFiles
+from rowsluice.llm.toxicity import ToxicityModel, held_out
 
 
 def tokenizer_path() -> str:
@@ -31,6 +32,14 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Packer(tokenizer_path()).packed(documents(spark, sf_dir))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, model = documents(spark, sf_dir), ToxicityModel()
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(~held_out())
+    scored = model.score(docs, model.fit(docs, labels))
+    predicted = (F.col("score") >= model.threshold).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out().alias("held_out"), "score", predicted)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = LineFrequency().judged(documents(spark, sf_dir))
     return judged.select("doc_id", *COUNTS, "base_failed", "kept", F.col("n_removed").alias("n_line_words"))
@@ -42,6 +51,6 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_decontaminate, op6_best_fit_packing, op9_quality_rules, op10_token_files)
+    for f in (op2_decontaminate, op6_best_fit_packing, op8_toxicity, op9_quality_rules, op10_token_files)
 }
 ORACLES = {"op2_decontaminate": oracles.DECONTAMINATE, "op9_quality_rules": oracles.QUALITY}
