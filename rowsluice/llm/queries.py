@@ -8,6 +8,7 @@ from rowsluice.llm import oracles
 from rowsluice.llm.common import documents
 from rowsluice.llm.decontaminate import Decontaminator
 from rowsluice.llm.packing import Packer
+from rowsluice.llm.pii import KINDS, ContextExtractor, listed
 from rowsluice.llm.quality import COUNTS, LineFrequency
 from rowsluice.llm.simple8b import TokenFiles
 from rowsluice.llm.toxicity import ToxicityModel, held_out
@@ -20,6 +21,15 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ContextExtractor().extracted(documents(spark, sf_dir))
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
+    return found.select(
+        "doc_id", *(count(k).alias(f"n_{name}") for k, name in enumerate(KINDS)),
+        F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return Decontaminator().judged(documents(spark, sf_dir), benchmark).select(
@@ -51,6 +61,6 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op2_decontaminate, op6_best_fit_packing, op8_toxicity, op9_quality_rules, op10_token_files)
+    for f in (op1_pii, op2_decontaminate, op6_best_fit_packing, op8_toxicity, op9_quality_rules, op10_token_files)
 }
 ORACLES = {"op2_decontaminate": oracles.DECONTAMINATE, "op9_quality_rules": oracles.QUALITY}
