@@ -7,13 +7,55 @@ all equal windows to one group, at two in each w + 1 places for windows of w k-g
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
 
 from rowsluice.llm.common import U, sliding_min
 
+LEAST_ID = -(1 << 63)
+
+
+def ids_of(column: pa.Array) -> np.ndarray:
+    """Document ids; null is the smallest."""
+    return column.fill_null(LEAST_ID).to_numpy(zero_copy_only=False)
+
+
+class Listed:
+    """A broadcast list of hashes."""
+
+    def __init__(self, shared):
+        self.shared = shared
+
+    def known(self, hashes: np.ndarray) -> np.ndarray:
+        listed = self.shared.value
+        if not len(listed):
+            return np.zeros(len(hashes), bool)
+        return listed[np.minimum(np.searchsorted(listed, hashes), len(listed) - 1)] == hashes
+
+
+def _counts(batches: Iterator[pa.RecordBatch], sent: Callable) -> Iterator[pa.RecordBatch]:
+    parts = list(sent(batches))
+    prefix, n = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, U), np.zeros(0, int))
+    some = n > 1
+    yield pa.RecordBatch.from_arrays([pa.array(prefix[some].view(np.int64)), pa.array(n[some])], names=["prefix", "n"])
+
+
+def longer_prefixes(rows: DataFrame, sent: Callable, most: int = 5_000, listed: int = 1_000_000) -> Listed:
+    """Prefixes whose groups would have more than ``most`` rows, so that they need a longer prefix.
+
+    The list is broadcast; its ``listed`` longest entries bound it to 8 MB, and any prefix beyond it
+    has less than one in ``listed`` of all rows.
+    """
+    counts = rows.mapInArrow(partial(_counts, sent=sent), "prefix long, n long")
+    hot = counts.groupBy("prefix").agg(F.sum("n").alias("n")).filter(F.col("n") > most)
+    found = hot.orderBy(F.desc("n"), "prefix").limit(listed).select("prefix").toArrow()
+    values = np.sort(found["prefix"].to_numpy().view(U))
+    return Listed(rows.sparkSession.sparkContext.broadcast(values))
+
 
 def anchor_of(grams: np.ndarray, w: int) -> np.ndarray:
     """Place of the smallest of each w consecutive k-gram hashes."""

@@ -11,6 +11,7 @@ from rowsluice.llm.packing import Packer
 from rowsluice.llm.pii import KINDS, ContextExtractor, listed
 from rowsluice.llm.quality import COUNTS, LineFrequency
 from rowsluice.llm.simple8b import TokenFiles
+from rowsluice.llm.suffix_arrays import FactorDedup
 from rowsluice.llm.suffix_trees import SubstringDedup
 from rowsluice.llm.toxicity import ToxicityModel, held_out
 
@@ -43,6 +44,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SubstringDedup().digested(documents(spark, sf_dir))
 
 
+def op5_factor_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return FactorDedup(keep_first=False).digested(documents(spark, sf_dir))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Packer(tokenizer_path()).packed(documents(spark, sf_dir))
 
@@ -66,6 +71,6 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_pii, op2_decontaminate, op3_substring_dedup, op6_best_fit_packing, op8_toxicity, op9_quality_rules, op10_token_files)
+    for f in (op1_pii, op2_decontaminate, op3_substring_dedup, op5_factor_dedup, op6_best_fit_packing, op8_toxicity, op9_quality_rules, op10_token_files)
 }
 ORACLES = {"op2_decontaminate": oracles.DECONTAMINATE, "op9_quality_rules": oracles.QUALITY}

@@ -7,7 +7,8 @@ lost. Suffixes with one prefix meet sorted in one task, whose subtree's nodes at
 classes of equal windows; runs of covered windows are the maximal repeats.
 
 A chunk of documents first settles its own windows: only the document with the smallest id that
-has a window sends it. However often a window occurs, its group has a row per chunk at most.
+has a window sends it. However often a window occurs, its group has a row per chunk at most. Prefixes
+have k words, but n where k words would not part the suffixes into groups that fit a task.
 
 Defined cases: a null or empty text has no words; texts with fewer than n words lose nothing; of
 equal ids none is smaller, so repeated rows remove nothing from each other and get equal rows; a
@@ -26,16 +27,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from rowsluice.llm import common as c
-from rowsluice.llm.anchors import anchor_of, blob_column, blobs, runs, spread, whole_groups
+from rowsluice.llm.anchors import (
+    LEAST_ID, anchor_of, blob_column, blobs, ids_of, longer_prefixes, runs, spread, whole_groups,
+)
 
 HEAD = np.dtype([("doc", "<i8"), ("tag", "<i4"), ("at", "<i4")])
 NODE = np.dtype([("back", "u1"), ("low", "<u4"), ("high", "<u2")])
 SETTLED = np.dtype([("doc", "<i8"), ("tag", "<i4"), ("begin", "<i4"), ("end", "<i4")])
-LEAST_ID = np.iinfo(np.int64).min
-
-
-def _ids(column: pa.Array) -> np.ndarray:
-    return column.fill_null(LEAST_ID).to_numpy(zero_copy_only=False)
 
 
 def _ranges(key: np.ndarray, at: np.ndarray, n: int):
@@ -48,33 +46,49 @@ def _ranges(key: np.ndarray, at: np.ndarray, n: int):
     return first, at[last] + n
 
 
-def _suffixes(batches: Iterator[pa.RecordBatch], n: int, k: int) -> Iterator[pa.RecordBatch]:
+class _Windows:
+    """Words of a chunk, the paths of their windows, and which of these are settled or open."""
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, ids: np.ndarray, n: int, k: int):
+        starts, ends, self.doc = c.words(data, offsets, c.separators("spaces"))
+        doc = self.doc
+        h = c.range_hash(data, starts, ends)
+        self.grams, self.paths = c.rolled(h, k), c.rolled(h, n)
+        self.anchor = anchor_of(self.grams, n - k + 1)
+        self.place = np.arange(len(doc)) - np.searchsorted(doc, np.arange(len(offsets)))[doc]
+        window = np.flatnonzero(doc[: len(self.paths)] == doc[n - 1 : n - 1 + len(self.paths)])
+        # the smallest id with each window
+        order = window[np.lexsort((ids[doc[window]], self.paths[window]))]
+        new = runs(self.paths[order])
+        least = ids[doc[order[new]]][spread(new, len(order))]
+        later = ids[doc[order]] > least
+        self.covered, self.opened = np.sort(order[later]), np.sort(order[~later])
+
+
+def _counted(batches: Iterator[pa.RecordBatch], n: int, k: int) -> Iterator[np.ndarray]:
+    for b in batches:
+        for first, end, data, offsets in c.chunks(b["text"]):
+            x = _Windows(data, offsets, ids_of(b["doc_id"].slice(first, end - first)), n, k)
+            yield x.grams[np.unique(x.anchor[x.opened])]
+
+
+def _suffixes(batches: Iterator[pa.RecordBatch], n: int, k: int, hot) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for first, end, data, offsets in c.chunks(b["text"]):
-            starts, ends, doc = c.words(data, offsets, c.separators("spaces"))
-            if len(doc) < n:
-                continue
-            ids = _ids(b["doc_id"].slice(first, end - first))
+            ids = ids_of(b["doc_id"].slice(first, end - first))
             tags = b["tag"].slice(first, end - first).to_numpy()
-            place = np.arange(len(doc)) - np.searchsorted(doc, np.arange(end - first + 1))[doc]
-            h = c.range_hash(data, starts, ends)
-            grams, paths = c.rolled(h, k), c.rolled(h, n)
-            anchor = anchor_of(grams, n - k + 1)
-            window = np.flatnonzero(doc[: len(paths)] == doc[n - 1 :])
-            # the smallest id with each window
-            order = window[np.lexsort((ids[doc[window]], paths[window]))]
-            new = runs(paths[order])
-            least = ids[doc[order[new]]][spread(new, len(order))]
-            later = ids[doc[order]] > least
-            covered, opened = np.sort(order[later]), np.sort(order[~later])
+            x = _Windows(data, offsets, ids, n, k)
+            doc, place, grams, paths, covered, opened = x.doc, x.place, x.grams, x.paths, x.covered, x.opened
             # settled here
             r, stop = _ranges(doc[covered], place[covered], n)
             settled = np.zeros(len(r), SETTLED)
             settled["doc"], settled["tag"] = ids[doc[covered[r]]], tags[doc[covered[r]]]
             settled["begin"], settled["end"] = place[covered[r]], stop
-            # a row for each anchor and its open windows
-            a = anchor[opened]
-            r = runs(a)
+            # a row for each anchor and its open windows, or for each window of a longer prefix
+            a = x.anchor[opened]
+            split = hot.known(grams[a])
+            r = runs(a, np.where(split, opened, -1))
+            prefix = np.where(split, c.mix(grams[a] ^ paths[opened]), grams[a])[r]
             size = np.diff(np.append(r, len(a)))
             head = np.zeros(len(r), HEAD)
             head["doc"], head["tag"], head["at"] = ids[doc[a[r]]], tags[doc[a[r]]], place[a[r]]
@@ -89,7 +103,7 @@ def _suffixes(batches: Iterator[pa.RecordBatch], n: int, k: int) -> Iterator[pa.
             out[(node_at[:, None] + np.arange(NODE.itemsize)).ravel()] = node.view(np.uint8)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate((grams[a[r]].view(np.int64), c.mix(settled["doc"].astype(c.U)).view(np.int64)))),
+                    pa.array(np.concatenate((prefix.view(np.int64), c.mix(settled["doc"].astype(c.U)).view(np.int64)))),
                     pa.array(np.concatenate((np.ones(len(r), bool), np.zeros(len(settled), bool)))),
                     blob_column(
                         np.concatenate((out, settled.view(np.uint8))),
@@ -167,7 +181,8 @@ class SubstringDedup:
     def repeats(self, docs: DataFrame) -> DataFrame:
         """id, tag, begin, end: word ranges that an earlier document has too (tag: checksum of the text)."""
         rows = docs.select(F.col("doc_id").cast("long"), "text", F.hash("text").alias("tag"))
-        suffixes = rows.mapInArrow(partial(_suffixes, n=self.n, k=self.k), "prefix long, open boolean, body binary")
+        hot = longer_prefixes(rows, partial(_counted, n=self.n, k=self.k))
+        suffixes = rows.mapInArrow(partial(_suffixes, n=self.n, k=self.k, hot=hot), "prefix long, open boolean, body binary")
         grouped = suffixes.repartition("prefix").sortWithinPartitions("prefix")
         return c.stored(grouped.mapInArrow(partial(_subtrees, n=self.n), "id long, tag int, begin int, end int"), "repeats")
 
@@ -177,7 +192,7 @@ class SubstringDedup:
             F.collect_list("begin").alias("begins"), F.collect_list("end").alias("ends")
         )
         rows = docs.select(F.col("doc_id").cast("long"), "text")
-        match = (F.coalesce("doc_id", F.lit(int(LEAST_ID))) == F.col("id")) & (F.hash("text") == F.col("tag"))
+        match = (F.coalesce("doc_id", F.lit(LEAST_ID)) == F.col("id")) & (F.hash("text") == F.col("tag"))
         return rows.join(ranges, match, "left").select("doc_id", "text", "begins", "ends")
 
     def removed(self, docs: DataFrame) -> DataFrame:
