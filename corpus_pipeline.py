@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowsluice.llm.common import documents
+from rowsluice.llm.common import documents, stored, tokenizer_path
 from rowsluice.llm.decontaminate import Decontaminator
+from rowsluice.llm.jaccard import JaccardJoin
+from rowsluice.llm.packing import Packer
+from rowsluice.llm.pii import ContextExtractor
 from rowsluice.llm.quality import LineFrequency
 
 
@@ -14,19 +17,39 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return LineFrequency().accepted(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of similar ones."""
+    return JaccardJoin().representatives(docs)
+
+
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without benchmark passages."""
     return Decontaminator().clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-STAGES = [("quality rules", quality), ("benchmark decontamination", decontaminated)]
+def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind."""
+    return ContextExtractor().redacted(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of each document's pieces in sequences of tokens."""
+    return Packer(tokenizer_path()).packed(docs)
+
+
+STAGES = [
+    ("quality rules", quality),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontaminated),
+    ("PII", redacted),
+    ("best-fit packing", packed),
+]
+# The tokenizer cannot be expressed in SQL; tests/llm compares run() with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written as Parquet and read again."""
-    from rowsluice.llm.common import stored
-
     docs = documents(spark, sf_dir)
     for place, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)

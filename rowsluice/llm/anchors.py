@@ -37,20 +37,20 @@ class Listed:
         return listed[np.minimum(np.searchsorted(listed, hashes), len(listed) - 1)] == hashes
 
 
-def _counts(batches: Iterator[pa.RecordBatch], sent: Callable) -> Iterator[pa.RecordBatch]:
+def _counts(batches: Iterator[pa.RecordBatch], sent: Callable, least: int) -> Iterator[pa.RecordBatch]:
     parts = list(sent(batches))
     prefix, n = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, U), np.zeros(0, int))
-    some = n > 1
+    some = n >= least
     yield pa.RecordBatch.from_arrays([pa.array(prefix[some].view(np.int64)), pa.array(n[some])], names=["prefix", "n"])
 
 
-def longer_prefixes(rows: DataFrame, sent: Callable, most: int = 5_000, listed: int = 1_000_000) -> Listed:
+def longer_prefixes(rows: DataFrame, sent: Callable, most: int = 5_000, listed: int = 1_000_000, least: int = 2) -> Listed:
     """Prefixes whose groups would have more than ``most`` rows, so that they need a longer prefix.
 
     The list is broadcast; its ``listed`` longest entries bound it to 8 MB, and any prefix beyond it
-    has less than one in ``listed`` of all rows.
+    has less than one in ``listed`` of all rows. Tasks report what they would send ``least`` times.
     """
-    counts = rows.mapInArrow(partial(_counts, sent=sent), "prefix long, n long")
+    counts = rows.mapInArrow(partial(_counts, sent=sent, least=least), "prefix long, n long")
     hot = counts.groupBy("prefix").agg(F.sum("n").alias("n")).filter(F.col("n") > most)
     found = hot.orderBy(F.desc("n"), "prefix").limit(listed).select("prefix").toArrow()
     values = np.sort(found["prefix"].to_numpy().view(U))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowsluice.llm import oracles
-from rowsluice.llm.common import documents
+from rowsluice.llm.common import documents, tokenizer_path
 from rowsluice.llm.decontaminate import Decontaminator
+from rowsluice.llm.jaccard import JaccardJoin
 from rowsluice.llm.packing import Packer
 from rowsluice.llm.pii import KINDS, ContextExtractor, listed
 from rowsluice.llm.quality import COUNTS, LineFrequency
@@ -16,13 +17,6 @@ from rowsluice.llm.suffix_trees import SubstringDedup
 from rowsluice.llm.toxicity import ToxicityModel, held_out
 
 
-def tokenizer_path() -> str:
-    """The byte-level BPE's file, from the installed vocabulary package."""
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ContextExtractor().extracted(documents(spark, sf_dir))
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long")
@@ -44,6 +38,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return SubstringDedup().digested(documents(spark, sf_dir))
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return JaccardJoin().joined(documents(spark, sf_dir))
+
+
 def op5_factor_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FactorDedup(keep_first=False).digested(documents(spark, sf_dir))
 
@@ -71,6 +69,6 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_pii, op2_decontaminate, op3_substring_dedup, op5_factor_dedup, op6_best_fit_packing, op8_toxicity, op9_quality_rules, op10_token_files)
+    for f in (op1_pii, op2_decontaminate, op3_substring_dedup, op4_jaccard_join, op5_factor_dedup, op6_best_fit_packing, op8_toxicity, op9_quality_rules, op10_token_files)
 }
 ORACLES = {"op2_decontaminate": oracles.DECONTAMINATE, "op9_quality_rules": oracles.QUALITY}
