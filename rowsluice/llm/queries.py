@@ -8,6 +8,7 @@ from rowsluice.llm import oracles
 from rowsluice.llm.common import documents, tokenizer_path
 from rowsluice.llm.decontaminate import Decontaminator
 from rowsluice.llm.jaccard import JaccardJoin
+from rowsluice.llm.licenses import LicenseScanner
 from rowsluice.llm.packing import Packer
 from rowsluice.llm.pii import KINDS, ContextExtractor, listed
 from rowsluice.llm.quality import COUNTS, LineFrequency
@@ -50,6 +51,10 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Packer(tokenizer_path()).packed(documents(spark, sf_dir))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return LicenseScanner().scanned(documents(spark, sf_dir))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, model = documents(spark, sf_dir), ToxicityModel()
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(~held_out())
@@ -69,6 +74,6 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_pii, op2_decontaminate, op3_substring_dedup, op4_jaccard_join, op5_factor_dedup, op6_best_fit_packing, op8_toxicity, op9_quality_rules, op10_token_files)
+    for f in (op1_pii, op2_decontaminate, op3_substring_dedup, op4_jaccard_join, op5_factor_dedup, op6_best_fit_packing, op7_license_scan, op8_toxicity, op9_quality_rules, op10_token_files)
 }
 ORACLES = {"op2_decontaminate": oracles.DECONTAMINATE, "op9_quality_rules": oracles.QUALITY}
