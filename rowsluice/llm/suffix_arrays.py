@@ -148,7 +148,7 @@ def _meet(batches: Iterator[pa.RecordBatch], n: int, keep_first: bool) -> Iterat
         mixed = np.bincount(of, lead, len(start))[of] > 1
         closer = lead & (mixed | alone[order])
         wants = closer & ~covered
-        closer &= np.bincount(of, wants, len(start))[of] > 0
+        closer &= (np.bincount(of, wants, len(start))[of] > 0) | alone[order]
         c_at, l_at = order[covered], order[closer]
         lo = x["at"].astype(np.int64) - x["left"]
         prefix = b["prefix"].to_numpy()[at]

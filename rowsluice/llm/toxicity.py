@@ -113,7 +113,7 @@ def _score(batches: Iterator[pa.RecordBatch], shared, bits: int) -> Iterator[pa.
             some = used[bucket]
             both = np.unique(doc[some] << bits | bucket[some])
             total = np.bincount(both >> bits, dense[both & (1 << bits) - 1], end - first) + bias
-            score = 1 / (1 + np.exp(-np.clip(total, -700, 700)))
+            score = np.where(np.isneginf(total), 0.0, 1 / (1 + np.exp(-np.clip(total, -700, 700))))
             yield pa.RecordBatch.from_arrays(
                 [b["doc_id"].slice(first, end - first), pa.array(score)], names=["doc_id", "score"]
             )
