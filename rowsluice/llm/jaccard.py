@@ -9,7 +9,7 @@ Classes that can link share a shingle among the first quarter of each in one glo
 group's points are bulk-loaded into an R-tree: leaves of similar points keep the maximum of each
 coordinate, and pairs of leaves, then pairs of points, are dropped by their bound. Surviving
 pairs are verified on the texts. Small groups are a single leaf. Large groups are split into
-tiles, and in the first round give one edge from each point to its cluster's leader; the second
+tiles, and in the first round give one edge from each point to its cluster's medoid; the second
 round compares what is in different components by then. So no link between components is lost,
 and no group emits all of its pairs.
 
@@ -57,8 +57,8 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndar
 
 
 def n_groups(n: int) -> int:
-    """Coordinates of a set of n shingles: a power of two, one for each shingle or two."""
-    return 1 << max(4, int(n - 1).bit_length() - 1)
+    """Coordinates of a set of n shingles: a power of two, one for two to four shingles."""
+    return 1 << max(4, int(n - 1).bit_length() - 2)
 
 
 def point(grams: np.ndarray) -> np.ndarray:
@@ -195,6 +195,31 @@ class RTree:
         return at[may_link(np.minimum(self.points[at], p).sum(axis=1, dtype=np.int64), n, self.n[at], share)]
 
 
+    def stars(self, share: int) -> list[tuple[int, int]]:
+        """Leaders and the points that may link with them, each point once.
+
+        A cluster's leader is the point nearest to its median, which is likely to link with most.
+        """
+        free, out = np.ones(len(self.n), bool), []
+        for x in range(len(self.n)):
+            if not free[x]:
+                continue
+            near = self.candidates(x, share)
+            near = near[free[near]]
+            free[x] = False
+            if len(near) < 2:
+                continue
+            middle = np.median(self.points[near], axis=0)
+            m = int(near[np.argmin(np.abs(self.points[near] - middle).sum(axis=1))])
+            around = self.candidates(m, share)
+            around = around[free[around] & (around != m)]
+            free[around] = free[m] = False
+            out += [(m, int(o)) for o in around]
+            if m != x:
+                out.append((m, x))
+        return out
+
+
 def _trees(batches: Iterator[pa.RecordBatch], share: int, second: bool) -> Iterator[pa.RecordBatch]:
     """Pairs to verify from the trees of large groups' tiles."""
     for b in whole_groups(batches, "tile"):
@@ -218,14 +243,7 @@ def _trees(batches: Iterator[pa.RecordBatch], share: int, second: bool) -> Itera
                     other = rows[other[root[rows[other]] != root[rows[x]]]]
                     found.update((min(int(rows[x]), int(o)), max(int(rows[x]), int(o))) for o in other)
             else:
-                free = np.ones(len(rows), bool)
-                for x in range(len(rows)):
-                    if free[x]:
-                        free[x] = False
-                        other = tree.candidates(x, share)
-                        other = other[free[other]]
-                        free[other] = False
-                        found.update((int(rows[x]), int(rows[o])) for o in other)
+                found.update((int(rows[m]), int(rows[o])) for m, o in tree.stars(share))
         i = np.array(sorted(found), np.int64).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids[i[:, 0]]), pa.array(tags[i[:, 0]]), pa.array(ids[i[:, 1]]), pa.array(tags[i[:, 1]])],
@@ -305,25 +323,29 @@ class JaccardJoin:
         pairs = met.filter("b IS NOT NULL").select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b")
         bounded = pairs.mapInArrow(partial(_bounded, share=self.share), "id_a long, tag_a int, id_b long, tag_b int")
         # large groups: tiles of points of like sizes, as sets that link differ by a third at most
-        large = met.filter("b IS NULL").select("gram", F.col("a").alias("c1")).distinct().join(classes, "c1")
+        large = met.filter("b IS NULL").select("gram", F.col("a").alias("c1")).distinct()
         band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100.1 / self.share))).cast("int")
-        large = c.stored(large.withColumn("band", F.explode(F.array(band, band + 1))), "large")
+        large = large.join(classes.select("c1", "id", band.alias("least")), "c1")
+        large = large.select("gram", "c1", "id", F.explode(F.array(F.col("least"), F.col("least") + 1)).alias("band"))
+        large = c.stored(large, "large")
         tiles = F.ceil(F.col("size") / TILE).cast("int")
         sized = large.groupBy("gram", "band").agg(F.count("*").alias("size")).filter("size > 1")
-        points = large.join(sized, ["gram", "band"]).withColumn("own", F.pmod(F.xxhash64("id"), tiles).cast("int"))
-        points = points.withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
+        placed = large.join(sized, ["gram", "band"]).withColumn("own", F.pmod(F.xxhash64("id"), tiles).cast("int"))
+        placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
         tile = F.xxhash64("gram", "band", F.least("own", "other"), F.greatest("own", "other")).alias("tile")
-        points = c.stored(points.select(tile, "id", "tag", "n", "point"), "points")
+        placed = c.stored(placed.select(tile, "id"), "tiles")
         schema = "id_a long, tag_a int, id_b long, tag_b int"
 
         def compared(with_roots: DataFrame, second: bool) -> DataFrame:
-            dealt = with_roots.repartition("tile").sortWithinPartitions("tile")
+            points = with_roots.join(classes.select("id", "tag", "n", "point"), "id")
+            dealt = points.repartition("tile").sortWithinPartitions("tile")
             return dealt.mapInArrow(partial(_trees, share=self.share, second=second), schema)
 
-        first = self._verify(rows, bounded.unionByName(compared(points.withColumn("root", F.col("id")), False)))
+        first = self._verify(rows, bounded.unionByName(compared(placed.withColumn("root", F.col("id")), False)))
         roots = components(first)
-        labelled = points.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-        second = self._verify(rows, compared(labelled, True))
+        labelled = placed.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+        mixed = labelled.groupBy("tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
+        second = self._verify(rows, compared(labelled.join(mixed.select("tile"), "tile"), True))
         return first.unionByName(second)
 
     def labelled(self, docs: DataFrame) -> DataFrame:
