@@ -12,17 +12,20 @@ from pyspark.sql import functions as F
 from rowsluice.functions.text import ddl_type, quote_identifier, sized_length, split_reference
 
 TABLE = ["database", "table_name"]
-MAX_CHECK_BYTES = 2000
 
 
 def parsed_tables(
-    columns: DataFrame, checks: DataFrame | None = None, selection: DataFrame | None = None
+    columns: DataFrame,
+    checks: DataFrame | None = None,
+    selection: DataFrame | None = None,
+    max_check_bytes: int | None = None,
 ) -> DataFrame:
     """``database, table_name, fields, indexes, sql`` for every table.
 
     ``indexes`` come in the order PRIMARY, UNIQUE, FOREIGN, CHECK, each in
     column order (CHECKs by name). References to tables outside ``selection``
-    are pruned, as are CHECKs without columns or over MAX_CHECK_BYTES.
+    are pruned, as are CHECKs without columns and, if a limit is given, those
+    of more than ``max_check_bytes``.
     """
     ref_table, ref_column = split_reference(F.col("fk_ref"))
     prepared = columns.withColumn("ref_table", ref_table).withColumn("ref_column", ref_column)
@@ -64,9 +67,9 @@ def parsed_tables(
     )
     tables = grouped.withColumn("indexes", indexes)
     if checks is not None:
-        kept = checks.filter(
-            (F.size("cols") > 0) & (F.octet_length("expr") <= MAX_CHECK_BYTES)
-        )
+        kept = checks.filter(F.size("cols") > 0)
+        if max_check_bytes is not None:
+            kept = kept.filter(F.octet_length("expr") <= max_check_bytes)
         by_table = kept.groupBy(*TABLE).agg(
             F.sort_array(F.collect_list(F.struct("name", "expr", "cols"))).alias("k")
         )

@@ -10,17 +10,20 @@ from __future__ import annotations
 import operator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A key repeated more often than this is split over several join tasks ...
+# A key repeated more often than this is split over several join tasks.
 ROWS_PER_SPLIT = 1_000_000
-# ... if it is among this many heaviest keys. Any other key then holds less
-# than one row in a thousand, and the broadcast list has a fixed bound.
-MAX_HOT_KEYS = 1_000
-# Texts longer than this are compared by SHA-256 digest instead of being shuffled.
-LONG_TEXT = 255
+# The list of such keys is broadcast as 20 bytes each. This many of the heaviest fit; a key past
+# them has less than a millionth of all rows, so that it needs no split of its own.
+LISTED_KEYS = 1_000_000
+
+
+def _listed(columns: list[str]) -> list[Column]:
+    """A 128-bit digest of a key, however wide the key is."""
+    return [F.xxhash64(*columns).alias("_listed0"), F.xxhash64(F.lit(1), *columns).alias("_listed1")]
 
 
 def join_by_key(
@@ -36,33 +39,32 @@ def join_by_key(
 
     ``weight`` is the column of ``keyed`` with the number of rows behind a key
     and ``spread`` names columns of ``rows`` that tell rows of one key apart.
-    The heaviest keys (at most MAX_HOT_KEYS, a broadcast of known size) get as
-    many splits as their weight calls for: their ``rows`` pick a split by hash
-    and their single ``keyed`` row is repeated once per split. Rows without a
-    key are spread too instead of meeting in one partition.
+    Heavy keys get as many splits as their weight calls for: their ``rows``
+    pick a split by hash and their single ``keyed`` row is repeated once per
+    split. Rows without a key are spread too instead of meeting in one partition.
     """
-    # Hot keys read every column of ``keyed``: both uses then have the same
+    # Heavy keys read every column of ``keyed``: both uses then have the same
     # plan below, and Spark runs the aggregation behind it only once.
-    payload = [c for c in keyed.columns if c not in (*on, weight)]
-    heavy = keyed.filter(has_all(payload)) if payload else keyed
+    payload = [F.col(c).cast("string") for c in keyed.columns if c not in (*on, weight)]
+    used = F.concat_ws("", *payload) != "\x00" if payload else F.lit(True)
+    splits = _splits(weight, rows_per_split)
     hot = F.broadcast(
-        heavy.filter(F.col(weight) > rows_per_split)
+        keyed.filter((F.col(weight) > rows_per_split) & used)
         .orderBy(F.col(weight).desc())
-        .limit(MAX_HOT_KEYS)
-        .select(*on, _splits(weight, rows_per_split).alias("_splits"))
+        .limit(LISTED_KEYS)
+        .select(*_listed(on), splits.alias("_splits"))
     )
     position = F.abs(F.xxhash64(*spread))
-    left = rows.join(hot, on, "left").withColumn(
+    left = rows.select("*", *_listed(on)).join(hot, ["_listed0", "_listed1"], "left").withColumn(
         "_split",
         F.when(~has_all(on), (position % 4096).cast("int")).otherwise(
             (position % F.coalesce("_splits", F.lit(1))).cast("int")
         ),
     )
-    # Keys past the broadcast list are repeated as well; the repeats match nothing.
-    right = keyed.withColumn(
-        "_split", F.explode(F.sequence(F.lit(0), _splits(weight, rows_per_split) - 1))
-    )
-    return left.drop("_splits").join(right, [*on, "_split"], how).drop("_split")
+    # Keys past the list are repeated as well; the repeats match nothing.
+    right = keyed.withColumn("_split", F.explode(F.sequence(F.lit(0), splits - 1)))
+    dropped = ["_splits", "_listed0", "_listed1"]
+    return left.drop(*dropped).join(right, [*on, "_split"], how).drop("_split")
 
 
 def _splits(weight: str, rows_per_split: int) -> Column:
@@ -77,18 +79,25 @@ def _row_order(order: list[str]) -> Column:
     return F.struct(*order) if len(order) > 1 else F.col(order[0])
 
 
-def _digest_long_text(df: DataFrame, keys: list[str], lengths: dict[str, int]) -> list[Column]:
-    """Key expressions: a text that may be long is keyed by its digest."""
+def _key_parts(df: DataFrame, keys: list[str], alive: Column | None) -> list[Column]:
+    """Key expressions: texts are keyed by digest, and rows that are not alive have no key."""
     out = []
     for key in keys:
         is_text = isinstance(df.schema[key].dataType, T.StringType)
-        if is_text and not 0 < lengths.get(key, 0) <= LONG_TEXT:
-            out.append(F.sha2(F.col(key), 256))
-        else:
-            out.append(F.col(key))
+        part = F.sha2(F.col(key), 256) if is_text else F.col(key)
+        out.append(part if alive is None else F.when(alive, part))
     return out
 
 
+def row_digest(df: DataFrame) -> Column:
+    """A hash of a row's whole content, to break ties of row order."""
+    parts = []
+    for field in df.schema.fields:
+        plain = "map" not in field.dataType.simpleString() and "variant" not in field.dataType.simpleString()
+        parts.append(F.col(f"`{field.name}`") if plain else F.to_json(F.struct(F.col(f"`{field.name}`"))))
+    return F.xxhash64(*parts)
+
+
 def duplicate_keys(
     df: DataFrame,
     keys: list[str],
@@ -107,29 +116,58 @@ def duplicate_keys(
     return df.filter(has_all(keys)).groupBy(*keys).agg(*aggregates).filter(F.col(count) > 1)
 
 
-def with_first_seen(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    lengths: dict[str, int] | None = None,
-    name: str = "first_row",
-    how: str = "left",
+def _seen(
+    df: DataFrame, keys: list[str], order: list[str], alive: Column | None, how: str
 ) -> DataFrame:
-    """Each row with the first row of its duplicated key; NULL where it is unique."""
+    """Rows with ``_first``, the order and digest of the first row of their key, where the key is
+    duplicated, and their own ``_place`` to compare it with."""
     internal = [f"_key{i}" for i in range(len(keys))]
-    exprs = _digest_long_text(df, keys, lengths or {})
-    keyed_rows = df.select("*", *[e.alias(k) for e, k in zip(exprs, internal, strict=True)])
-    slim = df.select(*order, *[e.alias(k) for e, k in zip(exprs, internal, strict=True)])
-    firsts = duplicate_keys(slim, internal, order, "_count", name)
-    return join_by_key(keyed_rows, firsts, internal, "_count", order, how).drop(*internal, "_count")
+    parts = [e.alias(k) for e, k in zip(_key_parts(df, keys, alive), internal, strict=True)]
+    place = F.struct(*order, row_digest(df).alias("_digest")).alias("_place")
+    keyed = df.select("*", *parts, place)
+    firsts = (
+        df.select(*parts, place)
+        .filter(has_all(internal))
+        .groupBy(*internal)
+        .agg(F.count(F.lit(1)).alias("_count"), F.min("_place").alias("_first"))
+        .filter("_count > 1")
+    )
+    return join_by_key(keyed, firsts, internal, "_count", ["_place"], how).drop(*internal, "_count")
 
 
-def repeated_rows(
-    df: DataFrame, keys: list[str], order: list[str], lengths: dict[str, int] | None = None
-) -> DataFrame:
-    """Rows whose key was seen before in row order, with the row that had it first."""
-    seen = with_first_seen(df, keys, order, lengths, how="inner")
-    return seen.filter(_row_order(order) != F.col("first_row"))
+def flag_repeats(df: DataFrame, keys: list[list[str]], order: list[str], name: str = "rejected") -> DataFrame:
+    """``df`` with its boolean ``name`` also TRUE for rows whose key an earlier row has.
+
+    Keys compete in turn and only among rows that are not rejected so far, so a
+    rejected row owns nothing. Of rows with equal order the one with the
+    smallest content digest is first; of identical rows exactly one is kept.
+    """
+    rest = [c for c in df.columns if c != name]
+    out = df.withColumn("_owner", F.lit(False))
+    for key in keys:
+        seen = _seen(out, key, order, ~F.col(name), "left")
+        first = F.col("_first").eqNullSafe(F.col("_place"))
+        repeat = F.col("_first").isNotNull() & ~first
+        out = seen.select(*rest, (F.col(name) | repeat).alias(name), (F.col("_owner") | first).alias("_owner"))
+    # Only first rows of duplicated keys can have identical rows beside them.
+    owner = F.col("_owner") & ~F.col(name)
+    same = Window.partitionBy(*order, "_digest").orderBy("_digest")
+    among = out.filter(owner).withColumn("_digest", row_digest(df)).withColumn(name, F.row_number().over(same) > 1)
+    return out.filter(~owner).select(*rest, name).unionByName(among.select(*rest, name))
+
+
+def repeated_rows(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Rows whose key an earlier row has, with the order of the row that had it first.
+
+    Of identical rows all but one are repeats.
+    """
+    hits = _seen(df, keys, order, None, "inner")
+    first = F.col("_first").eqNullSafe(F.col("_place"))
+    same = Window.partitionBy("_place").orderBy("_place")
+    ties = hits.filter(first).withColumn("_nth", F.row_number().over(same)).filter("_nth > 1").drop("_nth")
+    shown = F.struct(*[F.col(f"_first.{o}") for o in order]) if len(order) > 1 else F.col(f"_first.{order[0]}")
+    found = hits.filter(~first).unionByName(ties)
+    return found.withColumn("first_row", shown).drop("_first", "_place")
 
 
 def orphan_keys(

@@ -37,11 +37,11 @@ def match_columns(source: DataFrame, target: DataFrame) -> DataFrame:
     )
     problem = F.when(
         F.col("state") == "missing",
-        F.concat(F.lit('missing column "'), "name", F.lit('" in target table')),
+        F.concat(F.lit('no target column "'), "name", F.lit('"')),
     ).when(
         F.col("state") == "mismatch",
         F.concat(
-            F.lit('type mismatch "'), "name", F.lit('": schema '), "type", F.lit(" vs table "), "target_type"
+            F.lit('"'), "name", F.lit('": '), "type", F.lit(" does not go into "), "target_type"
         ),
     )
     return joined.withColumn("state", state).withColumn("problem", problem).drop("_key", "_source", "_target")
@@ -72,12 +72,12 @@ def spec_problems(columns: list[tuple[str, str]], spec: TableSpec) -> list[str]:
     for name, declared in columns:
         target = spec.column(name)
         if target is None:
-            problems.append(f'missing column "{name}" in target table')
+            problems.append(f'no target column "{name}"')
             continue
         have, want = base_type_of(declared), target.base
         together = any(have in family and want in family for family in FAMILIES.values())
         if not (have == want or together or want in ACCEPTED_BY.get(have, ())):
-            problems.append(f'type mismatch "{name}": schema {declared} vs table {target.type}')
+            problems.append(f'"{name}": {declared} does not go into {target.type}')
     return problems
 
 

@@ -106,5 +106,5 @@ def ordered_names(tables: DataFrame, edges: DataFrame) -> list[str]:
     rows = load_passes(tables, edges).orderBy("pass", "position").collect()
     stuck = sorted(r["table_name"] for r in rows if r["pass"] is None)
     if stuck:
-        raise CircularReferences(f"circular foreign keys between tables: {', '.join(stuck)}")
+        raise CircularReferences(f"no load order: references go round in {', '.join(stuck)}")
     return [r["table_name"] for r in rows]

@@ -59,6 +59,7 @@ class TableSpec:
     columns: tuple[ColumnSpec, ...]
     checks: tuple[CheckSpec, ...] = ()
     composite_unique: tuple[tuple[str, ...], ...] = ()
+    composite_fks: tuple[tuple[tuple[str, ...], str, tuple[str, ...]], ...] = ()
     dialect: str = "postgres"
     by_name: dict[str, tuple[int, ColumnSpec]] = field(init=False, repr=False, compare=False)
 
@@ -84,7 +85,8 @@ class TableSpec:
     @property
     def parents(self) -> list[str]:
         """Referenced tables, in column order, each once."""
-        tables = (c.fk_ref.split(".", 1)[0] for c in self.columns if "." in c.fk_ref)
+        tables = [c.fk_ref.split(".", 1)[0] for c in self.columns if "." in c.fk_ref]
+        tables += [parent for _, parent, _ in self.composite_fks]
         return list(dict.fromkeys(t for t in tables if t))
 
     @property

@@ -21,7 +21,7 @@ from rowsluice.functions.families import integer_bounds
 from rowsluice.functions.text import WHITE_SPACE
 from rowsluice.functions.variants import writable_as
 from rowsluice.operators.checks import compile_checks
-from rowsluice.operators.keys import duplicate_keys, repeated_rows, with_first_seen
+from rowsluice.operators.keys import duplicate_keys, flag_repeats, repeated_rows
 from rowsluice.operators.spec import ColumnSpec, TableSpec
 
 # Position that puts table-wide rules (CHECKs) after all column rules.
@@ -32,7 +32,7 @@ class ValidationFailed(RuntimeError):
     """Raised in abort mode; carries the first violation in row order."""
 
     def __init__(self, violation):
-        super().__init__(f"value rejected, nothing was written: {violation['message']}")
+        super().__init__(f"refused before writing: {violation['message']}")
         self.violation = violation
 
 
@@ -117,24 +117,22 @@ def column_rules(
     name, shown = col.name, cell.shown()
     bounds = integer_bounds(col.base, col.unsigned, strict) or ("", "")
     found = [
-        ("not_null", not_null_rule(col, cell), _message(f'column "{name}" is NOT NULL but the value is null')),
+        ("not_null", not_null_rule(col, cell), _message(f'"{name}": a value is required')),
         (
             col.base if col.base == "set" else "enum",
             listed_rule(col, cell),
-            _message(f'column "{name}" value "', shown, f'" is not one of {list(col.values)}'),
+            _message(f'"{name}": "', shown, f'" is not among {", ".join(col.values)}'),
         ),
         (
             "range",
             range_rule(col, cell, strict),
-            _message(f'column "{name}" value ', shown, f" is out of range {bounds[0]}..{bounds[1]}"),
+            _message(f'"{name}": ', shown, f" lies outside {bounds[0]} to {bounds[1]}"),
         ),
         (
             "length",
             length_rule(col, cell),
             _message(
-                f'column "{name}" value is ',
-                F.char_length(shown).cast("string"),
-                f" characters, exceeds max length {col.length}",
+                f'"{name}": length ', F.char_length(shown).cast("string"), f" is above {col.length}"
             ),
         ),
     ]
@@ -143,7 +141,7 @@ def column_rules(
             (
                 "type",
                 type_rule(col, cell),
-                _message(f'column "{name}" value "', shown, f'" does not fit type {col.type}'),
+                _message(f'"{name}": "', shown, f'" cannot become {col.type}'),
             )
         )
     return [Rule(name, ordinal, rule, bad, shown, text) for rule, bad, text in found if bad is not None]
@@ -202,12 +200,12 @@ class Validator:
             rules.append(
                 Rule(
                     "", 0, "unknown_column", F.size(extra) > 0, F.array_join(F.sort_array(extra), ","),
-                    _message('column "', F.array_join(F.sort_array(extra), '", "'), '" is not in the target table'),
+                    _message('no target column for "', F.array_join(F.sort_array(extra), '", "'), '"'),
                 )
             )
         for name in self.unknown_columns(df):
             rules.append(
-                Rule(name, 0, "unknown_column", F.lit(True), F.lit(name), _message(f'column "{name}" is not in the target table'))
+                Rule(name, 0, "unknown_column", F.lit(True), F.lit(name), _message(f'no target column for "{name}"'))
             )
         for ordinal, col in enumerate(self.spec.columns, start=1):
             cell = cells.get(col.name.lower())
@@ -221,21 +219,26 @@ class Validator:
             rules.append(
                 Rule(
                     check.name, AFTER_COLUMNS, "check", check.fails, values,
-                    _message(f'violates CHECK constraint "{check.name}" ({check.expr})', *shown),
+                    _message(f'CHECK "{check.name}" ({check.expr}) does not hold', *shown),
                 )
             )
         for name, condition in self.extra_rules.items():
             rules.append(
-                Rule(name, AFTER_COLUMNS, "custom", ~condition(), F.lit(None).cast("string"), _message(f'violates rule "{name}"'))
+                Rule(name, AFTER_COLUMNS, "custom", ~condition(), F.lit(None).cast("string"), _message(f'rule "{name}" does not hold'))
             )
         return rules
 
-    def any_bad(self, df: DataFrame) -> Column:
-        """TRUE, never NULL, where a row breaks at least one row-local rule."""
+    def any_bad(self, df: DataFrame, total: bool = True) -> Column:
+        """TRUE where a row breaks at least one row-local rule.
+
+        Never NULL if ``total``; a filter needs no such guard, and without it
+        the conditions reach the scan.
+        """
         bad = [r.bad for r in self.rules(df)]
         if not bad:
             return F.lit(False)
-        return unpinned(df, F.coalesce(reduce(operator.or_, bad), F.lit(False)))
+        found = reduce(operator.or_, bad)
+        return unpinned(df, F.coalesce(found, F.lit(False)) if total else found)
 
     # -- uniqueness ---------------------------------------------------------
     def keyed(self, df: DataFrame) -> tuple[DataFrame, list[tuple[list[str], tuple[str, ...]]]]:
@@ -268,16 +271,13 @@ class Validator:
             usable.append((names, key))
         return df.withColumns(added) if added else df, usable
 
-    def _lengths(self, names: list[str], key: tuple[str, ...]) -> dict[str, int]:
-        return {n: self.spec.column(k).length for n, k in zip(names, key, strict=True)}
-
     def repeats(self, df: DataFrame) -> DataFrame | None:
         """Violations of every unique key, as rows like ``violations``."""
         keyed, keys = self.keyed(df)
         found = None
         for names, key in keys:
             label = ",".join(key)
-            hits = repeated_rows(keyed, names, list(self.order), self._lengths(names, key))
+            hits = repeated_rows(keyed, names, list(self.order))
             value = F.concat_ws(",", *[F.col(n).cast("string") for n in names])
             if self.row is not None:
                 cells = self.cells(df)
@@ -290,8 +290,7 @@ class Validator:
                 F.lit("unique").alias("rule"),
                 value.alias("value"),
                 _message(
-                    'duplicate value "', value, f'" for unique column "{label}" (first seen at row ',
-                    first.cast("string"), ")",
+                    f'"{label}": an earlier row has "', value, '" too (row ', first.cast("string"), ")"
                 ).alias("message"),
             )
             found = part if found is None else found.unionByName(part)
@@ -325,7 +324,7 @@ class Validator:
             # only, and an outer explode keeps the optimizer from adding a
             # second, non-codegen copy of all rules as a filter of its own.
             parts.append(
-                prepared.filter(self.any_bad(prepared))
+                prepared.filter(self.any_bad(prepared, total=False))
                 .select(*self.order, F.explode_outer(hits).alias("hit"))
                 .select(*self.order, "hit.*")
             )
@@ -386,18 +385,19 @@ class Validator:
         return reduce(DataFrame.unionByName, parts)
 
     def flagged(self, df: DataFrame, name: str = "rejected") -> DataFrame:
-        """Every row with a boolean telling whether it breaks any rule."""
+        """Every row with a boolean telling whether it breaks any rule.
+
+        Unique keys compete among rows that break no other rule: a rejected
+        row does not keep its key from a later, corrected one.
+        """
         prepared = self.prepared(df)
         out = prepared.select(*df.columns, self.any_bad(prepared).alias(name))
         keyed, keys = self.keyed(out)
-        order = F.struct(*self.order) if len(self.order) > 1 else F.col(self.order[0])
-        for names, key in keys:
-            keyed = with_first_seen(
-                keyed, names, list(self.order), self._lengths(names, key), "_first"
-            )
-            repeat = F.col("_first").isNotNull() & (F.col("_first") != order)
-            keyed = keyed.withColumn(name, F.col(name) | repeat).drop("_first")
-        return keyed.select(*df.columns, name)
+        if not keys:
+            return out
+        return flag_repeats(keyed, [names for names, _ in keys], list(self.order), name).select(
+            *df.columns, name
+        )
 
     def split(self, df: DataFrame) -> tuple[DataFrame, DataFrame]:
         """(rows that pass every rule, rows that do not)."""

@@ -281,9 +281,9 @@ def select_tables(t: Tables) -> DataFrame:
 SELECT "database", table_name, coalesce(string_agg(problem, chr(10) ORDER BY ordinal), '') AS problems,
        count(problem) = 0 AS ok
 FROM (SELECT "database", table_name, ordinal,
-             CASE WHEN p = '5-LOW' THEN 'missing column "' || name || '" in target table'
+             CASE WHEN p = '5-LOW' THEN 'no target column "' || name || '"'
                   WHEN NOT {FITS_SQL.format("source", "target")}
-                    THEN 'type mismatch "' || name || '": schema ' || raw_type || ' vs table ' || target_type
+                    THEN '"' || name || '": ' || raw_type || ' does not go into ' || target_type
              END AS problem
       FROM (SELECT *, {BASE_TYPE_SQL.format("raw_type")} AS source, {BASE_TYPE_SQL.format("target_type")} AS target
             FROM (SELECT *, {TARGET_TYPE_SQL} AS target_type FROM ({BASE_SQL}))))

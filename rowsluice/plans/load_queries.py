@@ -1,23 +1,21 @@
-"""Load queries: manifests, progress, plans, generated rows, streaming loads."""
+"""Load queries: manifests, progress, plans, loads into files, streaming loads."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsluice.operators.generate import generate_rows
-from rowsluice.operators.keys import orphan_keys
 from rowsluice.operators.progress import load_tally, progress_percent, progress_totals
-from rowsluice.operators.spec import CheckSpec, ColumnSpec, TableSpec
-from rowsluice.operators.validate import Validator
+from rowsluice.operators.spec import ColumnSpec, TableSpec
 from rowsluice.plans import derived
 from rowsluice.plans.catalog_queries import READY_SQL, walk_sql
 from rowsluice.plans.derived import MANIFEST_SQL
-from rowsluice.plans.push import push_plan
+from rowsluice.plans.push import Source, push_plan, push_tables
 from rowsluice.plans.registry import Tables, query
 from rowsluice.session import scratch_path
 from rowsluice.sources import manifest as manifests
 from rowsluice.sources.jsonl import rows_from_lines
+from rowsluice.sources.sinks import ParquetSink
 from rowsluice.streaming.ingest import Ingest
 
 # ---- manifests ------------------------------------------------------------
@@ -172,67 +170,53 @@ def push_plan_query(t: Tables) -> DataFrame:
     return push_plan(tables, derived.columns(t))
 
 
-# ---- generated rows -------------------------------------------------------
+# ---- loads ----------------------------------------------------------------
 
-BUYER = TableSpec(
+CUSTOMERS = TableSpec(
     "customer",
     (
-        ColumnSpec("id", "bigint", nullable=False, is_pk=True),
-        ColumnSpec("code", "varchar", length=20, nullable=False, unique=True),
+        ColumnSpec("c_custkey", "bigint", nullable=False, is_pk=True),
+        ColumnSpec("c_nationkey", "int"),
+        ColumnSpec("c_mktsegment", "varchar", length=9),
     ),
 )
-PURCHASE = TableSpec(
-    "purchase",
+PLACED = TableSpec(
+    "orders",
     (
-        ColumnSpec("id", "bigint", nullable=False, is_pk=True),
-        ColumnSpec("buyer_id", "bigint", nullable=False, fk_ref="customer.id"),
-        ColumnSpec("code", "varchar", length=20, unique=True),
-        ColumnSpec("status", "enum", values=("draft", "paid", "sent")),
-        ColumnSpec("attempts", "tinyint", unsigned=True),
-        ColumnSpec("rating", "int"),
-        ColumnSpec("note", "varchar", length=6),
+        ColumnSpec("o_orderkey", "bigint", nullable=False, is_pk=True),
+        ColumnSpec("o_custkey", "bigint", fk_ref="customer.c_custkey"),
+        ColumnSpec("o_orderstatus", "enum", values=("F", "O")),
     ),
-    (CheckSpec("rating", "CHECK (((rating >= 1) AND (rating <= 5)))"),),
 )
 
 
 @query(
-    "generate_rows",
+    "push_files",
     """
-WITH n AS (SELECT (SELECT count(*) FROM orders) AS orders, (SELECT count(*) FROM customer) AS buyers)
-SELECT id + 1 AS id, (id * 48271 + 22) % buyers + 1 AS buyer_id, 'code-' || (id + 1) AS code,
-       ['draft', 'paid', 'sent'][(id * 48271 + 44) % 3 + 1] AS status,
-       CAST((id * 48271 + 55) % 256 AS INT) AS attempts,
-       CAST((id * 48271 + 66) % 5 + 1 AS INT) AS rating,
-       left('note-' || ((id * 48271 + 77) % 1000), 6) AS note
-FROM n, range(0, (SELECT count(*) FROM orders)) AS r(id)
-""",
-)
-def generate_rows_query(t: Tables) -> DataFrame:
-    """As many purchases as there are orders, for as many buyers as customers."""
-    return generate_rows(t.spark, PURCHASE, t.orders.count(), {"customer": t.customer.count()})
-
-
-@query(
-    "generated_violations",
-    """
-SELECT 'violations' AS found, CAST(0 AS BIGINT) AS n
-UNION ALL SELECT 'orphans', 0
-UNION ALL SELECT 'rows', count(*) FROM orders
+WITH c AS (SELECT length(c_mktsegment) > 9 AS bad FROM customer),
+     o AS (SELECT coalesce(o_orderstatus NOT IN ('F', 'O'), false) AS bad FROM orders)
+SELECT 'customer' AS table_name, count(*) FILTER (NOT coalesce(bad, false)) AS loaded, count(*) FILTER (bad) AS rejected FROM c
+UNION ALL
+SELECT 'orders', count(*) FILTER (NOT bad), count(*) FILTER (bad) FROM o
 """,
 )
-def generated_violations(t: Tables) -> DataFrame:
-    """Generated rows obey every rule, refer to existing parents, and are complete."""
-    buyers = generate_rows(t.spark, BUYER, t.customer.count())
-    rows = generate_rows(t.spark, PURCHASE, t.orders.count(), {"customer": t.customer.count()})
-    violations = Validator(PURCHASE, ("id",), strict=True).summary(rows).agg(
-        F.lit("violations").alias("found"), F.sum("violations").alias("n")
-    )
-    orphans = orphan_keys(rows, ["buyer_id"], buyers, ["id"]).agg(
-        F.lit("orphans").alias("found"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")
-    )
-    total = rows.agg(F.lit("rows").alias("found"), F.count(F.lit(1)).alias("n"))
-    return violations.unionByName(orphans).unionByName(total)
+def push_files(t: Tables) -> DataFrame:
+    """Load two tables into folders, parents first, bad rows set aside; read both back and count."""
+    root = scratch_path(t.spark, "push")
+    sink, aside = ParquetSink(t.spark, f"{root}/loaded"), ParquetSink(t.spark, f"{root}/aside")
+    sources = [
+        Source(spec, getattr(t, spec.name).select(*[c.name for c in spec.columns]), (spec.primary_key[0],))
+        for spec in (PLACED, CUSTOMERS)
+    ]
+    for source in sources:
+        sink.create(source.spec)
+    push_tables(sources, sink, policy="quarantine", quarantine=aside)
+    parts = []
+    for spec in (CUSTOMERS, PLACED):
+        count = lambda s, name: s.read(spec.name).agg(F.count("*").alias(name))  # noqa: B023, E731
+        both = count(sink, "loaded").join(count(aside, "rejected"))  # one row each
+        parts.append(both.select(F.lit(spec.name).alias("table_name"), "loaded", "rejected"))
+    return parts[0].unionByName(parts[1])
 
 
 # ---- streaming ------------------------------------------------------------
@@ -251,10 +235,13 @@ STREAMED = TableSpec(
 def _streamed(t: Tables) -> Ingest:
     """Stream the events as JSON lines through validation into a new folder.
 
-    Every 5 ids share a slot, which has to be unique over the whole stream.
+    Every 5 ids share a slot, which has to be unique over the whole stream. The
+    feed is a folder of four files, one for each batch: every fourth id.
     """
-    # A pattern, as the stream source takes a lone file for a folder.
-    source = t.spark.readStream.schema(t.events.schema).parquet(f"{t.folder}/event[s].parquet")
+    feed, parts = scratch_path(t.spark, "feed"), 4
+    for i in range(parts):
+        t.events.filter(F.pmod("event_id", F.lit(parts)) == i).coalesce(1).write.mode("append").parquet(feed)
+    source = t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(feed)
     line = F.to_json(
         F.struct(
             "event_id",
@@ -269,14 +256,19 @@ def _streamed(t: Tables) -> Ingest:
     return load
 
 
-STREAM_BAD_SQL = "event_type = 'error' OR event_id % 5 <> 0"
+# The first valid event of a slot, by batch and id, owns it.
+STREAM_SQL = """
+  SELECT *, event_type = 'error' AS bad,
+         row_number() OVER (PARTITION BY event_id // 5, event_type = 'error' ORDER BY event_id % 4, event_id) AS nth
+  FROM events
+"""
 
 
 @query(
     "stream_loaded",
     f"""
 SELECT event_id, event_type, event_id // 5 AS slot, CAST(user_id AS INT) AS user_id
-FROM events WHERE NOT ({STREAM_BAD_SQL})
+FROM ({STREAM_SQL}) WHERE NOT bad AND nth = 1
 """,
 )
 def stream_loaded(t: Tables) -> DataFrame:
@@ -285,10 +277,10 @@ def stream_loaded(t: Tables) -> DataFrame:
 
 @query(
     "stream_rejected",
-    """
+    f"""
 SELECT event_id, 'event_type' AS column_name, 'enum' AS rule FROM events WHERE event_type = 'error'
 UNION ALL
-SELECT event_id, 'slot', 'unique' FROM events WHERE event_id % 5 <> 0
+SELECT event_id, 'slot', 'unique' FROM ({STREAM_SQL}) WHERE NOT bad AND nth > 1
 """,
 )
 def stream_rejected(t: Tables) -> DataFrame:

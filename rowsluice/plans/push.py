@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -21,6 +22,14 @@ class LoadRefused(RuntimeError):
     """A load was stopped before it wrote anything."""
 
 
+class LoadAborted(RuntimeError):
+    """A load failed while it wrote; ``result`` tells what was completed before."""
+
+    def __init__(self, table: str, result: "LoadResult"):
+        super().__init__(f"writing {table!r} failed after {result.total} rows of other tables")
+        self.result = result
+
+
 @dataclass(frozen=True)
 class Source:
     """Rows for one table: a typed frame, or raw rows in column ``row``."""
@@ -54,10 +63,10 @@ POLICIES = ("abort", "quarantine", "report")
 def _refuse_unless_loadable(source: Source, sink: Sink) -> None:
     spec = source.spec
     if not sink.exists(spec.name):
-        raise LoadRefused(f"target table {spec.name!r} does not exist")
+        raise LoadRefused(f"no target table {spec.name!r}")
     problems = spec_problems(list(source.declared), spec)
     if problems:
-        raise LoadRefused(f"schema mismatch for {spec.name!r}:\n" + "\n".join(problems))
+        raise LoadRefused(f"{spec.name!r} does not fit its target:\n" + "\n".join(problems))
 
 
 def skipped_check_notes(source: Source, validator: Validator) -> list[str]:
@@ -68,38 +77,62 @@ def skipped_check_notes(source: Source, validator: Validator) -> list[str]:
     ]
 
 
-def _refuse_orphans(source: Source, sink: Sink) -> None:
-    """Foreign keys need their parents in the target; lake tables do not check."""
-    spec = source.spec
-    typed = write_projection(source.rows, spec, source.row)
+def _references(spec: TableSpec) -> list[tuple[list[str], str, list[str]]]:
+    """(columns, parent table, parent columns): composite keys as declared, others one by one."""
+    found = [(list(cols), parent, list(keys)) for cols, parent, keys in spec.composite_fks]
     for column in spec.columns:
         parent, _, parent_column = column.fk_ref.partition(".")
-        if not parent or not parent_column or parent == spec.name or not sink.exists(parent):
+        if parent and parent_column:
+            found.append(([column.name], parent, [parent_column]))
+    return found
+
+
+def _refuse_orphans(source: Source, sink: Sink, loaded: dict[str, Source], kept: bool) -> None:
+    """Foreign keys need parents among the rows to be loaded, and in the target if that keeps its rows.
+
+    Lake tables do not check that themselves. References of a table to itself count too.
+    """
+    spec = source.spec
+    typed = write_projection(source.rows, spec, source.row)
+    for columns, parent, keys in _references(spec):
+        parents = []
+        if parent in loaded:
+            staged = loaded[parent]
+            parents.append(write_projection(staged.rows, staged.spec, staged.row).select(*keys))
+        if (kept or parent not in loaded) and sink.exists(parent):
+            parents.append(sink.read(parent).select(*keys))
+        if not parents:
             continue
-        orphans = orphan_keys(typed, [column.name], sink.read(parent), [parent_column], "_count")
-        found = orphans.orderBy(column.name).limit(1).collect()
+        every = reduce(DataFrame.unionByName, parents)
+        orphans = orphan_keys(typed, columns, every, keys, "_count")
+        found = orphans.orderBy(*columns).limit(1).collect()
         if found:
-            raise LoadRefused(
-                f"{spec.name}.{column.name}: value {found[0][column.name]!r} has no row in {parent}"
-            )
+            shown = ", ".join(repr(found[0][c]) for c in columns)
+            raise LoadRefused(f"{spec.name}.{','.join(columns)}: {shown} has no row in {parent}")
 
 
-def _load(
-    source: Source,
-    sink: Sink,
-    policy: str,
-    strict: bool,
-    quarantine: Sink | None,
-    result: LoadResult,
-    references: bool = False,
-) -> None:
-    """Validate, then write. Nothing is written in abort mode if a row is bad."""
-    spec = source.spec
-    validator = Validator(spec, source.order, source.row, strict, convertible=True)
+def _validator(source: Source, strict: bool) -> Validator:
+    return Validator(source.spec, source.order, source.row, strict, convertible=True)
+
+
+def _checked(
+    source: Source, sink: Sink, policy: str, strict: bool, result: LoadResult,
+    loaded: dict[str, Source], kept: bool, references: bool,
+) -> None:
+    """All that can refuse a table, before anything is written."""
+    validator = _validator(source, strict)
     result.notes += skipped_check_notes(source, validator)
-    rows = source.rows
     if references:
-        _refuse_orphans(source, sink)
+        _refuse_orphans(source, sink, loaded, kept)
+    if policy == "abort":
+        validator.check(source.rows)
+
+
+def _load(
+    source: Source, sink: Sink, policy: str, strict: bool, quarantine: Sink | None, result: LoadResult
+) -> None:
+    """Write what the policy lets through."""
+    spec, rows, validator = source.spec, source.rows, _validator(source, strict)
     if policy == "quarantine":
         # Both halves are written: validate once, keep the verdicts meanwhile.
         flagged = validator.flagged(rows).persist()
@@ -112,8 +145,6 @@ def _load(
     if policy == "report":
         counts = validator.summary(rows).filter("violations > 0").collect()
         result.reported[spec.name] = {(r["column_name"], r["rule"]): r["violations"] for r in counts}
-    else:
-        validator.check(rows)
     _write(rows, source, sink, result)
 
 
@@ -158,7 +189,8 @@ def push_table(
         raise LoadRefused(f"table {source.spec.name!r} is not ready (status={source.status!r})")
     _refuse_unless_loadable(source, sink)
     result = LoadResult()
-    _load(source, sink, policy, strict, quarantine, result, references)
+    _checked(source, sink, policy, strict, result, {source.spec.name: source}, True, references)
+    _load(source, sink, policy, strict, quarantine, result)
     return result
 
 
@@ -174,9 +206,15 @@ def push_tables(
 ) -> LoadResult:
     """Load every ready table, parents first; empties the tables unless ``append``.
 
-    All tables are checked before any data is touched. Each table is a Spark
-    job of its own and the first failure stops the load.
+    All tables and, with ``abort``, all of their rows are checked before any
+    target is touched; parents are looked up among the rows to be loaded, and in
+    targets that keep theirs. The files behind a frame are listed when it is
+    made, so that the rows written are those that were checked. Each table is a
+    Spark job of its own; the first failure stops the load with ``LoadAborted``,
+    which tells what was completed.
     """
+    if policy not in POLICIES:
+        raise ValueError(f"policy must be one of {POLICIES}")
     result = LoadResult()
     ready = []
     for source in sources:
@@ -191,11 +229,18 @@ def push_tables(
     names = plan_order([s.spec for s in ready], ready[0].rows.sparkSession)
     result.notes.append(("INSERT " if append else "TRUNCATE + INSERT ") + ", ".join(names))
     if dry_run:
+        for name in names:
+            result.notes.append(f"{name}: {by_name[name].rows.count()} rows")
         return result
+    for name in names:
+        _checked(by_name[name], sink, policy, strict, result, by_name, append, references)
     if not append:
         sink.truncate([by_name[n].spec for n in names])
     for name in names:
-        _load(by_name[name], sink, policy, strict, quarantine, result, references)
+        try:
+            _load(by_name[name], sink, policy, strict, quarantine, result)
+        except Exception as problem:
+            raise LoadAborted(name, result) from problem
     return result
 
 

@@ -97,8 +97,9 @@ def read_jsonl(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Raw rows of JSONL files and the ``file`` each came from.
 
     Files have no global row order: pass validators the columns that define it.
+    Lines end at a line feed only: a bare carriage return is white space in JSON.
     """
-    lines = spark.read.text(path).withColumn("file", F.col("_metadata.file_path"))
+    lines = spark.read.option("lineSep", "\n").text(path).withColumn("file", F.col("_metadata.file_path"))
     return rows_from_lines(lines)
 
 
@@ -106,6 +107,7 @@ def stream_jsonl(spark: SparkSession, path: str, **options) -> DataFrame:
     """The same over a growing directory, as a stream."""
     lines = (
         spark.readStream.options(**options)
+        .option("lineSep", "\n")
         .text(path)
         .withColumn("file", F.col("_metadata.file_path"))
     )

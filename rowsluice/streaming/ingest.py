@@ -8,14 +8,13 @@ duplicates.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
-from rowsluice.operators.keys import has_all, join_by_key
+from rowsluice.operators.keys import has_all, row_digest
 from rowsluice.operators.project import write_projection
 from rowsluice.operators.spec import TableSpec
 from rowsluice.operators.validate import ValidationFailed, Validator
@@ -28,11 +27,16 @@ class Ingest:
     """A streaming load of one table into folders below ``root``.
 
     ``loaded`` holds target rows, ``rejected`` violations and ``keys`` the
-    digests of every unique key seen so far, which is what makes uniqueness
-    hold over the whole stream. Keys are kept for good, as a duplicate may
+    digests of the unique keys of all loaded rows, which is what makes
+    uniqueness hold over the whole stream; a rejected row keeps no key from a
+    later one. Keys are kept for good, as a duplicate may
     arrive at any time, and live in files rather than in operator state, so
     their number is bounded by storage and not by memory.
 
+    Key files are partitioned by the first ``prefix`` digits of the digest, and a
+    batch reads the partitions it has digests for; more digits suit long streams
+    of small batches.
+
     ``policy`` is ``quarantine`` or ``abort``; the latter fails the query at
     the first bad batch and keeps the batches before it.
     """
@@ -43,6 +47,7 @@ class Ingest:
     row: str | None = "row"
     strict: bool = False
     policy: str = "quarantine"
+    prefix: int = 1
 
     def path(self, part: str, batch_id: int | None = None) -> str:
         base = f"{self.root.rstrip('/')}/{part}"
@@ -56,24 +61,21 @@ class Ingest:
         cached = [batch]
         try:
             violations = validator.violations(batch, unique=False)
-            keyed = self._keyed(batch)
-            if keyed is not None:
-                seen = self._seen(keyed, batch_id).persist()
-                cached.append(seen)
-                violations = violations.unionByName(self._repeats(keyed, seen))
+            marked, labels = self._marked(validator, batch, batch_id)
+            marked = marked.persist()
+            cached.append(marked)
+            for i, label in enumerate(labels):
+                violations = violations.unionByName(self._repeats(marked, i, label))
             violations = violations.persist()
             cached.append(violations)
             if self.policy == "abort":
                 first = violations.orderBy(*self.order, "ordinal", "rule").limit(1).collect()
                 if first:
                     raise ValidationFailed(first[0])
-            bad = violations.select(*self.order).distinct()
-            good = batch.join(bad, list(self.order), "left_anti")
-            if keyed is not None:
-                seen.filter(~F.col("known")).select("digest").write.mode("overwrite").parquet(
-                    self.path(KEYS, batch_id)
-                )
-            write_projection(good, self.spec, self.row).write.mode("overwrite").parquet(
+            good = marked.filter(~F.col("rejected"))
+            if labels:
+                self._keep_keys(good, len(labels), batch_id)
+            write_projection(good.select(*batch.columns), self.spec, self.row).write.mode("overwrite").parquet(
                 self.path(LOADED, batch_id)
             )
             violations.write.mode("overwrite").parquet(self.path(REJECTED, batch_id))
@@ -81,69 +83,79 @@ class Ingest:
             for frame in cached:
                 frame.unpersist()
 
-    def _keyed(self, batch: DataFrame) -> DataFrame | None:
-        """One row per row and unique key: row order, key name, key digest."""
-        validator = Validator(self.spec, self.order, self.row, self.strict, convertible=True)
-        keyed, keys = validator.keyed(batch)
-        parts = []
-        for names, key in keys:
-            label = ",".join(key)
-            digest = F.sha2(F.concat_ws("\x1f", F.lit(label), *[F.col(n).cast("string") for n in names]), 256)
-            parts.append(
-                keyed.filter(has_all(names)).select(
-                    *self.order, F.lit(label).alias("column_name"), digest.alias("digest")
+    def _marked(self, validator: Validator, batch: DataFrame, batch_id: int) -> tuple[DataFrame, list[str]]:
+        """The batch with its verdict as a column, a digest of each unique key, and the keys that repeat.
+
+        The verdict travels with its row, so neither missing nor equal row
+        orders can attach it to another one. Keys compete among rows that break
+        no other rule and are not known from earlier batches.
+        """
+        prepared = validator.prepared(batch)
+        rows = prepared.select(*batch.columns, validator.any_bad(prepared).alias("rejected"))
+        keyed, keys = validator.keyed(rows)
+        labels = [",".join(key) for _, key in keys]
+        digests = {}
+        for i, (names, _) in enumerate(keys):
+            parts = F.struct(F.lit(labels[i]).alias("key"), *[F.col(n).alias(f"p{j}") for j, n in enumerate(names)])
+            digests[f"_digest{i}"] = F.when(has_all(names), F.sha2(F.to_json(parts), 256))
+        rows = keyed.withColumns(digests).select(*batch.columns, "rejected", *digests)
+        known = self._known(rows, list(digests), batch_id) if keys else None
+        if known is not None:
+            for i, digest in enumerate(digests):
+                hits = known.select(F.col("digest").alias(digest), F.lit(True).alias(f"_known{i}"))
+                rows = rows.join(hits, digest, "left").withColumn(
+                    f"_known{i}", F.coalesce(f"_known{i}", F.lit(False)) & ~F.col("rejected")
                 )
+            for i in range(len(keys)):
+                rows = rows.withColumn("rejected", F.col("rejected") | F.col(f"_known{i}"))
+        # A batch is small enough to be dealt by its keys; rows without one are spread by their content.
+        content = row_digest(batch)
+        for i, digest in enumerate(digests):
+            alive = ~F.col("rejected") & F.col(digest).isNotNull()
+            group = F.when(alive, F.col(digest)).otherwise(content.cast("string"))
+            nth = F.row_number().over(Window.partitionBy(group).orderBy(*self.order, content))
+            known_too = F.col(f"_known{i}") if known is not None else F.lit(False)
+            rows = rows.withColumn("_again", alive & (nth > 1)).withColumns(
+                {f"_repeat{i}": F.col("_again") | known_too, "rejected": F.col("rejected") | F.col("_again")}
             )
-        return reduce(DataFrame.unionByName, parts) if parts else None
+        return rows, labels
 
-    def _earlier_keys(self, batch: DataFrame, batch_id: int) -> DataFrame | None:
-        schema = T.StructType(
-            [T.StructField("digest", T.StringType()), T.StructField("batch_id", T.LongType())]
-        )
-        if batch_id == 0:
-            return None
-        spark = batch.sparkSession
+    def _known(self, rows: DataFrame, digests: list[str], batch_id: int) -> DataFrame | None:
+        """Digests of the batch that earlier batches loaded.
+
+        Only the partitions of the key files are read that the batch has digests for.
+        """
+        mine = rows.select(F.explode(F.array(*digests)).alias("digest")).filter("digest IS NOT NULL").distinct()
+        prefixes = [r[0] for r in mine.select(F.substring("digest", 1, self.prefix).alias("p")).distinct().collect()]  # 16 ** prefix at most
+        spark = rows.sparkSession
         try:
-            stored = spark.read.schema(schema).option("basePath", self.path(KEYS)).parquet(self.path(KEYS))
-        except Exception as problem:
-            if "PATH_NOT_FOUND" in str(problem):
+            stored = spark.read.schema("digest string, prefix string, batch_id long").parquet(self.path(KEYS))
+        except AnalysisException as problem:
+            if problem.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
-        return stored.filter(F.col("batch_id") < batch_id).select("digest")
-
-    def _seen(self, keyed: DataFrame, batch_id: int) -> DataFrame:
-        """Keys of the batch: how often and where first, and whether known from
-        earlier batches. The key files hold every key once, and are filtered
-        by the (small) batch rather than shuffled to meet it."""
-        firsts = keyed.groupBy("digest").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.struct(*self.order)).alias("first")
-        )
-        earlier = self._earlier_keys(keyed, batch_id)
-        if earlier is None:
-            return firsts.withColumn("known", F.lit(False))
-        known = earlier.join(firsts.select("digest"), "digest", "left_semi")
-        return firsts.join(known.withColumn("known", F.lit(True)), "digest", "left").withColumn(
-            "known", F.coalesce("known", F.lit(False))
+        earlier = stored.filter(F.col("prefix").isin(prefixes) & (F.col("batch_id") < batch_id))
+        return earlier.select("digest").join(mine, "digest", "left_semi").distinct()
+
+    def _keep_keys(self, good: DataFrame, n: int, batch_id: int) -> None:
+        """Digests of the loaded rows; a replayed batch overwrites its own files."""
+        digests = good.select(F.explode(F.array(*[f"_digest{i}" for i in range(n)])).alias("digest"))
+        digests = digests.filter("digest IS NOT NULL").select(
+            "digest", F.substring("digest", 1, self.prefix).alias("prefix"), F.lit(batch_id).cast("long").alias("batch_id")
         )
+        writer = digests.repartition("prefix").sortWithinPartitions("prefix", "digest").write.mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").partitionBy("prefix", "batch_id").parquet(self.path(KEYS))
 
-    def _repeats(self, keyed: DataFrame, seen: DataFrame) -> DataFrame:
-        """Rows whose unique key came in an earlier batch or earlier in this one."""
-        marked = seen.filter(F.col("known") | (F.col("n") > 1))
-        hits = join_by_key(keyed, marked, ["digest"], "n", list(self.order)).filter(
-            F.col("known") | (F.struct(*self.order) != F.col("first"))
-        )
-        ordinals = F.create_map(
-            *[x for i, c in enumerate(self.spec.columns, 1) for x in (F.lit(c.name), F.lit(i))]
-        )
-        return hits.select(
+    def _repeats(self, marked: DataFrame, i: int, label: str) -> DataFrame:
+        """Rows whose i-th unique key came in an earlier batch or earlier in this one."""
+        ordinal = self.spec.by_name[label.split(",")[0].lower()][0]
+        return marked.filter(F.col(f"_repeat{i}")).select(
             *self.order,
-            ordinals[F.split("column_name", ",")[0]].alias("ordinal"),
-            "column_name",
+            F.lit(ordinal).alias("ordinal"),
+            F.lit(label).alias("column_name"),
             F.lit("unique").alias("rule"),
-            F.col("digest").alias("value"),
-            F.concat(
-                F.lit('duplicate value for unique column "'), "column_name", F.lit('"')
-            ).alias("message"),
+            F.col(f"_digest{i}").alias("value"),
+            F.lit(f'an earlier row has the same "{label}"').alias("message"),
             F.lit(self.spec.name).alias("table_name"),
         )
 

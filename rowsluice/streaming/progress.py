@@ -1,90 +1,34 @@
-"""Waiting for a pipeline to get ready, and progress of streaming queries."""
+"""Progress of streaming loads, from the query's own state."""
 
 from __future__ import annotations
 
-import time
-from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from rowsluice.operators.progress import progress_percent, progress_totals
-
-# Waiting defaults in seconds and the states that end a wait.
-DEFAULT_TIMEOUT = 20 * 60
-DEFAULT_INTERVAL = 3
-FINAL_STATES = ("ready", "failed")
-
 
 @dataclass(frozen=True)
-class State:
-    overall: str
-    percent: int = 0
-    detail: str = ""
-
-
-class GenerationFailed(RuntimeError):
-    pass
-
-
-def summary_line(state: State) -> str:
-    """What a log shows of a state."""
-    if state.overall == "failed":
-        return "failed"
-    if state.overall == "ready":
-        return "ready 100%"
-    if state.overall == "generating":
-        return f"generating {state.percent}%"
-    if state.overall == "relationships":
-        return f"relationships ({state.detail or 0} found)"
-    return "parsing"
+class LoadProgress:
+    """Micro-batches that Spark still remembers, the number of the last one, and their mean seconds.
 
+    Rows are not counted here: a batch that is read more than once inside
+    foreachBatch counts its input each time. Count the target instead.
+    """
 
-def wait_until_ready(
-    poll: Callable[[], State],
-    timeout: float = DEFAULT_TIMEOUT,
-    interval: float = DEFAULT_INTERVAL,
-    report: Callable[[str], None] | None = print,
-) -> State:
-    """Poll until ready, raising on failure or timeout; reports changes only."""
-    deadline, shown = time.monotonic() + timeout, None
-    while True:
-        state = poll()
-        line = summary_line(state)
-        if report is not None and line != shown:
-            report(line)
-            shown = line
-        if state.overall == "ready":
-            return state
-        if state.overall == "failed":
-            raise GenerationFailed(f"generation failed: {state.detail or 'no detail'}")
-        if time.monotonic() > deadline:
-            raise TimeoutError(f"timed out after {timeout}s (state: {state.overall})")
-        time.sleep(interval)
+    batches: int
+    last_batch: int | None
+    mean_seconds: float
 
 
-def state_of(tables: DataFrame, overall: str, reported: int = 0) -> State:
-    """State of a pipeline from its per-table progress rows (one small job)."""
-    percent = (
-        progress_totals(tables)
-        .select(
-            progress_percent(
-                F.col("generated"), F.col("requested"), F.lit(reported), F.lit(overall)
-            )
-        )
-        .first()[0]
-    )
-    return State(overall, percent)
+def progress_of(query: StreamingQuery) -> LoadProgress:
+    """How far a running or finished query is."""
+    recent = query.recentProgress
+    times = [p["durationMs"].get("triggerExecution", 0) / 1000 for p in recent]
+    return LoadProgress(len(recent), recent[-1]["batchId"] if recent else None, sum(times) / len(times) if times else 0.0)
 
 
-def query_state(query: StreamingQuery, requested: int, loaded: Callable[[], int]) -> State:
-    """State of a streaming load. ``loaded`` counts rows in the target: a
-    query's own input counter counts every rescan inside foreachBatch."""
-    failure = query.exception()
-    if failure is not None:
-        return State("failed", detail=str(failure).splitlines()[0])
-    done = loaded()
-    percent = min(100, done * 100 // requested) if requested > 0 else 0
-    return State("generating" if query.isActive else "ready", percent)
+def finished(query: StreamingQuery, seconds: float) -> LoadProgress:
+    """Wait for the end of a query; its failure is raised, as is the end of patience."""
+    if not query.awaitTermination(int(seconds)):
+        raise TimeoutError(f"still running after {seconds} s: {query.status['message']}")
+    return progress_of(query)
