@@ -9,8 +9,8 @@ Classes that can link share a shingle among the first quarter of each in one glo
 group's points are bulk-loaded into an R-tree: leaves of similar points keep the maximum of each
 coordinate, and pairs of leaves, then pairs of points, are dropped by their bound. Surviving
 pairs are verified on the texts. Small groups are a single leaf. Large groups are split into
-tiles, and in the first round give one edge from each point to its cluster's medoid; the second
-round compares what is in different components by then. So no link between components is lost,
+tiles; classes are first compared with the smallest id of their group, then with the medoid of their
+cluster in the tree, and at last with all points of their tile that are in other components by then. So no link between components is lost,
 and no group emits all of its pairs.
 
 Defined cases: null and empty texts have empty sets and link with nothing; a text with fewer
@@ -243,7 +243,7 @@ def _trees(batches: Iterator[pa.RecordBatch], share: int, second: bool) -> Itera
                     other = rows[other[root[rows[other]] != root[rows[x]]]]
                     found.update((min(int(rows[x]), int(o)), max(int(rows[x]), int(o))) for o in other)
             else:
-                found.update((int(rows[m]), int(rows[o])) for m, o in tree.stars(share))
+                found.update((int(rows[m]), int(rows[o])) for m, o in tree.stars(share) if root[rows[m]] != root[rows[o]])
         i = np.array(sorted(found), np.int64).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays(
             [pa.array(ids[i[:, 0]]), pa.array(tags[i[:, 0]]), pa.array(ids[i[:, 1]]), pa.array(tags[i[:, 1]])],
@@ -341,12 +341,21 @@ class JaccardJoin:
             dealt = points.repartition("tile").sortWithinPartitions("tile")
             return dealt.mapInArrow(partial(_trees, share=self.share, second=second), schema)
 
-        first = self._verify(rows, bounded.unionByName(compared(placed.withColumn("root", F.col("id")), False)))
-        roots = components(first)
-        labelled = placed.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-        mixed = labelled.groupBy("tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
-        second = self._verify(rows, compared(labelled.join(mixed.select("tile"), "tile"), True))
-        return first.unionByName(second)
+        # first each class of a large group with the group's smallest id, which its copies are likely to follow
+        leaders = large.groupBy("gram", "band").agg(F.min("id").alias("leader"))
+        stars = large.join(leaders, ["gram", "band"]).filter("id <> leader").select("id", "leader").distinct()
+        end = lambda x, on: classes.select(F.col("id").alias(on), *(F.col(n).alias(f"{n}_{x}") for n in ("id", "tag", "n", "point")))
+        stars = stars.join(end("a", "id"), "id").join(end("b", "leader"), "leader")
+        followed = stars.mapInArrow(partial(_bounded, share=self.share), schema)
+        links = self._verify(rows, bounded.unionByName(followed))
+        # then medoids, then all that may link, but only between components of a tile
+        for second in (False, True):
+            roots = components(links)
+            labelled = placed.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+            mixed = labelled.groupBy("tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
+            found = self._verify(rows, compared(labelled.join(mixed.select("tile"), "tile"), second))
+            links = links.unionByName(found)
+        return links
 
     def labelled(self, docs: DataFrame) -> DataFrame:
         """id, tag, n and root: the smallest id of each row's component."""
