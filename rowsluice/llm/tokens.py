@@ -4,6 +4,9 @@ Byte-level BPE never merges across a space that is followed by a non-space, so a
 be cut there: each piece is encoded once per worker and looked up afterwards. New pieces of
 a chunk are encoded together by the library and cut apart by their ids' byte lengths. The
 table of known pieces is emptied when it reaches its bound.
+
+A text that spells one of the vocabulary's added tokens gets that token's id there, as by the
+library's own call, and is encoded whole: spaces beside an added token are no safe cut.
 """
 
 from __future__ import annotations
@@ -23,12 +26,16 @@ END = 2
 
 
 class Encoder:
-    def __init__(self, path: str):
+    """``as_text``: added tokens spelled in a text are encoded as ordinary text."""
+
+    def __init__(self, path: str, as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        added = [] if as_text else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         vocabulary = self.tokenizer.get_vocab()
         self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
@@ -75,12 +82,15 @@ class Encoder:
         """Ids of all texts and the number of each text's ids, with the end id after each text."""
         if self.chars > KNOWN_CHARS:
             self._clear()
-        pieces = [CUT.split(t) if UNSAFE.search(t) else t.split(" ") for t in texts]
+        whole = self.added.search if self.added else lambda t: None
+        pieces = [[t] if whole(t) else CUT.split(t) if UNSAFE.search(t) else t.split(" ") for t in texts]
         heads = [p[0] for p in pieces]
         for head in {h for h in heads if h not in self.leading}:
+            self.tokenizer.encode_special_tokens = not whole(head)
             ids = np.array(self.tokenizer.encode(head, add_special_tokens=False).ids, np.uint32)
             self.leading[head] = self._add(ids, np.array([len(ids)]))
             self.chars += len(head) + 16
+        self.tokenizer.encode_special_tokens = True
         known = self.inner
         new = {s for p in pieces for s in p[1:] if s not in known}
         self._learn(list(new))
@@ -101,8 +111,8 @@ class Encoder:
 
 
 def encoder(path: str) -> Encoder:
-    """This worker's encoder."""
-    return c.once(f"encoder {path}", lambda: Encoder(path))
+    """This worker's encoder, with the ids of the library's default call."""
+    return c.once(f"encoder {path}", lambda: Encoder(path, as_text=False))
 
 
 def encoded(column, path: str):

@@ -228,6 +228,25 @@ def test_encoder_cuts_nowhere_wrong():
         assert ids[e - n : e].tolist() == want
 
 
+def test_added_tokens_get_the_ids_of_the_librarys_call(spark):
+    library = Tokenizer.from_file(tokenizer_path())  # unmodified
+    r = random.Random(4)
+    parts = ["<|endoftext|>", "<|endoftext|", " ", "  ", "\n", "a b", "é", "don't", "w1 w2 "]
+    rows = [(i, "".join(r.choice(parts) for _ in range(r.randint(0, 12)))) for i in range(300)]
+    rows += [(300, "a <|endoftext|> b"), (301, "a  <|endoftext|>"), (302, "<|endoftext|> " + prose(1, 1500)), (303, None)]
+    want = {i: library.encode(t or "", add_special_tokens=False).ids + [2] for i, t in rows}
+    assert want[300] == [64, 220, 50256, 275, 2]
+    ids, counts = Encoder(tokenizer_path(), as_text=False).encode([t or "" for _, t in rows])
+    ends = np.cumsum(counts)
+    assert all(ids[e - n : e].tolist() == want[i] for (i, _), n, e in zip(rows, counts, ends))
+    found = {d["doc_id"]: (d["n_tokens"], d["ids_crc32"]) for d in TokenFiles(tokenizer_path()).round_trip(frame(spark, rows)).collect()}
+    assert found == {i: (len(x), crc(x)) for i, x in want.items()}
+    packed = Packer(tokenizer_path()).packed(frame(spark, rows)).collect()
+    for p in packed:
+        assert p["ids_crc32"] == crc(want[p["doc_id"]][p["start"] : p["start"] + p["length"]])
+    assert sum(p["length"] for p in packed) == sum(map(len, want.values()))
+
+
 def test_quality(spark, rows):
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     got = LineFrequency(host="source").judged(frame(spark, rows))
