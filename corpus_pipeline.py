@@ -33,8 +33,8 @@ def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The place of each document's pieces in sequences of tokens."""
-    return Packer(tokenizer_path()).packed(docs)
+    """The token ids of each document's pieces and their place in sequences."""
+    return Packer(tokenizer_path()).placed(docs)
 
 
 STAGES = [

@@ -5,7 +5,8 @@ available finds the fullest way to fill its rest. That search needs only the num
 pieces of each length, at most ``capacity`` numbers however large the corpus is, and a found
 combination is repeated for as long as its lengths last. Pieces then find their bin by their
 rank among pieces of equal length: tasks count their own pieces, the counts of tasks are
-summed in order, and no group of equal lengths meets in one task.
+summed in order, and no group of equal lengths meets in one task. The ids of each piece are kept
+with it: ``sequences`` has them in their order, ``packed`` a checksum of them.
 
 Defined cases: a null or empty text is one piece with the end id; a document longer than the
 capacity is cut, its first piece taking the remainder; repeated rows are packed once each; an
@@ -14,7 +15,6 @@ empty table gives no rows; further columns are ignored.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
@@ -25,11 +25,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from rowsluice.llm import common as c
+from rowsluice.llm.anchors import blob_column, blobs, runs, whole_groups
 from rowsluice.llm.tokens import encoded
 
 PIECES = pa.schema(
     [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
-     ("ids_crc32", pa.int64()), ("part", pa.int64()), ("rank", pa.int64())]
+     ("ids", pa.binary()), ("part", pa.int64()), ("rank", pa.int64())]
 )
 
 
@@ -43,9 +44,7 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iterato
             head = counts - (n - 1) * capacity
             start = np.where(piece > 0, head[doc] + (piece - 1) * capacity, 0)
             length = np.where(piece > 0, capacity, head[doc])
-            at = start + (np.cumsum(counts) - counts)[doc]
-            raw = memoryview(ids.astype("<u4").tobytes())
-            crc = [zlib.crc32(raw[4 * a : 4 * z]) for a, z in zip(at.tolist(), (at + length).tolist())]
+            raw = blob_column(ids.astype("<u4"), 4 * length)  # pieces follow each other as the ids do
             order = np.argsort(length, kind="stable")
             ordered = length[order]
             rank = np.empty(len(length), np.int64)
@@ -53,7 +52,7 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iterato
             seen += np.bincount(length, minlength=capacity + 1)
             yield pa.RecordBatch.from_arrays(
                 [b["doc_id"].slice(first, end - first).take(pa.array(doc)), pa.array(piece, pa.int32()),
-                 pa.array(start), pa.array(length), pa.array(crc, pa.int64()),
+                 pa.array(start), pa.array(length), raw,
                  pa.array(np.full(len(doc), part)), pa.array(rank)],
                 schema=PIECES,
             )
@@ -118,24 +117,42 @@ def _placed(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatc
         length, rank = b["length"].to_numpy(), b["rank"].to_numpy()
         at = np.searchsorted(keys, length << 48 | rank, "right") - 1
         nth, of = np.divmod(rank - slots["rank"][at], slots["multiple"][at])
+        kept = [x for x in b.schema.names if x != "rank"]
         yield pa.RecordBatch.from_arrays(
-            [*b.columns[:5], pa.array(slots["bin"][at] + nth), pa.array(slots["place"][at] + of * length)],
-            names=[*b.schema.names[:5], "sequence_id", "offset"],
+            [*(b[x] for x in kept), pa.array(slots["bin"][at] + nth), pa.array(slots["place"][at] + of * length)],
+            names=[*kept, "sequence_id", "offset"],
         )
 
 
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sequences from rows ordered by sequence and offset: the ids of one follow each other already."""
+    for b in whole_groups(batches, "sequence_id"):
+        key = b["sequence_id"].to_numpy()
+        first = runs(key)
+        cuts = pa.array(np.append(first, len(key)).astype(np.int32))
+        data, ends = blobs(b["ids"])
+        ids = np.frombuffer(data.tobytes(), "<u4").astype(np.int32)
+        at = (ends[np.append(first, len(key))] // 4).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(key[first]), pa.ListArray.from_arrays(pa.array(at), pa.array(ids)),
+             *(pa.ListArray.from_arrays(cuts, b[x]) for x in ("doc_id", "piece", "offset"))],
+            names=["sequence_id", "ids", "doc_ids", "pieces", "offsets"],
+        )
+
+
 @dataclass(frozen=True)
 class Packer:
     tokenizer: str
     capacity: int = 1024
 
     def pieces(self, docs: DataFrame) -> DataFrame:
+        """The pieces of all documents with their ids (32 bits each, little-endian), stored."""
         rows = docs.select(F.col("doc_id").cast("long"), "text")
-        schema = "doc_id long, piece int, start long, length long, ids_crc32 long, part long, rank long"
+        schema = "doc_id long, piece int, start long, length long, ids binary, part long, rank long"
         return c.stored(rows.mapInArrow(partial(_cut, path=self.tokenizer, capacity=self.capacity), schema), "pieces")
 
-    def packed(self, docs: DataFrame) -> DataFrame:
-        """doc_id, piece, start, length, ids_crc32, sequence_id, offset: a row per piece."""
+    def placed(self, docs: DataFrame, with_ids: bool = True) -> DataFrame:
+        """doc_id, piece, start, length, ids_crc32, ids, sequence_id, offset: a row per piece."""
         pieces = self.pieces(docs)
         by_task = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
         counts = np.zeros(self.capacity + 1, np.int64)
@@ -145,8 +162,20 @@ class Packer:
         shared = docs.sparkSession.sparkContext.broadcast(_slots(plan))
         before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
         offsets = by_task.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier"))
-        ranked = pieces.join(offsets, ["length", "part"]).select(
-            "doc_id", "piece", "start", "length", "ids_crc32", (F.col("rank") + F.col("earlier")).alias("rank")
-        )
-        schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
+        pieces = pieces.withColumn("ids_crc32", F.crc32("ids"))
+        shown = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
+        ranked = pieces.select(*shown, "part", "rank").join(offsets, ["length", "part"])
+        ranked = ranked.select(*shown, (F.col("rank") + F.col("earlier")).alias("rank"))
+        ids = "ids binary, " if with_ids else ""
+        schema = f"doc_id long, piece int, start long, length long, ids_crc32 long, {ids}sequence_id long, offset long"
         return ranked.mapInArrow(partial(_placed, shared=shared), schema)
+
+    def packed(self, docs: DataFrame) -> DataFrame:
+        """doc_id, piece, start, length, ids_crc32, sequence_id, offset: a row per piece."""
+        return self.placed(docs, with_ids=False)
+
+    def sequences(self, docs: DataFrame) -> DataFrame:
+        """sequence_id, its token ids, and doc_ids, pieces and offsets of what it holds: a row per sequence."""
+        dealt = self.placed(docs).repartition("sequence_id").sortWithinPartitions("sequence_id", "offset")
+        schema = "sequence_id long, ids array<int>, doc_ids array<long>, pieces array<int>, offsets array<long>"
+        return dealt.mapInArrow(_joined, schema)

@@ -178,6 +178,21 @@ def test_packing(spark, rows):
     assert got.sequence_id.nunique() <= len(bins)
 
 
+def test_sequences_hold_the_ids(spark, rows):
+    unique = [r for r in rows if r[0] not in (90, 91, None)]
+    packer, docs = Packer(tokenizer_path(), capacity=256), frame(spark, unique)
+    want, found, seen = dict(packed_ids(unique)), {}, set()
+    for s in packer.sequences(docs).collect():
+        assert 0 < len(s["ids"]) <= 256 and s["sequence_id"] not in seen and s["offsets"][0] == 0
+        seen.add(s["sequence_id"])
+        for d, p, a, z in zip(s["doc_ids"], s["pieces"], s["offsets"], [*s["offsets"][1:], len(s["ids"])]):
+            found[d, p] = s["ids"][a:z]
+    assert {i: sum((found[k] for k in sorted(found) if k[0] == i), []) for i in want} == want
+    for r in packer.placed(docs).collect():
+        assert np.frombuffer(r["ids"], "<u4").tolist() == want[r["doc_id"]][r["start"] : r["start"] + r["length"]]
+        assert zlib.crc32(r["ids"]) == r["ids_crc32"]
+
+
 def test_minimum_slack_fills_bins():
     counts = np.zeros(101, np.int64)
     counts[[60, 40, 35, 25, 100, 1]] = [5, 3, 4, 5, 2, 1]
