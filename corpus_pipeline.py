@@ -13,8 +13,8 @@ from rowsluice.llm.quality import LineFrequency
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules accept."""
-    return LineFrequency().accepted(docs)
+    """Documents that the quality rules accept, without boilerplate lines."""
+    return LineFrequency().cleaned(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,7 +4,9 @@ Lines are normalised (ASCII lower case, digits as 0, white space collapsed) and
 For each host the distinct texts with a line are counted; a line in more than
 ``max_texts`` of them is boilerplate and is removed from all of the host's documents but
 the first (smallest id) that has it. A document that keeps less than ``least_left`` of its
-words is depleted and rejected, as is one that breaks the base rules.
+words is depleted and rejected, as is one that breaks the base rules. The first document is the
+first that passes the base rules; with ``first_passing=False`` rejected ones can be it too.
+``cleaned`` returns the accepted documents without the removed lines.
 
 Defined cases: a null or empty text has no words and fails the base rules; a null host is
 one host of its own; exact copies count as one text; repeated rows get equal rows; an empty
@@ -75,6 +77,7 @@ def _profile_chunk(data: np.ndarray, offsets: np.ndarray) -> dict:
     place = (np.arange(len(starts)) - np.repeat(line_first[:-1], np.diff(line_first))).astype(c.U)
     spread = c.mix(normal + place * c.U(0x9E3779B97F4A7C15))
     out["lines"] = c.mix(np.add.reduceat(spread, new)).view(np.int64) if len(new) else np.zeros(0, np.int64)
+    out["line_begin"], out["line_end"] = begin, end
     out["line_words"] = np.diff(line_first).astype(np.int32)
     out["line_offsets"] = np.searchsorted(line_doc, np.arange(n_docs + 1)).astype(np.int32)
     out["text_hash"] = c.range_hash(data, offsets[:-1], offsets[1:]).view(np.int64)
@@ -98,6 +101,35 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _shortened(texts: pa.Array, removed: pa.Array) -> Iterator[bytes]:
+    """Each text without the lines whose hashes are listed for it."""
+    for first, _, data, offsets in c.chunks(texts):
+        got = _profile_chunk(data, offsets)
+        cuts = got["line_offsets"]
+        for i, (a, z) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
+            lines = slice(cuts[i], cuts[i + 1])
+            gone = np.isin(got["lines"][lines], removed[first + i].values.to_numpy())
+            begins, ends = got["line_begin"][lines][gone], got["line_end"][lines][gone]
+            drop = c.flags_from_ranges(z - a, begins - a, np.minimum(ends + 1, z) - a)
+            text = data[a:z][~drop].tobytes()
+            # no line follows the break before a removed last line
+            yield text[:-1] if len(ends) and ends[-1] == z and text.endswith(b"\n") else text
+
+
+def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the lines listed in __lines removed from their text."""
+    for b in batches:
+        lines, at = b["__lines"], b.schema.get_field_index("text")
+        b = b.drop_columns(["__lines"])
+        some = np.flatnonzero(lines.is_valid().to_numpy(zero_copy_only=False))
+        if len(some):
+            texts, rows = b["text"].to_pylist(), pa.array(some)
+            for i, text in zip(some.tolist(), _shortened(b["text"].take(rows), lines.take(rows))):
+                texts[i] = text.decode()
+            b = b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type))
+        yield b
+
+
 @dataclass(frozen=True)
 class LineFrequency:
     """``max_texts``: distinct texts of a host that may share a line; ``least_left``: share of words to keep."""
@@ -106,6 +138,10 @@ class LineFrequency:
     least_left: float = 0.2
     min_words: int = 50
     host: str = "source"
+    first_passing: bool = True
+
+    def _failed(self):
+        return (F.col("n_words") < self.min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
 
     def keyed(self, docs: DataFrame) -> DataFrame:
         """doc_id, text, host and a key of the row."""
@@ -126,16 +162,20 @@ class LineFrequency:
 
     def boilerplate(self, profile: DataFrame) -> DataFrame:
         """host, line, first_doc of the lines above the limit."""
-        lines = profile.select("host", "text_hash", "doc_id", F.explode(F.array_distinct("lines")).alias("line"))
-        texts = lines.groupBy("host", "line", "text_hash").agg(F.min("doc_id").alias("doc_id"))
+        passes = F.lit(True) if not self.first_passing else ~self._failed()
+        lines = profile.select(
+            "host", "text_hash", "doc_id", passes.alias("passes"), F.explode(F.array_distinct("lines")).alias("line")
+        )
+        texts = lines.groupBy("host", "line", "text_hash").agg(F.min("doc_id").alias("doc_id"), F.max("passes").alias("passes"))
+        first = F.coalesce(F.min(F.when(F.col("passes"), F.col("doc_id"))), F.min("doc_id"))
         return (
             texts.groupBy("host", "line")
-            .agg(F.count("*").alias("n_texts"), F.min("doc_id").alias("first_doc"))
+            .agg(F.count("*").alias("n_texts"), first.alias("first_doc"))
             .filter(F.col("n_texts") > self.max_texts)
         )
 
     def judged(self, docs: DataFrame) -> DataFrame:
-        """Base counts, words in removed lines and the verdict, a row per document."""
+        """Base counts, words and hashes of removed lines and the verdict, a row per document."""
         profile = self.profile(docs)
         salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
         common = self.boilerplate(profile).select("host", "line", "first_doc", salts.alias("salt"))
@@ -145,25 +185,35 @@ class LineFrequency:
             .select("row", "doc_id", "host", "salt", F.col("l.lines").alias("line"), F.col("l.line_words").alias("w"))
             .join(common, ["host", "line", "salt"])
             .filter(F.col("doc_id") != F.col("first_doc"))
-            .groupBy("row").agg(F.sum("w").alias("n_removed"))
+            .groupBy("row").agg(F.sum("w").alias("n_removed"), F.collect_set("line").alias("removed"))
         )
-        failed = (F.col("n_words") < self.min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 50)
         left = F.col("n_words") - F.col("n_removed")
         return (
             profile.drop("lines", "line_words")
             .join(removed, "row", "left")
             .withColumn("n_removed", F.coalesce("n_removed", F.lit(0)))
-            .withColumn("base_failed", failed)
+            .withColumn("base_failed", self._failed())
             .withColumn("depleted", (F.col("n_removed") > 0) & (left < F.col("n_words") * self.least_left))
             .withColumn("kept", ~F.col("base_failed") & ~F.col("depleted"))
         )
 
-    def accepted(self, docs: DataFrame) -> DataFrame:
-        """The accepted documents with all of their columns."""
-        rejected = self.judged(docs).filter(~F.col("kept")).select(
-            F.col("key").alias("__key"), F.col("doc_id").alias("__id")
-        ).distinct()
+    def _with(self, docs: DataFrame, verdicts: DataFrame, how: str) -> DataFrame:
+        """``docs`` joined with verdicts (key, doc_id and further columns), whose rows are distinct."""
+        verdicts = verdicts.withColumnsRenamed({"key": "__key", "doc_id": "__id"})
         text, host = F.coalesce(F.col("text"), F.lit("")), F.coalesce(F.col(f"`{self.host}`"), F.lit(""))
         key = F.xxhash64(F.col("doc_id").cast("long"), text, host.cast("string"))
         match = (key == F.col("__key")) & F.col("doc_id").eqNullSafe(F.col("__id"))
-        return docs.join(rejected, match, "left_anti")
+        return docs.join(verdicts, match, how)
+
+    def accepted(self, docs: DataFrame) -> DataFrame:
+        """The accepted documents with all of their columns, texts as they are."""
+        return self._with(docs, self.judged(docs).filter(~F.col("kept")).select("key", "doc_id").distinct(), "left_anti")
+
+    def cleaned(self, docs: DataFrame) -> DataFrame:
+        """The accepted documents with all of their columns, the removed lines cut from their texts."""
+        told = self.judged(docs).filter(~F.col("kept") | (F.col("n_removed") > 0)).select(
+            "key", "doc_id", F.col("kept").alias("__kept"), F.col("removed").alias("__lines")
+        )
+        joined = self._with(docs, told.dropDuplicates(["key", "doc_id"]), "left").filter(F.coalesce("__kept", F.lit(True)))
+        columns = [F.col(f"`{n}`") for n in docs.columns]
+        return joined.select(*columns, "__lines").mapInArrow(_without, docs.schema)

@@ -280,6 +280,30 @@ def test_boilerplate_lines(spark):
     assert all(r["kept"] for r in LineFrequency(max_texts=12).judged(frame(spark, thin + rich)).collect())
 
 
+def test_cleaned_texts_have_no_boilerplate(spark):
+    line = " ".join(f"Menu{i}" for i in range(45))
+    ends = [f"{line}\n{{}}", f"{{}}\n  {line.upper()} ", f"{{}}\n\n{line}\nlast one\n", "é {}"]
+    own = {i: prose(i, 90, 100_000).strip() for i in range(1, 17)}
+    rows = [(0, line)] + [(i, ends[i % 4].replace("{}", x)) for i, x in own.items()]  # 0 has 45 words: fails the base rules
+    docs = frame(spark, [*rows, rows[1], (99, None)])
+    got = sorted((r["doc_id"], r["text"]) for r in LineFrequency(max_texts=10).cleaned(docs).collect())
+    cut = ["{}", "{}", "{}\n\nlast one\n", "é {}"]
+    want = [(i, (ends if i == 1 else cut)[i % 4].replace("{}", x)) for i, x in own.items()]  # 1 is the first that passes
+    assert got == sorted([*want, want[0]])
+    assert LineFrequency(max_texts=10).cleaned(docs).columns == docs.columns
+    old = LineFrequency(max_texts=10, first_passing=False).judged(docs).filter("doc_id = 1").first()
+    assert old["n_removed"] == 45
+
+
+def test_pipeline_passes_no_boilerplate_on(spark):
+    import corpus_pipeline
+
+    line = " ".join(f"menu{i}" for i in range(20))
+    docs = frame(spark, [(i, f"{line}\n{prose(i, 90, 100_000)}") for i in range(102)])
+    texts = {r["doc_id"]: r["text"] for r in corpus_pipeline.quality(spark, docs, "").collect()}
+    assert len(texts) == 102 and [i for i, t in texts.items() if "menu1" in t] == [0]
+
+
 def test_toxicity(spark):
     r = random.Random(2)
     rows = [(i, prose(i, 60) + (" you scum " if i % 4 == 0 else " dear friend ") + prose(i + 9000, r.randint(5, 40))) for i in range(400)]
