@@ -13,6 +13,11 @@ tiles; classes are first compared with the smallest id of their group, then with
 cluster in the tree, and at last with all points of their tile that are in other components by then. So no link between components is lost,
 and no group emits all of its pairs.
 
+That gives components (``connecting``, ``joined``, ``representatives``), not every link. ``pairs`` gives all links
+between classes: both ends of a link are in one component, so each component's classes are dealt to
+tiles in which every two of like size meet once, and all that the tile's tree allows are verified
+there. ``members`` counts the links of each document.
+
 Defined cases: null and empty texts have empty sets and link with nothing; a text with fewer
 words than a shingle is one shingle; repeated rows get equal rows, and rows of one id with different
 texts are judged each by its own; a null id is the smallest and comes back as null; an empty table
@@ -35,6 +40,7 @@ from rowsluice.llm.components import components
 
 LEAF = 16
 TILE = 2_000
+TILE_SHINGLES = 2_000_000
 ROWS = "id long, tag int, n long, c1 long, c2 long, point binary"
 
 
@@ -229,8 +235,8 @@ def _trees(batches: Iterator[pa.RecordBatch], share: int, second: bool) -> Itera
         ids, tags, n, root = (b[x].to_numpy(zero_copy_only=False) for x in ("id", "tag", "n", "root"))
         data, cuts = blobs(b["point"])
         for f, l in zip(first, np.append(first[1:], len(key))):
-            _, one = np.unique(ids[f:l], return_index=True)
-            at = one + f
+            order = np.lexsort((tags[f:l], ids[f:l]))  # classes of one id have different tags
+            at = f + order[runs(ids[f:l][order], tags[f:l][order])]
             if len(at) < 2 or (second and (root[at] == root[at[0]]).all()):
                 continue
             tree = RTree(n[at], [data[cuts[i] : cuts[i + 1]] for i in at])
@@ -251,6 +257,52 @@ def _trees(batches: Iterator[pa.RecordBatch], share: int, second: bool) -> Itera
         )
 
 
+def _linked(batches: Iterator[pa.RecordBatch], k: int, share: int) -> Iterator[pa.RecordBatch]:
+    """All links of tiles of a component's classes, each pair in one tile only."""
+    for b in whole_groups(batches, "tile"):
+        key = b["tile"].to_numpy()
+        first = runs(key)
+        own, other, band, low = (b[x].to_numpy() for x in ("own", "other", "band", "low"))
+        out_a, out_b, out_n = [], [], []
+        for f, l in zip(first.tolist(), np.append(first[1:], len(key)).tolist()):
+            sets = []
+            for start, end, data, offsets in c.chunks(b["text"].slice(f, l - f)):
+                doc, grams = shingle_sets(data, offsets, k)
+                cut = np.searchsorted(doc, np.arange(end - start + 1))
+                sets += [grams[a:z] for a, z in zip(cut[:-1], cut[1:])]
+            tree = RTree(np.array([len(s) for s in sets]), [point(s) for s in sets])
+            rows = f + tree.order
+            gram = np.unique(np.concatenate([sets[i] for i in tree.order]), return_inverse=True)[1]
+            cut = np.concatenate(([0], np.cumsum(tree.n)))
+            mark = np.zeros(len(gram), bool)
+            for x, row in enumerate(rows.tolist()):
+                near = tree.candidates(x, share)
+                near = near[near > x]
+                to = rows[near]
+                # the band of the larger of both, and the diagonal tile for classes of one bucket
+                once = (np.maximum(low[to], low[row]) == band[row]) & ((own[to] != own[row]) | (own[row] == other[row]))
+                near = near[once]
+                if not len(near):
+                    continue
+                size = tree.n[near]
+                begin = np.cumsum(size) - size
+                at = np.repeat(cut[near] - begin, size) + np.arange(size.sum())
+                mark[gram[cut[x] : cut[x + 1]]] = True
+                common = np.add.reduceat(mark[gram[at]].astype(np.int64), begin)
+                mark[gram[cut[x] : cut[x + 1]]] = False
+                links = (common > 0) & may_link(common, tree.n[x], size, share)
+                out_a.append(np.full(np.count_nonzero(links), row))
+                out_b.append(rows[near[links]])
+                out_n.append(common[links])
+        if out_a:
+            x, y = pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))
+            ends = [b[name].take(at) for at in (x, y) for name in ("id", "c1", "n")]
+            yield pa.RecordBatch.from_arrays(
+                [*ends, pa.array(np.concatenate(out_n))],
+                names=["id_a", "class_a", "n_a", "id_b", "class_b", "n_b", "n_common"],
+            )
+
+
 def _verified(batches: Iterator[pa.RecordBatch], k: int, share: int) -> Iterator[pa.RecordBatch]:
     """Pairs of texts that link."""
     for b in batches:
@@ -302,8 +354,8 @@ class JaccardJoin:
         one = profile.filter("n > 0").groupBy("c1", "c2", "n").agg(F.min("id").alias("id"), least.alias("x"))
         return c.stored(one.select("c1", "n", "id", "x.tag", "x.point"), "classes")
 
-    def links(self, docs: DataFrame, profile: DataFrame | None = None) -> DataFrame:
-        """a, b: verified links that connect all classes that links connect."""
+    def connecting(self, docs: DataFrame, profile: DataFrame | None = None) -> DataFrame:
+        """a, b: verified links that connect all classes that links connect; not all links."""
         rows = self._rows(docs)
         profile = self.profiled(docs) if profile is None else profile
         classes = self.classes(profile)
@@ -357,11 +409,69 @@ class JaccardJoin:
             links = links.unionByName(found)
         return links
 
+    def _links(self, docs: DataFrame, profile: DataFrame) -> DataFrame:
+        """id, class and size of both ends and the common shingles of all links between classes, stored."""
+        roots = components(self.connecting(docs, profile))
+        # a root has no row of its own; classes without links meet nothing, but for those that share an id
+        classes = self.classes(profile).join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+        low = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100.1 / self.share))).cast("int")
+        spread_out = classes.select("id", "tag", "c1", "n", "root", low.alias("low")).withColumn(
+            "band", F.explode(F.array(F.col("low"), F.col("low") + 1))
+        )
+        tiles = F.ceil(F.greatest(F.count("*") / TILE, F.sum("n") / TILE_SHINGLES)).cast("int")
+        sized = spread_out.groupBy("root", "band").agg(F.count("*").alias("size"), tiles.alias("tiles")).filter("size > 1")
+        placed = spread_out.join(sized, ["root", "band"]).withColumn(
+            "own", F.pmod(F.xxhash64("id", "tag"), F.col("tiles")).cast("int")
+        )
+        placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        tile = F.xxhash64("root", "band", F.least("own", "other"), F.greatest("own", "other")).alias("tile")
+        placed = c.stored(placed.select(tile, "id", "tag", "c1", "n", "low", "band", "own", "other"), "link-tiles")
+        rows = self._rows(docs).withColumn("id", F.coalesce("id", F.lit(LEAST_ID)))
+        texts = rows.join(placed.select("id", "tag").distinct(), ["id", "tag"]).dropDuplicates(["id", "tag"])
+        dealt = placed.join(texts, ["id", "tag"]).repartition("tile").sortWithinPartitions("tile")
+        schema = "id_a long, class_a long, n_a long, id_b long, class_b long, n_b long, n_common long"
+        return c.stored(dealt.mapInArrow(partial(_linked, k=self.k, share=self.share), schema), "all-links")
+
+    def pairs(self, docs: DataFrame) -> DataFrame:
+        """All links between different sets, each once: a, class_a, n_a, b, class_b, n_b, n_common.
+
+        ``a`` and ``b`` are the smallest ids of their classes; ``members`` lists a class's documents, which all link
+        with each other too. The rows are as many as there are links, in a near-copy group up to the square of its classes.
+        """
+        links = self._links(docs, self.profiled(docs))
+        end = lambda x: F.struct(F.col(f"id_{x}").alias("id"), F.col(f"class_{x}").alias("class"), F.col(f"n_{x}").alias("n"))
+        ordered = links.select(F.least(end("a"), end("b")).alias("x"), F.greatest(end("a"), end("b")).alias("y"), "n_common")
+        shown = lambda x: F.when(F.col(x) != LEAST_ID, F.col(x))
+        return ordered.select(
+            shown("x.id").alias("a"), F.col("x.class").alias("class_a"), F.col("x.n").alias("n_a"),
+            shown("y.id").alias("b"), F.col("y.class").alias("class_b"), F.col("y.n").alias("n_b"), "n_common",
+        )
+
+    def members(self, docs: DataFrame) -> DataFrame:
+        """doc_id, n_shingles, class, its representative and the number of other rows that link: a row per document."""
+        profile = self.profiled(docs)
+        sizes = c.stored(
+            profile.filter("n > 0").groupBy("c1", "c2", "n").agg(F.min("id").alias("rep"), F.count("*").alias("size")), "sizes"
+        )
+        links = self._links(docs, profile)
+        ends = links.select(F.col("id_a").alias("rep"), F.col("class_a").alias("c1"), F.col("id_b").alias("to"), F.col("class_b").alias("c")).union(
+            links.select("id_b", "class_b", "id_a", "class_a")
+        )
+        partners = sizes.select(F.col("rep").alias("to"), F.col("c1").alias("c"), F.col("size").alias("others"))
+        counted = ends.join(partners, ["to", "c"]).groupBy("rep", "c1").agg(F.sum("others").alias("others"))
+        each = sizes.join(counted, ["rep", "c1"], "left").withColumn("links", F.col("size") - 1 + F.coalesce("others", F.lit(0)))
+        shown = lambda x: F.when(F.col(x) != LEAST_ID, F.col(x))
+        rows = profile.select("id", "c1", "c2", "n").join(each.select("c1", "c2", "n", "rep", "links"), ["c1", "c2", "n"], "left")
+        return rows.select(
+            shown("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("c1").alias("class"),
+            shown("rep").alias("representative"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
+        )
+
     def labelled(self, docs: DataFrame) -> DataFrame:
         """id, tag, n and root: the smallest id of each row's component."""
         profile = self.profiled(docs)
         by_class = profile.filter("n > 0").groupBy("c1", "c2", "n").agg(F.min("id").alias("least"))
-        roots = components(self.links(docs, profile)).withColumnRenamed("id", "least")
+        roots = components(self.connecting(docs, profile)).withColumnRenamed("id", "least")
         classes = by_class.join(roots, "least", "left").select("c1", "c2", "n", F.coalesce("root", "least").alias("root"))
         return profile.select("id", "tag", "c1", "c2", "n").join(classes, ["c1", "c2", "n"], "left").select(
             "id", "tag", "n", F.coalesce("root", "id").alias("root")

@@ -2,10 +2,11 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
-from brute import decontaminate, factors, jaccard, pii, quality, sha, substrings
+from brute import decontaminate, factors, jaccard, pii, quality, sha, shingles, substrings
 from tokenizers import Tokenizer
 
 from rowsluice.llm.common import tokenizer_path
@@ -130,6 +131,29 @@ def test_jaccard(spark, rows, tile, monkeypatch):
     assert {r[0] for r in kept} == {i for i, _, root in jaccard(rows) if i == root}
 
 
+@pytest.mark.parametrize("tile", [2000, 5])
+def test_jaccard_pairs_are_complete(spark, rows, tile, monkeypatch):
+    from rowsluice.llm import jaccard as module
+
+    monkeypatch.setattr(module, "TILE", tile)
+    near = [(1000 + i, edited(prose(70, 300), 300 + i, 0.004)) for i in range(40)]  # one group of more than LEAF classes
+    plain = [r for r in rows if r[0] not in (90, 91, None)] + near + [(2000, near[3][1])]
+    sets = [(i, shingles(t)) for i, t in plain]
+    links = [(x, y) for a, (x, s) in enumerate(sets) for y, t in sets[:a]
+             if s and t and 100 * len(s & t) >= 75 * len(s | t)]
+    least = {}
+    for i, s in sets:
+        least[frozenset(s)] = min(i, least.get(frozenset(s), i))
+    rep = {i: least[frozenset(s)] for i, s in sets}
+    docs = frame(spark, plain)
+    got = [(r["a"], r["b"]) for r in JaccardJoin().pairs(docs).collect()]
+    want = {(min(rep[x], rep[y]), max(rep[x], rep[y])) for x, y in links if rep[x] != rep[y]}
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 200
+    n = Counter(i for pair in links for i in pair)
+    found = {r["doc_id"]: (r["representative"], r["n_links"]) for r in JaccardJoin().members(docs).collect()}
+    assert found == {i: (rep[i] if s else None, n[i]) for i, s in sets}
+
+
 def test_tree_drops_no_link():
     r = np.random.default_rng(5)
     sets = [r.integers(0, 1 << 63, 200, dtype=np.uint64) for _ in range(40)]
