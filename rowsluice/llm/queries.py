@@ -9,6 +9,7 @@ from rowsluice.llm.common import documents, tokenizer_path
 from rowsluice.llm.decontaminate import Decontaminator
 from rowsluice.llm.jaccard import JaccardJoin
 from rowsluice.llm.licenses import LicenseScanner
+from rowsluice.llm.merkle import MerkleManifest, folded, proof
 from rowsluice.llm.packing import Packer
 from rowsluice.llm.pii import KINDS, ContextExtractor, listed
 from rowsluice.llm.quality import COUNTS, LineFrequency
@@ -17,6 +18,8 @@ from rowsluice.llm.suffix_arrays import FactorDedup
 from rowsluice.llm.suffix_trees import SubstringDedup
 from rowsluice.llm.toxicity import ToxicityModel, held_out
 
+AZ_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ContextExtractor().extracted(documents(spark, sf_dir))
@@ -73,8 +76,20 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TokenFiles(tokenizer_path()).round_trip(documents(spark, sf_dir))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # where 3 divides the id's checksum, the text is changed to lower case behind the manifest's back
+    lower = F.translate("text", AZ_UPPER, AZ_UPPER.lower())
+    is_tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    tree = MerkleManifest()
+    found = tree.proved(documents(spark, sf_dir), tampered=F.when(is_tampered, tree.leaf(text=lower)))
+    refolded = folded(F.coalesce("tampered", "leaf"), F.col("path"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", proof(F.col("path")).alias("proof_sha256"), refolded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_pii, op2_decontaminate, op3_substring_dedup, op4_jaccard_join, op5_factor_dedup, op6_best_fit_packing, op7_license_scan, op8_toxicity, op9_quality_rules, op10_token_files)
+    for f in (op1_pii, op2_decontaminate, op3_substring_dedup, op4_jaccard_join, op5_factor_dedup, op6_best_fit_packing, op7_license_scan, op8_toxicity, op9_quality_rules, op10_token_files, op11_merkle_manifest)
 }
 ORACLES = {"op2_decontaminate": oracles.DECONTAMINATE, "op9_quality_rules": oracles.QUALITY}

