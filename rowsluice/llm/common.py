@@ -35,6 +35,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def piece_model_path() -> str:
+    """The SentencePiece model's file, from the same package."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the shared scratch folder and read again.
 

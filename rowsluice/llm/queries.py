@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowsluice.llm import oracles
-from rowsluice.llm.common import documents, tokenizer_path
+from rowsluice.llm.common import documents, piece_model_path, tokenizer_path
 from rowsluice.llm.decontaminate import Decontaminator
 from rowsluice.llm.jaccard import JaccardJoin
 from rowsluice.llm.licenses import LicenseScanner
 from rowsluice.llm.merkle import MerkleManifest, folded, proof
 from rowsluice.llm.packing import Packer
+from rowsluice.llm.pieces import PieceTokenizer
 from rowsluice.llm.pii import KINDS, ContextExtractor, listed
 from rowsluice.llm.quality import COUNTS, LineFrequency
 from rowsluice.llm.simple8b import TokenFiles
@@ -88,8 +89,12 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return PieceTokenizer(piece_model_path()).digested(documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_pii, op2_decontaminate, op3_substring_dedup, op4_jaccard_join, op5_factor_dedup, op6_best_fit_packing, op7_license_scan, op8_toxicity, op9_quality_rules, op10_token_files, op11_merkle_manifest)
+    for f in (op1_pii, op2_decontaminate, op3_substring_dedup, op4_jaccard_join, op5_factor_dedup, op6_best_fit_packing, op7_license_scan, op8_toxicity, op9_quality_rules, op10_token_files, op11_merkle_manifest, op13_sentencepiece)
 }
 ORACLES = {"op2_decontaminate": oracles.DECONTAMINATE, "op9_quality_rules": oracles.QUALITY}
