@@ -333,10 +333,10 @@ def split(text: str) -> list[str]:
     return text.split(" ")
 
 
-def portions(text: str) -> Iterator[str]:
-    """A text in parts of about PART characters, cut at spaces that start a word; these are left out."""
+def portions(text: str, safe: re.Pattern = SAFE_CUT) -> Iterator[str]:
+    """A text in parts of about PART characters, cut at safe spaces; these are left out."""
     at = 0
-    while len(text) - at > PART and (cut := SAFE_CUT.search(text, at + PART)):
+    while len(text) - at > PART and (cut := safe.search(text, at + PART)):
         yield text[at : cut.start()]
         at = cut.end()
     yield text[at:] if at else text

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowsluice.llm import oracles
+from rowsluice.llm.align import TokenAligner
 from rowsluice.llm.common import documents, piece_model_path, tokenizer_path
 from rowsluice.llm.decontaminate import Decontaminator
 from rowsluice.llm.jaccard import JaccardJoin
@@ -89,12 +90,16 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return TokenAligner(tokenizer_path(), piece_model_path()).aligned(documents(spark, sf_dir))
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return PieceTokenizer(piece_model_path()).digested(documents(spark, sf_dir))
 
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_pii, op2_decontaminate, op3_substring_dedup, op4_jaccard_join, op5_factor_dedup, op6_best_fit_packing, op7_license_scan, op8_toxicity, op9_quality_rules, op10_token_files, op11_merkle_manifest, op13_sentencepiece)
+    for f in (op1_pii, op2_decontaminate, op3_substring_dedup, op4_jaccard_join, op5_factor_dedup, op6_best_fit_packing, op7_license_scan, op8_toxicity, op9_quality_rules, op10_token_files, op11_merkle_manifest, op12_token_alignment, op13_sentencepiece)
 }
 ORACLES = {"op2_decontaminate": oracles.DECONTAMINATE, "op9_quality_rules": oracles.QUALITY}

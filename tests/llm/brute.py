@@ -177,3 +177,38 @@ def merkle(rows, fanout=8):
                 node = sha(left + node + right)
             out.append((row[0], h, subroot, root, sha("".join(x + y for x, y in path)), node, node == root))
     return out
+
+
+def alignment(rows, encode_a, encode_b):
+    """encode_*: text -> [(id, bytes)]; rows of the alignment's contract."""
+    held, found = Counter(), []
+    for doc_id, text in rows:
+        a, b = (encode_a(text), encode_b(text)) if text else ([], [])
+        whole = b" " + (text or "").encode()
+        if not text or b"".join(t for _, t in a) != whole or b"".join(t for _, t in b) != whole:
+            found.append((doc_id, [], []))
+            continue
+        ends = []
+        for side in (a, b):
+            at, places = 0, []
+            for _, t in side:
+                at += len(t)
+                places.append(at)
+            ends.append(places)
+        shared = sorted(set(ends[0]) & set(ends[1]))
+        groups, low = [], 0
+        for high in shared:
+            groups.append(tuple([i for (i, _), e in zip(side, places) if low < e <= high] for side, places in zip((a, b), ends)))
+            low = high
+        links = [(x, y) for ga, gb in groups for x in ga for y in gb]
+        held.update(set(links))
+        found.append((doc_id, groups, links))
+    best = defaultdict(int)
+    for (x, _), n in held.items():
+        best[x] = max(best[x], n)
+    return [
+        (i, sum(len(g[0]) for g in groups), sum(len(g[1]) for g in groups), len(groups), len(links),
+         sum(held[l] == best[l[0]] for l in links), sum(held[l] for l in links),
+         sha(";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)) if groups else "")
+        for i, groups, links in found
+    ]
