@@ -95,7 +95,7 @@ def test_uniqueness(spark):
     rows = [{"slug": "x"}, {"slug": None}, {"slug": None}, {"slug": "y"}, {"slug": "x"}, {"slug": "x"}]
     violations = Validator(spec, ("i",), "row").violations(raw(spark, rows)).orderBy("i").collect()
     assert [(r["i"], r["rule"], r["value"]) for r in violations] == [(4, "unique", "x"), (5, "unique", "x")]
-    assert "first seen at row 0" in violations[0]["message"]
+    assert "(row 0)" in violations[0]["message"]
 
 
 def test_number_and_text_keys_differ_but_equal_numbers_do_not(spark):
