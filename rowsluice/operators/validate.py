@@ -26,6 +26,7 @@ from rowsluice.operators.spec import ColumnSpec, TableSpec
 
 # Position that puts table-wide rules (CHECKs) after all column rules.
 AFTER_COLUMNS = 1_000_000
+HIT = "struct<ordinal:int,column_name:string,rule:string,value:string,message:string>"
 
 
 class ValidationFailed(RuntimeError):
@@ -297,35 +298,37 @@ class Validator:
         return found
 
     # -- results ------------------------------------------------------------
+    def hits(self, prepared: DataFrame) -> Column:
+        """The row-local violations of a row as an array; empty where it breaks no rule."""
+        rules = self.rules(prepared)
+        if not rules:
+            return F.array().cast(f"array<{HIT}>")
+        found = [
+            F.when(
+                r.bad,
+                F.struct(
+                    F.lit(r.ordinal).alias("ordinal"),
+                    F.lit(r.column).alias("column_name"),
+                    F.lit(r.name).alias("rule"),
+                    r.value.alias("value"),
+                    r.message.alias("message"),
+                ),
+            )
+            for r in rules
+        ]
+        return F.array_compact(F.array(*found))
+
     def violations(self, df: DataFrame, unique: bool = True) -> DataFrame:
         """One row per violation: row order, table, column, rule, value, message."""
         prepared = self.prepared(df)
-        rules = self.rules(prepared)
         parts = []
-        if rules:
-            hits = F.array_compact(
-                F.array(
-                    *[
-                        F.when(
-                            r.bad,
-                            F.struct(
-                                F.lit(r.ordinal).alias("ordinal"),
-                                F.lit(r.column).alias("column_name"),
-                                F.lit(r.name).alias("rule"),
-                                r.value.alias("value"),
-                                r.message.alias("message"),
-                            ),
-                        )
-                        for r in rules
-                    ]
-                )
-            )
+        if self.rules(prepared):
             # The plain filter goes first: reports are built for failing rows
             # only, and an outer explode keeps the optimizer from adding a
             # second, non-codegen copy of all rules as a filter of its own.
             parts.append(
                 prepared.filter(self.any_bad(prepared, total=False))
-                .select(*self.order, F.explode_outer(hits).alias("hit"))
+                .select(*self.order, F.explode_outer(self.hits(prepared)).alias("hit"))
                 .select(*self.order, "hit.*")
             )
         repeats = self.repeats(df) if unique else None

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowsluice.operators.progress import load_tally, progress_percent, progress_totals
@@ -11,12 +11,13 @@ from rowsluice.plans import derived
 from rowsluice.plans.catalog_queries import READY_SQL, walk_sql
 from rowsluice.plans.derived import MANIFEST_SQL
 from rowsluice.plans.push import Source, push_plan, push_tables
-from rowsluice.plans.registry import Tables, query
+from rowsluice.plans.registry import ORACLES, Tables, query
 from rowsluice.session import scratch_path
 from rowsluice.sources import manifest as manifests
 from rowsluice.sources.jsonl import rows_from_lines
 from rowsluice.sources.sinks import ParquetSink
 from rowsluice.streaming.ingest import Ingest
+from rowsluice.streaming.keyed import KeyedIngest
 
 # ---- manifests ------------------------------------------------------------
 
@@ -232,16 +233,23 @@ STREAMED = TableSpec(
 )
 
 
-def _streamed(t: Tables) -> Ingest:
-    """Stream the events as JSON lines through validation into a new folder.
+FEED_BATCHES, FEED_FILES = 4, 4
 
-    Every 5 ids share a slot, which has to be unique over the whole stream. The
-    feed is a folder of four files, one for each batch: every fourth id.
+
+def feed(t: Tables, rows: DataFrame, batch: Column, **options) -> DataFrame:
+    """``rows`` as a stream of FEED_BATCHES batches, told apart by ``batch``; each is FEED_FILES files."""
+    path = scratch_path(t.spark, "feed")
+    for i in range(FEED_BATCHES):
+        rows.filter(batch == i).repartition(FEED_FILES).write.mode("append").parquet(path)
+    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FEED_FILES).parquet(path)
+
+
+def _event_rows(t: Tables) -> DataFrame:
+    """The events as a stream of JSON lines, parsed into raw rows, every fourth id in a batch.
+
+    Every 5 ids share a slot, which has to be unique over the whole stream.
     """
-    feed, parts = scratch_path(t.spark, "feed"), 4
-    for i in range(parts):
-        t.events.filter(F.pmod("event_id", F.lit(parts)) == i).coalesce(1).write.mode("append").parquet(feed)
-    source = t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    source = feed(t, t.events, F.pmod("event_id", F.lit(FEED_BATCHES)))
     line = F.to_json(
         F.struct(
             "event_id",
@@ -250,9 +258,13 @@ def _streamed(t: Tables) -> Ingest:
             F.struct(F.col("user_id").cast("string").alias("date")).alias("user_id"),
         )
     )
-    rows = rows_from_lines(source.select("event_id", line.alias("value")))
-    load = Ingest(STREAMED, scratch_path(t.spark, "stream"), ("event_id",))
-    load.start(rows).awaitTermination()
+    return rows_from_lines(source.select("event_id", line.alias("value")))
+
+
+def _streamed(t: Tables, kind: type[Ingest] | type[KeyedIngest] = Ingest) -> Ingest | KeyedIngest:
+    """Stream the events through validation into a new folder."""
+    load = kind(STREAMED, scratch_path(t.spark, "stream"), ("event_id",))
+    load.start(_event_rows(t)).awaitTermination()
     return load
 
 
@@ -285,3 +297,13 @@ SELECT event_id, 'slot', 'unique' FROM ({STREAM_SQL}) WHERE NOT bad AND nth > 1
 )
 def stream_rejected(t: Tables) -> DataFrame:
     return _streamed(t).rejected(t.spark).select("event_id", "column_name", "rule")
+
+
+@query("stream_loaded_state", ORACLES["stream_loaded"])
+def stream_loaded_state(t: Tables) -> DataFrame:
+    return _streamed(t, KeyedIngest).loaded(t.spark)
+
+
+@query("stream_rejected_state", ORACLES["stream_rejected"])
+def stream_rejected_state(t: Tables) -> DataFrame:
+    return _streamed(t, KeyedIngest).rejected(t.spark).select("event_id", "column_name", "rule")

@@ -14,10 +14,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from rowsluice.operators.keys import has_all, row_digest
+from rowsluice.operators.keys import row_digest
 from rowsluice.operators.project import write_projection
 from rowsluice.operators.spec import TableSpec
 from rowsluice.operators.validate import ValidationFailed, Validator
+from rowsluice.streaming.keyed import key_digests
 
 LOADED, REJECTED, KEYS = "loaded", "rejected", "keys"
 
@@ -92,21 +93,16 @@ class Ingest:
         """
         prepared = validator.prepared(batch)
         rows = prepared.select(*batch.columns, validator.any_bad(prepared).alias("rejected"))
-        keyed, keys = validator.keyed(rows)
-        labels = [",".join(key) for _, key in keys]
-        digests = {}
-        for i, (names, _) in enumerate(keys):
-            parts = F.struct(F.lit(labels[i]).alias("key"), *[F.col(n).alias(f"p{j}") for j, n in enumerate(names)])
-            digests[f"_digest{i}"] = F.when(has_all(names), F.sha2(F.to_json(parts), 256))
-        rows = keyed.withColumns(digests).select(*batch.columns, "rejected", *digests)
-        known = self._known(rows, list(digests), batch_id) if keys else None
+        keyed, digests, labels = key_digests(validator, rows)
+        rows = keyed.select(*batch.columns, "rejected", *digests)
+        known = self._known(rows, digests, batch_id) if digests else None
         if known is not None:
             for i, digest in enumerate(digests):
                 hits = known.select(F.col("digest").alias(digest), F.lit(True).alias(f"_known{i}"))
                 rows = rows.join(hits, digest, "left").withColumn(
                     f"_known{i}", F.coalesce(f"_known{i}", F.lit(False)) & ~F.col("rejected")
                 )
-            for i in range(len(keys)):
+            for i in range(len(digests)):
                 rows = rows.withColumn("rejected", F.col("rejected") | F.col(f"_known{i}"))
         # A batch is small enough to be dealt by its keys; rows without one are spread by their content.
         content = row_digest(batch)
