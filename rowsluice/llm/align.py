@@ -6,7 +6,7 @@ the nearest cut on either side. What lies between these two has no cut and is a
 outer parts, each at most half as long, are halved again. Every token is passed over once.
 
 Links are counted without making all pairs of a group: equal ids of a group are taken together
-first. Texts are encoded once, in units of about ``UNIT`` bytes of text; a unit is one row with the
+first. Texts are encoded once, in units of about ``UNIT`` characters; a unit is one row with the
 distinct id pairs of its documents, how many of these have each, and each document's pairs as
 places in that list. Only these distinct pairs are counted across the corpus; their counts go
 back to the units by the units' numbers.
@@ -30,12 +30,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from rowsluice.llm import common as c
 from rowsluice.llm.common import stored
-from rowsluice.llm.pieces import BYTE, NORMAL, PART, SPACE, Model, decimals, encoder as piece_encoder, portions
+from rowsluice.llm.pieces import BYTE, NORMAL, PART, SPACE, Model, decimals, encoder as piece_encoder, portions, texts_of
 from rowsluice.llm.tokens import CUT, Encoder
 
-UNIT = 8 << 20
+#: Characters of the texts of a unit, and of those that are aligned together.
+UNIT, STEP = 8 << 20, 1 << 19
 #: Id pairs expanded at once, and characters of words known to a worker's encoder of A.
-PAIRS, KNOWN_CHARS = 1 << 22, 15_000_000
+PAIRS, KNOWN_CHARS = 1 << 20, 6_000_000
 COMMA, BAR, SEMICOLON = (ord(x) for x in ",|;")
 UNITS = (
     "unit long, doc_ids array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
@@ -116,31 +117,33 @@ class PieceSide:
 
 
 def cuts(ends_a: np.ndarray, ends_b: np.ndarray, edges: np.ndarray) -> np.ndarray:
-    """All shared ends. ``edges``: 0 and the end of each document, itself a shared end of both sides."""
+    """All shared ends. ``edges``: 0 and the end of each document, itself a shared end of both sides.
+
+    Intervals are kept in order, so that neighbouring bisections walk the same memory.
+    """
     from_a, from_b = np.append(0, ends_a), np.append(0, ends_b)  # with each document's start
-    low, high = edges[:-1], edges[1:]
-    found = [edges[1:]]
+    places = np.searchsorted(from_a, edges)
+    low, high = places[:-1], places[1:]
+    found = [places[1:]]
+    wide = high - low > 1
+    low, high = low[wide], high[wide]
     while len(low):
-        middle = (low + high) // 2
-        right = middle.copy()
-        active = np.arange(len(right))
-        while len(active):
-            a = from_a[np.searchsorted(from_a, right[active])]
-            b = from_b[np.searchsorted(from_b, a)]
-            right[active] = b
-            active = active[a != b]
-        left = middle.copy()
-        active = np.arange(len(left))
-        while len(active):
-            a = from_a[np.searchsorted(from_a, left[active], "right") - 1]
-            b = from_b[np.searchsorted(from_b, a, "right") - 1]
-            left[active] = b
-            active = active[a != b]
-        found += [left[left > low], right[right < high]]
-        lows, highs = np.concatenate((low, right)), np.concatenate((left, high))
-        wide = highs - lows > 1
-        low, high = lows[wide], highs[wide]
-    return np.unique(np.concatenate(found))
+        left = (low + high) // 2
+        right = left.copy()
+        active, b = np.arange(len(low)), from_b[np.searchsorted(from_b, from_a[right])]
+        while len(active := active[(missed := b != from_a[right[active]])]):  # the nearest cut from the middle on
+            right[active] = np.searchsorted(from_a, b[missed])
+            b = from_b[np.searchsorted(from_b, from_a[right[active]])]
+        active = np.flatnonzero(right != left)
+        b = from_b[np.searchsorted(from_b, from_a[left[active]], "right") - 1]
+        while len(active := active[(missed := b != from_a[left[active]])]):  # and before it
+            left[active] = np.searchsorted(from_a, b[missed], "right") - 1
+            b = from_b[np.searchsorted(from_b, from_a[left[active]], "right") - 1]
+        found += [left[left > low], right[(right < high) & (right != left)]]
+        low, high = np.column_stack((low, right)).ravel(), np.column_stack((left, high)).ravel()
+        wide = high - low > 1
+        low, high = low[wide], high[wide]
+    return from_a[np.sort(np.concatenate(found))]
 
 
 def _grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -268,10 +271,15 @@ def _units(batches: Iterator[pa.RecordBatch], path_a: str, path_b: str) -> Itera
         )
 
     for b in batches:
-        for first, end, _, offsets in c.chunks(b["text"]):
-            texts = [t or "" for t in b["text"].slice(first, end - first).to_pylist()]
-            kept.append((b["doc_id"].slice(first, end - first).to_pylist(), tool.aligned(texts)))
-            size += int(offsets[-1])
+        texts = texts_of(b["text"])
+        sizes = np.cumsum([len(t) for t in texts])
+        first = 0
+        while first < len(texts):  # whole texts, about STEP characters of them
+            done = sizes[first - 1] if first else 0
+            end = max(first + 1, int(np.searchsorted(sizes, done + STEP, "right")))
+            kept.append((b["doc_id"].slice(first, end - first).to_pylist(), tool.aligned(texts[first:end])))
+            size += int(sizes[end - 1] - done)
+            first = end
             if size >= UNIT:
                 yield row()
                 kept, size, number = [], 0, number + 1

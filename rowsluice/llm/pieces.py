@@ -28,6 +28,7 @@ import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # piece types of the model format
 NONE = np.iinfo(np.int64).max
 PART = 1 << 20
-KNOWN_CHARS = 20_000_000
+KNOWN_CHARS = 8_000_000
 SHORT = 64
 RUNS = re.compile(f"{SPACE}+[^{SPACE}]*")
 UNEVEN = re.compile(f"^ |  | $|{SPACE}")
@@ -187,7 +188,7 @@ class Merger:
             symbol, segment, rank, made = symbol[stays], segment[stays], rank[stays], made[stays]
             rank[hits] = NONE
             rank[hits[hits > 0] - 1] = NONE
-            near = np.unique(np.concatenate((hits, hits - 1)))
+            near = np.sort(np.concatenate((hits, hits - 1)))
             near = near[(near >= 0) & (near < len(symbol) - 1)]
             near = near[segment[near] == segment[near + 1]]
             rank[near], made[near] = self._looked_up(symbol[near], symbol[near + 1])
@@ -366,14 +367,12 @@ class PieceEncoder:
         if self.chars > KNOWN_CHARS:
             self._clear()
         words = [split(t) for t in texts]
-        known = self.known
-        new = list({w for some in words for w in some if w not in known})
+        n_words = np.fromiter(map(len, words), np.int64, len(words))
+        words = list(chain.from_iterable(words))
+        new = [w for w in set(words) if w not in self.known]
         if new:
             self._learn(new)
-        get = known.__getitem__
-        n_words = np.fromiter(map(len, words), np.int64, len(words))
-        numbers = np.fromiter((i for some in words for i in map(get, some)), np.int64, int(n_words.sum()))
-        ids, sizes = self.kept.get(numbers)
+        ids, sizes = self.kept.get(np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)))
         ends = np.concatenate(([0], np.cumsum(sizes)))[np.cumsum(n_words)]
         return ids, np.diff(ends, prepend=0)
 

@@ -41,12 +41,12 @@ def want():
     return sorted(alignment(corpus(), encode_a, encode_b), key=str)
 
 
-@pytest.mark.parametrize("unit, pairs, chunk", [(8 << 20, 1 << 22, 1 << 21), (3000, 7, 2000)])
-def test_documents(spark, want, unit, pairs, chunk, monkeypatch):
+@pytest.mark.parametrize("unit, pairs, step", [(8 << 20, 1 << 20, 1 << 19), (3000, 7, 2000)])
+def test_documents(spark, want, unit, pairs, step, monkeypatch):
     # read again by the workers, as modules of this package travel by value
     monkeypatch.setattr(module, "UNIT", unit)
     monkeypatch.setattr(module, "PAIRS", pairs)
-    monkeypatch.setattr("rowsluice.llm.common.CHUNK", chunk)
+    monkeypatch.setattr(module, "STEP", step)
     docs = spark.createDataFrame([(i, t, 1, [2], 3, "x", 4) for i, t in corpus()], SCHEMA).repartition(3)
     tool = TokenAligner(PATH_A, PATH_B)
     got = tool.aligned(docs)
