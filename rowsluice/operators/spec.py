@@ -89,6 +89,16 @@ class TableSpec:
         tables += [parent for _, parent, _ in self.composite_fks]
         return list(dict.fromkeys(t for t in tables if t))
 
+    @property
+    def references(self) -> list[tuple[list[str], str, list[str]]]:
+        """(columns, parent table, parent columns): composite keys as declared, others one by one."""
+        found = [(list(cols), parent, list(keys)) for cols, parent, keys in self.composite_fks]
+        for column in self.columns:
+            parent, _, parent_column = column.fk_ref.partition(".")
+            if parent and parent_column:
+                found.append(([column.name], parent, [parent_column]))
+        return found
+
     @property
     def schema(self) -> T.StructType:
         return T.StructType([T.StructField(c.name, c.spark_type) for c in self.columns])

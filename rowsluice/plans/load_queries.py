@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from rowsluice.sources.jsonl import rows_from_lines
 from rowsluice.sources.sinks import ParquetSink
 from rowsluice.streaming.ingest import Ingest
 from rowsluice.streaming.keyed import KeyedIngest
+from rowsluice.streaming.related import RelatedIngest
 
 # ---- manifests ------------------------------------------------------------
 
@@ -307,3 +310,64 @@ def stream_loaded_state(t: Tables) -> DataFrame:
 @query("stream_rejected_state", ORACLES["stream_rejected"])
 def stream_rejected_state(t: Tables) -> DataFrame:
     return _streamed(t, KeyedIngest).rejected(t.spark).select("event_id", "column_name", "rule")
+
+
+# ---- streams of related tables ---------------------------------------------
+
+# Every 7th customer never comes. The others come with batch (key % 4), their orders one batch earlier.
+RELATED_SQL = """
+  SELECT o_orderkey, o_custkey, o_orderstatus NOT IN ('F', 'O') AS bad, o_custkey % 7 = 0 AS lone,
+         (o_custkey + 3) % 4 AS batch FROM orders
+"""
+
+
+def _related(t: Tables) -> RelatedIngest:
+    """Stream customers and orders as JSON lines, most orders one batch before their customer."""
+    key = F.col("c_custkey")
+    parents = t.customer.filter(key % 7 != 0).select(
+        F.lit("customer").alias("table_name"), key.alias("id"), (key % FEED_BATCHES).alias("batch"),
+        F.to_json(F.struct("c_custkey", "c_nationkey", "c_mktsegment")).alias("value"),
+    )
+    customer = F.col("o_custkey")
+    children = t.orders.select(
+        F.lit("orders"), "o_orderkey", (customer + FEED_BATCHES - 1) % FEED_BATCHES,
+        F.to_json(F.struct("o_orderkey", "o_custkey", "o_orderstatus")),
+    )
+    source = feed(t, parents.unionAll(children), F.col("batch"))
+    load = RelatedIngest((PLACED, STREAMED_CUSTOMERS), scratch_path(t.spark, "related"), ("id",))
+    load.start(rows_from_lines(source.drop("batch"))).awaitTermination()
+    load.finish(t.spark)
+    return load
+
+
+STREAMED_CUSTOMERS = TableSpec("customer", CUSTOMERS.columns[:2] + (ColumnSpec("c_mktsegment", "varchar"),))
+
+
+@query(
+    "stream_related",
+    f"""
+SELECT 'customer' AS table_name, c_custkey AS id, 'loaded' AS outcome FROM customer WHERE c_custkey % 7 <> 0
+UNION ALL
+SELECT 'orders', o_orderkey, CASE WHEN bad THEN 'enum' WHEN lone THEN 'reference' ELSE 'loaded' END FROM ({RELATED_SQL})
+""",
+)
+def stream_related(t: Tables) -> DataFrame:
+    """What became of every row: loaded, or the rule it was rejected by."""
+    load, parts = _related(t), []
+    for name, key in (("customer", "c_custkey"), ("orders", "o_orderkey")):
+        loaded = load.loaded(t.spark, name).select(F.lit(name).alias("table_name"), F.col(key).alias("id"), F.lit("loaded").alias("outcome"))
+        rejected = load.rejected(t.spark, name).select(F.lit(name), "id", "rule")
+        parts += [loaded, rejected]
+    return reduce(DataFrame.unionAll, parts)
+
+
+@query(
+    "stream_waiting",
+    f"""
+SELECT CAST(b AS INT) AS batch_id, count(*) AS waiting
+FROM ({RELATED_SQL}) JOIN range(4) r(b) ON batch <= b AND (lone OR batch = b AND batch < 3) WHERE NOT bad GROUP BY b
+""",
+)
+def stream_waiting(t: Tables) -> DataFrame:
+    """How many orders wait for their customer after each batch."""
+    return _related(t).waiting(t.spark, "orders").groupBy("batch_id").agg(F.count(F.lit(1)).alias("waiting"))

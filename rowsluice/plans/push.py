@@ -77,16 +77,6 @@ def skipped_check_notes(source: Source, validator: Validator) -> list[str]:
     ]
 
 
-def _references(spec: TableSpec) -> list[tuple[list[str], str, list[str]]]:
-    """(columns, parent table, parent columns): composite keys as declared, others one by one."""
-    found = [(list(cols), parent, list(keys)) for cols, parent, keys in spec.composite_fks]
-    for column in spec.columns:
-        parent, _, parent_column = column.fk_ref.partition(".")
-        if parent and parent_column:
-            found.append(([column.name], parent, [parent_column]))
-    return found
-
-
 def _refuse_orphans(source: Source, sink: Sink, loaded: dict[str, Source], kept: bool) -> None:
     """Foreign keys need parents among the rows to be loaded, and in the target if that keeps its rows.
 
@@ -94,7 +84,7 @@ def _refuse_orphans(source: Source, sink: Sink, loaded: dict[str, Source], kept:
     """
     spec = source.spec
     typed = write_projection(source.rows, spec, source.row)
-    for columns, parent, keys in _references(spec):
+    for columns, parent, keys in spec.references:
         parents = []
         if parent in loaded:
             staged = loaded[parent]

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
@@ -18,6 +17,7 @@ from rowsluice.operators.keys import row_digest
 from rowsluice.operators.project import write_projection
 from rowsluice.operators.spec import TableSpec
 from rowsluice.operators.validate import ValidationFailed, Validator
+from rowsluice.streaming.digests import DigestFiles
 from rowsluice.streaming.keyed import key_digests
 
 LOADED, REJECTED, KEYS = "loaded", "rejected", "keys"
@@ -74,12 +74,12 @@ class Ingest:
                 if first:
                     raise ValidationFailed(first[0])
             good = marked.filter(~F.col("rejected"))
-            if labels:
-                self._keep_keys(good, len(labels), batch_id)
             write_projection(good.select(*batch.columns), self.spec, self.row).write.mode("overwrite").parquet(
                 self.path(LOADED, batch_id)
             )
             violations.write.mode("overwrite").parquet(self.path(REJECTED, batch_id))
+            if labels:  # last, as a write below a path makes cached frames that read it stale
+                self._keep_keys(good, len(labels), batch_id)
         finally:
             for frame in cached:
                 frame.unpersist()
@@ -116,31 +116,18 @@ class Ingest:
             )
         return rows, labels
 
-    def _known(self, rows: DataFrame, digests: list[str], batch_id: int) -> DataFrame | None:
-        """Digests of the batch that earlier batches loaded.
+    @property
+    def _keys(self) -> DigestFiles:
+        return DigestFiles(self.path(KEYS), self.prefix)
 
-        Only the partitions of the key files are read that the batch has digests for.
-        """
+    def _known(self, rows: DataFrame, digests: list[str], batch_id: int) -> DataFrame | None:
+        """Digests of the batch that earlier batches loaded."""
         mine = rows.select(F.explode(F.array(*digests)).alias("digest")).filter("digest IS NOT NULL").distinct()
-        prefixes = [r[0] for r in mine.select(F.substring("digest", 1, self.prefix).alias("p")).distinct().collect()]  # 16 ** prefix at most
-        spark = rows.sparkSession
-        try:
-            stored = spark.read.schema("digest string, prefix string, batch_id long").parquet(self.path(KEYS))
-        except AnalysisException as problem:
-            if problem.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
-        earlier = stored.filter(F.col("prefix").isin(prefixes) & (F.col("batch_id") < batch_id))
-        return earlier.select("digest").join(mine, "digest", "left_semi").distinct()
+        return self._keys.known(mine, F.col("batch_id") < batch_id)
 
     def _keep_keys(self, good: DataFrame, n: int, batch_id: int) -> None:
         """Digests of the loaded rows; a replayed batch overwrites its own files."""
-        digests = good.select(F.explode(F.array(*[f"_digest{i}" for i in range(n)])).alias("digest"))
-        digests = digests.filter("digest IS NOT NULL").select(
-            "digest", F.substring("digest", 1, self.prefix).alias("prefix"), F.lit(batch_id).cast("long").alias("batch_id")
-        )
-        writer = digests.repartition("prefix").sortWithinPartitions("prefix", "digest").write.mode("overwrite")
-        writer.option("partitionOverwriteMode", "dynamic").partitionBy("prefix", "batch_id").parquet(self.path(KEYS))
+        self._keys.keep(good.select(F.explode(F.array(*[f"_digest{i}" for i in range(n)])).alias("digest")), batch_id)
 
     def _repeats(self, marked: DataFrame, i: int, label: str) -> DataFrame:
         """Rows whose i-th unique key came in an earlier batch or earlier in this one."""
