@@ -85,22 +85,55 @@ def once(key: str, make: Callable):
     return vars(kept)[key]
 
 
+PRIME = (1 << 61) - 1
+BASE = 0x0A3F59C7D12E8B65  # below PRIME; any value of large order does
+#: Powers are kept in three pieces of 20 and 21 bits. With byte values of 16 bits, sums of their
+#: products over 2^26 bytes stay below 2^63, so that prefix sums are exact and reduced only at the end.
+PIECE = 20
+PIECE_MASK = U((1 << PIECE) - 1)
+
+
 def _table(seed: int) -> np.ndarray:
-    return once(
-        f"bytes{seed}",
-        lambda: np.random.default_rng(seed).integers(1, 1 << 64, 256, dtype=U, endpoint=False) | U(1),
-    )
+    """A value below 2^16 for each byte, all of them different and not 0."""
+    return once(f"bytes{seed}", lambda: (np.random.default_rng(seed).permutation((1 << 16) - 1)[:256] + 1).astype(U))
+
+
+def reduced(x: np.ndarray) -> np.ndarray:
+    """Modulo PRIME, of any 64-bit values."""
+    x = (x & U(PRIME)) + (x >> U(61))
+    return np.where(x >= U(PRIME), x - U(PRIME), x)
+
 
+def times(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Products modulo PRIME of values below it."""
+    low, high = U(0xFFFFFFFF), U(32)
+    xl, xh, yl, yh = x & low, x >> high, y & low, y >> high
+    middle = reduced(xl * yh) + reduced(xh * yl)  # below 2^62
+    middle = reduced(middle)
+    # 2^64 = 8 and 2^32 * (a * 2^29 + b) = a + b * 2^32 modulo PRIME
+    shifted = (middle >> U(29)) + ((middle & U((1 << 29) - 1)) << high)
+    return reduced(reduced(xl * yl) + reduced(shifted) + reduced((xh * yh) << U(3)))
 
-def _power_tables(bits: int) -> tuple[np.ndarray, np.ndarray]:
-    base = 0x9E3779B97F4A7C15
-    up, down = (np.full(1 << bits, x & (1 << 64) - 1, U) for x in (base, pow(base, -1, 1 << 64)))
-    up[0] = down[0] = 1
-    return np.cumprod(up, dtype=U), np.cumprod(down, dtype=U)
 
+def _grown(base: int, n: int) -> np.ndarray:
+    """The first n powers of a base, by doubling."""
+    out = np.ones(n, U)
+    done, step = 1, base
+    while done < n:
+        some = min(done, n - done)
+        out[done : done + some] = times(out[:some], np.full(some, step, U))
+        done, step = done + some, step * step % PRIME
+    return out
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the hash base and of its inverse, for at least ``n`` places."""
+
+def _power_tables(bits: int) -> tuple[list[np.ndarray], np.ndarray]:
+    up = _grown(BASE, 1 << bits)
+    pieces = [(up >> U(PIECE * k) & PIECE_MASK).astype(np.uint32) for k in (0, 1)] + [(up >> U(2 * PIECE)).astype(np.uint32)]
+    return pieces, _grown(pow(BASE, -1, PRIME), 1 << bits)
+
+
+def powers(n: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Powers of the hash base in pieces, and of its inverse, for at least ``n`` places."""
     bits = max(22, int(n).bit_length())
     return _power_tables(bits) if bits > 24 else once(f"powers{bits}", lambda: _power_tables(bits))
 
@@ -114,11 +147,18 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def range_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 1) -> np.ndarray:
-    """A 64-bit hash of data[start:end] for each pair of places."""
-    up, down = powers(len(data) + 1)
+    """A 64-bit hash of data[start:end] for each pair of places: a polynomial modulo 2^61 - 1.
+
+    (Modulo a power of two, texts like the Thue-Morse words have equal hashes whatever the base.)
+    """
+    pieces, down = powers(len(data) + 1)
+    values, total = _table(seed)[data], np.zeros(len(starts), U)
     sums = np.zeros(len(data) + 1, U)
-    np.cumsum(_table(seed)[data] * up[: len(data)], out=sums[1:])
-    h = (sums[ends] - sums[starts]) * down[starts]
+    for k, piece in enumerate(pieces):
+        np.cumsum(values * piece[: len(data)], out=sums[1:])
+        part = reduced(sums[ends] - sums[starts])
+        total = reduced(total + (times(part, np.full(len(part), 1 << PIECE * k, U)) if k else part))
+    h = times(total, down[starts])
     return mix(h + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93))
 
 

@@ -366,3 +366,13 @@ def test_empty_tables(spark):
 
 def test_digests_are_of_bytes():
     assert sha("é") == sha("é".encode())
+
+
+def test_words_that_collide_modulo_powers_of_two(spark):
+    one = "a"
+    for _ in range(10):
+        one += one.translate(str.maketrans("ab", "ba"))  # a Thue-Morse word of 1,024 letters
+    other = one.translate(str.maketrans("ab", "ba"))
+    rows = [(1, one), (2, other), (3, "w " * 12 + one), (4, "w " * 12 + other)]
+    same(JaccardJoin().joined(frame(spark, rows)), jaccard(rows), "doc_id", "n_shingles", "component_id")
+    same(SubstringDedup().digested(frame(spark, rows)), substrings(rows), "doc_id", "n_words", "n_removed", "kept_sha256")
