@@ -22,6 +22,7 @@ import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from rowsluice.llm.pieces import BYTE, NORMAL, PART, SPACE, Model, decimals, enc
 from rowsluice.llm.tokens import CUT, Encoder
 
 #: Characters of the texts of a unit, and of those that are aligned together.
-UNIT, STEP = 8 << 20, 1 << 19
+UNIT, STEP = 4 << 20, 1 << 19
 #: Id pairs expanded at once, and characters of words known to a worker's encoder of A.
 PAIRS, KNOWN_CHARS = 1 << 20, 6_000_000
 COMMA, BAR, SEMICOLON = (ord(x) for x in ",|;")
@@ -71,7 +72,7 @@ class ByteSide:
     """Tokens of space + text by a byte-level BPE."""
 
     def __init__(self, path: str):
-        self.tool = Encoder(path)
+        self.tool = Encoder(path, known_chars=KNOWN_CHARS)
         known, alphabet = self.tool.tokenizer.get_vocab(), byte_alphabet()
         entries = [b""] * (max(known.values()) + 1)
         for token, i in known.items():
@@ -79,27 +80,22 @@ class ByteSide:
         self.bytes, self.n = Bytes(entries), len(entries)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """A space before a word is no place for a merge, so a long text is encoded in parts."""
+        """A space before a word is no place for a merge, so words are looked up, and long texts go in parts."""
         parts = [list(portions(t, CUT)) for t in texts]
-        out = [[np.zeros(0, np.int64)] for _ in texts]
-        some, owners, size = [], [], 0
-        for i, p in ((i, p) for i, of_text in enumerate(parts) for p in of_text):
-            some.append(" " + p)
-            owners.append(i)
-            size += len(p)
-            if size > PART:
-                self._add(some, owners, out)
-                some, owners, size = [], [], 0
-        self._add(some, owners, out)
-        return [np.concatenate(x) for x in out]
-
-    def _add(self, texts: list[str], owners: list[int], out: list[list[np.ndarray]]) -> None:
-        if self.tool.chars > KNOWN_CHARS:
-            self.tool._clear()
-        ids, sizes = self.tool.encode(texts)
-        ends = np.cumsum(sizes)
-        for i, e, n in zip(owners, ends.tolist(), sizes.tolist()):
-            out[i].append(ids[e - n : e - 1].astype(np.int64))
+        n_parts, parts = [len(p) for p in parts], list(chain.from_iterable(parts))
+        out, at = [], 0
+        while at < len(parts):
+            size, end = 0, at
+            while end < len(parts) and size <= PART:
+                size += len(parts[end])
+                end += 1
+            ids, sizes = self.tool.ids_of([" " + p for p in parts[at:end]])
+            out += np.split(ids.astype(np.int64), np.cumsum(sizes)[:-1])
+            at = end
+        if len(parts) == len(texts):
+            return out
+        ends = np.cumsum(n_parts).tolist()
+        return [np.concatenate([np.zeros(0, np.int64), *out[e - n : e]]) for e, n in zip(ends, n_parts)]
 
 
 class PieceSide:

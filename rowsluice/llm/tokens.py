@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import re
+from itertools import chain
 
 import numpy as np
 
@@ -20,15 +21,16 @@ from rowsluice.llm import common as c
 
 CUT = re.compile(r"[ ](?=[^\s\u180e\u200b\ufeff])")
 UNSAFE = re.compile(r"[ ](?:[\s\u180e\u200b\ufeff]|$)")
-TOGETHER = 1 << 20
-KNOWN_CHARS = 40_000_000
+#: Characters given to the library at once (what it returns takes some 100 bytes for each), and kept in all.
+TOGETHER, KNOWN_CHARS = 1 << 17, 20_000_000
 END = 2
 
 
 class Encoder:
     """``as_text``: added tokens spelled in a text are encoded as ordinary text."""
 
-    def __init__(self, path: str, as_text: bool = True):
+    def __init__(self, path: str, as_text: bool = True, known_chars: int = KNOWN_CHARS):
+        self.known_chars = known_chars
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -43,7 +45,7 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.inner: dict[str, int] = {}
+        self.inner: dict[str | None, int] = {None: 0}  # None stands where a text starts
         self.leading: dict[str, int] = {}
         self.chars, self.n, self.used = 0, 0, 0
         self.place, self.ids = np.zeros(1 << 16, np.int64), np.zeros(1 << 18, np.uint32)
@@ -78,36 +80,37 @@ class Encoder:
             self.chars += size + 16 * len(some)
             at = end
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts and the number of each text's ids, with the end id after each text."""
-        if self.chars > KNOWN_CHARS:
+    def ids_of(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts and the number of each text's ids."""
+        if self.chars > self.known_chars:
             self._clear()
         whole = self.added.search if self.added else lambda t: None
         pieces = [[t] if whole(t) else CUT.split(t) if UNSAFE.search(t) else t.split(" ") for t in texts]
-        heads = [p[0] for p in pieces]
-        for head in {h for h in heads if h not in self.leading}:
+        for head in {p[0] for p in pieces if p[0] not in self.leading}:
             self.tokenizer.encode_special_tokens = not whole(head)
             ids = np.array(self.tokenizer.encode(head, add_special_tokens=False).ids, np.uint32)
             self.leading[head] = self._add(ids, np.array([len(ids)]))
             self.chars += len(head) + 16
         self.tokenizer.encode_special_tokens = True
+        n = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        heads = np.fromiter((self.leading[p[0]] for p in pieces), np.int64, len(pieces))
+        for p in pieces:
+            p[0] = None
+        flat = list(chain.from_iterable(pieces))
         known = self.inner
-        new = {s for p in pieces for s in p[1:] if s not in known}
-        self._learn(list(new))
-        get, lead = known.__getitem__, self.leading.__getitem__
-        numbers = np.fromiter(
-            (i for p in pieces for i in (lead(p[0]), *map(get, p[1:]), -1)), np.int64,
-        )
-        last = numbers < 0
+        self._learn([w for w in set(flat) if w not in known])
+        numbers = np.fromiter(map(known.__getitem__, flat), np.int64, len(flat))
+        numbers[np.cumsum(n) - n] = heads
         starts = self.place[numbers]
-        lengths = np.where(last, 1, self.place[numbers + 1] - starts)
+        lengths = self.place[numbers + 1] - starts
         total = np.cumsum(lengths)
-        source = np.repeat(starts - (total - lengths), lengths) + np.arange(total[-1] if len(total) else 0)
-        ends = np.zeros(len(source), bool)
-        ends[total[last] - 1] = True
-        ids = self.ids[np.where(ends, 0, source)]
-        ids[ends] = END
-        return ids, np.diff(total[last], prepend=0)
+        ids = self.ids[np.repeat(starts - (total - lengths), lengths) + np.arange(total[-1] if len(total) else 0)]
+        return ids, np.diff(np.append(0, total)[np.cumsum(n)], prepend=0)
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts and the number of each text's ids, with the end id after each text."""
+        ids, counts = self.ids_of(texts)
+        return np.insert(ids, np.cumsum(counts), END), counts + 1
 
 
 def encoder(path: str) -> Encoder:

@@ -69,7 +69,7 @@ def test_long_texts_in_parts(monkeypatch):
     want = tool.aligned([text])
     monkeypatch.setattr("rowsluice.llm.pieces.PART", 40)
     monkeypatch.setattr(module, "PART", 40)
-    monkeypatch.setattr(module, "KNOWN_CHARS", 100)
+    tool.a.tool.known_chars = 100
     got = tool.aligned([text])
     assert got["digests"] == want["digests"] and np.array_equal(got["pairs"], want["pairs"]) and np.array_equal(got["times"], want["times"])
 
