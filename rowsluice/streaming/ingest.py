@@ -1,160 +1,91 @@
 """Streaming ingest: JSONL files -> validation -> micro-batch loads.
 
-Each micro-batch writes below a path named after its batch id and overwrites
-it, so a batch that is replayed after a lost executor or a restart leaves no
-duplicates.
+The digests of the unique keys of all loaded rows are kept in files, so their number is bounded by storage; a
+batch reads the partitions it has digests for. Only keys that repeat or were loaded before are joined to the rows.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from rowsluice.operators.keys import row_digest
-from rowsluice.operators.project import write_projection
-from rowsluice.operators.spec import TableSpec
-from rowsluice.operators.validate import ValidationFailed, Validator
 from rowsluice.streaming.digests import DigestFiles
-from rowsluice.streaming.keyed import key_digests
+from rowsluice.streaming.staged import LOADED, REJECTED, SOUND, StagedLoad
 
-LOADED, REJECTED, KEYS = "loaded", "rejected", "keys"
+__all__ = ["KEYS", "LOADED", "REJECTED", "Ingest"]
+KEYS = "keys"
 
 
 @dataclass(frozen=True)
-class Ingest:
-    """A streaming load of one table into folders below ``root``.
-
-    ``loaded`` holds target rows, ``rejected`` violations and ``keys`` the
-    digests of the unique keys of all loaded rows, which is what makes
-    uniqueness hold over the whole stream; a rejected row keeps no key from a
-    later one. Keys are kept for good, as a duplicate may
-    arrive at any time, and live in files rather than in operator state, so
-    their number is bounded by storage and not by memory.
-
-    Key files are partitioned by the first ``prefix`` digits of the digest, and a
-    batch reads the partitions it has digests for; more digits suit long streams
-    of small batches.
+class Ingest(StagedLoad):
+    """A streaming load of one table.
+
+    Uniqueness holds over the whole stream, among rows that break no other rule and whose keys no earlier
+    batch has loaded; a rejected row keeps no key from a later one. Keys are kept for good, as a
+    duplicate may arrive at any time.
 
-    ``policy`` is ``quarantine`` or ``abort``; the latter fails the query at
-    the first bad batch and keeps the batches before it.
+    Key files are partitioned by the first ``prefix`` digits of the digest; more digits suit long streams
+    of small batches.
     """
 
-    spec: TableSpec
-    root: str
-    order: tuple[str, ...]
-    row: str | None = "row"
-    strict: bool = False
-    policy: str = "quarantine"
     prefix: int = 1
 
-    def path(self, part: str, batch_id: int | None = None) -> str:
-        base = f"{self.root.rstrip('/')}/{part}"
-        return base if batch_id is None else f"{base}/batch_id={batch_id}"
-
     # -- one micro-batch ----------------------------------------------------
     def load_batch(self, batch: DataFrame, batch_id: int) -> None:
-        validator = Validator(self.spec, self.order, self.row, self.strict, convertible=True)
-        # The batch feeds several actions; recomputing it would parse it again.
-        batch = batch.persist()
-        cached = [batch]
-        try:
-            violations = validator.violations(batch, unique=False)
-            marked, labels = self._marked(validator, batch, batch_id)
-            marked = marked.persist()
-            cached.append(marked)
-            for i, label in enumerate(labels):
-                violations = violations.unionByName(self._repeats(marked, i, label))
-            violations = violations.persist()
-            cached.append(violations)
-            if self.policy == "abort":
-                first = violations.orderBy(*self.order, "ordinal", "rule").limit(1).collect()
-                if first:
-                    raise ValidationFailed(first[0])
-            good = marked.filter(~F.col("rejected"))
-            write_projection(good.select(*batch.columns), self.spec, self.row).write.mode("overwrite").parquet(
-                self.path(LOADED, batch_id)
-            )
-            violations.write.mode("overwrite").parquet(self.path(REJECTED, batch_id))
-            if labels:  # last, as a write below a path makes cached frames that read it stale
-                self._keep_keys(good, len(labels), batch_id)
-        finally:
-            for frame in cached:
-                frame.unpersist()
-
-    def _marked(self, validator: Validator, batch: DataFrame, batch_id: int) -> tuple[DataFrame, list[str]]:
-        """The batch with its verdict as a column, a digest of each unique key, and the keys that repeat.
-
-        The verdict travels with its row, so neither missing nor equal row
-        orders can attach it to another one. Keys compete among rows that break
-        no other rule and are not known from earlier batches.
-        """
-        prepared = validator.prepared(batch)
-        rows = prepared.select(*batch.columns, validator.any_bad(prepared).alias("rejected"))
-        keyed, digests, labels = key_digests(validator, rows)
-        rows = keyed.select(*batch.columns, "rejected", *digests)
-        known = self._known(rows, digests, batch_id) if digests else None
-        if known is not None:
-            for i, digest in enumerate(digests):
-                hits = known.select(F.col("digest").alias(digest), F.lit(True).alias(f"_known{i}"))
-                rows = rows.join(hits, digest, "left").withColumn(
-                    f"_known{i}", F.coalesce(f"_known{i}", F.lit(False)) & ~F.col("rejected")
-                )
-            for i in range(len(digests)):
-                rows = rows.withColumn("rejected", F.col("rejected") | F.col(f"_known{i}"))
-        # A batch is small enough to be dealt by its keys; rows without one are spread by their content.
-        content = row_digest(batch)
-        for i, digest in enumerate(digests):
-            alive = ~F.col("rejected") & F.col(digest).isNotNull()
-            group = F.when(alive, F.col(digest)).otherwise(content.cast("string"))
-            nth = F.row_number().over(Window.partitionBy(group).orderBy(*self.order, content))
-            known_too = F.col(f"_known{i}") if known is not None else F.lit(False)
-            rows = rows.withColumn("_again", alive & (nth > 1)).withColumns(
-                {f"_repeat{i}": F.col("_again") | known_too, "rejected": F.col("rejected") | F.col("_again")}
-            )
-        return rows, labels
+        """Load a batch of rows as they came."""
+        staged, labels = self.staged(batch)
+        self.load_staged(staged, batch_id, labels)
+
+    def load_staged(self, staged: DataFrame, batch_id: int, labels: list[str]) -> None:
+        # a number tells identical rows apart: exactly one of them is first
+        number = F.col("_place").withField("_number", F.monotonically_increasing_id())
+        rows = self._judged(self.kept(staged.withColumn("_place", number), "staged"), batch_id, labels)
+        judged = self.kept(rows, "judged")
+        self.write_judged(judged, batch_id, labels)
+        if labels:
+            good = judged.filter(f"{SOUND} AND size(_repeats) = 0")
+            digests = F.explode(F.array(*[f"_digest{i}" for i in range(len(labels))])).alias("digest")
+            self._keys.keep(good.select(digests), batch_id)
 
     @property
     def _keys(self) -> DigestFiles:
         return DigestFiles(self.path(KEYS), self.prefix)
 
-    def _known(self, rows: DataFrame, digests: list[str], batch_id: int) -> DataFrame | None:
-        """Digests of the batch that earlier batches loaded."""
-        mine = rows.select(F.explode(F.array(*digests)).alias("digest")).filter("digest IS NOT NULL").distinct()
-        return self._keys.known(mine, F.col("batch_id") < batch_id)
-
-    def _keep_keys(self, good: DataFrame, n: int, batch_id: int) -> None:
-        """Digests of the loaded rows; a replayed batch overwrites its own files."""
-        self._keys.keep(good.select(F.explode(F.array(*[f"_digest{i}" for i in range(n)])).alias("digest")), batch_id)
-
-    def _repeats(self, marked: DataFrame, i: int, label: str) -> DataFrame:
-        """Rows whose i-th unique key came in an earlier batch or earlier in this one."""
-        ordinal = self.spec.by_name[label.split(",")[0].lower()][0]
-        return marked.filter(F.col(f"_repeat{i}")).select(
-            *self.order,
-            F.lit(ordinal).alias("ordinal"),
-            F.lit(label).alias("column_name"),
-            F.lit("unique").alias("rule"),
-            F.col(f"_digest{i}").alias("value"),
-            F.lit(f'an earlier row has the same "{label}"').alias("message"),
-            F.lit(self.spec.name).alias("table_name"),
-        )
+    def _judged(self, rows: DataFrame, batch_id: int, labels: list[str]) -> DataFrame:
+        """Staged rows with ``_repeats``."""
+        digests = [f"_digest{i}" for i in range(len(labels))]
+        if not digests:
+            return rows
+        mine = rows.filter(SOUND).select(F.explode(F.array(*digests)).alias("digest")).filter("digest IS NOT NULL").distinct()
+        known = self._keys.known(mine, F.col("batch_id") < batch_id)
+        if known is not None:
+            known = self.kept(known, "known")
+            for i, digest in enumerate(digests):  # all keys first: a row rejected here competes for nothing
+                hits = known.select(F.col("digest").alias(digest), F.lit(True).alias("_hit"))
+                rows = self._repeated(rows, hits, i, F.expr(SOUND) & F.col("_hit"))
+        for i, digest in enumerate(digests):
+            alive = rows.filter(f"{SOUND} AND size(_repeats) = 0 AND {digest} IS NOT NULL").groupBy(digest)
+            shared = alive.agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first")).filter("_n > 1").drop("_n")
+            again = F.expr(f"{SOUND} AND size(_repeats) = 0") & (F.col("_place") != F.col("_first"))
+            rows = self._repeated(rows, shared, i, again)
+        return rows
+
+    def _repeated(self, rows: DataFrame, shared: DataFrame, number: int, again: Column) -> DataFrame:
+        """``rows`` with ``number`` added to the repeats where ``again``; ``shared`` has only keys that repeat.
+
+        A key of very many rows is left to AQE's skew join.
+        """
+        repeats = F.when(again, F.array_append("_repeats", F.lit(number))).otherwise(F.col("_repeats"))
+        return rows.join(shared, f"_digest{number}", "left").withColumn("_repeats", repeats).select(rows.columns)
 
     # -- the stream ---------------------------------------------------------
     def start(self, rows: DataFrame, available_now: bool = True, **trigger) -> StreamingQuery:
-        """Run the load over a stream of rows (see ``stream_jsonl``)."""
-        writer = rows.writeStream.foreachBatch(self.load_batch).option(
-            "checkpointLocation", self.path("_stream")
-        )
+        """Run the load over a stream of rows (see ``stream_jsonl``); rules are planned once."""
+        staged, labels = self.staged(rows)
+        writer = staged.writeStream.foreachBatch(lambda b, i: self.load_staged(b, i, labels))
+        writer = writer.option("checkpointLocation", self.path("_stream"))
         trigger = {"availableNow": True} if available_now else trigger
         return writer.trigger(**trigger).start()
-
-    # -- results ------------------------------------------------------------
-    def loaded(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path(LOADED)).drop("batch_id")
-
-    def rejected(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path(REJECTED)).drop("batch_id")
-

@@ -15,20 +15,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
-from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from rowsluice.operators.keys import has_all, row_digest
-from rowsluice.operators.project import write_projection
-from rowsluice.operators.spec import TableSpec
-from rowsluice.operators.validate import ValidationFailed, Validator
+from rowsluice.streaming.staged import SOUND, StagedLoad
 
-LOADED, REJECTED = "loaded", "rejected"
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
@@ -50,17 +45,6 @@ def state_settings(spark: SparkSession):
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def key_digests(validator: Validator, rows: DataFrame) -> tuple[DataFrame, list[str], list[str]]:
-    """``rows`` with a digest of each unique key, null where a part is missing; their names and the keys' labels."""
-    keyed, keys = validator.keyed(rows)
-    labels = [",".join(key) for _, key in keys]
-    digests = {}
-    for i, (names, _) in enumerate(keys):
-        parts = F.struct(F.lit(labels[i]).alias("key"), *[F.col(n).alias(f"p{j}") for j, n in enumerate(names)])
-        digests[f"_digest{i}"] = F.when(has_all(names), F.sha2(F.to_json(parts), 256))
-    return keyed.withColumns(digests) if digests else keyed, list(digests), labels
-
-
 def place_of(row: Row) -> tuple:
     """A row's place as Spark would order it: nulls first. Structs reach the worker as dictionaries."""
     return tuple((x is not None, x) for x in row["_place"].values())
@@ -102,45 +86,13 @@ class FirstOfKey(StatefulProcessor):
         pass
 
 
-@dataclass(frozen=True)
-class KeyedIngest:
-    """A streaming load of one table below ``root``, with ``loaded`` and ``rejected`` as in ``Ingest``.
-
-    ``policy`` is ``quarantine`` or ``abort``; the latter fails the query at the first bad batch.
-    """
-
-    spec: TableSpec
-    root: str
-    order: tuple[str, ...]
-    row: str | None = "row"
-    strict: bool = False
-    policy: str = "quarantine"
-
-    def path(self, part: str, batch_id: int | None = None) -> str:
-        base = f"{self.root.rstrip('/')}/{part}"
-        return base if batch_id is None else f"{base}/batch_id={batch_id}"
-
-    @property
-    def validator(self) -> Validator:
-        return Validator(self.spec, self.order, self.row, self.strict, convertible=True)
-
-    def staged(self, rows: DataFrame) -> tuple[DataFrame, list[str]]:
-        """Target columns, violations (``_hits``), place and digest of every row, and the keys' labels."""
-        validator = self.validator
-        prepared = validator.prepared(rows)
-        judged = prepared.select(*rows.columns, validator.hits(prepared).alias("_hits"))
-        keyed, digests, labels = key_digests(validator, judged)
-        place = F.struct(*self.order, row_digest(rows).alias("_content")).alias("_place")
-        keyed = keyed.select(*rows.columns, "_hits", place, *digests)
-        carried = ("_hits", "_place", *digests)
-        typed = write_projection(keyed, self.spec, self.row, carried)
-        return typed.withColumn("_repeats", F.array().cast("array<int>")), labels
+class KeyedIngest(StagedLoad):
+    """A streaming load of one table whose unique keys live in operator state."""
 
     def judged(self, rows: DataFrame) -> tuple[DataFrame, list[str]]:
-        """``staged`` with ``_repeats``: the numbers of the unique keys that an earlier row has."""
         staged, labels = self.staged(rows)
         for i in range(len(labels)):
-            claims = (F.size("_hits") == 0) & (F.size("_repeats") == 0) & F.col(f"_digest{i}").isNotNull()
+            claims = F.expr(f"{SOUND} AND size(_repeats) = 0 AND _digest{i} IS NOT NULL")
             free = F.concat(F.lit(FREE), F.col("_place._content").cast("string"))
             grouped = staged.withColumn("_group", F.when(claims, F.col(f"_digest{i}")).otherwise(free)).groupBy("_group")
             out = T.StructType([*staged.schema.fields, T.StructField("_group", T.StringType())])
@@ -148,35 +100,8 @@ class KeyedIngest:
         return staged, labels
 
     def write_batch(self, batch: DataFrame, batch_id: int, labels: list[str]) -> None:
-        batch = batch.persist()  # state must be passed through once only
-        try:
-            violations = self.violations(batch, labels)
-            if self.policy == "abort":
-                first = violations.orderBy(*self.order, "ordinal", "rule").limit(1).collect()
-                if first:
-                    raise ValidationFailed(first[0])
-            good = batch.filter((F.size("_hits") == 0) & (F.size("_repeats") == 0))
-            good.select(*[c.name for c in self.spec.columns]).write.mode("overwrite").parquet(self.path(LOADED, batch_id))
-            violations.write.mode("overwrite").parquet(self.path(REJECTED, batch_id))
-        finally:
-            batch.unpersist()
-
-    def violations(self, batch: DataFrame, labels: list[str]) -> DataFrame:
-        repeats = F.transform("_repeats", lambda i: self._repeat(i, labels)) if labels else F.slice("_hits", 1, 0)
-        place = [F.col(f"_place.{c}").alias(c) for c in self.order]
-        hits = batch.select(*place, F.explode(F.concat("_hits", repeats)).alias("hit"))
-        return hits.select(*self.order, "hit.*", F.lit(self.spec.name).alias("table_name"))
-
-    def _repeat(self, number: Column, labels: list[str]) -> Column:
-        pick = lambda values: F.get(F.array(*values), number)
-        ordinals = [F.lit(self.spec.by_name[label.split(",")[0].lower()][0]) for label in labels]
-        return F.struct(
-            pick(ordinals).alias("ordinal"),
-            pick([F.lit(label) for label in labels]).alias("column_name"),
-            F.lit("unique").alias("rule"),
-            pick([F.col(f"_digest{i}") for i in range(len(labels))]).alias("value"),
-            pick([F.lit(f'an earlier row has the same "{label}"') for label in labels]).alias("message"),
-        )
+        # state must be passed through once only
+        self.write_judged(self.kept(batch, "judged"), batch_id, labels)
 
     def start(self, rows: DataFrame, available_now: bool = True, **trigger) -> StreamingQuery:
         """Run the load over a stream of rows (see ``stream_jsonl``)."""
@@ -186,9 +111,3 @@ class KeyedIngest:
         trigger = {"availableNow": True} if available_now else trigger
         with state_settings(rows.sparkSession):
             return writer.trigger(**trigger).start()
-
-    def loaded(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path(LOADED)).drop("batch_id")
-
-    def rejected(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.path(REJECTED)).drop("batch_id")

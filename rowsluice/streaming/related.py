@@ -6,8 +6,7 @@ its tables parents first, so a child that comes with its parent does not wait at
 
 What is known of the parents are digests of the referenced keys of all loaded rows, in files that a batch
 reads only the partitions of that it refers to. References shrink to distinct keys before they meet
-these, and rows meet the missing ones by ``join_by_key``, so that a parent many rows wait for is no
-single task. The waiting rows are written anew by each batch: work grows with their number, not with
+these, and only missing ones are joined to the rows. The waiting rows are written anew by each batch: work grows with their number, not with
 the stream's length.
 
 Defined cases: a reference with a null part is not checked; a row that breaks another rule is rejected at
@@ -24,15 +23,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from rowsluice.operators.keys import join_by_key, row_digest
 from rowsluice.operators.match import fk_edges
 from rowsluice.operators.order import ordered_names
-from rowsluice.operators.project import write_projection
 from rowsluice.operators.spec import TableSpec, columns_frame
-from rowsluice.operators.validate import Validator
 from rowsluice.session import shared_dir
 from rowsluice.streaming.digests import DigestFiles
-from rowsluice.streaming.ingest import LOADED, REJECTED, Ingest
+from rowsluice.streaming.ingest import Ingest
+from rowsluice.streaming.staged import LOADED, REJECTED, SOUND
 
 WAITING, REFERENCED = "waiting", "referenced"
 #: The batch number that rows rejected at the end of the stream are filed under.
@@ -98,20 +95,19 @@ class RelatedIngest:
 
     def _load_table(self, rows: DataFrame, load: Ingest, batch_id: int) -> None:
         spec, refers = load.spec, bool(self.references(load.spec))
-        rows = rows.withColumn(SINCE, F.lit(batch_id).cast("long"))
-        if refers and batch_id:
-            rows = rows.unionByName(rows.sparkSession.read.schema(rows.schema).parquet(load.path(WAITING, batch_id - 1)))
-        marked = self._marked(rows, load, batch_id).persist()
-        try:
-            load.load_batch(marked.filter("NOT _missing").select("_whole.*").drop(SINCE), batch_id)
-            if refers:
-                late = F.lit(False) if self.patience is None else F.col(f"_whole.{SINCE}") + self.patience <= batch_id
-                missing = marked.filter("_missing")
-                missing.filter(~late).select("_whole.*").write.mode("overwrite").parquet(load.path(WAITING, batch_id))
-                if self.patience is not None:
-                    self._rejections(missing.filter(late), spec).write.mode("append").parquet(load.path(REJECTED, batch_id))
-        finally:
-            marked.unpersist()
+        staged, labels = load.staged(rows)
+        staged = staged.withColumn(SINCE, F.lit(batch_id).cast("long"))
+        if refers:
+            if batch_id:  # rows wait as they were staged
+                staged = staged.unionByName(rows.sparkSession.read.schema(staged.schema).parquet(load.path(WAITING, batch_id - 1)))
+            marked = load.kept(self._marked(load.kept(staged, "offered"), spec, batch_id), "marked")
+            late = F.lit(False) if self.patience is None else F.col(SINCE) + self.patience <= batch_id
+            missing = marked.filter("_missing")
+            missing.filter(~late).select(staged.columns).write.mode("overwrite").parquet(load.path(WAITING, batch_id))
+            staged = marked.filter("NOT _missing").select(staged.columns)
+        load.load_staged(staged.drop(SINCE), batch_id, labels)
+        if refers and self.patience is not None:
+            self._rejections(missing.filter(late), load).write.mode("append").parquet(load.path(REJECTED, batch_id))
         kept = self.referenced(spec)
         if kept:
             loaded = rows.sparkSession.read.schema(spec.schema).parquet(load.path(LOADED, batch_id))
@@ -121,16 +117,9 @@ class RelatedIngest:
     def _files(self, load: Ingest) -> DigestFiles:
         return DigestFiles(load.path(REFERENCED), self.prefix)
 
-    def _marked(self, rows: DataFrame, load: Ingest, batch_id: int) -> DataFrame:
-        """Rows (``_whole``) with their typed columns and whether a parent is missing (``_missing``)."""
-        spec, refs = load.spec, self.references(load.spec)
-        validator = Validator(spec, self.order, self.row, self.strict, convertible=True)
-        prepared = validator.prepared(rows)
-        bad = validator.any_bad(prepared if self.row else rows.drop(SINCE)).alias("_bad")
-        wanted = [self.row] if self.row else [f"`{c}`" for c in rows.columns if spec.column(c)]
-        judged = prepared.select(F.struct(*rows.columns).alias("_whole"), bad, *wanted)
-        typed = write_projection(judged, spec, self.row, ("_whole", "_bad"))
-        typed = typed.withColumn("_missing", F.lit(False))
+    def _marked(self, staged: DataFrame, spec: TableSpec, batch_id: int) -> DataFrame:
+        """Staged rows and whether a parent is missing (``_missing``)."""
+        refs, typed = self.references(spec), staged.withColumn("_missing", F.lit(False))
         if not refs:
             return typed
         typed = typed.withColumns({f"_ref{i}": self._digest(spec, *ref) for i, ref in enumerate(refs)})
@@ -144,18 +133,17 @@ class RelatedIngest:
         return typed
 
     def _unknown(self, typed: DataFrame, ref: str, parent: TableSpec, batch_id: int, own: DataFrame | None) -> DataFrame:
-        """References of good rows that no loaded row answers, with the number of rows that have each."""
-        used = typed.filter(f"NOT _bad AND NOT _missing AND {ref} IS NOT NULL").groupBy(F.col(ref).alias("digest"))
-        used = used.agg(F.count(F.lit(1)).alias("n"))
+        """References of good rows that no loaded row answers."""
+        used = typed.filter(f"{SOUND} AND NOT _missing AND {ref} IS NOT NULL").select(F.col(ref).alias("digest")).distinct()
         # rows of earlier batches, and of this one if the parent's table has been loaded already
-        known = self._files(self.of(parent.name)).known(used.select("digest"), F.col("batch_id") <= batch_id if own is None else F.col("batch_id") < batch_id)
+        known = self._files(self.of(parent.name)).known(used, F.col("batch_id") <= batch_id if own is None else F.col("batch_id") < batch_id)
         found = [k for k in (known, own) if k is not None]
         return reduce(lambda left, k: left.join(k, "digest", "left_anti"), found, used)
 
     def _flagged(self, typed: DataFrame, ref: str, unknown: DataFrame) -> DataFrame:
-        unknown = unknown.select(F.col("digest").alias(ref), "n", F.lit(True).alias("_hit"))
-        out = join_by_key(typed.withColumn("_spread", row_digest(typed.select("_whole"))), unknown, [ref], "n", ["_spread"], "left")
-        missing = F.col("_missing") | F.coalesce(F.col("_hit") & ~F.col("_bad"), F.lit(False))
+        unknown = unknown.select(F.col("digest").alias(ref), F.lit(True).alias("_hit"))
+        out = typed.join(unknown, ref, "left")
+        missing = F.col("_missing") | F.coalesce(F.col("_hit") & F.expr(SOUND), F.lit(False))
         return out.withColumn("_missing", missing).select(typed.columns)
 
     def _within(self, typed: DataFrame, refs: list, batch_id: int) -> DataFrame:
@@ -173,14 +161,15 @@ class RelatedIngest:
             before = now
             for i, (_, parent, _, _) in enumerate(refs):
                 if f"_own{i}" in typed.columns:
-                    own = typed.filter(f"NOT _bad AND NOT _missing AND _own{i} IS NOT NULL").select(F.col(f"_own{i}").alias("digest")).distinct()
+                    own = typed.filter(f"{SOUND} AND NOT _missing AND _own{i} IS NOT NULL").select(F.col(f"_own{i}").alias("digest")).distinct()
                     typed = self._flagged(typed, f"_ref{i}", self._unknown(typed, f"_ref{i}", parent, batch_id, own))
 
-    def _rejections(self, rows: DataFrame, spec: TableSpec) -> DataFrame:
+    def _rejections(self, rows: DataFrame, load: Ingest) -> DataFrame:
+        spec = load.spec
         columns = list(dict.fromkeys(c for cols, *_ in self.references(spec) for c in cols))
         shown = F.concat_ws(",", *[F.col(f"`{spec.column(c).name}`").cast("string") for c in columns])
         return rows.select(
-            *[F.col(f"_whole.{c}").alias(c) for c in self.order],
+            *load.places(),
             F.lit(spec.by_name[columns[0].lower()][0]).alias("ordinal"), F.lit(",".join(columns)).alias("column_name"),
             F.lit("reference").alias("rule"), shown.alias("value"),
             F.concat(F.lit("no parent row came for "), shown).alias("message"), F.lit(spec.name).alias("table_name"),
@@ -213,10 +202,7 @@ class RelatedIngest:
         """Rejections of the rows that the last batch left waiting."""
         waiting = self.waiting(spark, spec.name)
         last = waiting.agg(F.max("batch_id")).first()[0]
-        rows = waiting.filter(F.col("batch_id") == F.lit(last)).drop("batch_id")
-        wanted = [self.row] if self.row else [f"`{c}`" for c in rows.columns if spec.column(c)]
-        whole = rows.select(F.struct(*rows.columns).alias("_whole"), *wanted)
-        return self._rejections(write_projection(whole, spec, self.row, ("_whole",)), spec)
+        return self._rejections(waiting.filter(F.col("batch_id") == F.lit(last)), self.of(spec.name))
 
     # -- results ------------------------------------------------------------
     def waiting(self, spark: SparkSession, name: str) -> DataFrame:
