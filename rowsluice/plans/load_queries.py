@@ -12,12 +12,13 @@ from rowsluice.operators.spec import ColumnSpec, TableSpec
 from rowsluice.plans import derived
 from rowsluice.plans.catalog_queries import READY_SQL, walk_sql
 from rowsluice.plans.derived import MANIFEST_SQL
-from rowsluice.plans.push import Source, push_plan, push_tables
+from rowsluice.plans.push import LoadAborted, Source, push_plan, push_tables
 from rowsluice.plans.registry import ORACLES, Tables, query
 from rowsluice.session import scratch_path
 from rowsluice.sources import manifest as manifests
 from rowsluice.sources.jsonl import rows_from_lines
 from rowsluice.sources.sinks import ParquetSink
+from rowsluice.sources.versions import VersionedSink
 from rowsluice.streaming.ingest import Ingest
 from rowsluice.streaming.keyed import KeyedIngest
 from rowsluice.streaming.related import RelatedIngest
@@ -194,6 +195,10 @@ PLACED = TableSpec(
 )
 
 
+STREAMED_CUSTOMERS = TableSpec("customer", CUSTOMERS.columns[:2] + (ColumnSpec("c_mktsegment", "varchar"),))
+PLAIN_ORDERS = TableSpec("orders", PLACED.columns[:2] + (ColumnSpec("o_orderstatus", "varchar"),))
+
+
 @query(
     "push_files",
     """
@@ -223,6 +228,47 @@ def push_files(t: Tables) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+@query(
+    "push_atomic",
+    """
+WITH c AS (SELECT count(*) AS n FROM customer), o AS (SELECT count(*) AS n FROM orders),
+     f AS (SELECT count(*) AS n FROM orders WHERE o_orderstatus = 'F')
+SELECT 'loaded' AS step, 'customer' AS table_name, n AS rows FROM c UNION ALL SELECT 'loaded', 'orders', n FROM o
+UNION ALL SELECT 'failed', 'customer', n FROM c UNION ALL SELECT 'failed', 'orders', n FROM o
+UNION ALL SELECT 'replaced', 'customer', n FROM c UNION ALL SELECT 'replaced', 'orders', n FROM f
+UNION ALL SELECT 'appended', 'customer', n FROM c UNION ALL SELECT 'appended', 'orders', o.n FROM o
+""",
+)
+def push_atomic(t: Tables) -> DataFrame:
+    """Load two tables as one version; fail in the last table of the next load; replace both; append to one.
+
+    Rows that readers of the newest version see after each step.
+    """
+    sink = VersionedSink(t.spark, scratch_path(t.spark, "versions"))
+    specs = (PLAIN_ORDERS, STREAMED_CUSTOMERS)
+    seen = []
+
+    def load(step: str, orders: DataFrame, append: bool = False) -> None:
+        sources = [Source(specs[0], orders, ("o_orderkey",))]
+        if not append:
+            sources.append(Source(specs[1], t.customer.select(*[c.name for c in specs[1].columns]), ("c_custkey",)))
+        try:
+            push_tables(sources, sink, append=append, policy="report")
+        except LoadAborted:
+            step = "failed"
+        seen.extend(sink.read(s.name).agg(F.count("*").alias("rows")).select(F.lit(step).alias("step"), F.lit(s.name).alias("table_name"), "rows") for s in specs)
+
+    for spec in specs:
+        sink.create(spec)
+    orders = t.orders.select(*[c.name for c in PLAIN_ORDERS.columns])
+    broken = F.when(F.col("o_orderkey") % 2 == 0, F.raise_error(F.lit("lost on the way")).cast("string")).otherwise(F.col("o_orderstatus"))
+    load("loaded", orders)
+    load("broken", orders.withColumn("o_orderstatus", broken))
+    load("replaced", orders.filter("o_orderstatus = 'F'"))
+    load("appended", orders.filter("o_orderstatus <> 'F'"), append=True)
+    return reduce(DataFrame.unionAll, seen)
+
+
 # ---- streaming ------------------------------------------------------------
 
 STREAMED = TableSpec(
@@ -340,9 +386,6 @@ def _related(t: Tables) -> RelatedIngest:
     return load
 
 
-STREAMED_CUSTOMERS = TableSpec("customer", CUSTOMERS.columns[:2] + (ColumnSpec("c_mktsegment", "varchar"),))
-
-
 @query(
     "stream_related",
     f"""

@@ -23,11 +23,14 @@ class LoadRefused(RuntimeError):
 
 
 class LoadAborted(RuntimeError):
-    """A load failed while it wrote; ``result`` tells what was completed before."""
+    """A load failed while it wrote; ``result`` tells what was completed before.
 
-    def __init__(self, table: str, result: "LoadResult"):
-        super().__init__(f"writing {table!r} failed after {result.total} rows of other tables")
-        self.result = result
+    ``undone``: nothing of it can be seen in the targets.
+    """
+
+    def __init__(self, table: str, result: "LoadResult", undone: bool = False):
+        super().__init__(f"writing {table!r} failed after {result.total} rows of other tables" + (", none of them published" if undone else ""))
+        self.result, self.undone = result, undone
 
 
 @dataclass(frozen=True)
@@ -202,6 +205,9 @@ def push_tables(
     made, so that the rows written are those that were checked. Each table is a
     Spark job of its own; the first failure stops the load with ``LoadAborted``,
     which tells what was completed.
+
+    A sink with ``begin`` takes the whole load as one step: readers see it when all
+    tables are written, and a failure leaves the targets as they were.
     """
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}")
@@ -224,13 +230,16 @@ def push_tables(
         return result
     for name in names:
         _checked(by_name[name], sink, policy, strict, result, by_name, append, references)
+    target = sink.begin() if hasattr(sink, "begin") else sink
     if not append:
-        sink.truncate([by_name[n].spec for n in names])
+        target.truncate([by_name[n].spec for n in names])
     for name in names:
         try:
-            _load(by_name[name], sink, policy, strict, quarantine, result)
+            _load(by_name[name], target, policy, strict, quarantine, result)
         except Exception as problem:
-            raise LoadAborted(name, result) from problem
+            raise LoadAborted(name, result, undone=target is not sink) from problem
+    if target is not sink:
+        result.notes.append(f"published {target.publish()}")
     return result
 
 

@@ -85,6 +85,36 @@ def read_table(
     )
 
 
+def run_statements(spark: SparkSession, connection: Connection, statements: list[str]) -> list[int]:
+    """Run statements in one transaction, from the driver; rows changed by each.
+
+    Spark's JDBC source only reads and writes tables. If one statement fails, none has an effect (but for
+    databases that commit DDL at once).
+    """
+    options = dict(connection.jdbc_options)
+    url, driver = options.pop("url"), options.pop("driver", None)
+    jvm = spark._jvm
+    if driver:
+        jvm.org.apache.spark.sql.execution.datasources.jdbc.DriverRegistry.register(driver)
+    properties = jvm.java.util.Properties()
+    for key, value in options.items():
+        properties.setProperty(key, str(value))
+    session = jvm.java.sql.DriverManager.getConnection(url, properties)
+    try:
+        session.setAutoCommit(False)
+        changed, statement = [], session.createStatement()
+        try:
+            for text in statements:
+                changed.append(statement.executeUpdate(text))
+            session.commit()
+        except Exception:
+            session.rollback()
+            raise
+        return changed
+    finally:
+        session.close()
+
+
 # Catalog queries, shaped as rowsluice.sources.catalog expects them. They run in
 # the database; only catalog rows travel.
 TABLES_QUERY = """
