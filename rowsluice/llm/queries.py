@@ -102,4 +102,4 @@ QUERIES = {
     f.__name__: f
     for f in (op1_pii, op2_decontaminate, op3_substring_dedup, op4_jaccard_join, op5_factor_dedup, op6_best_fit_packing, op7_license_scan, op8_toxicity, op9_quality_rules, op10_token_files, op11_merkle_manifest, op12_token_alignment, op13_sentencepiece)
 }
-ORACLES = {"op2_decontaminate": oracles.DECONTAMINATE, "op9_quality_rules": oracles.QUALITY}
+ORACLES = {"op2_decontaminate": oracles.DECONTAMINATE, "op9_quality_rules": oracles.QUALITY, "op11_merkle_manifest": oracles.MERKLE}
