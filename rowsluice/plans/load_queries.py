@@ -12,11 +12,12 @@ from rowsluice.operators.spec import ColumnSpec, TableSpec
 from rowsluice.plans import derived
 from rowsluice.plans.catalog_queries import READY_SQL, walk_sql
 from rowsluice.plans.derived import MANIFEST_SQL
-from rowsluice.plans.push import LoadAborted, Source, push_plan, push_tables
+from rowsluice.plans.feed_queries import DAMAGE_SQL, damaged_feed
+from rowsluice.plans.push import LoadAborted, Source, push_plan, push_table, push_tables
 from rowsluice.plans.registry import ORACLES, Tables, query
 from rowsluice.session import scratch_path
 from rowsluice.sources import manifest as manifests
-from rowsluice.sources.jsonl import rows_from_lines
+from rowsluice.sources.jsonl import kept_lines, rows_from_lines, split_lines
 from rowsluice.sources.sinks import ParquetSink
 from rowsluice.sources.versions import VersionedSink
 from rowsluice.streaming.ingest import Ingest
@@ -414,3 +415,72 @@ FROM ({RELATED_SQL}) JOIN range(4) r(b) ON batch <= b AND (lone OR batch = b AND
 def stream_waiting(t: Tables) -> DataFrame:
     """How many orders wait for their customer after each batch."""
     return _related(t).waiting(t.spark, "orders").groupBy("batch_id").agg(F.count(F.lit(1)).alias("waiting"))
+
+
+# ---- feeds with lines that hold no row -------------------------------------
+
+# Further damage to lines that are whole otherwise.
+ODD_SQL = f"""
+SELECT *, CASE WHEN damage <> 'good' THEN damage WHEN event_id % 29 = 0 THEN 'huge' WHEN event_id % 31 = 0 THEN 'shown' ELSE 'good' END AS state
+FROM (SELECT *, {DAMAGE_SQL} AS damage FROM events)
+"""
+LINED = TableSpec(
+    "events",
+    (
+        ColumnSpec("event_id", "bigint", is_pk=True), ColumnSpec("user_id", "int"), ColumnSpec("value", "double"),
+        ColumnSpec("event_type", "enum", values=("click", "purchase", "signup", "view")), ColumnSpec("props", "json"),
+    ),
+)
+
+
+def _odd_lines(t: Tables) -> DataFrame:
+    """The damaged feed, with numbers that are too large, as numbers and inside texts (those are good)."""
+    whole = F.col("value").rlike("[}]\r$")
+    huge = F.regexp_replace("value", '"user_id":[0-9]+', '"user_id":1e400')
+    shown = F.regexp_replace("value", '"props":"', '"props":"1e400 ')
+    key = F.regexp_extract("value", '"event_id":([0-9]+)', 1).try_cast("long")
+    line = F.when(whole & (key % 29 == 0), huge).when(whole & (key % 31 == 0), shown).otherwise(F.col("value"))
+    return damaged_feed(t).select(line.alias("value"))
+
+
+@query(
+    "push_lines",
+    f"""
+WITH s AS (SELECT state, event_type = 'error' AS bad FROM ({ODD_SQL}))
+SELECT 'written' AS outcome, count(*) AS n FROM s WHERE state IN ('good', 'shown') AND NOT bad
+UNION ALL SELECT 'rejected', count(*) FROM s WHERE state IN ('good', 'shown') AND bad
+UNION ALL SELECT 'malformed', count(*) FROM s WHERE state NOT IN ('good', 'shown', 'blank')
+""",
+)
+def push_lines(t: Tables) -> DataFrame:
+    """Load a feed of lines: rows to the target, rejected rows and lines without a row set aside."""
+    root = scratch_path(t.spark, "lines")
+    sink, aside = ParquetSink(t.spark, f"{root}/loaded"), ParquetSink(t.spark, f"{root}/aside")
+    rows, malformed = split_lines(_odd_lines(t))
+    rows = rows.withColumn("id", F.try_variant_get(F.col("row")["event_id"], "$", "bigint"))
+    sink.create(LINED)
+    result = push_table(Source(LINED, rows, ("id",), "row", malformed=malformed), sink, "quarantine", quarantine=aside)
+    found = {"written": "loaded/events", "rejected": "aside/events", "malformed": "aside/events_malformed"}
+    counts = {"written": result.written, "rejected": result.rejected, "malformed": result.malformed}
+    parts = [t.spark.read.parquet(f"{root}/{path}").agg(F.count("*").alias("n")).select(F.lit(k).alias("outcome"), "n") for k, path in found.items()]
+    seen = reduce(DataFrame.unionAll, parts)
+    told = t.spark.createDataFrame([(k, v["events"]) for k, v in counts.items()], "outcome string, n long")
+    return seen.join(F.broadcast(told), ["outcome", "n"])  # both have to agree
+
+
+@query(
+    "stream_malformed",
+    f"""
+SELECT 'loaded' AS outcome, count(*) AS n FROM ({ODD_SQL}) WHERE state IN ('good', 'shown') AND event_type <> 'error'
+UNION ALL SELECT 'malformed', count(*) FROM ({ODD_SQL}) WHERE state NOT IN ('good', 'shown', 'blank')
+""",
+)
+def stream_malformed(t: Tables) -> DataFrame:
+    """The same feed as a stream of four batches; lines without a row are set aside by the same pass."""
+    lines = _odd_lines(t)
+    source = feed(t, lines, F.pmod(F.xxhash64("value"), F.lit(FEED_BATCHES)))
+    rows = kept_lines(source).withColumn("id", F.try_variant_get(F.col("row")["event_id"], "$", "bigint"))
+    load = Ingest(LINED, scratch_path(t.spark, "stream"), ("id",))
+    load.start(rows).awaitTermination()
+    loaded = load.loaded(t.spark).agg(F.count("*").alias("n")).select(F.lit("loaded").alias("outcome"), "n")
+    return loaded.unionAll(load.malformed(t.spark).agg(F.count("*").alias("n")).select(F.lit("malformed"), "n"))

@@ -43,15 +43,18 @@ class Source:
     row: str | None = None
     status: str = "ready"
     declared: tuple[tuple[str, str], ...] = ()
+    malformed: DataFrame | None = None
+    """Lines that hold no row, see ``split_lines``; they are counted and go to the quarantine."""
 
 
 @dataclass
 class LoadResult:
-    """What a load did: rows written and rejected per table, violations by
-    column and rule where they are only reported, notes for people."""
+    """What a load did: rows written and rejected and lines without a row per table, violations
+    by column and rule where they are only reported, notes for people."""
 
     written: dict[str, int] = field(default_factory=dict)
     rejected: dict[str, int] = field(default_factory=dict)
+    malformed: dict[str, int] = field(default_factory=dict)
     reported: dict[str, dict[tuple[str, str], int]] = field(default_factory=dict)
     notes: list[str] = field(default_factory=list)
 
@@ -61,6 +64,8 @@ class LoadResult:
 
 
 POLICIES = ("abort", "quarantine", "report")
+#: Ending of the quarantine's tables of lines without a row.
+MALFORMED = "_malformed"
 
 
 def _refuse_unless_loadable(source: Source, sink: Sink) -> None:
@@ -126,6 +131,8 @@ def _load(
 ) -> None:
     """Write what the policy lets through."""
     spec, rows, validator = source.spec, source.rows, _validator(source, strict)
+    if source.malformed is not None:
+        result.malformed[spec.name] = _counted(source.malformed, f"{spec.name}{MALFORMED}", quarantine)
     if policy == "quarantine":
         # Both halves are written: validate once, keep the verdicts meanwhile.
         flagged = validator.flagged(rows).persist()
@@ -150,14 +157,17 @@ def _write(rows: DataFrame, source: Source, sink: Sink, result: LoadResult) -> N
 
 
 def _set_aside(bad: DataFrame, source: Source, quarantine: Sink | None, result: LoadResult) -> None:
-    name = source.spec.name
-    if quarantine is None:
-        result.rejected[name] = bad.count()
-        return
     kept = bad if source.row is None else bad.withColumn(source.row, F.to_json(source.row))
-    counted = Observation(f"rejected {name}")
-    quarantine.append(kept.observe(counted, F.count(F.lit(1)).alias("n")), name)
-    result.rejected[name] = counted.get["n"]
+    result.rejected[source.spec.name] = _counted(kept, source.spec.name, quarantine)
+
+
+def _counted(rows: DataFrame, name: str, quarantine: Sink | None) -> int:
+    """Number of rows that are left out, written to the quarantine if there is one."""
+    if quarantine is None:
+        return rows.count()
+    counted = Observation(f"set aside {name}")
+    quarantine.append(rows.observe(counted, F.count(F.lit(1)).alias("n")), name)
+    return counted.get["n"]
 
 
 def push_table(

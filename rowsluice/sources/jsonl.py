@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rowsluice.functions.cells import PIN, pinned, unpinned
 from rowsluice.functions.text import strip_space
+from rowsluice.session import scratch_path
 
 STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 RAW_ROW = "map<string,variant>"
@@ -37,7 +38,23 @@ def parse_row(line: Column) -> Column:
         F.concat(F.lit('{"r":'), line, F.lit(',"z":1}')), f"struct<r:{RAW_ROW},z:int>", STRICT
     )
     alone = F.from_json(F.concat(F.lit("["), line, F.lit("]")), "array<string>", STRICT)
-    return once(framed, lambda f: F.when((f["z"] == 1) & (F.size(alone) == 1), f["r"]))
+    return once(framed, lambda f: F.when((f["z"] == 1) & (F.size(alone) == 1) & ~too_large(line), f["r"]))
+
+
+# Fixed patterns: JSON strings and numbers, and lines that could hold a number beyond a double.
+JSON_STRING = r'"(?:[^"\\]|\\.)*"'
+JSON_NUMBER = r"-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?"
+LARGE_NUMBER = r"[0-9][eE][+]?[0-9]{3}|[0-9]{309}"
+
+
+def too_large(line: Column) -> Column:
+    """A number of the line, outside its texts, is too large for a double: such a line is no good row.
+
+    Numbers are only looked at where one of them could be; others cost one search.
+    """
+    numbers = F.regexp_extract_all(F.regexp_replace(line, JSON_STRING, '""'), F.lit(JSON_NUMBER), F.lit(0))
+    beyond = F.exists(numbers, lambda x: F.abs(x.try_cast("double")) == float("inf"))
+    return F.when(line.rlike(LARGE_NUMBER), beyond).otherwise(F.lit(False))
 
 
 def lower_keys(row: Column) -> Column:
@@ -82,6 +99,34 @@ def rows_from_lines(lines: DataFrame, column: str = "value", row: str = "row") -
     return rows.filter(unpinned(rows, F.col(row).isNotNull())).drop(column, PIN)
 
 
+LINE = "_line"
+
+
+def kept_lines(lines: DataFrame, column: str = "value", row: str = "row") -> DataFrame:
+    """Good lines as raw rows, and malformed ones with their text in ``_line`` (null for good ones).
+
+    The form in which ``Ingest`` takes a stream whose malformed lines are to be set aside.
+    """
+    classified = pinned(lines, [lower_keys(parse_row(strip_space(F.col(column)))).alias(row)])
+    good = unpinned(classified, F.col(row).isNotNull())
+    text = F.when(~good, F.col(column)).alias(LINE)
+    kept = classified.select(*[c for c in classified.columns if c not in (column, PIN)], text)
+    return kept.filter(F.col(LINE).isNull() | (strip_space(F.col(LINE)) != ""))
+
+
+def split_lines(lines: DataFrame, column: str = "value", row: str = "row") -> tuple[DataFrame, DataFrame]:
+    """(good lines as raw rows, malformed lines with their text), parsed once.
+
+    The parsed lines are written to the shared scratch folder, dealt into the two; blank lines are left out.
+    """
+    kept = kept_lines(lines, column, row)
+    path = scratch_path(lines.sparkSession, "lines")
+    kept.withColumn("good", F.col(LINE).isNull()).write.partitionBy("good").parquet(path)
+    again = lines.sparkSession.read.schema(kept.schema.add("good", "boolean")).parquet(path)
+    good = again.filter("good").drop("good", LINE)
+    return good, again.filter("NOT good").drop("good", row).withColumnRenamed(LINE, column)
+
+
 def line_counts(lines: DataFrame, column: str = "value") -> DataFrame:
     """How many lines hold a row, are blank or are malformed."""
     state = F.col("line_state")
@@ -103,12 +148,12 @@ def read_jsonl(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return rows_from_lines(lines)
 
 
-def stream_jsonl(spark: SparkSession, path: str, **options) -> DataFrame:
-    """The same over a growing directory, as a stream."""
+def stream_jsonl(spark: SparkSession, path: str, malformed: bool = False, **options) -> DataFrame:
+    """The same over a growing directory, as a stream; ``malformed`` lines are passed on in ``_line`` if asked for."""
     lines = (
         spark.readStream.options(**options)
         .option("lineSep", "\n")
         .text(path)
         .withColumn("file", F.col("_metadata.file_path"))
     )
-    return rows_from_lines(lines)
+    return kept_lines(lines) if malformed else rows_from_lines(lines)

@@ -42,7 +42,8 @@ class Ingest(StagedLoad):
     def load_staged(self, staged: DataFrame, batch_id: int, labels: list[str]) -> None:
         # a number tells identical rows apart: exactly one of them is first
         number = F.col("_place").withField("_number", F.monotonically_increasing_id())
-        rows = self._judged(self.kept(staged.withColumn("_place", number), "staged"), batch_id, labels)
+        rows = self.set_aside(self.kept(staged.withColumn("_place", number), "staged"), batch_id)
+        rows = self._judged(rows, batch_id, labels)
         judged = self.kept(rows, "judged")
         self.write_judged(judged, batch_id, labels)
         if labels:
@@ -83,7 +84,10 @@ class Ingest(StagedLoad):
 
     # -- the stream ---------------------------------------------------------
     def start(self, rows: DataFrame, available_now: bool = True, **trigger) -> StreamingQuery:
-        """Run the load over a stream of rows (see ``stream_jsonl``); rules are planned once."""
+        """Run the load over a stream of rows (see ``stream_jsonl``); rules are planned once.
+
+        Malformed lines that the stream passes on are set aside in the folder ``malformed``.
+        """
         staged, labels = self.staged(rows)
         writer = staged.writeStream.foreachBatch(lambda b, i: self.load_staged(b, i, labels))
         writer = writer.option("checkpointLocation", self.path("_stream"))

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from rowsluice.sources.jsonl import LINE
 from rowsluice.streaming.staged import SOUND, StagedLoad
 
 STATE_SETTINGS = {
@@ -92,7 +93,8 @@ class KeyedIngest(StagedLoad):
     def judged(self, rows: DataFrame) -> tuple[DataFrame, list[str]]:
         staged, labels = self.staged(rows)
         for i in range(len(labels)):
-            claims = F.expr(f"{SOUND} AND size(_repeats) = 0 AND _digest{i} IS NOT NULL")
+            no_row = f" AND {LINE} IS NULL" if LINE in staged.columns else ""
+            claims = F.expr(f"{SOUND} AND size(_repeats) = 0 AND _digest{i} IS NOT NULL{no_row}")
             free = F.concat(F.lit(FREE), F.col("_place._content").cast("string"))
             grouped = staged.withColumn("_group", F.when(claims, F.col(f"_digest{i}")).otherwise(free)).groupBy("_group")
             out = T.StructType([*staged.schema.fields, T.StructField("_group", T.StringType())])
@@ -101,7 +103,7 @@ class KeyedIngest(StagedLoad):
 
     def write_batch(self, batch: DataFrame, batch_id: int, labels: list[str]) -> None:
         # state must be passed through once only
-        self.write_judged(self.kept(batch, "judged"), batch_id, labels)
+        self.write_judged(self.set_aside(self.kept(batch, "judged"), batch_id), batch_id, labels)
 
     def start(self, rows: DataFrame, available_now: bool = True, **trigger) -> StreamingQuery:
         """Run the load over a stream of rows (see ``stream_jsonl``)."""

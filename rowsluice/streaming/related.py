@@ -90,9 +90,15 @@ class RelatedIngest:
             for name in names:
                 rows = batch.filter(F.col(self.table) == name).drop(self.table)
                 self._load_table(rows, self.of(name), batch_id)
+            done = batch.sparkSession.createDataFrame([(batch_id,)], "number long")
+            done.write.mode("overwrite").parquet(f"{self._batches}/batch_id={batch_id}")
         finally:
             batch.unpersist()
 
+    @property
+    def _batches(self) -> str:
+        return f"{self.root.rstrip('/')}/batches"
+
     def _load_table(self, rows: DataFrame, load: Ingest, batch_id: int) -> None:
         spec, refers = load.spec, bool(self.references(load.spec))
         staged, labels = load.staged(rows)
@@ -200,9 +206,8 @@ class RelatedIngest:
 
     def _left(self, spark: SparkSession, spec: TableSpec) -> DataFrame:
         """Rejections of the rows that the last batch left waiting."""
-        waiting = self.waiting(spark, spec.name)
-        last = waiting.agg(F.max("batch_id")).first()[0]
-        return self._rejections(waiting.filter(F.col("batch_id") == F.lit(last)), self.of(spec.name))
+        last = spark.read.parquet(self._batches).agg(F.max("number")).first()[0]  # it may have left none waiting
+        return self._rejections(self.waiting(spark, spec.name).filter(F.col("batch_id") == last), self.of(spec.name))
 
     # -- results ------------------------------------------------------------
     def waiting(self, spark: SparkSession, name: str) -> DataFrame:

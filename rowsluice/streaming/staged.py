@@ -16,8 +16,9 @@ from rowsluice.operators.keys import has_all, row_digest
 from rowsluice.operators.project import write_projection
 from rowsluice.operators.spec import TableSpec
 from rowsluice.operators.validate import ValidationFailed, Validator
+from rowsluice.sources.jsonl import LINE
 
-LOADED, REJECTED = "loaded", "rejected"
+LOADED, REJECTED, MALFORMED = "loaded", "rejected", "malformed"
 #: A row that breaks no rule by itself.
 SOUND = "size(_hits) = 0"
 
@@ -66,7 +67,8 @@ class StagedLoad:
         keyed, digests, labels = key_digests(validator, judged)
         place = F.struct(*self.order, row_digest(rows).alias("_content")).alias("_place")
         keyed = keyed.select(*rows.columns, "_hits", place, *digests)
-        typed = write_projection(keyed, self.spec, self.row, ("_hits", "_place", *digests))
+        carried = ("_hits", "_place", *digests, *([LINE] if LINE in rows.columns else []))
+        typed = write_projection(keyed, self.spec, self.row, carried)
         return typed.withColumn("_repeats", F.array().cast("array<int>")), labels
 
     def kept(self, frame: DataFrame, name: str) -> DataFrame:
@@ -78,6 +80,18 @@ class StagedLoad:
         frame.write.mode("overwrite").parquet(path)
         return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
+    def set_aside(self, staged: DataFrame, batch_id: int) -> DataFrame:
+        """Kept rows without malformed lines, which go to the folder ``malformed``."""
+        if LINE not in staged.columns:
+            return staged
+        lines = staged.filter(F.col(LINE).isNotNull()).select(*self.places(), F.col(LINE).alias("line"))
+        lines.write.mode("overwrite").parquet(self.path(MALFORMED, batch_id))
+        return staged.filter(F.col(LINE).isNull()).drop(LINE)
+
+    def malformed(self, spark: SparkSession) -> DataFrame:
+        """The lines of the stream that hold no row (of rows with ``_line``, see ``kept_lines``)."""
+        return spark.read.parquet(self.path(MALFORMED)).drop("batch_id")
+
     def write_judged(self, batch: DataFrame, batch_id: int, labels: list[str]) -> None:
         """Write a kept batch whose ``_repeats`` have the numbers of the unique keys that an earlier row has."""
         violations = self.violations(batch, labels)
