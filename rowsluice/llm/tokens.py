@@ -22,7 +22,7 @@ from rowsluice.llm import common as c
 CUT = re.compile(r"[ ](?=[^\s\u180e\u200b\ufeff])")
 UNSAFE = re.compile(r"[ ](?:[\s\u180e\u200b\ufeff]|$)")
 #: Characters given to the library at once (what it returns takes some 100 bytes for each), and kept in all.
-TOGETHER, KNOWN_CHARS = 1 << 17, 20_000_000
+TOGETHER, KNOWN_CHARS = 1 << 19, 20_000_000
 END = 2
 
 
@@ -63,6 +63,10 @@ class Encoder:
         self.used += len(ids)
         return first
 
+    def _library(self, text: str) -> np.ndarray:
+        """The library's ids; this call of it leaves out offsets."""
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
     def _learn(self, pieces: list[str]) -> None:
         """Encode pieces that follow a space, many in one call."""
         at = 0
@@ -72,7 +76,7 @@ class Encoder:
                 size += len(pieces[end]) + 1
                 end += 1
             some = pieces[at:end]
-            ids = np.array(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, np.uint32)
+            ids = self._library(" " + " ".join(some))
             ends = np.cumsum(np.fromiter((len(p.encode()) + 1 for p in some), np.int64, len(some)))
             counts = np.searchsorted(np.cumsum(self.bytes[ids]), ends, "right")
             first = self._add(ids, np.diff(counts, prepend=0))
@@ -88,7 +92,7 @@ class Encoder:
         pieces = [[t] if whole(t) else CUT.split(t) if UNSAFE.search(t) else t.split(" ") for t in texts]
         for head in {p[0] for p in pieces if p[0] not in self.leading}:
             self.tokenizer.encode_special_tokens = not whole(head)
-            ids = np.array(self.tokenizer.encode(head, add_special_tokens=False).ids, np.uint32)
+            ids = self._library(head)
             self.leading[head] = self._add(ids, np.array([len(ids)]))
             self.chars += len(head) + 16
         self.tokenizer.encode_special_tokens = True
