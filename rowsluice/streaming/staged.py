@@ -17,6 +17,7 @@ from rowsluice.operators.project import write_projection
 from rowsluice.operators.spec import TableSpec
 from rowsluice.operators.validate import ValidationFailed, Validator
 from rowsluice.sources.jsonl import LINE
+from rowsluice.streaming.progress import OBSERVED
 
 LOADED, REJECTED, MALFORMED = "loaded", "rejected", "malformed"
 #: A row that breaks no rule by itself.
@@ -69,6 +70,9 @@ class StagedLoad:
         keyed = keyed.select(*rows.columns, "_hits", place, *digests)
         carried = ("_hits", "_place", *digests, *([LINE] if LINE in rows.columns else []))
         typed = write_projection(keyed, self.spec, self.row, carried)
+        if rows.isStreaming:
+            read = F.count(F.lit(1)).alias("read")
+            typed = typed.observe(f"{OBSERVED}{self.spec.name}", read, F.count_if(F.expr(SOUND)).alias("sound"))
         return typed.withColumn("_repeats", F.array().cast("array<int>")), labels
 
     def kept(self, frame: DataFrame, name: str) -> DataFrame:

@@ -2,13 +2,17 @@
 
 import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from rowsluice.operators.spec import ColumnSpec, TableSpec
 from rowsluice.sources.jsonl import stream_jsonl
+from rowsluice.operators.progress import progress_totals
+from rowsluice.streaming.ingest import Ingest
 from rowsluice.streaming.keyed import KeyedIngest
+from rowsluice.streaming.progress import LoadListener
 from rowsluice.streaming.related import RelatedIngest
 
 USERS = TableSpec(
@@ -58,6 +62,25 @@ def test_state_load_aborts(spark, folder):
     assert [r["id"] for r in load.loaded(spark).collect()] == [1]
 
 
+def test_listener_counts_rows(spark, folder):
+    source, load, listener = f"{folder}/in", Ingest(USERS, f"{folder}/out", ("i",)), LoadListener({"users": 10})
+    spark.streams.addListener(listener)
+    try:
+        for name, rows in (("a", [{"id": 1}, {"id": 2, "email": "toolong"}]), ("b", [{"id": 1}, {"id": 3}, {"id": 4}])):
+            put(source, name, rows)
+            load.start(stream(spark, source)).awaitTermination()
+        for _ in range(100):
+            found = [tuple(r) for r in listener.rows(spark).collect()]
+            if found and found[0][2] == 5 and found[0][4] == "ready":
+                break
+            time.sleep(0.1)
+        assert found == [("users", 10, 5, 4, "ready")]
+        totals = progress_totals(listener.rows(spark), ["table_name"]).collect()
+        assert [(r["generated"], r["requested"]) for r in totals] == [(5, 10)]
+    finally:
+        spark.streams.removeListener(listener)
+
+
 ORGS = TableSpec("orgs", (ColumnSpec("id", "bigint", nullable=False, is_pk=True), ColumnSpec("parent", "int", fk_ref="orgs.id")))
 STAFF = TableSpec("staff", (ColumnSpec("id", "bigint", is_pk=True), ColumnSpec("org", "int", fk_ref="orgs.id"), ColumnSpec("kind", "enum", values=("a", "b"))))
 
