@@ -10,6 +10,9 @@ form always stay.
 
 The patterns looked up at once are at most ``block``; more are looked up in several scans.
 
+A filler that starts with a word of digits and signs goes on over all such words after it; one with more
+digits than its kind has is none.
+
 Defined cases: a null or empty text has no spans; a pattern needs its words within one text;
 repeated rows get equal rows; an empty table gives no rows; further columns are ignored.
 """
@@ -36,6 +39,8 @@ CARD = re.compile(rb"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(rb"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = np.zeros(256, bool)
 DIGIT[0x30:0x3A] = True
+NUMERIC = np.zeros(256, bool)
+NUMERIC[list(b"0123456789().+-")] = True
 NORMAL = c.LOWER.copy()
 NORMAL[0x30:0x3A] = 0x30
 SPAN = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
@@ -92,7 +97,7 @@ def could_be(kind: int, filler: bytes) -> bool:
         return b"@" in filler or (b"at)" in filler or b"at]" in filler) and len(filler) > 8
     if kind == 1:
         return digits >= 4 and (filler.count(b".") >= 3 or filler.count(b":") >= 3)
-    return digits >= 9 and digits * 2 > len(filler)
+    return 9 <= digits <= (19 if kind == 2 else 15) and digits * 2 > len(filler)
 
 
 def _contexts(data: np.ndarray, offsets: np.ndarray):
@@ -102,6 +107,17 @@ def _contexts(data: np.ndarray, offsets: np.ndarray):
     return starts, ends, doc, h
 
 
+def number_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each word is of digits and signs only, and the last word of the run of such words it is in.
+
+    An identifier may be written in several words; runs do not leave a document, other words end where they start.
+    """
+    other = np.concatenate(([0], np.cumsum(~NUMERIC[data])))
+    numeric, places = other[ends] == other[starts], np.arange(len(starts))
+    last = np.flatnonzero(np.append(~numeric[1:] | (doc[1:] != doc[:-1]), True)[: len(starts)])
+    return numeric, np.where(numeric, last[np.searchsorted(last, places)], places)
+
+
 def _before(h):
     return c.mix(h[:-1] * c.U(0x9E3779B97F4A7C15) + h[1:])
 
@@ -161,23 +177,21 @@ def _lookup(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatc
             rows = []
             if len(h) < 3:
                 continue
+            numeric, stops = number_runs(data, starts, ends, doc)
+            inner = np.append(False, numeric[1:] & numeric[:-1] & (doc[1:] == doc[:-1]))  # not where a run starts
+            places = np.flatnonzero(~inner)
+            pair, single = places[places > 1], places[(places > 0) & (stops[places] + 1 < len(h))]
             for slots, left, hashes in (
-                (np.arange(2, len(h)), 2, _before(h)[: len(h) - 2]),
-                (np.arange(1, len(h) - 1), 1, _around(h[:-2], h[2:])),
+                (pair, 2, _before(h)[pair - 2]),
+                (single, 1, _around(h[single - 1], h[stops[single] + 1])),
             ):
                 at = np.flatnonzero(bits[(hashes & c.U((1 << 22) - 1)).astype(np.int64)])
                 lo, hi = np.searchsorted(patterns, hashes[at]), np.searchsorted(patterns, hashes[at], "right")
-                right = slots + (left == 1)
                 for j in np.flatnonzero(hi > lo).tolist():
-                    slot, d = int(slots[at[j]]), int(doc[slots[at[j]]])
-                    if doc[slot - left] != d or doc[right[at[j]]] != d:
+                    slot = int(slots[at[j]])
+                    stop, d = int(stops[slot]), int(doc[slot])
+                    if doc[slot - left] != d or left == 1 and doc[stop + 1] != d:
                         continue
-                    stop = slot
-                    if left == 2:  # numbers may go on over the next words
-                        while stop - slot < 4 and stop + 1 < len(doc) and doc[stop + 1] == d and not (
-                            set(data[starts[stop + 1] : ends[stop + 1]].tolist()) - set(b"0123456789().+-")
-                        ):
-                            stop += 1
                     raw = data[starts[slot] : ends[stop]].tobytes()
                     core = raw.strip(b".,;:!?\"'<>()[]|#$%&*")
                     shift = raw.find(core)

@@ -84,6 +84,15 @@ def test_pii_contexts_find_unseen_identifiers(spark):
     assert "please write to [email] today" in text[100] and "@" not in "".join(text.values())
 
 
+def test_pii_takes_whole_identifiers(spark):
+    known = [(i, f"{prose(i, 20)}please call me +1 389 555 {5000 + i} today {prose(i + 50, 20)}") for i in range(12)]
+    hidden = [(100, "then please call me 00 33 1 23 45 67 89 today"), (101, "so call me 0033 123 456 789"), (102, "x call me " + "12 " * 5000 + "today")]
+    docs = frame(spark, known + hidden)
+    text = {r["doc_id"]: r["text"] for r in ContextExtractor().redacted(docs).collect()}
+    assert text[100] == "then please call me [phone] today" and text[101] == "so call me [phone]"
+    assert text[102] == hidden[2][1]  # no identifier has so many digits
+
+
 def test_decontaminate(spark, rows):
     items = [("b1", prose(2, 60)), ("b2", "tie TIE"), ("b10", prose(500, 40)), ("b3", None), ("b4", ""), ("b2", "漢字")]
     benchmark = spark.createDataFrame(items, "item_id string, text string")
