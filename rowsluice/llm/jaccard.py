@@ -5,13 +5,16 @@ holds its number of shingles in each group, so that the sum of coordinate minima
 bounds their sets' overlap from above. Equal sets are one class with one point.
 
 Classes that can link share a shingle among the first quarter of each in one global order
-(frequent shingles last), so points are compared within the groups of those shingles only. A
-group's points are bulk-loaded into an R-tree: leaves of similar points keep the maximum of each
-coordinate, and pairs of leaves, then pairs of points, are dropped by their bound. Surviving
-pairs are verified on the texts. Small groups are a single leaf. Large groups are split into
-tiles; classes are first compared with the smallest id of their group, then with the medoid of their
-cluster in the tree, and at last with all points of their tile that are in other components by then. So no link between components is lost,
-and no group emits all of its pairs.
+(frequent shingles last), so points are compared within the groups of those shingles only. Points
+travel over 2^16 groups (2^32 for large sets), as the sorted groups of their shingles, from which
+the coordinates over fewer groups follow. Every class is first compared with one leader of its
+group, and what links is verified on the texts. Then only classes of different components meet:
+in small groups pair by pair, in large ones in tiles, each bulk-loaded into an R-tree. Its leaves of
+similar points keep the maximum of each coordinate; leaves, then points, are dropped by their
+bound, and what is left by that of the fine points. A tile gives a spanning forest of the links its
+points allow, fewer rows than it has points. These are verified on the texts; a tile of which a pair
+fails gives all of its pairs between components once more. So no link between components is lost, and
+no group emits all of its pairs.
 
 That gives components (``connecting``, ``joined``, ``representatives``), not every link. ``pairs`` gives all links
 between classes: both ends of a link are in one component, so each component's classes are dealt to
@@ -35,12 +38,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from rowsluice.llm import common as c
-from rowsluice.llm.anchors import LEAST_ID, Listed, blobs, ids_of, longer_prefixes, runs, spread, whole_groups
+from rowsluice.llm.anchors import LEAST_ID, Listed, blobs, ids_of, longer_prefixes, runs, whole_groups
 from rowsluice.llm.components import components
 
 LEAF = 16
 TILE = 2_000
 TILE_SHINGLES = 2_000_000
+NARROW = 4_096
 ROWS = "id long, tag int, n long, c1 long, c2 long, point binary"
 
 
@@ -77,6 +81,41 @@ def folded(p: np.ndarray, g: int) -> np.ndarray:
     return p if len(p) == g else np.minimum(p.reshape(-1, g).sum(axis=0), 255).astype(np.uint8)
 
 
+def fine(grams: np.ndarray) -> bytes:
+    """The point over 2^16 groups, or 2^32 for a large set: the group of each shingle, sorted."""
+    return np.sort(grams.astype(np.uint16 if len(grams) <= NARROW else np.uint32)).tobytes()
+
+
+def numbered(column: pa.Array, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Fine points as sets, with the first place of each and the end.
+
+    A group that a point has several times comes with the numbers 0, 1, ... above its 32 bits, so that
+    the elements two sets have in common are the sum of the minima of the points' counts.
+    """
+    data, cuts = blobs(column)
+    wide = np.diff(cuts) > 2 * n
+    if wide.any() and not wide.all():  # compared over the fewer groups
+        rows = [data[a:z] for a, z in zip(cuts[:-1], cuts[1:])]
+        groups = np.concatenate([np.sort(r.view(np.uint32).astype(np.uint16)) if w else r.view(np.uint16) for r, w in zip(rows, wide)])
+    else:
+        groups = data.view(np.uint32 if wide.any() else np.uint16)
+    ends = np.concatenate(([0], np.cumsum(n)))
+    groups = groups.astype(np.int64)
+    new = np.ones(len(groups), bool)
+    new[1:] = groups[1:] != groups[:-1]
+    new[ends[:-1]] = True
+    first = np.flatnonzero(new)
+    return groups | (np.arange(len(groups)) - first[np.cumsum(new) - 1]) << 32, ends
+
+
+def coordinates(values: np.ndarray, ends: np.ndarray, g: int) -> np.ndarray:
+    """Counts over g groups of points as ``numbered`` gives them."""
+    m = len(ends) - 1
+    row = np.repeat(np.arange(m), np.diff(ends))
+    counts = np.bincount(row * g + (values & g - 1), minlength=m * g).reshape(m, g)
+    return counts.astype(np.uint8 if counts.max() < 256 else np.int32)
+
+
 def may_link(overlap, n, m, share: int):
     """Whether 100 * overlap >= share * union can hold, given at most that overlap."""
     return overlap * (100 + share) >= share * (n + m)
@@ -89,7 +128,7 @@ def _profile(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBat
             cut = np.searchsorted(doc, np.arange(end - first + 1))
             total = lambda x: np.diff(np.concatenate((np.zeros(1, c.U), np.cumsum(x, dtype=c.U)))[cut])
             n = np.diff(cut)
-            points = [point(grams[a:z]).tobytes() if z > a else None for a, z in zip(cut[:-1], cut[1:])]
+            points = [fine(grams[a:z]) if z > a else None for a, z in zip(cut[:-1], cut[1:])]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids_of(b["id"].slice(first, end - first))), b["tag"].slice(first, end - first), pa.array(n),
@@ -132,7 +171,7 @@ def _prefixes(batches: Iterator[pa.RecordBatch], k: int, share: int, frequent: L
 
 
 def _pairs(batches: Iterator[pa.RecordBatch], share: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of classes of small groups; rows of larger groups as they are, with b null."""
+    """Pairs of classes of small groups, gram 0 for those with the first of a group and 1 for others; rows of larger groups, b null."""
     for b in whole_groups(batches, "gram"):
         gram, c1, n = (b[x].to_numpy() for x in ("gram", "c1", "n"))
         order = np.lexsort((c1, gram))
@@ -140,7 +179,7 @@ def _pairs(batches: Iterator[pa.RecordBatch], share: int) -> Iterator[pa.RecordB
         gram, c1, n = gram[order], c1[order], n[order]
         first = runs(gram)
         size = np.diff(np.append(first, len(gram)))
-        out_a, out_b, big = [], [], []
+        out_a, out_b, later, big = [], [], [], []
         for m in np.unique(size).tolist():
             f = first[size == m]
             if m == 1:
@@ -153,14 +192,15 @@ def _pairs(batches: Iterator[pa.RecordBatch], share: int) -> Iterator[pa.RecordB
             ok = np.minimum(n[x], n[y]) * 100 >= share * np.maximum(n[x], n[y])
             out_a.append(c1[x[ok]])
             out_b.append(c1[y[ok]])
+            later.append(np.tile(i > 0, len(f))[ok].astype(np.int64))
         none = [np.zeros(0, np.int64)]
-        pairs = np.unique(np.stack((np.concatenate(out_a + none), np.concatenate(out_b + none))), axis=1)
+        pairs = np.unique(np.stack([np.concatenate(x + none) for x in (out_a, out_b, later)]), axis=1)
         big = np.concatenate(big + none)
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(np.concatenate((pairs[0], c1[big]))),
                 pa.array(np.concatenate((pairs[1], np.zeros(len(big), np.int64))), mask=np.arange(pairs.shape[1] + len(big)) >= pairs.shape[1]),
-                pa.array(np.concatenate((np.zeros(pairs.shape[1], np.int64), gram[big]))),
+                pa.array(np.concatenate((pairs[2], gram[big]))),
             ],
             names=["a", "b", "gram"],
         )
@@ -169,18 +209,23 @@ def _pairs(batches: Iterator[pa.RecordBatch], share: int) -> Iterator[pa.RecordB
 def _bounded(batches: Iterator[pa.RecordBatch], share: int) -> Iterator[pa.RecordBatch]:
     """Pairs whose points allow a link."""
     for b in batches:
-        keep = []
-        for n, m, p, q in zip(*(b[x].to_pylist() for x in ("n_a", "n_b", "point_a", "point_b"))):
-            g = min(len(p), len(q))
-            p, q = folded(np.frombuffer(p, np.uint8), g), folded(np.frombuffer(q, np.uint8), g)
-            keep.append(may_link(int(np.minimum(p, q).sum(dtype=np.int64)), n, m, share))
-        yield b.filter(pa.array(keep, pa.bool_())).select(["id_a", "tag_a", "id_b", "tag_b"])
+        if not len(b):
+            continue
+        n, m = b["n_a"].to_numpy(), b["n_b"].to_numpy()
+        sides = pa.concat_arrays([x if isinstance(x, pa.Array) else x.combine_chunks() for x in (b["point_a"], b["point_b"])])
+        values, ends = numbered(sides, np.concatenate((n, m)))
+        common = np.zeros(len(b), np.int64)
+        for i in range(len(b)):
+            p, q = values[ends[i] : ends[i + 1]], values[ends[len(b) + i] : ends[len(b) + i + 1]]
+            common[i] = np.count_nonzero(np.isin(p, q, assume_unique=True, kind="sort"))
+        keep = (common > 0) & may_link(common, n, m, share)
+        yield b.filter(pa.array(keep)).select(["id_a", "tag_a", "id_b", "tag_b"])
 
 
 class RTree:
     """Points of one group, sorted and packed into leaves that keep each coordinate's maximum."""
 
-    def __init__(self, n: np.ndarray, points: list[np.ndarray]):
+    def __init__(self, n: np.ndarray, points: list[np.ndarray] | np.ndarray):
         g = min(len(p) for p in points)
         coordinates = np.stack([folded(p, g) for p in points])
         # sort-tile packing: by size, then by the load of the first half of the groups
@@ -201,59 +246,45 @@ class RTree:
         return at[may_link(np.minimum(self.points[at], p).sum(axis=1, dtype=np.int64), n, self.n[at], share)]
 
 
-    def stars(self, share: int) -> list[tuple[int, int]]:
-        """Leaders and the points that may link with them, each point once.
-
-        A cluster's leader is the point nearest to its median, which is likely to link with most.
-        """
-        free, out = np.ones(len(self.n), bool), []
-        for x in range(len(self.n)):
-            if not free[x]:
-                continue
-            near = self.candidates(x, share)
-            near = near[free[near]]
-            free[x] = False
-            if len(near) < 2:
-                continue
-            middle = np.median(self.points[near], axis=0)
-            m = int(near[np.argmin(np.abs(self.points[near] - middle).sum(axis=1))])
-            around = self.candidates(m, share)
-            around = around[free[around] & (around != m)]
-            free[around] = free[m] = False
-            out += [(m, int(o)) for o in around]
-            if m != x:
-                out.append((m, x))
-        return out
-
-
-def _trees(batches: Iterator[pa.RecordBatch], share: int, second: bool) -> Iterator[pa.RecordBatch]:
-    """Pairs to verify from the trees of large groups' tiles."""
+def _forests(batches: Iterator[pa.RecordBatch], share: int, every: bool) -> Iterator[pa.RecordBatch]:
+    """Pairs of each tile whose fine points allow a link between components: a spanning forest, or every one."""
     for b in whole_groups(batches, "tile"):
         key = b["tile"].to_numpy()
         first = runs(key)
-        found: set[tuple[int, int]] = set()
+        found: list[tuple[int, int]] = []
         ids, tags, n, root = (b[x].to_numpy(zero_copy_only=False) for x in ("id", "tag", "n", "root"))
-        data, cuts = blobs(b["point"])
         for f, l in zip(first, np.append(first[1:], len(key))):
             order = np.lexsort((tags[f:l], ids[f:l]))  # classes of one id have different tags
             at = f + order[runs(ids[f:l][order], tags[f:l][order])]
-            if len(at) < 2 or (second and (root[at] == root[at[0]]).all()):
+            if len(at) < 2 or (root[at] == root[at[0]]).all():
                 continue
-            tree = RTree(n[at], [data[cuts[i] : cuts[i + 1]] for i in at])
-            rows = at[tree.order]
-            if second:  # all but the largest component of the group look for others
-                roots, count = np.unique(root[rows], return_counts=True)
-                main = roots[np.argmax(count)]
-                for x in np.flatnonzero(root[rows] != main).tolist():
-                    other = tree.candidates(x, share)
-                    other = rows[other[root[rows[other]] != root[rows[x]]]]
-                    found.update((min(int(rows[x]), int(o)), max(int(rows[x]), int(o))) for o in other)
-            else:
-                found.update((int(rows[m]), int(rows[o])) for m, o in tree.stars(share) if root[rows[m]] != root[rows[o]])
-        i = np.array(sorted(found), np.int64).reshape(-1, 2)
+            values, ends = numbered(b["point"].take(pa.array(at)), n[at])
+            tree = RTree(n[at], coordinates(values, ends, min(n_groups(int(np.median(n[at]))), 1 << 16)))
+            element = np.unique(values, return_inverse=True)[1]
+            start, rows = ends[tree.order], at[tree.order]
+            label, count = np.unique(root[rows], return_inverse=True, return_counts=True)[1:]
+            main = label == np.argmax(count)  # the largest component: all others look for links
+            mark = np.zeros(len(values), bool)
+            for x in np.flatnonzero(~main).tolist():
+                near = tree.candidates(x, share)
+                near = near[(main[near] | (near > x)) & (label[near] != label[x])]
+                if not len(near):
+                    continue
+                own, size = element[start[x] : start[x] + tree.n[x]], tree.n[near]
+                begin = np.cumsum(size) - size
+                mark[own] = True
+                common = np.add.reduceat(mark[element[np.repeat(start[near] - begin, size) + np.arange(size.sum())]].astype(np.int64), begin)
+                mark[own] = False
+                near = near[(common > 0) & may_link(common, tree.n[x], size, share)]
+                if not every:
+                    others, one = np.unique(label[near], return_index=True)
+                    near = near[one]
+                    label[np.isin(label, others)] = label[x]
+                found += [(int(rows[x]), int(rows[o])) for o in near]
+        i = np.array(found, np.int64).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ids[i[:, 0]]), pa.array(tags[i[:, 0]]), pa.array(ids[i[:, 1]]), pa.array(tags[i[:, 1]])],
-            names=["id_a", "tag_a", "id_b", "tag_b"],
+            [pa.array(key[i[:, 0]]), pa.array(ids[i[:, 0]]), pa.array(tags[i[:, 0]]), pa.array(ids[i[:, 1]]), pa.array(tags[i[:, 1]])],
+            names=["tile", "id_a", "tag_a", "id_b", "tag_b"],
         )
 
 
@@ -370,43 +401,56 @@ class JaccardJoin:
         )
         dealt = prefixes.repartition("at").sortWithinPartitions("gram")
         met = c.stored(dealt.mapInArrow(partial(_dealt, share=self.share), "a long, b long, gram long"), "prefixes")
-        # small groups: pairs bounded by their points
+        schema = "id_a long, tag_a int, id_b long, tag_b int"
         side = lambda x: classes.select(F.col("c1").alias(x), *(F.col(n).alias(f"{n}_{x}") for n in ("id", "tag", "n", "point")))
-        pairs = met.filter("b IS NOT NULL").select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b")
-        bounded = pairs.mapInArrow(partial(_bounded, share=self.share), "id_a long, tag_a int, id_b long, tag_b int")
-        # large groups: tiles of points of like sizes, as sets that link differ by a third at most
+
+        def bounded(pairs: DataFrame) -> DataFrame:
+            both = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
+            return both.mapInArrow(partial(_bounded, share=self.share), schema)
+
+        # each class with one of its group: in a large group the smallest id, which its copies are likely to follow
         large = met.filter("b IS NULL").select("gram", F.col("a").alias("c1")).distinct()
+        large = c.stored(large.join(classes.select("c1", "id", "n"), "c1"), "large")
+        leader = F.min_by("c1", "id").alias("leader")
+        groups = large.groupBy("gram").agg(F.count("*").alias("size"), F.sum("n").alias("total"), leader).filter("size > 1")
+        grouped = large.join(groups, "gram")
+        followed = grouped.filter("c1 <> leader").select(F.col("c1").alias("a"), F.col("leader").alias("b"))
+        links = self._verify(rows, bounded(met.filter("b IS NOT NULL AND gram = 0").select("a", "b").union(followed)))
+        # then between components: small groups pair by pair
+        rooted = lambda: c.stored(
+            classes.select("c1", "id").join(components(links), "id", "left").select("c1", F.coalesce("root", "id").alias("root")), "roots"
+        )
+        roots = rooted()
+        other = met.filter("b IS NOT NULL AND gram = 1").select("a", "b").distinct()
+        for x in ("a", "b"):
+            other = other.join(roots.select(F.col("c1").alias(x), F.col("root").alias(f"root_{x}")), x)
+        other = bounded(other.filter("root_a <> root_b").select("a", "b"))
+        # large groups by tiles; beyond one tile of points of like sizes, as sets that link differ by a third at most
+        tiles = lambda size, total: F.ceil(F.greatest(size / TILE, total / TILE_SHINGLES)).cast("int")
         band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100.1 / self.share))).cast("int")
-        large = large.join(classes.select("c1", "id", band.alias("least")), "c1")
-        large = large.select("gram", "c1", "id", F.explode(F.array(F.col("least"), F.col("least") + 1)).alias("band"))
-        large = c.stored(large, "large")
-        tiles = F.ceil(F.col("size") / TILE).cast("int")
-        sized = large.groupBy("gram", "band").agg(F.count("*").alias("size")).filter("size > 1")
-        placed = large.join(sized, ["gram", "band"]).withColumn("own", F.pmod(F.xxhash64("id"), tiles).cast("int"))
-        placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
+        bands = F.when(tiles(F.col("size"), F.col("total")) > 1, F.array(band, band + 1)).otherwise(F.array(F.lit(-1)))
+        placed = grouped.select("gram", "c1", "n", F.explode(bands).alias("band"))
+        sized = placed.groupBy("gram", "band").agg(F.count("*").alias("size"), F.sum("n").alias("total")).filter("size > 1")
+        sized = sized.select("gram", "band", tiles(F.col("size"), F.col("total")).alias("tiles"))
+        placed = placed.join(sized, ["gram", "band"]).withColumn("own", F.pmod(F.xxhash64("c1"), F.col("tiles")).cast("int"))
+        placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
         tile = F.xxhash64("gram", "band", F.least("own", "other"), F.greatest("own", "other")).alias("tile")
-        placed = c.stored(placed.select(tile, "id"), "tiles")
-        schema = "id_a long, tag_a int, id_b long, tag_b int"
+        placed = c.stored(placed.select(tile, "c1"), "tiles")
 
-        def compared(with_roots: DataFrame, second: bool) -> DataFrame:
-            points = with_roots.join(classes.select("id", "tag", "n", "point"), "id")
-            dealt = points.repartition("tile").sortWithinPartitions("tile")
-            return dealt.mapInArrow(partial(_trees, share=self.share, second=second), schema)
-
-        # first each class of a large group with the group's smallest id, which its copies are likely to follow
-        leaders = large.groupBy("gram", "band").agg(F.min("id").alias("leader"))
-        stars = large.join(leaders, ["gram", "band"]).filter("id <> leader").select("id", "leader").distinct()
-        end = lambda x, on: classes.select(F.col("id").alias(on), *(F.col(n).alias(f"{n}_{x}") for n in ("id", "tag", "n", "point")))
-        stars = stars.join(end("a", "id"), "id").join(end("b", "leader"), "leader")
-        followed = stars.mapInArrow(partial(_bounded, share=self.share), schema)
-        links = self._verify(rows, bounded.unionByName(followed))
-        # then medoids, then all that may link, but only between components of a tile
-        for second in (False, True):
-            roots = components(links)
-            labelled = placed.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+        def between(labelled: DataFrame, every: bool) -> DataFrame:
             mixed = labelled.groupBy("tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
-            found = self._verify(rows, compared(labelled.join(mixed.select("tile"), "tile"), second))
-            links = links.unionByName(found)
+            points = labelled.join(mixed.select("tile"), "tile").join(classes.select("c1", "id", "tag", "n", "point"), "c1")
+            dealt = points.repartition("tile").sortWithinPartitions("tile")
+            return dealt.mapInArrow(partial(_forests, share=self.share, every=every), f"tile long, {schema}")
+
+        forests = c.stored(between(placed.join(roots, "c1"), False), "forests")
+        found = self._verify(rows, other.unionByName(forests.drop("tile")))
+        links = links.unionByName(found)
+        failed = forests.join(found, (F.col("id_a") == F.col("a")) & (F.col("id_b") == F.col("b")), "left_anti")
+        failed = c.stored(failed.select("tile").distinct(), "failed-tiles")
+        if not failed.isEmpty():
+            again = placed.join(failed, "tile").join(rooted(), "c1")
+            links = links.unionByName(self._verify(rows, between(again, True).drop("tile")))
         return links
 
     def _links(self, docs: DataFrame, profile: DataFrame) -> DataFrame:
