@@ -33,6 +33,8 @@ from rowsluice.session import scratch_path
 COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 BITS = (1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60)
 BLOCK_IDS = 1 << 18
+#: Characters of known words a worker keeps; blocks leave more memory than other users of the encoder have.
+KNOWN_CHARS = 40_000_000
 BLOCKS = (
     "part int, block int, before long, n_ids long, doc_ids array<long>, counts array<long>, "
     "offsets array<long>, words binary"
@@ -125,7 +127,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordB
         )
 
     for b in batches:
-        for first, end, ids, counts in encoded(b["text"], path):
+        for first, end, ids, counts in encoded(b["text"], path, KNOWN_CHARS):
             kept.append((b["doc_id"].slice(first, end - first).to_pylist(), ids, counts))
             size = sum(len(k[1]) for k in kept)
             if size >= BLOCK_IDS:

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import os
 import re
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 
@@ -102,8 +102,12 @@ class Encoder:
             p[0] = None
         flat = list(chain.from_iterable(pieces))
         known = self.inner
-        self._learn([w for w in set(flat) if w not in known])
-        numbers = np.fromiter(map(known.__getitem__, flat), np.int64, len(flat))
+        numbers = np.fromiter(map(known.get, flat, repeat(-1)), np.int32, len(flat))
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            unknown = [flat[i] for i in new.tolist()]
+            self._learn(list(dict.fromkeys(unknown)))
+            numbers[new] = np.fromiter(map(known.__getitem__, unknown), np.int32, len(unknown))
         numbers[np.cumsum(n) - n] = heads
         starts = self.place[numbers]
         lengths = self.place[numbers + 1] - starts
@@ -117,13 +121,13 @@ class Encoder:
         return np.insert(ids, np.cumsum(counts), END), counts + 1
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, known_chars: int = KNOWN_CHARS) -> Encoder:
     """This worker's encoder, with the ids of the library's default call."""
-    return c.once(f"encoder {path}", lambda: Encoder(path, as_text=False))
+    return c.once(f"encoder {path} {known_chars}", lambda: Encoder(path, as_text=False, known_chars=known_chars))
 
 
-def encoded(column, path: str):
+def encoded(column, path: str, known_chars: int = KNOWN_CHARS):
     """(first row, end row, ids, ids per row) of pieces of an Arrow column of texts."""
     for first, end, _, _ in c.chunks(column):
         texts = [t or "" for t in column.slice(first, end - first).to_pylist()]
-        yield first, end, *encoder(path).encode(texts)
+        yield first, end, *encoder(path, known_chars).encode(texts)
