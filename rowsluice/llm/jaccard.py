@@ -5,9 +5,9 @@ holds its number of shingles in each group, so that the sum of coordinate minima
 bounds their sets' overlap from above. Equal sets are one class with one point.
 
 Classes that can link share a shingle among the first quarter of each in one global order
-(frequent shingles last), so points are compared within the groups of those shingles only. Points
-travel over 2^16 groups (2^32 for large sets), as the sorted groups of their shingles, from which
-the coordinates over fewer groups follow. Every class is first compared with one leader of its
+(frequent shingles last), so points are compared within the groups of those shingles only. A set also has
+a fine point over 2^16 groups (2^32 for large sets), kept as the sorted groups of its shingles, from
+which the coordinates over fewer groups follow. Every class is first compared with one leader of its
 group, and what links is verified on the texts. Then only classes of different components meet:
 in small groups pair by pair, in large ones in tiles, each bulk-loaded into an R-tree. Its leaves of
 similar points keep the maximum of each coordinate; leaves, then points, are dropped by their
@@ -45,14 +45,14 @@ LEAF = 16
 TILE = 2_000
 TILE_SHINGLES = 2_000_000
 NARROW = 4_096
-ROWS = "id long, tag int, n long, c1 long, c2 long, point binary"
+ROWS = "id long, tag int, n long, c1 long, c2 long, point binary, fine binary"
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(document, shingle) of each distinct shingle, sorted."""
     low = c.LOWER[data]
     starts, ends, doc = c.words(low, offsets, c.separators("spaces"))
-    h = c.range_hash(low, starts, ends)
+    h = c.word_hash(low, starts, ends)
     grams = c.rolled(h, k)
     at = np.flatnonzero(doc[: len(grams)] == doc[k - 1 : k - 1 + len(grams)])
     first = c.word_bounds(doc, len(offsets) - 1)
@@ -128,15 +128,16 @@ def _profile(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBat
             cut = np.searchsorted(doc, np.arange(end - first + 1))
             total = lambda x: np.diff(np.concatenate((np.zeros(1, c.U), np.cumsum(x, dtype=c.U)))[cut])
             n = np.diff(cut)
-            points = [fine(grams[a:z]) if z > a else None for a, z in zip(cut[:-1], cut[1:])]
+            sets = [grams[a:z] for a, z in zip(cut[:-1], cut[1:])]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids_of(b["id"].slice(first, end - first))), b["tag"].slice(first, end - first), pa.array(n),
                     pa.array(c.mix(total(c.mix(grams)) + n.astype(c.U)).view(np.int64)),
                     pa.array(c.mix(total(c.mix(grams ^ c.U(0x9E3779B97F4A7C15)))).view(np.int64)),
-                    pa.array(points, pa.binary()),
+                    pa.array([point(x).tobytes() if len(x) else None for x in sets], pa.binary()),
+                    pa.array([fine(x) if len(x) else None for x in sets], pa.binary()),
                 ],
-                names=["id", "tag", "n", "c1", "c2", "point"],
+                names=["id", "tag", "n", "c1", "c2", "point", "fine"],
             )
 
 
@@ -209,17 +210,12 @@ def _pairs(batches: Iterator[pa.RecordBatch], share: int) -> Iterator[pa.RecordB
 def _bounded(batches: Iterator[pa.RecordBatch], share: int) -> Iterator[pa.RecordBatch]:
     """Pairs whose points allow a link."""
     for b in batches:
-        if not len(b):
-            continue
-        n, m = b["n_a"].to_numpy(), b["n_b"].to_numpy()
-        sides = pa.concat_arrays([x if isinstance(x, pa.Array) else x.combine_chunks() for x in (b["point_a"], b["point_b"])])
-        values, ends = numbered(sides, np.concatenate((n, m)))
-        common = np.zeros(len(b), np.int64)
-        for i in range(len(b)):
-            p, q = values[ends[i] : ends[i + 1]], values[ends[len(b) + i] : ends[len(b) + i + 1]]
-            common[i] = np.count_nonzero(np.isin(p, q, assume_unique=True, kind="sort"))
-        keep = (common > 0) & may_link(common, n, m, share)
-        yield b.filter(pa.array(keep)).select(["id_a", "tag_a", "id_b", "tag_b"])
+        keep = []
+        for n, m, p, q in zip(*(b[x].to_pylist() for x in ("n_a", "n_b", "point_a", "point_b"))):
+            g = min(len(p), len(q))
+            p, q = folded(np.frombuffer(p, np.uint8), g), folded(np.frombuffer(q, np.uint8), g)
+            keep.append(may_link(int(np.minimum(p, q).sum(dtype=np.int64)), n, m, share))
+        yield b.filter(pa.array(keep, pa.bool_())).select(["id_a", "tag_a", "id_b", "tag_b"])
 
 
 class RTree:
@@ -258,7 +254,7 @@ def _forests(batches: Iterator[pa.RecordBatch], share: int, every: bool) -> Iter
             at = f + order[runs(ids[f:l][order], tags[f:l][order])]
             if len(at) < 2 or (root[at] == root[at[0]]).all():
                 continue
-            values, ends = numbered(b["point"].take(pa.array(at)), n[at])
+            values, ends = numbered(b["fine"].take(pa.array(at)), n[at])
             tree = RTree(n[at], coordinates(values, ends, min(n_groups(int(np.median(n[at]))), 1 << 16)))
             element = np.unique(values, return_inverse=True)[1]
             start, rows = ends[tree.order], at[tree.order]
@@ -381,9 +377,9 @@ class JaccardJoin:
 
     def classes(self, profile: DataFrame) -> DataFrame:
         """A row per different set: its smallest id, with tag and point."""
-        least = F.min_by(F.struct("tag", "point"), F.struct("id", "tag"))
+        least = F.min_by(F.struct("tag", "point", "fine"), F.struct("id", "tag"))
         one = profile.filter("n > 0").groupBy("c1", "c2", "n").agg(F.min("id").alias("id"), least.alias("x"))
-        return c.stored(one.select("c1", "n", "id", "x.tag", "x.point"), "classes")
+        return c.stored(one.select("c1", "n", "id", "x.tag", "x.point", "x.fine"), "classes")
 
     def connecting(self, docs: DataFrame, profile: DataFrame | None = None) -> DataFrame:
         """a, b: verified links that connect all classes that links connect; not all links."""
@@ -439,7 +435,7 @@ class JaccardJoin:
 
         def between(labelled: DataFrame, every: bool) -> DataFrame:
             mixed = labelled.groupBy("tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
-            points = labelled.join(mixed.select("tile"), "tile").join(classes.select("c1", "id", "tag", "n", "point"), "c1")
+            points = labelled.join(mixed.select("tile"), "tile").join(classes.select("c1", "id", "tag", "n", "fine"), "c1")
             dealt = points.repartition("tile").sortWithinPartitions("tile")
             return dealt.mapInArrow(partial(_forests, share=self.share, every=every), f"tile long, {schema}")
 
