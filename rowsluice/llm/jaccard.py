@@ -5,9 +5,9 @@ holds its number of shingles in each group, so that the sum of coordinate minima
 bounds their sets' overlap from above. Equal sets are one class with one point.
 
 Classes that can link share a shingle among the first quarter of each in one global order
-(frequent shingles last), so points are compared within the groups of those shingles only. A set also has
-a fine point over 2^16 groups (2^32 for large sets), kept as the sorted groups of its shingles, from
-which the coordinates over fewer groups follow. Every class is first compared with one leader of its
+(frequent shingles last), so points are compared within the groups of those shingles only. A set of up
+to 256 shingles also has a fine point over 2^16 groups, kept as the sorted groups of its shingles, from
+which the coordinates over fewer groups follow; a larger set's bound is close enough. Every class is first compared with one leader of its
 group, and what links is verified on the texts. Then only classes of different components meet:
 in small groups pair by pair, in large ones in tiles, each bulk-loaded into an R-tree. Its leaves of
 similar points keep the maximum of each coordinate; leaves, then points, are dropped by their
@@ -44,7 +44,7 @@ from rowsluice.llm.components import components
 LEAF = 16
 TILE = 2_000
 TILE_SHINGLES = 2_000_000
-NARROW = 4_096
+SMALL = 256
 ROWS = "id long, tag int, n long, c1 long, c2 long, point binary, fine binary"
 
 
@@ -82,25 +82,27 @@ def folded(p: np.ndarray, g: int) -> np.ndarray:
 
 
 def fine(grams: np.ndarray) -> bytes:
-    """The point over 2^16 groups, or 2^32 for a large set: the group of each shingle, sorted."""
-    return np.sort(grams.astype(np.uint16 if len(grams) <= NARROW else np.uint32)).tobytes()
+    """What tiles compare: a small set's point over 2^16 groups, as the sorted groups of its shingles, or a larger set's point."""
+    return np.sort(grams.astype(np.uint16)).tobytes() if len(grams) <= SMALL else point(grams).tobytes()
 
 
 def numbered(column: pa.Array, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Fine points as sets, with the first place of each and the end.
+    """Fine points as sets, all over the fewest groups that any has, with the first place of each and the end.
 
     A group that a point has several times comes with the numbers 0, 1, ... above its 32 bits, so that
     the elements two sets have in common are the sum of the minima of the points' counts.
     """
     data, cuts = blobs(column)
-    wide = np.diff(cuts) > 2 * n
-    if wide.any() and not wide.all():  # compared over the fewer groups
+    large = n > SMALL
+    if large.any():
+        g = int(np.diff(cuts)[large].min())
         rows = [data[a:z] for a, z in zip(cuts[:-1], cuts[1:])]
-        groups = np.concatenate([np.sort(r.view(np.uint32).astype(np.uint16)) if w else r.view(np.uint16) for r, w in zip(rows, wide)])
+        groups = [np.repeat(np.arange(len(r)), r) if w else r.view(np.uint16).astype(np.int64) for r, w in zip(rows, large)]
+        groups = [np.sort(x & g - 1) for x in groups]
+        ends = np.concatenate(([0], np.cumsum([len(x) for x in groups])))
+        groups = np.concatenate(groups)
     else:
-        groups = data.view(np.uint32 if wide.any() else np.uint16)
-    ends = np.concatenate(([0], np.cumsum(n)))
-    groups = groups.astype(np.int64)
+        groups, ends = data.view(np.uint16).astype(np.int64), np.concatenate(([0], np.cumsum(n)))
     new = np.ones(len(groups), bool)
     new[1:] = groups[1:] != groups[:-1]
     new[ends[:-1]] = True
@@ -255,9 +257,9 @@ def _forests(batches: Iterator[pa.RecordBatch], share: int, every: bool) -> Iter
             if len(at) < 2 or (root[at] == root[at[0]]).all():
                 continue
             values, ends = numbered(b["fine"].take(pa.array(at)), n[at])
-            tree = RTree(n[at], coordinates(values, ends, min(n_groups(int(np.median(n[at]))), 1 << 16)))
+            tree = RTree(n[at], coordinates(values, ends, min(n_groups(int(n[at].max())), n_groups(SMALL))))
             element = np.unique(values, return_inverse=True)[1]
-            start, rows = ends[tree.order], at[tree.order]
+            start, length, rows = ends[tree.order], np.diff(ends)[tree.order], at[tree.order]
             label, count = np.unique(root[rows], return_inverse=True, return_counts=True)[1:]
             main = label == np.argmax(count)  # the largest component: all others look for links
             mark = np.zeros(len(values), bool)
@@ -266,12 +268,12 @@ def _forests(batches: Iterator[pa.RecordBatch], share: int, every: bool) -> Iter
                 near = near[(main[near] | (near > x)) & (label[near] != label[x])]
                 if not len(near):
                     continue
-                own, size = element[start[x] : start[x] + tree.n[x]], tree.n[near]
+                own, size = element[start[x] : start[x] + length[x]], length[near]
                 begin = np.cumsum(size) - size
                 mark[own] = True
                 common = np.add.reduceat(mark[element[np.repeat(start[near] - begin, size) + np.arange(size.sum())]].astype(np.int64), begin)
                 mark[own] = False
-                near = near[(common > 0) & may_link(common, tree.n[x], size, share)]
+                near = near[(common > 0) & may_link(common, tree.n[x], tree.n[near], share)]
                 if not every:
                     others, one = np.unique(label[near], return_index=True)
                     near = near[one]
