@@ -8,12 +8,12 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SCHEMA = "digest string, prefix string, batch_id long"
+SCHEMA = "digest binary, prefix string, batch_id long"
 
 
 @dataclass(frozen=True)
 class DigestFiles:
-    """Digests (hexadecimal) below ``path``, partitioned by their first ``prefix`` digits and their batch.
+    """Digests (bytes) below ``path``, partitioned by their first ``prefix`` hexadecimal digits and their batch.
 
     A replayed batch overwrites its own files.
     """
@@ -21,20 +21,23 @@ class DigestFiles:
     path: str
     prefix: int = 1
 
+    def _prefix(self) -> Column:
+        return F.substring(F.lower(F.hex(F.substring("digest", 1, (self.prefix + 1) // 2))), 1, self.prefix).alias("prefix")
+
     def keep(self, digests: DataFrame, batch_id: int) -> None:
         """Add the values of column ``digest``; nulls are left out."""
         rows = digests.filter("digest IS NOT NULL").select(
-            "digest", F.substring("digest", 1, self.prefix).alias("prefix"), F.lit(batch_id).cast("long").alias("batch_id")
+            "digest", self._prefix(), F.lit(batch_id).cast("long").alias("batch_id")
         )
         writer = rows.repartition("prefix").sortWithinPartitions("prefix", "digest").write.mode("overwrite")
         writer.option("partitionOverwriteMode", "dynamic").partitionBy("prefix", "batch_id").parquet(self.path)
 
     def known(self, wanted: DataFrame, before: Column) -> DataFrame | None:
-        """Those of the distinct ``wanted`` digests that batches matching ``before`` have kept.
+        """Those of the ``wanted`` digests that batches matching ``before`` have kept.
 
         Only partitions that ``wanted`` has digests for are read. None if nothing was kept yet.
         """
-        prefixes = wanted.select(F.substring("digest", 1, self.prefix).alias("p")).distinct().collect()  # 16 ** prefix at most
+        prefixes = wanted.select(self._prefix()).distinct().collect()  # 16 ** prefix at most
         try:
             kept = wanted.sparkSession.read.schema(SCHEMA).parquet(self.path)
         except AnalysisException as problem:

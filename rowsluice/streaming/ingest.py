@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
@@ -40,9 +40,7 @@ class Ingest(StagedLoad):
         self.load_staged(staged, batch_id, labels)
 
     def load_staged(self, staged: DataFrame, batch_id: int, labels: list[str]) -> None:
-        # a number tells identical rows apart: exactly one of them is first
-        number = F.col("_place").withField("_number", F.monotonically_increasing_id())
-        rows = self.set_aside(self.kept(staged.withColumn("_place", number), "staged"), batch_id)
+        rows = self.numbered(staged, batch_id)
         rows = self._judged(rows, batch_id, labels)
         judged = self.kept(rows, "judged")
         self.write_judged(judged, batch_id, labels)
@@ -60,28 +58,20 @@ class Ingest(StagedLoad):
         digests = [f"_digest{i}" for i in range(len(labels))]
         if not digests:
             return rows
-        mine = rows.filter(SOUND).select(F.explode(F.array(*digests)).alias("digest")).filter("digest IS NOT NULL").distinct()
+        mine = rows.filter(SOUND).select(F.explode(F.array(*digests)).alias("digest")).filter("digest IS NOT NULL")
         known = self._keys.known(mine, F.col("batch_id") < batch_id)
         if known is not None:
             known = self.kept(known, "known")
             for i, digest in enumerate(digests):  # all keys first: a row rejected here competes for nothing
                 hits = known.select(F.col("digest").alias(digest), F.lit(True).alias("_hit"))
-                rows = self._repeated(rows, hits, i, F.expr(SOUND) & F.col("_hit"))
+                rows = self.repeated(rows, hits, i, F.expr(SOUND) & F.col("_hit"))
         for i, digest in enumerate(digests):
             alive = rows.filter(f"{SOUND} AND size(_repeats) = 0 AND {digest} IS NOT NULL").groupBy(digest)
             shared = alive.agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first")).filter("_n > 1").drop("_n")
             again = F.expr(f"{SOUND} AND size(_repeats) = 0") & (F.col("_place") != F.col("_first"))
-            rows = self._repeated(rows, shared, i, again)
+            rows = self.repeated(rows, shared, i, again)
         return rows
 
-    def _repeated(self, rows: DataFrame, shared: DataFrame, number: int, again: Column) -> DataFrame:
-        """``rows`` with ``number`` added to the repeats where ``again``; ``shared`` has only keys that repeat.
-
-        A key of very many rows is left to AQE's skew join.
-        """
-        repeats = F.when(again, F.array_append("_repeats", F.lit(number))).otherwise(F.col("_repeats"))
-        return rows.join(shared, f"_digest{number}", "left").withColumn("_repeats", repeats).select(rows.columns)
-
     # -- the stream ---------------------------------------------------------
     def start(self, rows: DataFrame, available_now: bool = True, **trigger) -> StreamingQuery:
         """Run the load over a stream of rows (see ``stream_jsonl``); rules are planned once.

@@ -40,7 +40,8 @@ SINCE = "_since"
 def reference_digest(label: str, values: list[Column]) -> Column:
     """A digest of a referenced key; null where a part is missing."""
     whole = reduce(lambda a, b: a & b, [v.isNotNull() for v in values])
-    return F.when(whole, F.sha2(F.to_json(F.struct(F.lit(label).alias("key"), *[v.alias(f"p{i}") for i, v in enumerate(values)])), 256))
+    parts = F.struct(F.lit(label).alias("key"), *[v.alias(f"p{i}") for i, v in enumerate(values)])
+    return F.when(whole, F.unhex(F.sha2(F.to_json(parts), 256)))
 
 
 @dataclass(frozen=True)

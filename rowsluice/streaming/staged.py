@@ -31,7 +31,7 @@ def key_digests(validator: Validator, rows: DataFrame) -> tuple[DataFrame, list[
     digests = {}
     for i, (names, _) in enumerate(keys):
         parts = F.struct(F.lit(labels[i]).alias("key"), *[F.col(n).alias(f"p{j}") for j, n in enumerate(names)])
-        digests[f"_digest{i}"] = F.when(has_all(names), F.sha2(F.to_json(parts), 256))
+        digests[f"_digest{i}"] = F.when(has_all(names), F.unhex(F.sha2(F.to_json(parts), 256)))
     return keyed.withColumns(digests) if digests else keyed, list(digests), labels
 
 
@@ -92,6 +92,19 @@ class StagedLoad:
         lines.write.mode("overwrite").parquet(self.path(MALFORMED, batch_id))
         return staged.filter(F.col(LINE).isNull()).drop(LINE)
 
+    def numbered(self, staged: DataFrame, batch_id: int) -> DataFrame:
+        """The staged rows of a batch, kept and without malformed lines; a number in their place tells identical rows apart."""
+        number = F.col("_place").withField("_number", F.monotonically_increasing_id())
+        return self.set_aside(self.kept(staged.withColumn("_place", number), "staged"), batch_id)
+
+    def repeated(self, rows: DataFrame, shared: DataFrame, number: int, again: Column) -> DataFrame:
+        """``rows`` with ``number`` added to the repeats where ``again``; ``shared`` has only keys that repeat.
+
+        A key of very many rows is left to AQE's skew join.
+        """
+        repeats = F.when(again, F.array_append("_repeats", F.lit(number))).otherwise(F.col("_repeats"))
+        return rows.join(shared, f"_digest{number}", "left").withColumn("_repeats", repeats).select(rows.columns)
+
     def malformed(self, spark: SparkSession) -> DataFrame:
         """The lines of the stream that hold no row (of rows with ``_line``, see ``kept_lines``)."""
         return spark.read.parquet(self.path(MALFORMED)).drop("batch_id")
@@ -122,7 +135,7 @@ class StagedLoad:
             pick(ordinals).alias("ordinal"),
             pick([F.lit(label) for label in labels]).alias("column_name"),
             F.lit("unique").alias("rule"),
-            pick([F.col(f"_digest{i}") for i in range(len(labels))]).alias("value"),
+            F.lower(F.hex(pick([F.col(f"_digest{i}") for i in range(len(labels))]))).alias("value"),
             pick([F.lit(f'an earlier row has the same "{label}"') for label in labels]).alias("message"),
         )
 
