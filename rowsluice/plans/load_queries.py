@@ -283,15 +283,18 @@ STREAMED = TableSpec(
 )
 
 
-FEED_BATCHES, FEED_FILES = 4, 4
+FEED_BATCHES, FEED_FILES, FEED_ROWS = 4, 4, 20_000
 
 
 def feed(t: Tables, rows: DataFrame, batch: Column, **options) -> DataFrame:
-    """``rows`` as a stream of FEED_BATCHES batches, told apart by ``batch``; each is FEED_FILES files."""
+    """``rows`` as a stream of FEED_BATCHES batches, told apart by ``batch``; each is as many
+    files, FEED_FILES at least and else one for every FEED_ROWS rows of the largest batch: a file is read by one task."""
     path = scratch_path(t.spark, "feed")
+    largest = rows.groupBy(batch).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+    files = max(FEED_FILES, -(-largest // FEED_ROWS))
     for i in range(FEED_BATCHES):
-        rows.filter(batch == i).repartition(FEED_FILES).write.mode("append").parquet(path)
-    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", FEED_FILES).parquet(path)
+        rows.filter(batch == i).repartition(files).write.mode("append").parquet(path)
+    return t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
 
 
 def _event_rows(t: Tables) -> DataFrame:
