@@ -162,6 +162,32 @@ def range_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int
     return mix(h + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93))
 
 
+def _joined_hash(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A hash of two hashes in their order; for either of them fixed, different others give different results."""
+    h = a * U(0xD6E8FEB86659FD93)
+    h ^= h >> U(32)
+    h += b
+    return mix(h)
+
+
+def window_hash(data: np.ndarray, k: int) -> np.ndarray:
+    """A 64-bit hash of each k consecutive bytes: eight bytes at first, then halves that are joined and mixed.
+
+    (Mixing between the joins is no polynomial, so that Thue-Morse words do not collide.)
+    """
+    n = len(data) - k + 1
+    if n <= 0:
+        return np.zeros(0, U)
+    if k < 8:
+        at = np.arange(n)
+        return range_hash(data, at, at + k)
+    h, span = mix(np.array(np.ndarray((len(data) - 7,), "<u8", np.ascontiguousarray(data), 0, (1,)))), 8
+    while span * 2 <= k:
+        h = _joined_hash(h[:-span], h[span:])
+        span *= 2
+    return _joined_hash(h[:n], h[k - span : k - span + n]) if span < k else h
+
+
 #: Bytes that a word's hash takes in at once, and the longest words that it takes so.
 LANE, LONGEST = 7, 448
 

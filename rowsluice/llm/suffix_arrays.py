@@ -41,16 +41,11 @@ BLOCK = np.dtype([("doc", "<i8"), ("tag", "<i4"), ("at", "<i4"), ("left", "<u2")
 CLOSER = "id long, tag int, begin int, end int, prefix long, left int, wants boolean"
 
 
-def _grams(data: np.ndarray, k: int) -> np.ndarray:
-    at = np.arange(max(0, len(data) - k + 1))
-    return c.range_hash(data, at, at + k)
-
-
 class _Blocks:
     """Blocks of a chunk: lo, hi (first and last string), anchor, prefix, key and document."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, n: int, k: int):
-        grams = _grams(data, k)
+        grams = c.window_hash(data, k)
         anchor = anchor_of(grams, n - k + 1)
         doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
         at = np.flatnonzero(doc[: len(anchor)] == doc[n - 1 : n - 1 + len(anchor)])
