@@ -3,9 +3,9 @@
 Paragraphs are lines. Their words (ASCII lower case, letters and digits) and word pairs are binary
 features of a sparse multinomial logistic regression over licence families and an unknown class.
 It is trained on the templates below, each also with any one word left out, and on unknown
-paragraphs: the fixed ones below and a bounded sample of the corpus' own lines. A threshold is
-calibrated on lines kept out of training: the probability of any licence that one unknown line in
-a thousand exceeds. A prediction above it is confirmed if the paragraph has most of the
+paragraphs: the fixed ones below and all lines of the corpus but a quarter kept aside, by hash. Lines
+with the same features are one weighted row. A threshold is calibrated on the lines kept aside: the
+probability of any licence that one unknown line in a thousand exceeds. A prediction above it is confirmed if the paragraph has most of the
 weighted grams of one of the family's templates.
 
 Everything runs as DataFrame operations; the fitted weights, a few hundred rows at most, are
@@ -21,7 +21,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rowsluice.llm import common as c
@@ -97,6 +97,8 @@ OTHERS = (
     "he studied at MIT and worked under a famous engineer",
     "an attribution of the painting to the school of the master",
 )
+#: Words typical of licences: lines that have one are no examples of unknown paragraphs.
+ABOUT = ("license", "licensed", "licence", "copyright", "reserved", "permission", "cc0", "redistribution")
 UNKNOWN = "unknown"
 FAMILIES = (*sorted(TEMPLATES), UNKNOWN)
 
@@ -123,7 +125,8 @@ def grams(words: Column) -> Column:
 
 @dataclass(frozen=True)
 class LicenseScanner:
-    """``max_unknown``: sampled lines of the corpus; ``overlap``: share of a template's grams to confirm."""
+    """``max_unknown``: what the lines of the corpus weigh together at most, a template row being 1; ``overlap``:
+    share of a template's grams to confirm."""
 
     max_unknown: int = 4_000
     regularisation: float = 0.002
@@ -135,44 +138,58 @@ class LicenseScanner:
             "family", tokens(F.col("template")).alias("words")
         )
 
-    def paragraphs(self, docs: DataFrame) -> DataFrame:
-        """doc_id, key, line and words of each line with a word."""
-        rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("doc_id", "text").alias("key"), "text")
-        lines = rows.select("doc_id", "key", F.posexplode(F.split("text", "\n")).alias("line", "paragraph"))
-        return lines.select("doc_id", "key", "line", tokens(F.col("paragraph")).alias("words"))
-
-    def sampled(self, docs: DataFrame) -> DataFrame:
-        """Lines with the smallest hashes, but for those with a word that is typical of licences."""
-        lines = docs.select(F.explode(F.split("text", "\n")).alias("line")).filter(F.length("line") > 0)
-        lines = lines.select(F.xxhash64("line").alias("h"), "line").orderBy("h", "line").limit(self.max_unknown)
-        about = F.array(*(F.lit(w) for w in ("license", "licensed", "licence", "copyright", "reserved", "permission", "cc0", "redistribution")))
-        return lines.select("h", tokens(F.col("line")).alias("words")).filter(~F.arrays_overlap("words", about))
-
-    def fit(self, docs: DataFrame) -> tuple[DataFrame, dict[str, float], float]:
-        """Weights (gram, w_0 ...), intercepts by family and the calibrated threshold."""
-        spark = docs.sparkSession
+    def vocabulary(self, spark) -> tuple[DataFrame, CountVectorizerModel]:
+        """Training rows of the licence families (family, words, grams), and the grams that can tell these apart."""
         templates = self.templates(spark)
         shorter = templates.select("family", F.posexplode("words").alias("i", "w"), "words").select(
             "family", F.filter("words", lambda w, i: i != F.col("i")).alias("words")
         )
-        known = templates.unionByName(shorter).filter(F.size("words") > 1)
+        known = templates.unionByName(shorter).filter(F.size("words") > 1).withColumn("grams", grams(F.col("words")))
+        known = c.stored(known, "licence-rows").coalesce(2)
+        # only grams of templates can tell families apart; two occurrences at least
+        return known, CountVectorizer(inputCol="grams", outputCol="x", binary=True, minDF=2.0, vocabSize=1 << 16).fit(known)
+
+    def lines(self, docs: DataFrame, vocabulary: list[str]) -> DataFrame:
+        """doc_id, key, line, aside, about and the listed grams of each line that has one, stored.
+
+        ``about``: the line has a word that is typical of licences, so it is not known to be unknown.
+        """
+        spark = docs.sparkSession
+        listed = dict.fromkeys(vocabulary, False) | dict.fromkeys(ABOUT, True)
+        words = spark.createDataFrame([(g, a, g in vocabulary) for g, a in listed.items()], "gram string, typical boolean, feature boolean")
+        rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64("doc_id", "text").alias("key"), "text")
+        split = rows.select("doc_id", "key", F.posexplode(F.split("text", "\n")).alias("line", "paragraph"))
+        aside = (F.pmod(F.xxhash64(F.xxhash64("paragraph")), F.lit(4)) == 0).alias("aside")
+        keys = ["doc_id", "key", "line", "aside"]
+        hits = exploded(split.select(*keys[:3], aside, tokens(F.col("paragraph")).alias("words")), *keys).join(F.broadcast(words), "gram")
+        found = F.sort_array(F.collect_set(F.when(F.col("feature"), F.col("gram")))).alias("grams")
+        return c.stored(hits.groupBy(*keys).agg(found, F.bool_or("typical").alias("about")), "licence-lines")
+
+    def unknown(self, docs: DataFrame, lines: DataFrame) -> DataFrame:
+        """grams, aside and n, the number of such lines of the corpus; lines without a gram are shared out by four."""
+        rows = lines.filter("NOT about").groupBy("grams", "aside").agg(F.count("*").alias("n"))
+        every = docs.agg(F.sum(F.regexp_count("text", F.lit(r"[^\n]+"))).alias("every"))
+        others = every.crossJoin(lines.agg(F.count("*").alias("seen"))).select((F.coalesce("every", F.lit(0)) - F.col("seen")).alias("n"))
+        quarter = F.floor(F.col("n") / 4)
+        share = F.explode(F.array(F.struct(F.lit(False).alias("aside"), (F.col("n") - quarter).alias("n")), F.struct(F.lit(True).alias("aside"), quarter.alias("n"))))
+        others = others.select(share.alias("x")).select(F.array().cast("array<string>").alias("grams"), "x.aside", "x.n").filter("n > 0")
+        return c.stored(rows.unionByName(others), "licence-unknown")
+
+    def fit(self, docs: DataFrame, lines: DataFrame, known: DataFrame, counts: CountVectorizerModel) -> tuple[DataFrame, dict[str, float], float]:
+        """Weights (gram, w_0 ...), intercepts by family and the calibrated threshold, from all lines."""
+        spark = docs.sparkSession
         fixed = spark.createDataFrame([(t,) for t in OTHERS], "t string").select(
-            F.lit(UNKNOWN).alias("family"), tokens(F.col("t")).alias("words")
+            F.lit(UNKNOWN).alias("family"), grams(tokens(F.col("t"))).alias("grams")
         )
-        aside = (F.pmod(F.xxhash64("h"), F.lit(4)) == 0).alias("aside")
-        sample = self.sampled(docs).select(F.lit(UNKNOWN).alias("family"), "words", aside)
-        rows = known.unionByName(fixed).withColumn("aside", F.lit(False)).unionByName(sample)
+        unknown = self.unknown(docs, lines)
+        total = unknown.filter("NOT aside").agg(F.sum("n")).first()[0] or 0
+        each = min(1.0, 0.75 * self.max_unknown / total) if total else 1.0
+        corpus = unknown.filter("NOT aside").select(F.lit(UNKNOWN).alias("family"), "grams", (F.col("n") * each).alias("weight"))
+        rows = known.select("family", "grams").unionByName(fixed).withColumn("weight", F.lit(1.0)).unionByName(corpus)
         label = F.array_position(F.array(*(F.lit(f) for f in FAMILIES)), F.col("family")) - 1
-        rows = rows.select(
-            "family", label.cast("double").alias("label"), grams(F.col("words")).alias("grams"), "aside"
-        )
-        rows = c.stored(rows, "licence-rows").coalesce(2)
-        training = rows.filter("NOT aside")
-        # only grams of templates and fixed sentences can tell families apart; two occurrences at least
-        counts = CountVectorizer(inputCol="grams", outputCol="x", binary=True, minDF=2.0, vocabSize=1 << 16).fit(training.filter(
-            F.col("label") < len(FAMILIES) - 1))
+        training = rows.select(label.cast("double").alias("label"), "grams", "weight")
         model = LogisticRegression(
-            featuresCol="x", family="multinomial", regParam=self.regularisation, elasticNetParam=1.0, maxIter=60
+            featuresCol="x", family="multinomial", regParam=self.regularisation, elasticNetParam=1.0, maxIter=60, weightCol="weight"
         ).fit(counts.transform(training))
         matrix = model.coefficientMatrix.toArray()
         found = [
@@ -182,9 +199,11 @@ class LicenseScanner:
         names = ", ".join(f"w_{i} double" for i in range(len(FAMILIES)))
         weights = spark.createDataFrame(found, f"gram string, {names}")
         intercepts = dict(zip(FAMILIES, (float(v) for v in model.interceptVector.toArray())))
-        aside = rows.filter("aside").withColumn("id", F.monotonically_increasing_id())
-        scored = self._scored(aside.select("id", F.explode("grams").alias("gram")), weights, intercepts, ["id"])
-        quantile = scored.agg(F.percentile_approx("score", 0.999, 10_000)).first()[0]
+        aside = unknown.filter("aside").withColumn("id", F.monotonically_increasing_id())
+        scored = self._scored(aside.select("id", "n", F.explode("grams").alias("gram")), weights, intercepts, ["id", "n"])
+        # scores to six digits, so that there are a million at most
+        counted = scored.groupBy((F.floor(F.col("score") * 1_000_000) / 1_000_000).alias("score")).agg(F.sum("n").alias("n"))
+        quantile = counted.agg(F.percentile("score", 0.999, F.col("n"))).first()[0]
         return weights, intercepts, max(0.5, float(quantile or 0.0))
 
     def _scored(self, rows: DataFrame, weights: DataFrame, intercepts: dict[str, float], keys: list[str]) -> DataFrame:
@@ -204,10 +223,12 @@ class LicenseScanner:
 
         A template is compared by those of its grams that have a weight.
         """
-        weights, intercepts, threshold = self.fit(docs)
+        rows, counts = self.vocabulary(docs.sparkSession)
+        lines = self.lines(docs, counts.vocabulary)
+        weights, intercepts, threshold = self.fit(docs, lines, rows, counts)
         keys = ["doc_id", "key", "line"]
         known = F.broadcast(weights.select("gram"))
-        hits = exploded(self.paragraphs(docs), *keys).join(known, "gram").distinct()
+        hits = lines.select(*keys, F.explode("grams").alias("gram"))
         scored = self._scored(hits, weights, intercepts, keys).filter(F.col("score") >= threshold)
         templates = self.templates(docs.sparkSession).select("family", F.monotonically_increasing_id().alias("t"), F.explode(grams(F.col("words"))).alias("gram"))
         templates = templates.join(known, "gram").groupBy("family", "t").agg(F.collect_set("gram").alias("template"))
