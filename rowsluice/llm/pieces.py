@@ -28,13 +28,13 @@ import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import partial
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from rowsluice.llm import common as c
+from rowsluice.llm.words import Known, distinct, text_buffers
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # piece types of the model format
@@ -42,8 +42,6 @@ NONE = np.iinfo(np.int64).max
 PART = 1 << 20
 KNOWN_CHARS = 8_000_000
 SHORT = 64
-RUNS = re.compile(f"{SPACE}+[^{SPACE}]*")
-UNEVEN = re.compile(f"^ |  | $|{SPACE}")
 SAFE_CUT = re.compile(f"(?<=[^ {SPACE}])[ {SPACE}](?=.)", re.DOTALL)
 REPLACEMENT, UNKNOWN_TEXT = "�".encode(), " ⁇ ".encode()
 
@@ -300,38 +298,20 @@ def _valid(run: bytes) -> bytes:
     return b"".join(out)
 
 
-class Kept:
-    """Id sequences by number, in one growing array."""
+def split(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The texts' bytes, each with the dummy prefix, the first byte of each word, and the number of each text's words.
 
-    def __init__(self):
-        self.n = self.used = 0
-        self.place, self.ids = np.zeros(1 << 12, np.int64), np.zeros(1 << 14, np.int32)
-
-    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
-        while self.n + len(sizes) + 1 > len(self.place):
-            self.place = np.concatenate((self.place, np.zeros_like(self.place)))
-        while self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
-        self.ids[self.used : self.used + len(ids)] = ids
-        self.place[self.n + 1 : self.n + 1 + len(sizes)] = self.used + np.cumsum(sizes)
-        self.n += len(sizes)
-        self.used += len(ids)
-
-    def get(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The sequences of these numbers side by side, and the length of each."""
-        starts = self.place[numbers]
-        sizes = self.place[numbers + 1] - starts
-        total = np.cumsum(sizes)
-        return self.ids[np.repeat(starts - (total - sizes), sizes) + np.arange(total[-1] if len(total) else 0)], sizes
-
-
-def split(text: str) -> list[str]:
-    """The words of a text, each without the space that starts it; the first has the dummy prefix."""
-    if not text:
-        return []
-    if UNEVEN.search(text):
-        return [w[1:] for w in RUNS.findall(SPACE + text.replace(" ", SPACE))]
-    return text.split(" ")
+    A word has the spaces that start it; an empty text has none.
+    """
+    data, offsets = text_buffers([t.replace(SPACE, " ") if SPACE in t else t for t in texts])
+    some = np.diff(offsets) > 0
+    data = np.insert(data, offsets[:-1][some], 0x20)
+    offsets = offsets + np.append(0, np.cumsum(some))
+    new = data == 0x20
+    new[1:] &= data[:-1] != 0x20
+    new[offsets[:-1][some]] = True
+    starts = np.flatnonzero(new)
+    return data, starts, np.diff(np.searchsorted(starts, offsets))
 
 
 def portions(text: str, safe: re.Pattern = SAFE_CUT) -> Iterator[str]:
@@ -347,32 +327,25 @@ class PieceEncoder:
     def __init__(self, path: str):
         self.model = Model(path)
         self.merger, self.decoder = Merger(self.model), Decoder(self.model)
-        self._clear()
-
-    def _clear(self) -> None:
-        self.known: dict[str, int] = {}
-        self.kept, self.chars = Kept(), 0
+        self.known = Known(np.int32)
 
-    def _learn(self, words: list[str]) -> None:
-        points = np.frombuffer((SPACE + SPACE.join(words)).encode("utf-32-le"), "<u4")
-        sizes = np.fromiter((len(w) + 1 for w in words), np.int64, len(words))
+    def _learn(self, words: list[bytes]) -> np.ndarray:
+        texts = [w.decode() for w in words]
+        points = np.frombuffer("".join(texts).replace(" ", SPACE).encode("utf-32-le"), "<u4")
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
         ids, word = self.merger.spelled(*self.merger.merged(points, np.repeat(np.arange(len(words)), sizes)))
-        first = self.kept.n
-        self.kept.add(ids, np.bincount(word, minlength=len(words)))
-        self.known.update(zip(words, range(first, first + len(words))))
-        self.chars += len(points) + 16 * len(words)
+        return self.known.add(words, ids, np.bincount(word, minlength=len(words)))
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and the number of each text's ids."""
-        if self.chars > KNOWN_CHARS:
-            self._clear()
-        words = [split(t) for t in texts]
-        n_words = np.fromiter(map(len, words), np.int64, len(words))
-        words = list(chain.from_iterable(words))
-        new = [w for w in set(words) if w not in self.known]
-        if new:
-            self._learn(new)
-        ids, sizes = self.kept.get(np.fromiter(map(self.known.__getitem__, words), np.int64, len(words)))
+        self.known.trim(KNOWN_CHARS)
+        data, starts, n_words = split(texts)
+        piece, words, _ = distinct(data, starts)
+        numbers = self.known.find(words)
+        new = np.flatnonzero(numbers < 0)
+        if len(new):
+            numbers[new] = self._learn([words[i] for i in new.tolist()])
+        ids, sizes = self.known.get(numbers[piece])
         ends = np.concatenate(([0], np.cumsum(sizes)))[np.cumsum(n_words)]
         return ids, np.diff(ends, prepend=0)
 

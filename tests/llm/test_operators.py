@@ -276,6 +276,17 @@ def test_encoder_cuts_nowhere_wrong():
         assert ids[e - n : e].tolist() == want
 
 
+def test_encoder_keeps_words_met_again_and_little_else():
+    tool, learned = Encoder(tokenizer_path(), known_chars=2000), []
+    library = tool._library
+    tool._library = lambda texts: learned.append(str(texts)) or library(texts)
+    for i in range(40):
+        ids, counts = tool.encode([f"once{i} often again " + " ".join(f"w{i}x{j}" for j in range(50)), f"text{i} often"])
+        assert ids[counts[0] :].tolist() == packed_ids([(0, f"text{i} often")])[0][1]
+    assert sum("often" in str(x) for x in learned) == 1
+    assert tool.known.chars < 4000 and len(tool.known.ids) <= 1 << 14
+
+
 def test_added_tokens_get_the_ids_of_the_librarys_call(spark):
     library = Tokenizer.from_file(tokenizer_path())  # unmodified
     r = random.Random(4)
