@@ -18,8 +18,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rowsluice.session import scratch_path
 
-#: Bytes of text handled at once; one longer document is a chunk of its own.
-CHUNK = 1 << 21
+#: Bytes of text handled at once; one longer document is a chunk of its own. With the end, the places of a chunk
+#: are a power of two, as are the tables of the hash. Operators that keep many numbers for each byte take half as much.
+CHUNK, HALF = (1 << 21) - 1, (1 << 20) - 1
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 U = np.uint64
 
@@ -134,7 +135,7 @@ def _power_tables(bits: int) -> tuple[list[np.ndarray], np.ndarray]:
 
 def powers(n: int) -> tuple[list[np.ndarray], np.ndarray]:
     """Powers of the hash base in pieces, and of its inverse, for at least ``n`` places."""
-    bits = max(22, int(n).bit_length())
+    bits = max(20, int(n - 1).bit_length())
     return _power_tables(bits) if bits > 24 else once(f"powers{bits}", lambda: _power_tables(bits))
 
 
@@ -247,14 +248,14 @@ def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, offsets) of pieces of about CHUNK bytes, documents whole."""
+def chunks(column: pa.Array, size: int = CHUNK) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, offsets) of pieces of at most ``size`` bytes, documents whole."""
     if not len(column):
         return
     data, offsets = buffers(column)
     first = 0
     while first < len(offsets) - 1:
-        end = int(np.searchsorted(offsets, offsets[first] + CHUNK, "right")) - 1
+        end = int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1
         end = min(max(end, first + 1), first + 20_000, len(offsets) - 1)
         yield first, end, data[offsets[first] : offsets[end]], offsets[first : end + 1] - offsets[first]
         first = end

@@ -84,7 +84,7 @@ def may_link(overlap, n, m, share: int):
 
 def _profile(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for first, end, data, offsets in c.chunks(b["text"]):
+        for first, end, data, offsets in c.chunks(b["text"], c.HALF):
             doc, grams = shingle_sets(data, offsets, k)
             cut = np.searchsorted(doc, np.arange(end - first + 1))
             total = lambda x: np.diff(np.concatenate((np.zeros(1, c.U), np.cumsum(x, dtype=c.U)))[cut])
@@ -103,14 +103,14 @@ def _profile(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBat
 
 def _frequent(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[np.ndarray]:
     for b in batches:
-        for _, _, data, offsets in c.chunks(b["text"]):
+        for _, _, data, offsets in c.chunks(b["text"], c.HALF):
             yield shingle_sets(data, offsets, k)[1]
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch], k: int, share: int, frequent: Listed) -> Iterator[pa.RecordBatch]:
     """A row for each class of a chunk and shingle of its prefix."""
     for b in batches:
-        for first, end, data, offsets in c.chunks(b["text"]):
+        for first, end, data, offsets in c.chunks(b["text"], c.HALF):
             doc, grams = shingle_sets(data, offsets, k)
             often = frequent.known(grams)
             order = np.lexsort((grams, often, doc))
@@ -266,7 +266,7 @@ def _linked(batches: Iterator[pa.RecordBatch], k: int, share: int) -> Iterator[p
         out_a, out_b, out_n = [], [], []
         for f, l in zip(first.tolist(), np.append(first[1:], len(key)).tolist()):
             sets = []
-            for start, end, data, offsets in c.chunks(b["text"].slice(f, l - f)):
+            for start, end, data, offsets in c.chunks(b["text"].slice(f, l - f), c.HALF):
                 doc, grams = shingle_sets(data, offsets, k)
                 cut = np.searchsorted(doc, np.arange(end - start + 1))
                 sets += [grams[a:z] for a, z in zip(cut[:-1], cut[1:])]
@@ -308,7 +308,7 @@ def _verified(batches: Iterator[pa.RecordBatch], k: int, share: int) -> Iterator
     for b in batches:
         sets: dict[int, list[np.ndarray]] = {0: [], 1: []}
         for side, name in enumerate(("text_a", "text_b")):
-            for first, end, data, offsets in c.chunks(b[name]):
+            for first, end, data, offsets in c.chunks(b[name], c.HALF):
                 doc, grams = shingle_sets(data, offsets, k)
                 cut = np.searchsorted(doc, np.arange(end - first + 1))
                 sets[side] += [grams[a:z] for a, z in zip(cut[:-1], cut[1:])]

@@ -86,7 +86,7 @@ def _profile_chunk(data: np.ndarray, offsets: np.ndarray) -> dict:
 
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for first, end, data, offsets in c.chunks(b["text"]):
+        for first, end, data, offsets in c.chunks(b["text"], c.HALF):
             got = _profile_chunk(data, offsets)
             cuts = pa.array(got["line_offsets"])
             yield pa.RecordBatch.from_arrays(
@@ -103,7 +103,7 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _shortened(texts: pa.Array, removed: pa.Array) -> Iterator[bytes]:
     """Each text without the lines whose hashes are listed for it."""
-    for first, _, data, offsets in c.chunks(texts):
+    for first, _, data, offsets in c.chunks(texts, c.HALF):
         got = _profile_chunk(data, offsets)
         cuts = got["line_offsets"]
         for i, (a, z) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):

@@ -5,10 +5,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import decontaminate, factors, jaccard, pii, quality, sha, shingles, substrings
 from tokenizers import Tokenizer
 
+from rowsluice.llm import common
 from rowsluice.llm.common import tokenizer_path
 from rowsluice.llm.decontaminate import Decontaminator
 from rowsluice.llm.jaccard import JaccardJoin, RTree, may_link, point
@@ -396,3 +398,11 @@ def test_words_that_collide_modulo_powers_of_two(spark):
     rows = [(1, one), (2, other), (3, "w " * 12 + one), (4, "w " * 12 + other)]
     same(JaccardJoin().joined(frame(spark, rows)), jaccard(rows), "doc_id", "n_shingles", "component_id")
     same(SubstringDedup().digested(frame(spark, rows)), substrings(rows), "doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def test_hash_tables_are_no_longer_than_chunks():
+    column = pa.array(["ab cd " * 50_000] * 20)
+    for size in (common.CHUNK, common.HALF):
+        found = list(common.chunks(column, size))
+        assert [f for f, *_ in found] == [0, *(e for _, e, *_ in found[:-1])] and found[-1][1] == 20
+        assert all(len(common.powers(len(data) + 1)[1]) <= size + 1 for *_, data, _ in found)
