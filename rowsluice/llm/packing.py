@@ -28,6 +28,8 @@ from rowsluice.llm import common as c
 from rowsluice.llm.anchors import blob_column, blobs, runs, whole_groups
 from rowsluice.llm.tokens import encoded
 
+#: Characters of known words that a worker keeps; with half as many, words met again were encoded anew too often.
+KNOWN_CHARS = 20_000_000
 PIECES = pa.schema(
     [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
      ("ids", pa.binary()), ("part", pa.int64()), ("rank", pa.int64())]
@@ -37,7 +39,7 @@ PIECES = pa.schema(
 def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iterator[pa.RecordBatch]:
     part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
     for b in batches:
-        for first, end, ids, counts in encoded(b["text"], path):
+        for first, end, ids, counts in encoded(b["text"], path, KNOWN_CHARS):
             n = -(-counts // capacity)
             doc = np.repeat(np.arange(len(counts)), n)
             piece = np.arange(len(doc)) - np.repeat(np.cumsum(n) - n, n)
