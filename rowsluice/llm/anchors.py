@@ -38,10 +38,14 @@ class Listed:
 
 
 def _counts(batches: Iterator[pa.RecordBatch], sent: Callable, least: int) -> Iterator[pa.RecordBatch]:
-    parts = list(sent(batches))
-    prefix, n = np.unique(np.concatenate(parts), return_counts=True) if parts else (np.zeros(0, U), np.zeros(0, int))
-    some = n >= least
-    yield pa.RecordBatch.from_arrays([pa.array(prefix[some].view(np.int64)), pa.array(n[some])], names=["prefix", "n"])
+    # the prefixes of a task are sorted in place: np.unique would hold some four more copies of them
+    prefix = np.concatenate([*sent(batches), np.zeros(0, U)])
+    prefix.sort()
+    some = prefix[: max(0, len(prefix) - least + 1)] == prefix[least - 1 :]
+    some[1:] &= prefix[1 : len(some)] != prefix[: max(0, len(some) - 1)]
+    first = np.flatnonzero(some)
+    n = np.searchsorted(prefix, prefix[first], "right") - first
+    yield pa.RecordBatch.from_arrays([pa.array(prefix[first].view(np.int64)), pa.array(n)], names=["prefix", "n"])
 
 
 def longer_prefixes(rows: DataFrame, sent: Callable, most: int = 5_000, listed: int = 1_000_000, least: int = 2) -> Listed:

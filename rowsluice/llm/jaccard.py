@@ -9,9 +9,10 @@ Classes that can link share a shingle among the first quarter of each in one glo
 group's points are bulk-loaded into an R-tree: leaves of similar points keep the maximum of each
 coordinate, and pairs of leaves, then pairs of points, are dropped by their bound. Surviving
 pairs are verified on the texts. Small groups are a single leaf. Large groups are split into
-tiles; classes are first compared with the smallest id of their group, then with the medoid of their
-cluster in the tree, and at last with all points of their tile that are in other components by then. So no link between components is lost,
-and no group emits all of its pairs.
+tiles; classes are first compared with the smallest id of their group, then with all points of their tile that are in
+other components by then. A tile gives no pairs for these, but a forest over the points that may link, and so at most a row for
+each of its points. What such forests connect is dealt to tiles anew, with texts, and verified there, each two of like size
+once; these tiles give forests too. So no link between components is lost, and no group emits all of its pairs.
 
 That gives components (``connecting``, ``joined``, ``representatives``), not every link. ``pairs`` gives all links
 between classes: both ends of a link are in one component, so each component's classes are dealt to
@@ -41,6 +42,10 @@ from rowsluice.llm.components import components
 LEAF = 16
 TILE = 2_000
 TILE_SHINGLES = 2_000_000
+#: Pairs of texts whose sets are held at once.
+PAIRS = 256
+#: Bits of the list by which rows are chosen before their texts are shuffled: for each id that is looked for, and in all.
+BITS, MOST_BITS = 16, 1 << 24
 ROWS = "id long, tag int, n long, c1 long, c2 long, point binary"
 
 
@@ -201,111 +206,128 @@ class RTree:
         return at[may_link(np.minimum(self.points[at], p).sum(axis=1, dtype=np.int64), n, self.n[at], share)]
 
 
-    def stars(self, share: int) -> list[tuple[int, int]]:
-        """Leaders and the points that may link with them, each point once.
 
-        A cluster's leader is the point nearest to its median, which is likely to link with most.
-        """
-        free, out = np.ones(len(self.n), bool), []
-        for x in range(len(self.n)):
-            if not free[x]:
-                continue
-            near = self.candidates(x, share)
-            near = near[free[near]]
-            free[x] = False
-            if len(near) < 2:
-                continue
-            middle = np.median(self.points[near], axis=0)
-            m = int(near[np.argmin(np.abs(self.points[near] - middle).sum(axis=1))])
-            around = self.candidates(m, share)
-            around = around[free[around] & (around != m)]
-            free[around] = free[m] = False
-            out += [(m, int(o)) for o in around]
-            if m != x:
-                out.append((m, x))
-        return out
-
-
-def _trees(batches: Iterator[pa.RecordBatch], share: int, second: bool) -> Iterator[pa.RecordBatch]:
-    """Pairs to verify from the trees of large groups' tiles."""
+def _joined_to(x: int, met: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """One of the others for each tree of a forest that x is not in yet; these trees become one with that of x."""
+    trees, at = np.unique(met[others], return_index=True)
+    new = trees != met[x]
+    if new.any():
+        met[np.isin(met, trees[new])] = met[x]
+    return others[at[new]]
+
+
+def _trees(batches: Iterator[pa.RecordBatch], share: int) -> Iterator[pa.RecordBatch]:
+    """For tiles of large groups, a forest over the points that may link with some of another component.
+
+    Two such points are in one tree, though not joined directly, so a tile has fewer rows than points.
+    """
     for b in whole_groups(batches, "tile"):
         key = b["tile"].to_numpy()
         first = runs(key)
-        found: set[tuple[int, int]] = set()
         ids, tags, n, root = (b[x].to_numpy(zero_copy_only=False) for x in ("id", "tag", "n", "root"))
         data, cuts = blobs(b["point"])
+        out_a, out_b = [], []
         for f, l in zip(first, np.append(first[1:], len(key))):
             order = np.lexsort((tags[f:l], ids[f:l]))  # classes of one id have different tags
             at = f + order[runs(ids[f:l][order], tags[f:l][order])]
-            if len(at) < 2 or (second and (root[at] == root[at[0]]).all()):
+            if len(at) < 2 or (root[at] == root[at[0]]).all():
                 continue
             tree = RTree(n[at], [data[cuts[i] : cuts[i + 1]] for i in at])
             rows = at[tree.order]
-            if second:  # all but the largest component of the group look for others
-                roots, count = np.unique(root[rows], return_counts=True)
-                main = roots[np.argmax(count)]
-                for x in np.flatnonzero(root[rows] != main).tolist():
-                    other = tree.candidates(x, share)
-                    other = rows[other[root[rows[other]] != root[rows[x]]]]
-                    found.update((min(int(rows[x]), int(o)), max(int(rows[x]), int(o))) for o in other)
-            else:
-                found.update((int(rows[m]), int(rows[o])) for m, o in tree.stars(share) if root[rows[m]] != root[rows[o]])
-        i = np.array(sorted(found), np.int64).reshape(-1, 2)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids[i[:, 0]]), pa.array(tags[i[:, 0]]), pa.array(ids[i[:, 1]]), pa.array(tags[i[:, 1]])],
-            names=["id_a", "tag_a", "id_b", "tag_b"],
-        )
+            part, met = np.unique(root[rows], return_inverse=True)[1], np.arange(len(rows))
+            # all but the largest component of the group look for others
+            for x in np.flatnonzero(part != np.argmax(np.bincount(part))).tolist():
+                others = tree.candidates(x, share)
+                others = _joined_to(x, met, others[part[others] != part[x]])
+                out_a.append(np.full(len(others), ids[rows[x]]))
+                out_b.append(ids[rows[others]])
+        if out_a:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
 
 
-def _linked(batches: Iterator[pa.RecordBatch], k: int, share: int) -> Iterator[pa.RecordBatch]:
-    """All links of tiles of a component's classes, each pair in one tile only."""
+class Sets:
+    """The shingle sets of one tile's texts, in the order of the tree of their points."""
+
+    def __init__(self, texts: pa.Array, k: int):
+        sets = []
+        for start, end, data, offsets in c.chunks(texts, c.HALF):
+            doc, grams = shingle_sets(data, offsets, k)
+            cut = np.searchsorted(doc, np.arange(end - start + 1))
+            sets += [grams[a:z] for a, z in zip(cut[:-1], cut[1:])]
+        self.tree = RTree(np.array([len(s) for s in sets]), [point(s) for s in sets])
+        self.gram = np.unique(np.concatenate([sets[i] for i in self.tree.order]), return_inverse=True)[1]
+        self.cut = np.concatenate(([0], np.cumsum(self.tree.n)))
+        self.mark = np.zeros(len(self.gram), bool)
+
+    def linked(self, x: int, near: np.ndarray, share: int) -> tuple[np.ndarray, np.ndarray]:
+        """Those of the near sets that link with set x, and their common shingles."""
+        if not len(near):
+            return near, near
+        size = self.tree.n[near]
+        begin = np.cumsum(size) - size
+        at = np.repeat(self.cut[near] - begin, size) + np.arange(size.sum())
+        own = self.gram[self.cut[x] : self.cut[x + 1]]
+        self.mark[own] = True
+        common = np.add.reduceat(self.mark[self.gram[at]].astype(np.int64), begin)
+        self.mark[own] = False
+        links = (common > 0) & may_link(common, self.tree.n[x], size, share)
+        return near[links], common[links]
+
+
+def _tiles_of_texts(batches: Iterator[pa.RecordBatch], k: int):
+    """For each tile its batch, the rows in the order of its sets, the sets, and which of some sets meet set x here only."""
     for b in whole_groups(batches, "tile"):
         key = b["tile"].to_numpy()
         first = runs(key)
         own, other, band, low = (b[x].to_numpy() for x in ("own", "other", "band", "low"))
-        out_a, out_b, out_n = [], [], []
         for f, l in zip(first.tolist(), np.append(first[1:], len(key)).tolist()):
-            sets = []
-            for start, end, data, offsets in c.chunks(b["text"].slice(f, l - f), c.HALF):
-                doc, grams = shingle_sets(data, offsets, k)
-                cut = np.searchsorted(doc, np.arange(end - start + 1))
-                sets += [grams[a:z] for a, z in zip(cut[:-1], cut[1:])]
-            tree = RTree(np.array([len(s) for s in sets]), [point(s) for s in sets])
-            rows = f + tree.order
-            gram = np.unique(np.concatenate([sets[i] for i in tree.order]), return_inverse=True)[1]
-            cut = np.concatenate(([0], np.cumsum(tree.n)))
-            mark = np.zeros(len(gram), bool)
-            for x, row in enumerate(rows.tolist()):
-                near = tree.candidates(x, share)
-                near = near[near > x]
-                to = rows[near]
+            sets = Sets(b["text"].slice(f, l - f), k)
+            rows = f + sets.tree.order
+
+            def once(x: int, near: np.ndarray, rows=rows) -> np.ndarray:
+                row, to = rows[x], rows[near]
                 # the band of the larger of both, and the diagonal tile for classes of one bucket
-                once = (np.maximum(low[to], low[row]) == band[row]) & ((own[to] != own[row]) | (own[row] == other[row]))
-                near = near[once]
-                if not len(near):
-                    continue
-                size = tree.n[near]
-                begin = np.cumsum(size) - size
-                at = np.repeat(cut[near] - begin, size) + np.arange(size.sum())
-                mark[gram[cut[x] : cut[x + 1]]] = True
-                common = np.add.reduceat(mark[gram[at]].astype(np.int64), begin)
-                mark[gram[cut[x] : cut[x + 1]]] = False
-                links = (common > 0) & may_link(common, tree.n[x], size, share)
-                out_a.append(np.full(np.count_nonzero(links), row))
-                out_b.append(rows[near[links]])
-                out_n.append(common[links])
+                return near[(np.maximum(low[to], low[row]) == band[row]) & ((own[to] != own[row]) | (own[row] == other[row]))]
+
+            yield b, rows, sets, once
+
+
+def _linked(batches: Iterator[pa.RecordBatch], k: int, share: int) -> Iterator[pa.RecordBatch]:
+    """All links of tiles of a component's classes, each pair in one tile only."""
+    for b, rows, sets, once in _tiles_of_texts(batches, k):
+        out_a, out_b, out_n = [], [], []
+        for x, row in enumerate(rows.tolist()):
+            near = sets.tree.candidates(x, share)
+            near, common = sets.linked(x, once(x, near[near > x]), share)
+            out_a.append(np.full(len(near), row))
+            out_b.append(rows[near])
+            out_n.append(common)
+        x, y = pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))
+        ends = [b[name].take(at) for at in (x, y) for name in ("id", "c1", "n")]
+        yield pa.RecordBatch.from_arrays(
+            [*ends, pa.array(np.concatenate(out_n))],
+            names=["id_a", "class_a", "n_a", "id_b", "class_b", "n_b", "n_common"],
+        )
+
+
+def _connected(batches: Iterator[pa.RecordBatch], k: int, share: int) -> Iterator[pa.RecordBatch]:
+    """Links that connect all components (``part``) of a tile that links between its classes connect."""
+    for b, rows, sets, once in _tiles_of_texts(batches, k):
+        ids, met = b["id"].to_numpy(), np.unique(b["part"].to_numpy()[rows], return_inverse=True)[1]
+        out_a, out_b = [], []
+        for x in np.flatnonzero(met != np.argmax(np.bincount(met))).tolist():
+            near = sets.tree.candidates(x, share)
+            near = sets.linked(x, once(x, near[met[near] != met[x]]), share)[0]
+            near = _joined_to(x, met, near)
+            out_a.append(np.full(len(near), ids[rows[x]]))
+            out_b.append(ids[rows[near]])
         if out_a:
-            x, y = pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))
-            ends = [b[name].take(at) for at in (x, y) for name in ("id", "c1", "n")]
-            yield pa.RecordBatch.from_arrays(
-                [*ends, pa.array(np.concatenate(out_n))],
-                names=["id_a", "class_a", "n_a", "id_b", "class_b", "n_b", "n_common"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_a)), pa.array(np.concatenate(out_b))], names=["a", "b"])
 
 
 def _verified(batches: Iterator[pa.RecordBatch], k: int, share: int) -> Iterator[pa.RecordBatch]:
     """Pairs of texts that link."""
-    for b in batches:
+    for b in (whole.slice(at, PAIRS) for whole in batches for at in range(0, len(whole), PAIRS)):
         sets: dict[int, list[np.ndarray]] = {0: [], 1: []}
         for side, name in enumerate(("text_a", "text_b")):
             for first, end, data, offsets in c.chunks(b[name], c.HALF):
@@ -331,14 +353,45 @@ class JaccardJoin:
             "tag", F.hash("text")
         )
 
+    def _texts(self, rows: DataFrame, ends: DataFrame, n: int) -> DataFrame:
+        """A row with its text for each of some n ends (id, tag).
+
+        Only rows whose id may be among them are shuffled: ids set bits of a list, which is broadcast and has 2 MB at most.
+        """
+        bits = 1 << max(10, int(BITS * n).bit_length())
+        bits = min(bits, MOST_BITS)
+        place = F.pmod(F.xxhash64("id"), F.lit(bits))
+        bit = F.expr(f"shiftleft(1L, cast(pmod(xxhash64(id), {bits}) % 64 as int))")
+        listed = ends.select(F.shiftright(place, 6).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("set"))
+        rows = rows.withColumn("id", F.coalesce("id", F.lit(LEAST_ID)))
+        some = rows.join(F.broadcast(listed), F.shiftright(place, 6) == F.col("word")).filter(bit.bitwiseAND(F.col("set")) != 0)
+        return some.select("id", "tag", "text").join(ends, ["id", "tag"]).dropDuplicates(["id", "tag"])
+
+    def _dealt_texts(self, rows: DataFrame, classes: DataFrame) -> DataFrame:
+        """The classes (id, tag, n, root and others) with their texts, in tiles where every two of one root and like size meet.
+
+        A pair is counted in the band of the larger and, of one bucket, in the diagonal tile.
+        """
+        low = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100.1 / self.share))).cast("int")
+        spread_out = classes.withColumn("low", low).withColumn("band", F.explode(F.array(F.col("low"), F.col("low") + 1)))
+        tiles = F.ceil(F.greatest(F.count("*") / TILE, F.sum("n") / TILE_SHINGLES)).cast("int")
+        sized = spread_out.groupBy("root", "band").agg(F.count("*").alias("size"), tiles.alias("tiles")).filter("size > 1")
+        placed = spread_out.join(sized, ["root", "band"]).withColumn(
+            "own", F.pmod(F.xxhash64("id", "tag"), F.col("tiles")).cast("int")
+        )
+        placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+        tile = F.xxhash64("root", "band", F.least("own", "other"), F.greatest("own", "other")).alias("tile")
+        placed = c.stored(placed.select(tile, *classes.drop("root").columns, "low", "band", "own", "other"), "link-tiles")
+        texts = self._texts(rows, placed.select("id", "tag").distinct(), placed.count())
+        return placed.join(texts, ["id", "tag"]).repartition("tile").sortWithinPartitions("tile")
+
     def _verify(self, rows: DataFrame, pairs: DataFrame) -> DataFrame:
         """The pairs (id_a, tag_a, id_b, tag_b) whose texts link, as a, b."""
         pairs = c.stored(pairs.distinct(), "pairs")
         if pairs.isEmpty():
             return pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
         ends = pairs.select(F.col("id_a").alias("id"), F.col("tag_a").alias("tag")).union(pairs.select("id_b", "tag_b")).distinct()
-        texts = rows.withColumn("id", F.coalesce("id", F.lit(LEAST_ID))).join(ends, ["id", "tag"]).dropDuplicates(["id", "tag"])
-        texts = c.stored(texts, "texts")
+        texts = c.stored(self._texts(rows, ends, 2 * pairs.count()), "texts")
         side = lambda x: texts.select(F.col("id").alias(f"id_{x}"), F.col("tag").alias(f"tag_{x}"), F.col("text").alias(f"text_{x}"))
         joined = pairs.join(side("a"), ["id_a", "tag_a"]).join(side("b"), ["id_b", "tag_b"])
         joined = joined.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), "text_a", "text_b")
@@ -387,12 +440,6 @@ class JaccardJoin:
         tile = F.xxhash64("gram", "band", F.least("own", "other"), F.greatest("own", "other")).alias("tile")
         placed = c.stored(placed.select(tile, "id"), "tiles")
         schema = "id_a long, tag_a int, id_b long, tag_b int"
-
-        def compared(with_roots: DataFrame, second: bool) -> DataFrame:
-            points = with_roots.join(classes.select("id", "tag", "n", "point"), "id")
-            dealt = points.repartition("tile").sortWithinPartitions("tile")
-            return dealt.mapInArrow(partial(_trees, share=self.share, second=second), schema)
-
         # first each class of a large group with the group's smallest id, which its copies are likely to follow
         leaders = large.groupBy("gram", "band").agg(F.min("id").alias("leader"))
         stars = large.join(leaders, ["gram", "band"]).filter("id <> leader").select("id", "leader").distinct()
@@ -400,35 +447,25 @@ class JaccardJoin:
         stars = stars.join(end("a", "id"), "id").join(end("b", "leader"), "leader")
         followed = stars.mapInArrow(partial(_bounded, share=self.share), schema)
         links = self._verify(rows, bounded.unionByName(followed))
-        # then medoids, then all that may link, but only between components of a tile
-        for second in (False, True):
-            roots = components(links)
-            labelled = placed.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-            mixed = labelled.groupBy("tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
-            found = self._verify(rows, compared(labelled.join(mixed.select("tile"), "tile"), second))
-            links = links.unionByName(found)
-        return links
+        # then all that may link, but only between components of a tile
+        roots = components(links)
+        labelled = placed.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
+        mixed = labelled.groupBy("tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
+        points = labelled.join(mixed.select("tile"), "tile").join(classes.select("id", "tag", "n", "point"), "id")
+        dealt = points.repartition("tile").sortWithinPartitions("tile")
+        near = components(dealt.mapInArrow(partial(_trees, share=self.share), "a long, b long"))
+        near = near.union(near.select(F.col("root").alias("id"), "root").distinct())
+        parts = roots.withColumnRenamed("root", "part")
+        left = classes.select("id", "tag", "n").join(near, "id").join(parts, "id", "left").withColumn("part", F.coalesce("part", "id"))
+        found = self._dealt_texts(rows, left).mapInArrow(partial(_connected, k=self.k, share=self.share), "a long, b long")
+        return links.unionByName(c.stored(found.distinct(), "found"))
 
     def _links(self, docs: DataFrame, profile: DataFrame) -> DataFrame:
         """id, class and size of both ends and the common shingles of all links between classes, stored."""
         roots = components(self.connecting(docs, profile))
         # a root has no row of its own; classes without links meet nothing, but for those that share an id
         classes = self.classes(profile).join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
-        low = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100.1 / self.share))).cast("int")
-        spread_out = classes.select("id", "tag", "c1", "n", "root", low.alias("low")).withColumn(
-            "band", F.explode(F.array(F.col("low"), F.col("low") + 1))
-        )
-        tiles = F.ceil(F.greatest(F.count("*") / TILE, F.sum("n") / TILE_SHINGLES)).cast("int")
-        sized = spread_out.groupBy("root", "band").agg(F.count("*").alias("size"), tiles.alias("tiles")).filter("size > 1")
-        placed = spread_out.join(sized, ["root", "band"]).withColumn(
-            "own", F.pmod(F.xxhash64("id", "tag"), F.col("tiles")).cast("int")
-        )
-        placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-        tile = F.xxhash64("root", "band", F.least("own", "other"), F.greatest("own", "other")).alias("tile")
-        placed = c.stored(placed.select(tile, "id", "tag", "c1", "n", "low", "band", "own", "other"), "link-tiles")
-        rows = self._rows(docs).withColumn("id", F.coalesce("id", F.lit(LEAST_ID)))
-        texts = rows.join(placed.select("id", "tag").distinct(), ["id", "tag"]).dropDuplicates(["id", "tag"])
-        dealt = placed.join(texts, ["id", "tag"]).repartition("tile").sortWithinPartitions("tile")
+        dealt = self._dealt_texts(self._rows(docs), classes.select("id", "tag", "c1", "n", "root"))
         schema = "id_a long, class_a long, n_a long, id_b long, class_b long, n_b long, n_common long"
         return c.stored(dealt.mapInArrow(partial(_linked, k=self.k, share=self.share), schema), "all-links")
 
