@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rowsluice.llm.common import U, sliding_min
+from rowsluice.llm.common import U, in_arrow, sliding_min
 
 LEAST_ID = -(1 << 63)
 
@@ -54,7 +54,7 @@ def longer_prefixes(rows: DataFrame, sent: Callable, most: int = 5_000, listed:
     The list is broadcast; its ``listed`` longest entries bound it to 8 MB, and any prefix beyond it
     has less than one in ``listed`` of all rows. Tasks report what they would send ``least`` times.
     """
-    counts = rows.mapInArrow(partial(_counts, sent=sent, least=least), "prefix long, n long")
+    counts = in_arrow(rows, partial(_counts, sent=sent, least=least), "prefix long, n long")
     hot = counts.groupBy("prefix").agg(F.sum("n").alias("n")).filter(F.col("n") > most)
     found = hot.orderBy(F.desc("n"), "prefix").limit(listed).select("prefix").toArrow()
     values = np.sort(found["prefix"].to_numpy().view(U))

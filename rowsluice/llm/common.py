@@ -7,9 +7,11 @@ text counts as empty everywhere.
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,8 @@ from rowsluice.session import scratch_path
 #: Bytes of text handled at once; one longer document is a chunk of its own. With the end, the places of a chunk
 #: are a power of two, as are the tables of the hash. Operators that keep many numbers for each byte take half as much.
 CHUNK, HALF = (1 << 21) - 1, (1 << 20) - 1
+#: Bytes of input after which a task gives unused memory back, and tables that a worker keeps only as long as steps name them.
+GIVEN_BACK, LARGE = 1 << 24, ("encoder ", "aligner ", "pieces ", "decimals ")
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 U = np.uint64
 
@@ -78,12 +82,53 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
 
+def _kept() -> dict:
+    return vars(sys.modules.setdefault("_rowsluice_llm_kept", types.ModuleType("_rowsluice_llm_kept")))
+
+
 def once(key: str, make: Callable):
     """``make()``, kept by this worker process for its later tasks too."""
-    kept = sys.modules.setdefault("_rowsluice_llm_kept", types.ModuleType("_rowsluice_llm_kept"))
-    if key not in vars(kept):
-        vars(kept)[key] = make()
-    return vars(kept)[key]
+    kept = _kept()
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
+def give_back() -> None:
+    """Return to the system what Arrow and the C library hold unused; else a worker holds the most it ever took."""
+    pa.default_memory_pool().release_unused()
+    trim = once("malloc_trim", lambda: getattr(ctypes.CDLL(None), "malloc_trim", None))  # glibc has it
+    if trim:
+        trim(0)
+
+
+def _lean(batches: Iterator[pa.RecordBatch], task: Callable, keeps: tuple[str, ...]) -> Iterator[pa.RecordBatch]:
+    for key in [k for k in _kept() if k.startswith(LARGE) and not k.startswith(keeps)]:
+        del _kept()[key]
+
+    def taken() -> Iterator[pa.RecordBatch]:
+        read = 0
+        for b in batches:
+            read += b.nbytes
+            yield b
+            del b
+            if read >= GIVEN_BACK:
+                give_back()
+                read = 0
+
+    try:
+        yield from task(taken())
+    finally:
+        give_back()
+
+
+def in_arrow(df: DataFrame, task: Callable, schema: str, keeps: tuple[str, ...] = ()) -> DataFrame:
+    """``df.mapInArrow(task, schema)`` by workers that give unused memory back as they go and when a task ends.
+
+    Workers live on between tasks and steps, so what they hold idle adds to what other tasks of their executor take.
+    Large tables of other steps (``LARGE``) are dropped, but for those whose keys start as ``keeps`` says.
+    """
+    return df.mapInArrow(partial(_lean, task=task, keeps=keeps), schema)
 
 
 PRIME = (1 << 61) - 1

@@ -119,7 +119,7 @@ class Decontaminator:
 
     def windows(self, benchmark: DataFrame) -> DataFrame:
         rows = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").filter("item IS NOT NULL")
-        return rows.mapInArrow(partial(_windows, n=self.n), WINDOWS).distinct()
+        return c.in_arrow(rows, partial(_windows, n=self.n), WINDOWS).distinct()
 
     def _block(self, windows: DataFrame) -> dict:
         table = windows.toArrow()
@@ -141,7 +141,7 @@ class Decontaminator:
         for i in range(blocks):
             part = windows.filter(F.pmod("hash", F.lit(blocks)) == i)
             shared = spark.sparkContext.broadcast(self._block(part))
-            parts.append(rows.mapInArrow(partial(_scan, shared=shared), HITS))
+            parts.append(c.in_arrow(rows, partial(_scan, shared=shared), HITS))
         if blocks == 1:
             return parts[0]
         tagged = reduce(DataFrame.unionByName, (p.withColumn("block", F.lit(i)) for i, p in enumerate(parts)))

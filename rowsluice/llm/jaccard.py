@@ -395,11 +395,11 @@ class JaccardJoin:
         side = lambda x: texts.select(F.col("id").alias(f"id_{x}"), F.col("tag").alias(f"tag_{x}"), F.col("text").alias(f"text_{x}"))
         joined = pairs.join(side("a"), ["id_a", "tag_a"]).join(side("b"), ["id_b", "tag_b"])
         joined = joined.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), "text_a", "text_b")
-        return c.stored(joined.mapInArrow(partial(_verified, k=self.k, share=self.share), "a long, b long"), "links")
+        return c.stored(c.in_arrow(joined, partial(_verified, k=self.k, share=self.share), "a long, b long"), "links")
 
     def profiled(self, docs: DataFrame) -> DataFrame:
         """id, tag, n, class digest and point of each document, stored."""
-        return c.stored(self._rows(docs).mapInArrow(partial(_profile, k=self.k), ROWS), "sets")
+        return c.stored(c.in_arrow(self._rows(docs), partial(_profile, k=self.k), ROWS), "sets")
 
     def classes(self, profile: DataFrame) -> DataFrame:
         """A row per different set: its smallest id, with tag and point."""
@@ -413,8 +413,8 @@ class JaccardJoin:
         profile = self.profiled(docs) if profile is None else profile
         classes = self.classes(profile)
         frequent = longer_prefixes(rows, partial(_frequent, k=self.k), most=64, least=8)
-        prefixes = rows.mapInArrow(
-            partial(_prefixes, k=self.k, share=self.share, frequent=frequent), "gram long, c1 long, n long, often boolean"
+        prefixes = c.in_arrow(
+            rows, partial(_prefixes, k=self.k, share=self.share, frequent=frequent), "gram long, c1 long, n long, often boolean"
         )
         prefixes = prefixes.select(
             "c1", "n", "gram", "often",
@@ -422,11 +422,11 @@ class JaccardJoin:
             F.when(F.col("often"), F.xxhash64("gram", "c1")).otherwise(F.col("gram")).alias("at"),
         )
         dealt = prefixes.repartition("at").sortWithinPartitions("gram")
-        met = c.stored(dealt.mapInArrow(partial(_dealt, share=self.share), "a long, b long, gram long"), "prefixes")
+        met = c.stored(c.in_arrow(dealt, partial(_dealt, share=self.share), "a long, b long, gram long"), "prefixes")
         # small groups: pairs bounded by their points
         side = lambda x: classes.select(F.col("c1").alias(x), *(F.col(n).alias(f"{n}_{x}") for n in ("id", "tag", "n", "point")))
         pairs = met.filter("b IS NOT NULL").select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b")
-        bounded = pairs.mapInArrow(partial(_bounded, share=self.share), "id_a long, tag_a int, id_b long, tag_b int")
+        bounded = c.in_arrow(pairs, partial(_bounded, share=self.share), "id_a long, tag_a int, id_b long, tag_b int")
         # large groups: tiles of points of like sizes, as sets that link differ by a third at most
         large = met.filter("b IS NULL").select("gram", F.col("a").alias("c1")).distinct()
         band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100.1 / self.share))).cast("int")
@@ -445,7 +445,7 @@ class JaccardJoin:
         stars = large.join(leaders, ["gram", "band"]).filter("id <> leader").select("id", "leader").distinct()
         end = lambda x, on: classes.select(F.col("id").alias(on), *(F.col(n).alias(f"{n}_{x}") for n in ("id", "tag", "n", "point")))
         stars = stars.join(end("a", "id"), "id").join(end("b", "leader"), "leader")
-        followed = stars.mapInArrow(partial(_bounded, share=self.share), schema)
+        followed = c.in_arrow(stars, partial(_bounded, share=self.share), schema)
         links = self._verify(rows, bounded.unionByName(followed))
         # then all that may link, but only between components of a tile
         roots = components(links)
@@ -453,11 +453,11 @@ class JaccardJoin:
         mixed = labelled.groupBy("tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi")
         points = labelled.join(mixed.select("tile"), "tile").join(classes.select("id", "tag", "n", "point"), "id")
         dealt = points.repartition("tile").sortWithinPartitions("tile")
-        near = components(dealt.mapInArrow(partial(_trees, share=self.share), "a long, b long"))
+        near = components(c.in_arrow(dealt, partial(_trees, share=self.share), "a long, b long"))
         near = near.union(near.select(F.col("root").alias("id"), "root").distinct())
         parts = roots.withColumnRenamed("root", "part")
         left = classes.select("id", "tag", "n").join(near, "id").join(parts, "id", "left").withColumn("part", F.coalesce("part", "id"))
-        found = self._dealt_texts(rows, left).mapInArrow(partial(_connected, k=self.k, share=self.share), "a long, b long")
+        found = c.in_arrow(self._dealt_texts(rows, left), partial(_connected, k=self.k, share=self.share), "a long, b long")
         return links.unionByName(c.stored(found.distinct(), "found"))
 
     def _links(self, docs: DataFrame, profile: DataFrame) -> DataFrame:
@@ -467,7 +467,7 @@ class JaccardJoin:
         classes = self.classes(profile).join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
         dealt = self._dealt_texts(self._rows(docs), classes.select("id", "tag", "c1", "n", "root"))
         schema = "id_a long, class_a long, n_a long, id_b long, class_b long, n_b long, n_common long"
-        return c.stored(dealt.mapInArrow(partial(_linked, k=self.k, share=self.share), schema), "all-links")
+        return c.stored(c.in_arrow(dealt, partial(_linked, k=self.k, share=self.share), schema), "all-links")
 
     def pairs(self, docs: DataFrame) -> DataFrame:
         """All links between different sets, each once: a, class_a, n_a, b, class_b, n_b, n_common.

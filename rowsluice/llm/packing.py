@@ -30,6 +30,8 @@ from rowsluice.llm.tokens import encoded
 
 #: Characters of known words that a worker keeps; with half as many, words met again were encoded anew too often.
 KNOWN_CHARS = 20_000_000
+#: Tables that workers keep through the steps of the operator.
+KEPT = ("encoder ",)
 PIECES = pa.schema(
     [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
      ("ids", pa.binary()), ("part", pa.int64()), ("rank", pa.int64())]
@@ -58,6 +60,7 @@ def _cut(batches: Iterator[pa.RecordBatch], path: str, capacity: int) -> Iterato
                  pa.array(np.full(len(doc), part)), pa.array(rank)],
                 schema=PIECES,
             )
+            c.give_back()
 
 
 def fullest(available: np.ndarray, room: int) -> dict[int, int]:
@@ -151,7 +154,7 @@ class Packer:
         """The pieces of all documents with their ids (32 bits each, little-endian), stored."""
         rows = docs.select(F.col("doc_id").cast("long"), "text")
         schema = "doc_id long, piece int, start long, length long, ids binary, part long, rank long"
-        return c.stored(rows.mapInArrow(partial(_cut, path=self.tokenizer, capacity=self.capacity), schema), "pieces")
+        return c.stored(c.in_arrow(rows, partial(_cut, path=self.tokenizer, capacity=self.capacity), schema, KEPT), "pieces")
 
     def placed(self, docs: DataFrame, with_ids: bool = True) -> DataFrame:
         """doc_id, piece, start, length, ids_crc32, ids, sequence_id, offset: a row per piece."""
@@ -170,7 +173,7 @@ class Packer:
         ranked = ranked.select(*shown, (F.col("rank") + F.col("earlier")).alias("rank"))
         ids = "ids binary, " if with_ids else ""
         schema = f"doc_id long, piece int, start long, length long, ids_crc32 long, {ids}sequence_id long, offset long"
-        return ranked.mapInArrow(partial(_placed, shared=shared), schema)
+        return c.in_arrow(ranked, partial(_placed, shared=shared), schema, KEPT)
 
     def packed(self, docs: DataFrame) -> DataFrame:
         """doc_id, piece, start, length, ids_crc32, sequence_id, offset: a row per piece."""
@@ -180,4 +183,4 @@ class Packer:
         """sequence_id, its token ids, and doc_ids, pieces and offsets of what it holds: a row per sequence."""
         dealt = self.placed(docs).repartition("sequence_id").sortWithinPartitions("sequence_id", "offset")
         schema = "sequence_id long, ids array<int>, doc_ids array<long>, pieces array<int>, offsets array<long>"
-        return dealt.mapInArrow(_joined, schema)
+        return c.in_arrow(dealt, _joined, schema, KEPT)

@@ -221,7 +221,7 @@ class ContextExtractor:
 
     def base(self, docs: DataFrame) -> DataFrame:
         rows = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("doc_id", "text").alias("key"))
-        return c.stored(rows.mapInArrow(_base, BASE), "pii-base")
+        return c.stored(c.in_arrow(rows, _base, BASE), "pii-base")
 
     def patterns(self, base: DataFrame) -> DataFrame:
         """pattern, kind, seeds: contexts of several different seeds of one kind."""
@@ -241,7 +241,7 @@ class ContextExtractor:
             hashes, kinds = part["pattern"].to_numpy().view(c.U), part["kind"].to_numpy()
             order = np.argsort(hashes, kind="stable")
             shared = docs.sparkSession.sparkContext.broadcast((hashes[order], kinds[order]))
-            parts.append(rows.mapInArrow(partial(_lookup, shared=shared), FOUND))
+            parts.append(c.in_arrow(rows, partial(_lookup, shared=shared), FOUND))
         return c.stored(reduce(DataFrame.unionByName, parts), "pii-fillers") if parts else None
 
     def believed(self, fillers: DataFrame, seeds: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame, functions as F
 from rowsluice.llm import common as c
 
 SALTS = 16
+#: Rows whose texts are held as strings at once.
+ROWS = 1_000
 NORMAL = c.LOWER.copy()
 NORMAL[0x30:0x3A] = 0x30
 SYMBOLS = np.isin(np.arange(256), np.frombuffer(b"#*$%&|<>", np.uint8))
@@ -118,7 +120,7 @@ def _shortened(texts: pa.Array, removed: pa.Array) -> Iterator[bytes]:
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows with the lines listed in __lines removed from their text."""
-    for b in batches:
+    for b in (whole.slice(at, ROWS) for whole in batches for at in range(0, len(whole), ROWS)):
         lines, at = b["__lines"], b.schema.get_field_index("text")
         b = b.drop_columns(["__lines"])
         some = np.flatnonzero(lines.is_valid().to_numpy(zero_copy_only=False))
@@ -157,7 +159,7 @@ class LineFrequency:
             + ", ".join(f"{n} long" for n in COUNTS)
             + ", lines array<long>, line_words array<int>"
         )
-        rows = self.keyed(docs).mapInArrow(_profile, schema)
+        rows = c.in_arrow(self.keyed(docs), _profile, schema)
         return c.stored(rows.withColumn("row", F.monotonically_increasing_id()), "quality")
 
     def boilerplate(self, profile: DataFrame) -> DataFrame:
@@ -216,4 +218,4 @@ class LineFrequency:
         )
         joined = self._with(docs, told.dropDuplicates(["key", "doc_id"]), "left").filter(F.coalesce("__kept", F.lit(True)))
         columns = [F.col(f"`{n}`") for n in docs.columns]
-        return joined.select(*columns, "__lines").mapInArrow(_without, docs.schema)
+        return c.in_arrow(joined.select(*columns, "__lines"), _without, docs.schema)

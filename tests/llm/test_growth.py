@@ -1,11 +1,15 @@
 """Rows and memory that must not grow with the square of a group or with copies of a task's input."""
 
+import re
+import sys
 import tracemalloc
+from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
 
-from rowsluice.llm import anchors, common as c, jaccard, packing, tokens
+from rowsluice.llm import anchors, common as c, jaccard, packing, quality, tokens
 
 
 def test_tiles_give_fewer_rows_than_points():
@@ -76,3 +80,48 @@ def test_packing_keeps_its_known_words(monkeypatch):
     learned = sum(calls)
     assert first == [ids.tolist() for _, _, ids, _ in tokens.encoded(texts, path, packing.KNOWN_CHARS)]
     assert learned > 590_000 and sum(calls) == learned
+
+
+def _tasks(monkeypatch, docs) -> list:
+    """The functions that operators over ``docs`` give to mapInArrow from now on."""
+    given, original = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, f, *a, **k: given.append(f) or original(self, f, *a, **k))
+    return given
+
+
+def test_workers_drop_the_encoder_of_another_step(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "one text", "a")], "doc_id long, text string, source string")
+    tasks = _tasks(monkeypatch, docs)
+    monkeypatch.setattr(packing.TaskContext, "get", lambda: SimpleNamespace(partitionId=lambda: 0))
+    packing.Packer(c.tokenizer_path()).pieces(docs)
+    c.once("encoder of a test", object)
+    list(tasks.pop()(iter([])))
+    kept = sys.modules["_rowsluice_llm_kept"]
+    assert "encoder of a test" in vars(kept)
+    quality.LineFrequency().profile(docs)
+    list(tasks.pop()(iter([])))
+    assert "encoder of a test" not in vars(kept)
+
+
+def test_idle_workers_hold_little(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "one text")], "doc_id long, text string")
+    tasks = _tasks(monkeypatch, docs)
+    jaccard.JaccardJoin().profiled(docs)
+
+    def batches(n: int):
+        for seed in range(n):
+            words = np.random.default_rng(seed).integers(0, 1 << 20, (5_000, 300)).astype(str)
+            texts = pa.array([" ".join(w) for w in words.tolist()])
+            rows = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(np.zeros(len(texts), np.int32)), texts], names=["id", "tag", "text"])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, rows.schema) as out:
+                out.write_batch(rows)
+            del words, texts, rows
+            yield from pa.ipc.open_stream(sink.getvalue())
+
+    held = lambda: int(re.search(r"RssAnon:\s+(\d+)", Path("/proc/self/status").read_text())[1]) / 1024
+    c.powers(1 << 20)
+    before = held()
+    for _ in tasks[0](batches(2)):
+        pass
+    assert held() - before < 25
